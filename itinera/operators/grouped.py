@@ -65,10 +65,20 @@ def chunk_of(df: DataFrame, column: str, width: float | None = None) -> Column:
     raise TypeError(f"cannot chunk {column} of type {kind.simpleString()}; pass a number or a time column")
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: float | None) -> DataFrame:
-    """Rows with their group and chunk; rows without the leading order value form a chunk of their own, first."""
+Width = float | Sequence[float | None] | None
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: Width) -> DataFrame:
+    """Rows with their group and chunk; rows without an order value form a chunk of their own, first.
+
+    A sequence of widths chunks along several leading order columns. Chunks must follow the row order, so all but the
+    last of them have to be whole-number columns of width 1 (a slot number, then a date).
+    """
     group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("all"))
-    return df.withColumns({GROUP: group, CHUNK: F.coalesce(chunk_of(df, order[0], width), F.lit(-(2**62)))})
+    widths = list(width) if isinstance(width, (list, tuple)) else [width]
+    parts = [F.coalesce(chunk_of(df, o, w), F.lit(-(2**62))) for o, w in zip(order, widths)]
+    chunk = parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
+    return df.withColumns({GROUP: group, CHUNK: chunk})
 
 
 def local_window(order: Sequence[str]):
@@ -89,7 +99,7 @@ def shift_within(
     order: Sequence[str],
     shifts: dict[str, tuple[str, int]],
     rank: str | None = None,
-    width: float | None = None,
+    width: Width = None,
 ) -> DataFrame:
     """``lag`` / ``lead`` per group. ``shifts`` maps a new column to (column, offset): -1 is the previous row, 1 the
     next one. ``rank`` names a 1-based row number. ``order`` must be unique within a group for repeatable results.
@@ -136,7 +146,7 @@ def shift_within(
 
 
 def number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_no", width: float | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_no", width: Width = None
 ) -> DataFrame:
     """1-based row number per group (per table when ``keys`` is empty), chunk by chunk."""
     rows = chunked(df, keys, order, width)
@@ -153,7 +163,7 @@ def number_within(
 
 
 def fill_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], width: float | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], width: Width = None
 ) -> DataFrame:
     """Replace nulls by the last earlier value of the same group (of the table when ``keys`` is empty)."""
     rows = chunked(df, keys, order, width).withColumn(RN, F.row_number().over(local_window(order)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itinera.functions.dates import micros_between
-from itinera.operators.grouped import CHUNK, GROUP, RN, across_chunks, attach_chunks, chunked, local_window
+from itinera.operators.grouped import CHUNK, GROUP, RN, Width, across_chunks, attach_chunks, chunked, local_window
 
 Same = Callable[[Column, Column, Column], Column]
 HOUR = 3600
@@ -87,7 +87,7 @@ def trips_gap(
     break_on_backward: bool = False,
     trip: str = "trip_id",
     leg: str | None = "leg_no",
-    width: float | None = None,
+    width: Width = None,
     bounded_keys: bool = False,
 ) -> DataFrame:
     """Number the trips of every key group, across all its rows.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 
@@ -42,7 +42,7 @@ class SourceSpec:
     year_max: int = 2030
     route_hours: int = 24
     key: tuple[str, ...] = ()
-    trim_equal: tuple[str, ...] = field(default=())
+    target_key: tuple[str, ...] = ()
 
     @property
     def number_names(self) -> list[str]:
@@ -65,6 +65,11 @@ class SourceSpec:
         """The duplicate key; by default every slot column after the base columns."""
         return list(self.key) or self.columns
 
+    @property
+    def target_key_columns(self) -> list[str]:
+        """The key that must be unique in the target table; by default the duplicate key."""
+        return list(self.target_key) or self.key_columns
+
 
 def _slots(base: Sequence[str], n: int, number: str, date: str) -> tuple[str, ...]:
     rng = range(1, n + 1)
@@ -76,9 +81,11 @@ def _slots(base: Sequence[str], n: int, number: str, date: str) -> tuple[str, ..
     )
 
 
-def _spec(name: str, base: str, slots: int, key: str, **more) -> SourceSpec:
+def _spec(name: str, base: str, slots: int, key: str, run_key: str = "", **more) -> SourceSpec:
+    """``key`` plus all slot columns is the target's key; ``run_key`` is the key inside a run where it is narrower."""
     number, date = more.get("number", "FlightNumber{}"), more.get("date", "FlightDate{}")
-    return SourceSpec(name, tuple(base.split()), slots, key=_slots(key.split(), slots, number, date), **more)
+    full = _slots(key.split(), slots, number, date)
+    return SourceSpec(name, tuple(base.split()), slots, key=tuple(run_key.split()) or full, target_key=full, **more)
 
 
 # One entry per extract layout, named after its shape. Column names, slot counts and key columns.
@@ -90,7 +97,7 @@ SPECS: dict[str, SourceSpec] = {
             "five_slot",
             "BookingId PaxName JourneyBucket BookingRef_PNR Airline ETicketNo",
             5,
-            "BookingRef_PNR ETicketNo",
+            "BookingId PaxName",
             date="DepartureDateLocal{}",
             normalize=letters_or_digit,
             rules=fl.STRICT_JOINED,
@@ -100,6 +107,7 @@ SPECS: dict[str, SourceSpec] = {
             "BillDate PaxName PNRNo AirlineName TicketNo SupplierName PaxType",
             4,
             "PNRNo AirlineName TicketNo",
+            run_key="PNRNo AirlineName TicketNo FltNo1 FltDate1 Airport1 Airport2",
             number="FltNo{}",
             date="FltDate{}",
             normalize=letters_or_digit,
