@@ -35,8 +35,10 @@ def later_of(a: Column | str, b: Column | str) -> Column:
 def try_timestamp(c: Column | str) -> Column:
     """Text to a zone-less timestamp; anything that is not at least a full date becomes null."""
     text = F.trim(as_column(c).cast("string"))
-    dashed = F.regexp_replace(text, r"^(\d{1,4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3")
-    return F.when(dashed.rlike(r"^\d{1,4}-\d{1,2}-\d{1,2}([ T]|$)"), dashed.try_cast("timestamp_ntz"))
+    slashed = r"^(\d{1,4})/(\d{1,2})/(\d{1,2})(?=[ T]|$)"
+    return F.when(text.rlike(r"^\d{1,4}-\d{1,2}-\d{1,2}([ T]|$)"), text.try_cast("timestamp_ntz")).when(
+        text.rlike(slashed), F.regexp_replace(text, slashed, "$1-$2-$3").try_cast("timestamp_ntz")
+    )
 
 
 def normalize_date(c: Column | str, year_min: int, year_max: int, truncate: bool = False) -> Column:

@@ -119,11 +119,14 @@ DIGITS_ALLOWED = FlightRules(max_length=10, reject_numeric=False, numeric_max_le
 
 
 def flight_reject_reason(fn: Column | str, dt: Column | str, rules: FlightRules = STRICT) -> Column:
-    """First failing check of a slot, or null when the slot is valid."""
+    """First failing check of a slot, or null when the slot is valid.
+
+    ``fn`` is a normalised number; pass a column rather than an expression, as the checks read it many times.
+    """
     number, date = as_column(fn), as_column(dt)
-    text = strip_all(number)
+    text = F.trim(number)
     numeric = text.rlike("^[0-9]+$")
-    stripped = F.regexp_replace(text, "0+$", "")
+    stripped = F.rtrim(text, F.lit("0"))
     checks: list[tuple[Column, str]] = [
         (number.isNull() & date.isNull(), BOTH_NULL if rules.join_null_reasons else NUMBER_NULL),
         (number.isNull(), NUMBER_NULL),

@@ -19,44 +19,63 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def slot_structs(spec: SourceSpec, clean: bool = True, **extra) -> list[Column]:
-    """One struct per slot: ``dt, slot, fn, dep, arr`` (date first, so that sorting structs sorts by date).
-
-    ``clean`` applies the source's flight normaliser and timestamp parsing; ``extra`` adds fields from
-    ``name=function(slot number, fn, dt)``.
-    """
-    out = []
-    for i in range(1, spec.slots + 1):
-        fn, dt = _q(spec.number_names[i - 1]), _q(spec.date_names[i - 1])
-        if clean:
-            fn, dt = spec.normalize(fn), try_timestamp(dt)
-        out.append(
+def slot_array(spec: SourceSpec) -> Column:
+    """The raw slots of a row: an array of ``dt, slot, fn, dep, arr`` (date first, so that structs sort by date)."""
+    return F.array(
+        *[
             F.struct(
-                dt.alias("dt"),
-                F.lit(i).alias("slot"),
-                fn.alias("fn"),
-                _q(spec.airport_names[i - 1]).alias("dep"),
-                _q(spec.airport_names[i]).alias("arr"),
-                *[make(i, fn, dt).alias(name) for name, make in extra.items()],
+                _q(spec.date_names[i]).alias("dt"),
+                F.lit(i + 1).alias("slot"),
+                _q(spec.number_names[i]).alias("fn"),
+                _q(spec.airport_names[i]).alias("dep"),
+                _q(spec.airport_names[i + 1]).alias("arr"),
             )
-        )
-    return out
+            for i in range(spec.slots)
+        ]
+    )
 
 
-def slot_array(spec: SourceSpec, clean: bool = True, **extra) -> Column:
-    return F.array(*slot_structs(spec, clean, **extra))
+def with_slots(df: DataFrame, spec: SourceSpec, out: str = "slots") -> DataFrame:
+    """Add the array of normalised slots, each with its reject ``reason`` (null when valid).
+
+    Normalised values are columns of their own before the checks read them: a rule text appears once in the plan
+    however many checks use it.
+    """
+    rng = range(1, spec.slots + 1)
+    values: dict[str, Column] = {}
+    for i in rng:
+        values[f"__fn{i}"] = spec.normalize(_q(spec.number_names[i - 1]))
+        values[f"__dt{i}"] = try_timestamp(_q(spec.date_names[i - 1]))
+    staged = df.withColumns(values)
+    structs = [
+        F.struct(
+            F.col(f"__dt{i}").alias("dt"),
+            F.lit(i).alias("slot"),
+            F.col(f"__fn{i}").alias("fn"),
+            _q(spec.airport_names[i - 1]).alias("dep"),
+            _q(spec.airport_names[i]).alias("arr"),
+            fl.flight_reject_reason(f"__fn{i}", f"__dt{i}", spec.rules).alias("reason"),
+        )
+        for i in rng
+    ]
+    return staged.withColumn(out, F.array(*structs)).drop(*values)
 
 
-def valid_legs(spec: SourceSpec) -> Column:
-    """The row's valid legs, normalised, in slot order."""
-    tagged = slot_array(spec, reason=lambda i, fn, dt: fl.flight_reject_reason(fn, dt, spec.rules))
-    kept = F.filter(tagged, lambda s: s["reason"].isNull())
+def legs_of(slots: Column | str) -> Column:
+    """The valid slots without their reason, in slot order."""
+    slots = F.col(slots) if isinstance(slots, str) else slots
+    kept = F.filter(slots, lambda s: s["reason"].isNull())
     return F.transform(kept, lambda s: F.struct(*[s[f].alias(f) for f in ("dt", "slot", "fn", "dep", "arr")]))
 
 
-def unpivot_legs(df: DataFrame, spec: SourceSpec, carry: Sequence[str], clean: bool = False) -> DataFrame:
-    """One row per slot from a single scan: the carried columns plus ``slot, fn, dt, dep, arr``."""
-    rows = df.select(*[_q(c) for c in carry], F.inline(slot_array(spec, clean)))
+def with_legs(df: DataFrame, spec: SourceSpec, out: str = "legs") -> DataFrame:
+    """Add the array of the row's valid legs, normalised, in slot order."""
+    return with_slots(df, spec, "__slots").withColumn(out, legs_of("__slots")).drop("__slots")
+
+
+def unpivot_legs(df: DataFrame, spec: SourceSpec, carry: Sequence[str]) -> DataFrame:
+    """One row per slot from a single scan: the carried columns plus the raw ``slot, fn, dt, dep, arr``."""
+    rows = df.select(*[_q(c) for c in carry], F.inline(slot_array(spec)))
     return rows.select(*[_q(c) for c in carry], "slot", "fn", "dt", "dep", "arr")
 
 

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itinera.functions import flights as fl
-from itinera.functions.dates import try_timestamp
 from itinera.functions.text import blank_to_null
 from itinera.operators.dedupe import dedupe_segments, flag_repeats, match_target
 from itinera.operators.filters import any_slot_in_range
 from itinera.operators.profile import reconcile, rejection_summary
-from itinera.operators.reshape import slot_array, widen_route
+from itinera.operators.reshape import legs_of, widen_route, with_slots
 from itinera.operators.segment import by_time, routes_anchored
 from itinera.spec import SourceSpec
 
@@ -40,18 +39,15 @@ class CleanResult:
 
 def stage_rows(df: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     """Rows with their routes, or with a reason and detail when they have none. No shuffle."""
-    dates = [try_timestamp(F.col(f"`{d}`")) for d in spec.date_names]
-    slots = slot_array(spec, reason=lambda i, fn, dt: fl.flight_reject_reason(fn, dt, spec.rules))
-    staged = df.withColumns({"__slots": slots, "__in_range": any_slot_in_range(dates, spec.year_min, spec.year_max)})
-
-    valid = F.filter("__slots", lambda s: s["reason"].isNull())
-    legs = F.transform(valid, lambda s: F.struct(*[s[f].alias(f) for f in ("dt", "slot", "fn", "dep", "arr")]))
+    staged = with_slots(df, spec, "__slots")
+    dates = [F.get("__slots", F.lit(i))["dt"] for i in range(spec.slots)]
+    staged = staged.withColumn("__in_range", any_slot_in_range(dates, spec.year_min, spec.year_max))
     # an empty later slot is no failure; everything else is
     failed = F.filter(
         "__slots",
         lambda s: s["reason"].isNotNull() & ~((s["slot"] > 1) & s["reason"].isin(*_EMPTY_SLOT)),
     )
-    staged = staged.withColumns({"__legs": legs, "__failed": failed})
+    staged = staged.withColumns({"__legs": by_time(legs_of("__slots")), "__failed": failed})
 
     listed = F.array_join(
         F.transform("__failed", lambda s: F.concat(F.lit("FltNo"), s["slot"].cast("string"), F.lit("("), s["reason"], F.lit(")"))),
@@ -73,13 +69,12 @@ def stage_rows(df: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
 def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     """One wide row per route of the rows that passed, keyed by (row id, route number), with the raw row kept."""
     text = {f.name for f in staged.schema.fields if isinstance(f.dataType, T.StringType)}
-    routes = routes_anchored(dedupe_segments(by_time(F.col("__legs"))), spec.route_hours * 3600)
+    unique = staged.filter(F.col("RejectionReason").isNull()).withColumn("__legs", dedupe_segments(F.col("__legs")))
+    routes = routes_anchored(F.col("__legs"), spec.route_hours * 3600)
     raw = F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.columns]).alias("__raw")
-    rows = (
-        staged.filter(F.col("RejectionReason").isNull())
-        .select(row_id, *[F.col(f"`{c}`") for c in spec.base], raw, F.posexplode(routes).alias("__pos", "__route"))
-        .withColumn(ROUTE_NO, F.col("__pos") + 1)
-    )
+    rows = unique.select(
+        row_id, *[F.col(f"`{c}`") for c in spec.base], raw, F.posexplode(routes).alias("__pos", "__route")
+    ).withColumn(ROUTE_NO, F.col("__pos") + 1)
     wide = widen_route(F.col("__route"), spec.slots, spec.number, spec.date, spec.airport_names)
     clean = lambda name, c: blank_to_null(c) if name in text else c
     out = [F.col(row_id), F.col(ROUTE_NO), *[clean(c, F.col(f"`{c}`")).alias(c) for c in spec.base]]
