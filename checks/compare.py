@@ -55,8 +55,8 @@ def run_one(spark: SparkSession, con, folder: str, name: str) -> tuple[bool, str
     if sorted(df.columns) != sorted(columns):
         return False, f"columns {sorted(df.columns)} != {sorted(columns)}"
     if got != want:
-        missing = [r for r in want if r not in set(got)][:2]
-        extra = [r for r in got if r not in set(want)][:2]
+        missing = sorted(set(want) - set(got))[:2]
+        extra = sorted(set(got) - set(want))[:2]
         return False, f"{len(got)} rows != {len(want)} rows; columns {sorted(columns)}; missing {missing}; extra {extra}"
     return len(got) > 0, f"{len(got)} rows, {took:.1f}s"
 

@@ -81,14 +81,15 @@ FROM v_leg WHERE trim(fn_raw) <> '' AND dt_raw IS NOT NULL AND dt_raw <> 'bad-da
     # settlement-style lines: token lists built from the lines of each order
     "v_lists": """
 SELECT row_id, booking_ref,
-  CASE WHEN row_id % 19 = 0 THEN 'NULL' ELSE concat(substr(max(CASE WHEN leg = 1 AND dt_raw <> 'bad-date' THEN dt_raw END), 1, 10), '') END AS first_date,
-  trim(concat(coalesce(max(CASE WHEN leg = 1 THEN concat(substr(trim(upper(fn_raw)), 1, 2), '-', substr(trim(upper(fn_raw)), 3)) END), ''), ' ',
-       coalesce(max(CASE WHEN leg = 2 THEN concat(substr(trim(upper(fn_raw)), 1, 2), '-', substr(trim(upper(fn_raw)), 3)) END), ''))) AS flights,
-  trim(concat(coalesce(max(CASE WHEN leg = 1 THEN concat(dep, '/', arr) END), ''), ' ', coalesce(max(CASE WHEN leg = 2 THEN concat(dep, '/', arr) END), ''), ' ',
-       coalesce(max(CASE WHEN leg = 3 THEN concat(dep, '/', arr) END), ''))) AS sectors,
-  max(CASE WHEN leg = 1 THEN concat(dep, '/', arr) END) AS sector1, max(CASE WHEN leg = 2 THEN CASE WHEN row_id % 7 = 0 THEN 'VOID' ELSE concat(dep, '/', arr) END END) AS sector2,
-  max(CASE WHEN leg = 3 THEN concat(dep, '/', arr) END) AS sector3
-FROM v_leg GROUP BY row_id, booking_ref""",
+  CASE WHEN row_id % 19 = 0 THEN 'NULL' ELSE substr(max(CASE WHEN leg = 1 AND dt_raw <> 'bad-date' THEN dt_raw END), 1, 10) END AS first_date,
+  trim(coalesce(max(CASE WHEN leg = 1 THEN flight END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN flight END), '')) AS flights,
+  trim(coalesce(max(CASE WHEN leg = 1 THEN sector END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN sector END), '') || ' ' || coalesce(max(CASE WHEN leg = 3 THEN sector END), '')) AS sectors,
+  trim(coalesce(max(CASE WHEN leg = 1 THEN short END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN short END), '')) AS short_dates,
+  max(CASE WHEN leg = 1 THEN sector END) AS sector1, CASE WHEN row_id % 7 = 0 THEN 'VOID' ELSE max(CASE WHEN leg = 2 THEN sector END) END AS sector2,
+  max(CASE WHEN leg = 3 THEN sector END) AS sector3
+FROM (SELECT *, substr(replace(upper(fn_raw), ' ', ''), 1, 2) || '-' || substr(replace(upper(fn_raw), ' ', ''), 3) AS flight, dep || '/' || arr AS sector,
+    CASE WHEN dt_raw <> 'bad-date' THEN substr(dt_raw, 9, 2) || substr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', CAST(substr(dt_raw, 6, 2) AS INT) * 3 - 2, 3) END AS short FROM v_leg) q
+GROUP BY row_id, booking_ref""",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
     return add
 
 
+# Lazy table readers, so that a table's schema is read from its files once per session.
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Data:
     """The driver tables of one scale and the views derived from them."""
 
@@ -35,14 +40,17 @@ class Data:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _FRAMES:
+            _FRAMES[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return _FRAMES[key]
 
     def view(self, name: str) -> DataFrame:
         from checks.inputs import BASE, VIEWS, needs
 
         order = needs(name)
         for base in BASE:
-            if any(base in VIEWS[v] for v in order):
+            if any(re.search(rf"\b{base}\b", VIEWS[v]) for v in order):
                 self.table(base).createOrReplaceTempView(base)
         for v in order:
             self.spark.sql(VIEWS[v]).createOrReplaceTempView(v)

@@ -72,27 +72,41 @@ def flag_repeats(df: DataFrame, keys: Sequence[str], ids: Sequence[str], out: st
     return marked.withColumn(out, F.col("__kept").isNull()).drop("__kept")
 
 
+def _key_match(df: DataFrame, side: DataFrame, keys: Sequence[str], trim_equal: Sequence[str]) -> Column:
+    """Null-safe equality of the keys with ``__t_<key>`` columns; trimmed plain equality for ``trim_equal``."""
+
+    def equal(k: str) -> Column:
+        if k in trim_equal:
+            return F.trim(df[k].cast("string")) == side[f"__t_{k}"]
+        return df[k].eqNullSafe(side[f"__t_{k}"])
+
+    return reduce(and_, [equal(k) for k in keys])
+
+
+def _key_side(target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str]) -> DataFrame:
+    value = lambda k: F.trim(F.col(f"`{k}`").cast("string")) if k in trim_equal else F.col(f"`{k}`")
+    return target.select(*[value(k).alias(f"__t_{k}") for k in keys])
+
+
 def match_target(
-    df: DataFrame,
-    target: DataFrame,
-    keys: Sequence[str],
-    trim_equal: Sequence[str] = (),
-    how: str = "left_semi",
+    df: DataFrame, target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str] = (), how: str = "left_semi"
 ) -> DataFrame:
     """Rows whose key is (``left_semi``) or is not (``left_anti``) in the target.
 
     Null matches null, except for the ``trim_equal`` columns, which compare trimmed text and never match on null.
     """
-    trimmed = {k: F.trim(F.col(k).cast("string")) if k in trim_equal else F.col(k) for k in keys}
-    known = target.select(*[c.alias(f"__t_{k}") for k, c in trimmed.items()])
-    cond = reduce(
-        and_,
-        [
-            F.trim(df[k].cast("string")) == known[f"__t_{k}"] if k in trim_equal else df[k].eqNullSafe(known[f"__t_{k}"])
-            for k in keys
-        ],
-    )
-    return df.join(known, cond, how)
+    side = _key_side(target, keys, trim_equal)
+    return df.join(side, _key_match(df, side, keys, trim_equal), how)
+
+
+def flag_known(
+    df: DataFrame, target: DataFrame, keys: Sequence[str], out: str, trim_equal: Sequence[str] = ()
+) -> DataFrame:
+    """All rows with a flag that tells whether their key is in the target; key comparison as in :func:`match_target`."""
+    side = _key_side(target, keys, trim_equal).distinct().withColumn("__known_key", F.lit(True))
+    flagged = df.join(side, _key_match(df, side, keys, trim_equal), "left")
+    kept = flagged.withColumn(out, F.col("__known_key").isNotNull())
+    return kept.drop("__known_key", *[f"__t_{k}" for k in keys])
 
 
 def duplicate_diagnosis(df: DataFrame, identity: Sequence[str], *key_sets: Sequence[str]) -> DataFrame:

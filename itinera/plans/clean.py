@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from itinera.functions import flights as fl
 from itinera.functions.text import blank_to_null
-from itinera.operators.dedupe import dedupe_segments, flag_repeats, match_target
+from itinera.operators.dedupe import dedupe_segments, flag_known, flag_repeats
 from itinera.operators.filters import any_slot_in_range
 from itinera.operators.profile import reconcile, rejection_summary
 from itinera.operators.reshape import legs_of, widen_route, with_slots
@@ -37,42 +37,72 @@ class CleanResult:
         return reconcile(self.source, self.accepted, self.rejected)
 
 
-def stage_rows(df: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
-    """Rows with their routes, or with a reason and detail when they have none. No shuffle."""
+def stage_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Add ``__legs`` (valid legs by date, empty for a rejected row) and ``__failure`` (array of at most one reason
+    and detail). No shuffle.
+
+    Both outputs are arrays that are exploded later: a filter on the reason would be pushed below these projections
+    and repeat their expressions.
+    """
     staged = with_slots(df, spec, "__slots")
     dates = [F.get("__slots", F.lit(i))["dt"] for i in range(spec.slots)]
-    staged = staged.withColumn("__in_range", any_slot_in_range(dates, spec.year_min, spec.year_max))
     # an empty later slot is no failure; everything else is
     failed = F.filter(
         "__slots",
         lambda s: s["reason"].isNotNull() & ~((s["slot"] > 1) & s["reason"].isin(*_EMPTY_SLOT)),
     )
-    staged = staged.withColumns({"__legs": by_time(legs_of("__slots")), "__failed": failed})
-
+    staged = staged.withColumns(
+        {
+            "__in_range": any_slot_in_range(dates, spec.year_min, spec.year_max),
+            "__valid": by_time(legs_of("__slots")),
+            "__failed": failed,
+        }
+    )
     listed = F.array_join(
-        F.transform("__failed", lambda s: F.concat(F.lit("FltNo"), s["slot"].cast("string"), F.lit("("), s["reason"], F.lit(")"))),
+        F.transform(
+            "__failed", lambda s: F.concat(F.lit("FltNo"), s["slot"].cast("string"), F.lit("("), s["reason"], F.lit(")"))
+        ),
         ", ",
     )
-    none_left = F.size("__legs") == 0
-    primary = F.coalesce(F.get("__failed", F.lit(0))["reason"], F.lit(fl.NO_VALID_SEGMENTS))
-    reason = F.when(~F.col("__in_range"), fl.INVALID_DATE_RANGE).when(none_left, primary)
-    detail = (
-        F.when(~F.col("__in_range"), f"All dates outside {spec.year_min}-{spec.year_max}")
-        .when(none_left & (F.size("__failed") == 0), "All flight slots null or invalid")
-        .when(none_left, F.concat(F.lit("No valid segments. Slots: "), listed))
+    note = lambda reason, detail: F.array(F.struct(reason.alias("reason"), detail.alias("detail")))
+    failure = (
+        F.when(
+            ~F.col("__in_range"),
+            note(F.lit(fl.INVALID_DATE_RANGE), F.lit(f"All dates outside {spec.year_min}-{spec.year_max}")),
+        )
+        .when(F.size("__valid") > 0, F.array().cast("array<struct<reason:string,detail:string>>"))
+        .when(
+            F.size("__failed") > 0,
+            note(F.get("__failed", F.lit(0))["reason"], F.concat(F.lit("No valid segments. Slots: "), listed)),
+        )
+        .otherwise(note(F.lit(fl.NO_VALID_SEGMENTS), F.lit("All flight slots null or invalid")))
+    )
+    legs = F.when(F.col("__in_range"), F.col("__valid"))
+    staged = staged.withColumns({"__failure": failure, "__sorted": legs})
+    return staged.withColumn("__legs", dedupe_segments(F.col("__sorted"))).drop(
+        "__slots", "__failed", "__valid", "__in_range", "__sorted"
     )
-    return staged.withColumns({"RejectionReason": reason, "RejectionDetail": detail}).drop(
-        "__slots", "__failed", "__in_range"
+
+
+def failed_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
+    """Rejected source rows as text, with reason and detail."""
+    raw = [F.col(f"`{c}`").cast("string").alias(c) for c in spec.columns]
+    rows = staged.select(row_id, *raw, F.inline(F.slice("__failure", 1, 1)))
+    return rows.select(
+        row_id,
+        F.lit(None).cast("int").alias(ROUTE_NO),
+        *[f"`{c}`" for c in spec.columns],
+        F.col("reason").alias("RejectionReason"),
+        F.col("detail").alias("RejectionDetail"),
     )
 
 
 def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     """One wide row per route of the rows that passed, keyed by (row id, route number), with the raw row kept."""
     text = {f.name for f in staged.schema.fields if isinstance(f.dataType, T.StringType)}
-    unique = staged.filter(F.col("RejectionReason").isNull()).withColumn("__legs", dedupe_segments(F.col("__legs")))
     routes = routes_anchored(F.col("__legs"), spec.route_hours * 3600)
     raw = F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.columns]).alias("__raw")
-    rows = unique.select(
+    rows = staged.select(
         row_id, *[F.col(f"`{c}`") for c in spec.base], raw, F.posexplode(routes).alias("__pos", "__route")
     ).withColumn(ROUTE_NO, F.col("__pos") + 1)
     wide = widen_route(F.col("__route"), spec.slots, spec.number, spec.date, spec.airport_names)
@@ -83,6 +113,18 @@ def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     return rows.select(*out, "__raw")
 
 
+def label_routes(
+    rows: DataFrame, spec: SourceSpec, row_id: str, target: DataFrame | None, trim_equal: Sequence[str]
+) -> DataFrame:
+    """Add ``__status``: null for an accepted route, otherwise why it is turned down."""
+    flagged = flag_repeats(rows, spec.key_columns, [row_id, ROUTE_NO], "__repeat")
+    status = F.when(F.col("__repeat"), fl.BATCH_DUPLICATE)
+    if target is not None:
+        flagged = flag_known(flagged, target, spec.target_key_columns, "__known", trim_equal)
+        status = status.when(F.col("__known"), fl.TARGET_CONFLICT)
+    return flagged.withColumn("__status", status).drop("__repeat", "__known")
+
+
 def clean_bookings(
     df: DataFrame,
     spec: SourceSpec,
@@ -97,37 +139,19 @@ def clean_bookings(
     stays), keys already in the target are ``DB UNIQUE VIOLATION``. Keys compare null-safe; ``trim_equal`` names key
     columns that compare trimmed and never match on null.
     """
-    staged = stage_rows(df, spec, row_id)
-    stamp = rejected_at if rejected_at is not None else F.lit(None).cast("timestamp_ntz")
-
-    raw_now = [F.col(f"`{c}`").cast("string").alias(c) for c in spec.columns]
-    failed = staged.filter(F.col("RejectionReason").isNotNull()).select(
-        row_id, F.lit(None).cast("int").alias(ROUTE_NO), *raw_now, "RejectionReason", "RejectionDetail"
+    staged = stage_rows(df, spec)
+    labelled = label_routes(route_rows(staged, spec, row_id), spec, row_id, target, trim_equal)
+    detail = F.when(F.col("__status") == fl.BATCH_DUPLICATE, "Duplicate within batch").otherwise(
+        "Composite key already in target"
     )
-
-    keys = spec.key_columns
-    flagged = flag_repeats(route_rows(staged, spec, row_id), keys, [row_id, ROUTE_NO], "__repeat")
-    kept = flagged.filter(~F.col("__repeat")).drop("__repeat")
-
-    def turned_down(rows: DataFrame, reason: str, detail: str) -> DataFrame:
-        return rows.select(
-            row_id,
-            ROUTE_NO,
-            *[F.col("__raw").getField(c).alias(c) for c in spec.columns],
-            F.lit(reason).alias("RejectionReason"),
-            F.lit(detail).alias("RejectionDetail"),
-        )
-
-    rejected = failed.unionByName(
-        turned_down(flagged.filter("__repeat"), fl.BATCH_DUPLICATE, "Duplicate within batch")
+    turned_down = labelled.filter(F.col("__status").isNotNull()).select(
+        row_id,
+        ROUTE_NO,
+        *[F.col("__raw").getField(c).alias(c) for c in spec.columns],
+        F.col("__status").alias("RejectionReason"),
+        detail.alias("RejectionDetail"),
     )
-    accepted = kept
-    if target is not None:
-        target_keys = spec.target_key_columns
-        known = target.select(*[F.col(f"`{k}`") for k in target_keys])
-        accepted = match_target(kept, known, target_keys, trim_equal, "left_anti")
-        conflicts = match_target(kept, known, target_keys, trim_equal, "left_semi")
-        rejected = rejected.unionByName(
-            turned_down(conflicts, fl.TARGET_CONFLICT, "Composite key already in target")
-        )
-    return CleanResult(df, accepted.drop("__raw"), rejected.withColumn("RejectedAt", stamp))
+    stamp = rejected_at if rejected_at is not None else F.lit(None).cast("timestamp_ntz")
+    rejected = failed_rows(staged, spec, row_id).unionByName(turned_down).withColumn("RejectedAt", stamp)
+    accepted = labelled.filter(F.col("__status").isNull()).drop("__raw", "__status")
+    return CleanResult(df, accepted, rejected)
