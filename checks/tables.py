@@ -1 +1,196 @@
+"""Sources and sinks, exercised with files and tables written from the driver tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from checks.cleaning import LOADED
+from checks.inputs import oracle
+from checks.journeys import BOOKING
+from checks.registry import ORACLES, Data, plain, query
+from itinera.operators import layout
+from itinera.session import scratch_path
+from itinera.sinks.files import export_csv_chunks, split_output
+from itinera.sinks.tables import replace_table
+from itinera.sources import delimited, markup, tables
+from itinera.streaming.incremental import incremental_clean
+
+_ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+
+
+def _csv(d: Data, df: DataFrame, label: str, sep: str = ",") -> str:
+    path = scratch_path(d.spark, label)
+    df.write.option("header", True).option("sep", sep).csv(path)
+    return path
+
+
+def _orders(d: Data) -> DataFrame:
+    return d.table("orders").select(*_ORDERS)
+
+
+@query(
+    "s1_read_csv_all_string",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority FROM orders",
+)
+def s1(d: Data) -> DataFrame:
+    return delimited.read_csv_all_string(d.spark, _csv(d, _orders(d), "s1"))
+
+
+@query("s2_read_csv_infer", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def s2(d: Data) -> DataFrame:
+    _, df = delimited.read_csv_infer(d.spark, _csv(d, _orders(d), "s2"))
+    return plain(df)
+
+
+@query("s3_read_csv_typed", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def s3(d: Data) -> DataFrame:
+    return plain(delimited.read_csv_typed(d.spark, _csv(d, _orders(d), "s3"), ["o_orderkey"]))
+
+
+@query("s4_detect_separator", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, ';' AS sep FROM customer")
+def s4(d: Data) -> DataFrame:
+    path = _csv(d, d.table("customer").select("c_custkey", "c_mktsegment"), "s4", ";")
+    sep = delimited.detect_separator(d.spark, path)
+    return delimited.read_csv_all_string(d.spark, path, sep).withColumn("sep", F.lit(sep))
+
+
+def _html(d: Data) -> DataFrame:
+    """One document per booking row: its legs as an HTML table (at most six rows each)."""
+    cell = lambda c: F.concat(F.lit("<td>"), F.coalesce(F.col(c), F.lit("")), F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), cell("dep"), F.lit("\n"), cell("dt_raw"), F.lit("</TR>"))
+    legs = d.view("v_leg").groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("leg", row.alias("r")))).alias("rows"))
+    body = F.array_join(F.transform("rows", lambda r: r["r"]), "\n")
+    return legs.select("row_id", F.concat(F.lit("<html><p>x</p><TABLE border=1>"), body, F.lit("</table>")).alias("html"))
+
+
+@query(
+    "s6_extract_html_tables",
+    oracle("v_leg", "SELECT row_id, CAST(0 AS BIGINT) AS table_no, row_number() OVER (PARTITION BY row_id ORDER BY leg) - 1 AS row_no, trim(dep) AS c1, coalesce(dt_raw, '') AS c2 FROM v_leg"),
+)
+def s6(d: Data) -> DataFrame:
+    out = markup.extract_html_tables(_html(d), "html", "row_id")
+    return plain(out.select("row_id", "table_no", "row_no", *markup.cell_columns(2)))
+
+
+@query("s7_read_parquet", "SELECT l_orderkey, l_quantity FROM lineitem")
+def s7(d: Data) -> DataFrame:
+    return tables.read_parquet(d.spark, f"{d.folder}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+
+
+@query("s8_load_dimension", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def s8(d: Data) -> DataFrame:
+    return delimited.load_dimension(d.spark, _csv(d, d.table("nation"), "s8"))
+
+
+@query("s9_union_tables", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus IS NOT NULL")
+def s9(d: Data) -> DataFrame:
+    orders = _orders(d)
+    for status in ("F", "O", "P"):
+        orders.filter(F.col("o_orderstatus") == status).createOrReplaceTempView(f"export_202{status.lower()}")
+    return plain(tables.union_tables(d.spark, "export_202%"))
+
+
+@query(
+    "s10_merge_files",
+    "SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name, NULL AS c_mktsegment FROM nation UNION ALL SELECT CAST(c_custkey AS VARCHAR), NULL, c_mktsegment FROM customer",
+)
+def s10(d: Data) -> DataFrame:
+    a = _csv(d, d.table("nation").select(F.col("n_nationkey").alias("k"), "n_name"), "s10a")
+    b = _csv(d, d.table("customer").select(F.col("c_custkey").alias("k"), "c_mktsegment"), "s10b")
+    return delimited.merge_files(d.spark, [a, b])
+
+
+@query(
+    "s11_describe_schema",
+    "SELECT name AS column_name, n AS filled FROM (SELECT 'o_orderkey' AS name, count(o_orderkey) AS n FROM orders UNION ALL SELECT 'o_custkey', count(o_custkey) FROM orders "
+    "UNION ALL SELECT 'o_orderstatus', count(o_orderstatus) FROM orders UNION ALL SELECT 'o_orderpriority', count(o_orderpriority) FROM orders) q",
+)
+def s11(d: Data) -> DataFrame:
+    from itinera.operators.profile import fill_rate
+
+    orders = _orders(d)
+    filled = fill_rate(orders, orders.columns).select("column_name", "filled")
+    return plain(layout.describe_schema(orders).join(filled, "column_name").select("column_name", "filled"))
+
+
+@query("s12_add_provenance", "SELECT o_orderkey, 'orders.parquet' AS source_file, 'main' AS source_sheet FROM orders")
+def s12(d: Data) -> DataFrame:
+    return delimited.with_provenance(d.table("orders"), sheet="main").select("o_orderkey", "source_file", "source_sheet")
+
+
+@query("s13_add_row_uuid", "SELECT o_orderkey, sha256(concat(CAST(o_orderkey AS VARCHAR), chr(1), coalesce(o_orderstatus, chr(0)))) AS id FROM orders")
+def s13(d: Data) -> DataFrame:
+    rows = layout.add_row_uuid(d.table("orders"), ["o_orderkey", "o_orderstatus"], "id")
+    return rows.select("o_orderkey", "id")
+
+
+@query("s15_drop_columns", "SELECT c_custkey, c_name FROM customer")
+def s15(d: Data) -> DataFrame:
+    return layout.drop_columns(d.table("customer"), ["c_nationkey", "c_acctbal", "c_mktsegment", "unknown"])
+
+
+@query(
+    "s16_drop_empty_rows",
+    oracle("v_leg", "SELECT NULLIF(trim(fn_raw), '') AS f, arr FROM v_leg WHERE NULLIF(trim(fn_raw), '') IS NOT NULL OR arr IS NOT NULL"),
+)
+def s16(d: Data) -> DataFrame:
+    return layout.drop_empty_rows(d.view("v_leg").select(F.nullif(F.trim("fn_raw"), F.lit("")).alias("f"), "arr"))
+
+
+@query(
+    "s17_load_report",
+    "SELECT count(*) AS total_rows, count(*) FILTER (o_orderkey % 10 <> 0) AS loaded_rows, count(*) FILTER (o_orderkey % 10 = 0) AS skipped_rows FROM orders",
+)
+def s17(d: Data) -> DataFrame:
+    """Every tenth line carries a cell too many and must be counted as skipped."""
+    path = scratch_path(d.spark, "s17")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", F.when(F.col("o_orderkey") % 10 == 0, F.lit("x")))
+    d.table("orders").select(line.alias("o_orderkey,o_orderstatus")).write.option("header", True).option("quote", "").csv(path)
+    report = delimited.load_report(d.spark, path)
+    sums = report.agg(*[F.sum(c).alias(c) for c in ("total_rows", "loaded_rows", "skipped_rows")])
+    return plain(sums)
+
+
+@query("k1_replace_table", "SELECT n_nationkey, n_name FROM nation")
+def k1(d: Data) -> DataFrame:
+    path = scratch_path(d.spark, "k1")
+    name = f"k1_{path.rsplit('-', 1)[1]}"
+    d.spark.sql(f"CREATE TABLE {name} (n_nationkey INT, n_name STRING) USING parquet LOCATION '{path}'")
+    replace_table(d.table("nation").select("n_nationkey", "n_name"), name)
+    return plain(d.spark.table(name))
+
+
+@query("k6_export_csv_chunks", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders")
+def k6(d: Data) -> DataFrame:
+    path = scratch_path(d.spark, "k6")
+    export_csv_chunks(d.table("orders").select("o_orderkey", "o_orderstatus"), path, rows=5_000)
+    return delimited.read_csv_all_string(d.spark, path)
+
+
+@query("k7_split_output", "SELECT TRUE AS within_limit, count(*) AS total FROM orders")
+def k7(d: Data) -> DataFrame:
+    path = scratch_path(d.spark, "k7")
+    split_output(d.table("orders").select("o_orderkey"), path, rows=4_000)
+    parts = d.spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return plain(parts.agg((F.max("n") <= 4_000).alias("within_limit"), F.sum("n").alias("total")))
+
+
+@query("k9_empty_like", "SELECT 'o_orderkey' AS column_name, count(*) AS total FROM orders")
+def k9(d: Data) -> DataFrame:
+    orders = d.table("orders").select("o_orderkey")
+    both = layout.empty_like(orders).unionByName(orders)
+    return plain(both.agg(F.lit(orders.columns[0]).alias("column_name"), F.count(F.lit(1)).alias("total")))
+
+
+# A booking reference belongs to one delivery and is part of the key, so both runs together equal one batch run.
+@query("x1_incremental_clean", ORACLES["b1_accepted"])
+def x1(d: Data) -> DataFrame:
+    """Two deliveries of the booking data, cleaned by two runs of the same stream."""
+    rows = d.view("v_booking")
+    source, target, rejected, ckpt = (scratch_path(d.spark, f"x1-{p}") for p in ("in", "out", "rejected", "state"))
+    for part in (rows.filter(LOADED), rows.filter(f"NOT ({LOADED})")):
+        part.write.mode("append").parquet(source)
+        stream = incremental_clean(d.spark, source, rows.schema, BOOKING, "row_id", target, rejected, ckpt)
+        stream.awaitTermination()
+    return plain(d.spark.read.parquet(target).drop("batch_id"))

@@ -78,18 +78,20 @@ def load_report(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
         .csv(path)
-        .select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("bad"), F.struct(*names).alias("cells"))
+        .select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("bad"), F.col(f"`{names[0]}`").alias("cell"))
     )
+    # Spark refuses a query over the corrupt-record column alone, so the count of good lines reads a cell as well
+    good = F.col("bad").isNull() & (F.coalesce(F.length("cell"), F.lit(0)) >= 0)
     per = rows.groupBy("file_name").agg(
-        F.count("cells").alias("total_rows"), F.count("bad").alias("skipped_rows")
+        F.count_if(good).alias("loaded_rows"), F.count("bad").alias("skipped_rows")
     )
-    loaded = F.col("total_rows") - F.col("skipped_rows")
+    total = F.col("loaded_rows") + F.col("skipped_rows")
     return per.select(
         "file_name",
-        "total_rows",
-        loaded.alias("loaded_rows"),
+        total.alias("total_rows"),
+        "loaded_rows",
         "skipped_rows",
-        F.round(100.0 * loaded / F.col("total_rows"), 4).alias("loaded_pct"),
+        F.round(100.0 * F.col("loaded_rows") / total, 4).alias("loaded_pct"),
     )
 
 
