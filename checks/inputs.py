@@ -93,6 +93,10 @@ GROUP BY row_id, booking_ref""",
 }
 
 
+# Views that are written out before use: the fact tables.
+STORED = {"v_leg", "v_booking", "v_status", "v_std", "v_lists"}
+
+
 def needs(*names: str) -> list[str]:
     """The views with everything they stand on, in build order."""
     out: list[str] = []

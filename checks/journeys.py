@@ -264,7 +264,7 @@ def j2_slot(d: Data) -> DataFrame:
     f"WITH {_trip_sql('events', 'user_id', 'ts', 'ts, event_id', 21600, False)} SELECT event_id, user_id, trip_id FROM seqs",
 )
 def j2_events(d: Data) -> DataFrame:
-    out = trips_gap(d.table("events"), ["user_id"], "ts", ["ts", "event_id"], 6 * 3600, width=3 * 86400)
+    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"], 6 * 3600, width=3 * 86400)
     return plain(out.select("event_id", "user_id", "trip_id"))
 
 
@@ -273,7 +273,7 @@ def j2_events(d: Data) -> DataFrame:
     f"WITH {_trip_sql('events', 'user_id', 'ts', 'ts, event_id', 129600, False)} SELECT event_id, trip_id, leg_no FROM seqs",
 )
 def j5(d: Data) -> DataFrame:
-    out = trips_gap(d.table("events"), ["user_id"], "ts", ["ts", "event_id"], width=5 * 86400)
+    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"], width=5 * 86400)
     return plain(out.select("event_id", "trip_id", "leg_no"))
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from itinera.session import scratch_path
+
 Run = Callable[["Data"], DataFrame]
 
 QUERIES: dict[str, Run] = {}
@@ -46,15 +48,25 @@ class Data:
         return _FRAMES[key]
 
     def view(self, name: str) -> DataFrame:
-        from checks.inputs import BASE, VIEWS, needs
-
-        order = needs(name)
-        for base in BASE:
-            if any(re.search(rf"\b{base}\b", VIEWS[v]) for v in order):
-                self.table(base).createOrReplaceTempView(base)
-        for v in order:
-            self.spark.sql(VIEWS[v]).createOrReplaceTempView(v)
-        return self.spark.table(name)
+        """A derived input. The large ones are stored once per session, as the booking tables they stand for are."""
+        from checks.inputs import BASE, STORED, VIEWS, needs
+
+        for v in needs(name):
+            key = (self.spark.sparkContext.applicationId, self.folder, v)
+            if key not in _FRAMES:
+                for base in BASE:
+                    if re.search(rf"\b{base}\b", VIEWS[v]):
+                        self.table(base).createOrReplaceTempView(base)
+                for other in needs(v)[:-1]:
+                    _FRAMES[(*key[:2], other)].createOrReplaceTempView(other)
+                df = self.spark.sql(VIEWS[v])
+                if v in STORED:
+                    path = scratch_path(self.spark, v)
+                    df.write.parquet(path)
+                    df = self.spark.read.parquet(path)
+                _FRAMES[key] = df
+            _FRAMES[key].createOrReplaceTempView(v)
+        return _FRAMES[(self.spark.sparkContext.applicationId, self.folder, name)]
 
 
 def plain(df: DataFrame) -> DataFrame:

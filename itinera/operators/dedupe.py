@@ -9,8 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from itinera.operators.grouped import group_summary, join_on
-
 Key = Callable[[Column], Sequence[Column]]
 
 
@@ -60,16 +58,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("__first", F.row_number().over(w)).filter(F.col("__first") == 1).drop("__first")
 
 
-def flag_repeats(df: DataFrame, keys: Sequence[str], ids: Sequence[str], out: str = "is_repeat") -> DataFrame:
+# Shares a group of copies is cut into: a group of a third of 10^12 rows leaves five million rows per share.
+COPY_SHARES = 65_536
+
+
+def flag_repeats(
+    df: DataFrame, keys: Sequence[str], ids: Sequence[str], out: str = "is_repeat", shares: int = COPY_SHARES
+) -> DataFrame:
     """Mark every row but the first (lowest ``ids``) of each key; null keys are equal. ``ids`` must be unique.
 
-    The first row of a key comes from a partial aggregate; the mark comes back by a join on the unique ids, so a
-    group of copies of any size is spread over all tasks.
+    Two window passes over one read of the input. The first finds the lowest row of each (key, share of its copies);
+    the second compares only those, at most ``shares`` per key, while all other copies stay spread over their shares.
     """
-    firsts = df.groupBy(*[F.col(k) for k in keys]).agg(F.min(F.struct(*[F.col(i) for i in ids])).alias("__id"))
-    firsts = firsts.select(*[F.col(f"__id.{i}").alias(i) for i in ids], F.lit(True).alias("__kept"))
-    marked = join_on(df, firsts, ids, "left", null_safe=False)
-    return marked.withColumn(out, F.col("__kept").isNull()).drop("__kept")
+    identity = F.struct(*[F.col(i) for i in ids])
+    spread = df.withColumn("__share", F.pmod(F.xxhash64(*[F.col(i) for i in ids]), F.lit(shares)))
+    local = spread.withColumn("__lead", F.min(identity).over(Window.partitionBy(*keys, "__share")) == identity)
+    local = local.withColumn("__place", F.when(F.col("__lead"), F.lit(-1)).otherwise(F.col("__share")))
+    first = F.min(identity).over(Window.partitionBy(*keys, "__place")) == identity
+    return local.withColumn(out, ~(F.col("__lead") & first)).drop("__share", "__lead", "__place")
 
 
 def _key_match(df: DataFrame, side: DataFrame, keys: Sequence[str], trim_equal: Sequence[str]) -> Column:

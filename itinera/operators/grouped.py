@@ -89,6 +89,25 @@ def across_chunks():
     return Window.partitionBy(GROUP).orderBy(CHUNK)
 
 
+def chunk_summary(rows: DataFrame, aggs: Sequence[Column], share: bool = False) -> DataFrame:
+    """One row per group chunk.
+
+    The rows are read twice, here and by the join that follows. With ``share`` every column stays in reach (a hash
+    nobody else looks at), so both sides ask for the same exchange and Spark runs it, and all work below it, once.
+    That pays off when the input is costly and later steps use all its columns.
+    """
+    summary = rows.groupBy(GROUP, CHUNK)
+    if not share:
+        return summary.agg(*aggs)
+    hashable = [
+        f.name
+        for f in rows.schema.fields
+        if f.name not in (GROUP, CHUNK) and "map<" not in f.dataType.simpleString()
+    ]
+    pin = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in hashable])).alias("__pin")
+    return summary.agg(*aggs, pin).filter(F.col("__pin").isNotNull()).drop("__pin")
+
+
 def attach_chunks(rows: DataFrame, summary: DataFrame) -> DataFrame:
     return rows.join(summary, [GROUP, CHUNK], "left").drop(GROUP, CHUNK)
 
@@ -112,10 +131,13 @@ def shift_within(
     marked = rows.withColumns({RN: F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole)})
 
     edge = F.struct(F.col(RN).alias("rn"), *[F.col(c) for c in needed])
-    summary = marked.groupBy(GROUP, CHUNK).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.array_sort(F.collect_list(F.when(F.col(RN) <= span, edge))).alias("__head"),
-        F.array_sort(F.collect_list(F.when(F.col(RN) > F.col("__n") - span, edge))).alias("__tail"),
+    summary = chunk_summary(
+        marked,
+        [
+            F.count(F.lit(1)).alias("__rows"),
+            F.array_sort(F.collect_list(F.when(F.col(RN) <= span, edge))).alias("__head"),
+            F.array_sort(F.collect_list(F.when(F.col(RN) > F.col("__n") - span, edge))).alias("__tail"),
+        ],
     )
     over = across_chunks()
     summary = summary.select(
@@ -167,8 +189,8 @@ def fill_forward(
 ) -> DataFrame:
     """Replace nulls by the last earlier value of the same group (of the table when ``keys`` is empty)."""
     rows = chunked(df, keys, order, width).withColumn(RN, F.row_number().over(local_window(order)))
-    last = rows.groupBy(GROUP, CHUNK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(RN))).alias(f"__last_{c}") for c in columns]
+    last = chunk_summary(
+        rows, [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(RN))).alias(f"__last_{c}") for c in columns]
     )
     earlier = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(

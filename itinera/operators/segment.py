@@ -8,7 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itinera.functions.dates import micros_between
-from itinera.operators.grouped import CHUNK, GROUP, RN, Width, across_chunks, attach_chunks, chunked, local_window
+from itinera.operators.grouped import (
+    CHUNK,
+    GROUP,
+    RN,
+    Width,
+    across_chunks,
+    attach_chunks,
+    chunk_summary,
+    chunked,
+    local_window,
+)
 
 Same = Callable[[Column, Column, Column], Column]
 HOUR = 3600
@@ -95,7 +105,8 @@ def trips_gap(
     A new trip starts where the time since the row before exceeds the gap. ``order`` must be unique within a group.
     Groups are cut into chunks along ``order[0]`` (see :mod:`itinera.operators.grouped`), so a blank booking
     reference that holds a third of the rows still runs in parallel. ``bounded_keys=True`` is for data whose groups
-    are known to be small: one shuffle and plain windows.
+    are known to be small: one shuffle and plain windows. Select the columns you need first: they travel with the
+    rows.
     """
     if bounded_keys:
         return _trips_plain(df, keys, when, order, gap_seconds, break_on_backward, trip, leg)
@@ -108,12 +119,16 @@ def trips_gap(
     )
     at_break = F.when(F.col("__brk") == 1, F.col(RN))
 
-    sums = rows.groupBy(GROUP, CHUNK).agg(
-        F.max(F.when(F.col(RN) == 1, F.col(when))).alias("__first"),
-        F.max_by(when, RN).alias("__last"),
-        F.sum("__brk").alias("__inner"),
-        F.count(F.lit(1)).alias("__rows"),
-        F.max(at_break).alias("__last_break"),
+    sums = chunk_summary(
+        rows,
+        [
+            F.max(F.when(F.col(RN) == 1, F.col(when))).alias("__first"),
+            F.max_by(when, RN).alias("__last"),
+            F.sum("__brk").alias("__inner"),
+            F.count(F.lit(1)).alias("__rows"),
+            F.max(at_break).alias("__last_break"),
+        ],
+        share=True,
     )
     over = across_chunks()
     earlier = over.rowsBetween(Window.unboundedPreceding, -1)

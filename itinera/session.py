@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the call site of every column expression is not needed and slows plan building
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
