@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.inputs import oracle
 from checks.registry import Data, plain, query
 from itinera.operators import features, profile
-from itinera.operators.grouped import fill_forward
+from itinera.operators.grouped import fill_forward, running_sum
 from itinera.operators.quantiles import quantile_clip
 from itinera.plans import models
 
@@ -161,10 +161,8 @@ def a17(d: Data) -> DataFrame:
 
 @query("w3_running_sum", "SELECT event_id, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS errors FROM events")
 def w3(d: Data) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return plain(d.table("events").select("event_id", F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).over(w).alias("errors")))
+    rows = d.table("events").withColumn("e", F.when(F.col("event_type") == "error", 1).otherwise(0))
+    return plain(running_sum(rows, ["user_id"], ["ts", "event_id"], {"errors": "e"}, width=86400).select("event_id", "errors"))
 
 
 @query(

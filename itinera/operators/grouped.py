@@ -184,6 +184,24 @@ def number_within(
     return attach_chunks(numbered, before).withColumn(out, F.col("__before") + F.col(RN)).drop("__before", RN)
 
 
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], width: Width = None
+) -> DataFrame:
+    """Running totals per group in row order: ``{new column: summed column}``; nulls add nothing."""
+    rows = chunked(df, keys, order, width)
+    totals = rows.groupBy(GROUP, CHUNK).agg(*[F.sum(c).alias(f"__sum_{out}") for out, c in columns.items()])
+    earlier = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(GROUP, CHUNK, *[F.sum(f"__sum_{out}").over(earlier).alias(f"__carry_{out}") for out in columns])
+    running = local_window(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumns({f"__run_{out}": F.sum(c).over(running) for out, c in columns.items()})
+    both = lambda out: F.when(
+        F.col(f"__run_{out}").isNotNull() | F.col(f"__carry_{out}").isNotNull(),
+        F.coalesce(f"__run_{out}", F.lit(0)) + F.coalesce(f"__carry_{out}", F.lit(0)),
+    )
+    joined = attach_chunks(summed, carry).withColumns({out: both(out) for out in columns})
+    return joined.drop(*[f"__{p}_{out}" for out in columns for p in ("run", "carry")])
+
+
 def fill_forward(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], width: Width = None
 ) -> DataFrame:

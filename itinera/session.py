@@ -33,16 +33,26 @@ def local_session(cores: int | str = "*", app: str = "itinera", **extra: str) ->
     return builder.getOrCreate()
 
 
+# Folders made for sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only where that is unset (tests, a laptop) a fresh local folder is made and remembered for the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="itinera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    root = root or context.getCheckpointDir()
+    if root:
+        return root
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = context.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="itinera-ckpt-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
