@@ -75,6 +75,22 @@ def test_shift_number_fill_match_pandas(hot):
     pd.testing.assert_series_equal(filled["v"], ref.set_index("id").sort_index()["v"], check_dtype=False)
 
 
+def test_running_sum_matches_pandas(hot):
+    got = grouped.running_sum(hot, ["k"], ["t", "id"], {"total": "v"}, width=86400).toPandas().set_index("id").sort_index()
+    pdf = hot.toPandas().sort_values(["t", "id"])
+    want = pdf.assign(total=pdf.groupby(pdf["k"].fillna("<null>"))["v"].cumsum()).set_index("id").sort_index()
+    pd.testing.assert_series_equal(got["total"], want["total"], check_dtype=False)
+
+
+@pytest.mark.parametrize("shares", [1, 3, 4096])
+def test_flag_repeats_is_the_same_for_any_number_of_shares(hot, shares):
+    same(
+        dedupe.flag_repeats(hot, ["k"], ["id"], shares=shares).filter("NOT is_repeat"),
+        dedupe.keep_first(hot, ["k"], ["id"]),
+        "id",
+    )
+
+
 def test_flag_repeats_keeps_exactly_one_per_key(hot):
     marked = dedupe.flag_repeats(hot, ["k"], ["id"])
     kept = marked.filter("NOT is_repeat")
