@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from itinera.llm import packing, secret_scan
+from itinera.llm import bpe, packing, secret_scan, toxicity
 
 QUERIES = {
+    "op2_bpe": bpe.op2,
     "op5_packing": packing.op5,
     "op7_secret_scan": secret_scan.op7,
+    "op10_toxicity": toxicity.op10,
 }
 
 ORACLES: dict[str, str] = {}
