@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from itinera.llm import bpe, packing, secret_scan, toxicity
+from itinera.llm import bpe, chat, language, packing, secret_scan, toxicity
 
 QUERIES = {
     "op2_bpe": bpe.op2,
+    "op3_language": language.op3,
     "op5_packing": packing.op5,
     "op7_secret_scan": secret_scan.op7,
+    "op8_chat": chat.op8,
     "op10_toxicity": toxicity.op10,
 }
 
