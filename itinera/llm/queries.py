@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from itinera.llm import bpe, chat, language, minhash, packing, secret_scan, toxicity
+from itinera.llm import bpe, chat, language, minhash, packing, secret_scan, suffix, toxicity
 
 QUERIES = {
     "op2_bpe": bpe.op2,
     "op3_language": language.op3,
     "op4_minhash": minhash.op4,
     "op5_packing": packing.op5,
+    "op6_suffix": suffix.op6,
     "op7_secret_scan": secret_scan.op7,
     "op8_chat": chat.op8,
     "op10_toxicity": toxicity.op10,
