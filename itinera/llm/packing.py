@@ -14,9 +14,10 @@ for itself; a null id is kept; a text longer than a window makes a window of its
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 
-import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -26,8 +27,10 @@ from itinera.llm.vocab import public_path, tokenizer
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
 END = 2
-#: Words a worker remembers; beyond it the memory starts anew, so results do not depend on it.
-REMEMBER = 1_000_000
+#: Words of a generation of a worker's memory; results do not depend on it.
+REMEMBER = 800_000
+#: Punctuation that is cut off words before they are encoded.
+MARKS = ".,!?;:*&%$#|\"()-"
 
 
 def pack_window(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -91,28 +94,65 @@ def pack_window(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
 
 
 class WordCoder:
-    """Token ids of whole texts, as bytes of unsigned 32-bit numbers. The tokenizer never joins across white space, so
-    each word is encoded once and remembered."""
+    """Token ids of whole texts, as bytes of unsigned 32-bit numbers.
+
+    The tokenizer never joins across white space, so each word is encoded once and remembered. Nor does it join a letter
+    or digit with punctuation behind it, and it lower-cases: words that differ only there share one encoding. Two
+    generations of memory bound a worker's size without forgetting frequent words.
+    """
 
     def __init__(self, path: str):
         self.path = path
-        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.odd = re.compile("[\x1c-\x1f]")  # white space to Python but not to the tokenizer
+        self.split = re.compile(f"[^{WHITE}]+")
+
+    def _encode(self, new: list[str]) -> list[bytes]:
+        coder, out = tokenizer(self.path), []
+        for i in range(0, len(new), 20_000):
+            for e in coder.encode_batch_fast(new[i : i + 20_000], add_special_tokens=False):
+                ids = e.ids
+                out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
+
+    @staticmethod
+    def _stem(word: str) -> tuple[str, str]:
+        """A spelling with the same ids, cut before closing punctuation; only where the tokenizer surely cuts as well."""
+        if "<|" in word:  # may be the string of a special token
+            return word, ""
+        stem = word.rstrip(MARKS)
+        if stem and stem[-1].isalnum() and stem[-1] < "\u0500":
+            tail = word[len(stem) :]
+        else:
+            stem, tail = word, ""
+        return (stem.lower() if max(stem) <= "\xff" else stem), tail
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        import re
-
-        odd = re.compile("[\x1c-\x1f]")  # white space to Python but not to the tokenizer
-        split = re.compile(f"[^{WHITE}]+")
-        words = [split.findall(t) if odd.search(t) else t.split() for t in texts]
-        if len(self.known) > REMEMBER:
-            self.known = {}
-        known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        coder = tokenizer(self.path)
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for word, e in zip(part, coder.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[word] = np.array(e.ids, dtype="<u4").tobytes()
+        words = [self.split.findall(t) if self.odd.search(t) else t.split() for t in texts]
+        if len(self.words) > REMEMBER:
+            self.older, self.words = self.words, {}
+        if len(self.stems) > REMEMBER:
+            self.stems = {}
+        known, older = self.words, self.older
+        here: set[str] = set()
+        here.update(*words)
+        new = []
+        for w in here.difference(known):
+            ids = older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        cut = list(map(self._stem, new))
+        stems = {s for c in cut for s in c}.difference(self.stems)
+        stems = [s for s in stems if s]
+        self.stems.update(zip(stems, self._encode(stems), strict=True))
+        self.stems[""] = b""
+        got = self.stems
+        for w, (stem, tail) in zip(new, cut, strict=True):
+            known[w] = got[stem] + got[tail] if tail else got[stem]
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
 
