@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from itinera.llm import bpe, chat, language, minhash, packing, secret_scan, suffix, toxicity
+from itinera.llm import bpe, chat, covertree, language, minhash, packing, secret_scan, suffix, toxicity
 
 QUERIES = {
+    "op1_cover_tree": covertree.op1,
     "op2_bpe": bpe.op2,
     "op3_language": language.op3,
     "op4_minhash": minhash.op4,
