@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itinera.llm import bpe, chat, covertree, language, minhash, packing, secret_scan, suffix, toxicity
+from itinera.llm import bpe, chat, covertree, language, minhash, packing, postings, secret_scan, suffix, toxicity
 
 QUERIES = {
     "op1_cover_tree": covertree.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_suffix": suffix.op6,
     "op7_secret_scan": secret_scan.op7,
     "op8_chat": chat.op8,
+    "op9_postings": postings.op9,
     "op10_toxicity": toxicity.op10,
 }
 
