@@ -16,6 +16,8 @@ labelled row every score is 0; other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +26,16 @@ from pyspark.sql import functions as F
 
 from itinera.llm.common import crc32_of, map_rows, text_rows
 
-SAMPLE = 20000
+SAMPLE = 10_000
 LONGEST = 30_000
 #: Documents of the sample that must hold a feature.
 LEAST = 4
 #: Lengths of the word beginnings that are features besides the words.
 BEGINNINGS = (3, 4, 5)
+#: Slots of the hashed features.
+SLOTS = 1 << 20
+#: Documents of a step of the gradient's sum, which bounds the memory of fitting.
+STEP = 500
 #: Tokens a worker remembers before it starts anew; results do not depend on it.
 REMEMBER = 500_000
 
@@ -37,18 +43,20 @@ _SENTENCE = re.compile(r"[^.!?\n]+")
 _LETTERS = re.compile(r"[\W\d_]+")
 
 
-def _features(token: str) -> tuple[str, ...]:
+def _features(token: str) -> list[int]:
+    """Slots of a token's word and of its beginnings."""
     word = _LETTERS.sub("", token.lower())
     if not word:
-        return ()
-    return (word, *(word[:n] + "*" for n in BEGINNINGS if n < len(word)))
+        return []
+    names = (word, *(word[:n] + "*" for n in BEGINNINGS if n < len(word)))
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SLOTS for x in names]
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by feature and the weight of a sentence as such."""
+    """Weights by slot and the weight of a sentence as such."""
 
-    weights: dict[str, float]
+    weights: dict[int, float]
     base: float
 
 
@@ -66,64 +74,70 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int, longest: int):
     return table.column("text").to_pylist(), np.array(table.column("toxic").to_pylist(), dtype=float)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: int = 150) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: int = 240) -> ToxicityModel:
     """Fit on at most ``sample`` labelled rows of the documents given."""
     texts, toxic = _sample(docs, labels, sample, longest)
     if not texts:
-        return ToxicityModel({}, -100.0)
-    token_id: dict[str, int] = {}
-    of: list[tuple[str, ...]] = []
-    held: dict[str, int] = {}
-    parts, document = [], []  # of each sentence: its distinct tokens, its document
-    for d, text in enumerate(texts):
-        mine = set()
-        for sentence in _SENTENCE.findall(text) or [""]:
-            ids = []
-            for t in set(sentence.split()):
-                i = token_id.get(t)
-                if i is None:
-                    i = token_id[t] = len(of)
-                    of.append(_features(t))
-                ids.append(i)
-            mine.update(ids)
-            parts.append(np.array(ids, np.int32))
-            document.append(d)
-        for f in {f for i in mine for f in of[i]}:
-            held[f] = held.get(f, 0) + 1
-    number = {f: i for i, f in enumerate(sorted(f for f, n in held.items() if n >= LEAST))}
-    mine = [[number[f] for f in fs if f in number] for fs in of]
-    count = np.array([len(m) for m in mine], np.int64)
-    flat, first = np.array([i for m in mine for i in m], np.int64), np.cumsum(count) - count
-    tokens = np.concatenate(parts)
-    row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    n = count[tokens]
-    column = flat[np.repeat(first[tokens] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    # a feature counts once a sentence
-    pair = np.unique(np.repeat(row, n) * len(number) + column) if number else np.zeros(0, np.int64)
-    row, column = np.divmod(pair, max(1, len(number)))
-    document = np.array(document, np.int64)
-    weights, base = _maximise(column, row, document, toxic, len(number), rounds)
-    return ToxicityModel({f: float(weights[i]) for f, i in number.items() if abs(weights[i]) > 1e-3}, float(base))
-
-
-def _maximise(column, row, document, toxic, features: int, rounds: int):
+        return ToxicityModel({}, -1000.0)
+    slots = _Slots()
+    columns, rows, sentences = [], [], []  # of each document: slots, the sentence of each, the number of sentences
+    held = np.zeros(SLOTS, np.int32)
+    for text in texts:
+        column, row = array("i"), array("i")
+        bag = _SENTENCE.findall(text) or [""]
+        for i, sentence in enumerate(bag):
+            mine = {f for t in set(sentence.split()) for f in slots[t]}  # a feature counts once a sentence
+            column.extend(mine)
+            row.extend([i] * len(mine))
+        columns.append(np.array(column, np.int32))
+        rows.append(np.array(row, np.int32))
+        sentences.append(len(bag))
+        held[np.unique(columns[-1])] += 1
+        if len(slots) > REMEMBER:
+            slots = _Slots()
+    used = np.flatnonzero(held >= LEAST)
+    number = np.full(SLOTS, -1, np.int32)
+    number[used] = np.arange(len(used))
+    steps = []
+    for at in range(0, len(texts), STEP):
+        upto = min(at + STEP, len(texts))
+        base = np.cumsum([0, *sentences[at:upto]])
+        column = number[np.concatenate(columns[at:upto])]
+        row = np.concatenate([r + b for r, b in zip(rows[at:upto], base[:-1], strict=True)]).astype(np.int32)
+        live = column >= 0
+        steps.append((column[live], row[live], np.repeat(np.arange(upto - at), sentences[at:upto]), toxic[at:upto]))
+        columns[at:upto] = rows[at:upto] = [None] * (upto - at)
+    weights, base = _maximise(steps, len(used), rounds)
+    return ToxicityModel({int(f): float(w) for f, w in zip(used, weights, strict=True) if abs(w) > 1e-3}, float(base))
+
+
+class _Slots(dict):
+    def __missing__(self, token: str) -> list[int]:
+        got = self[token] = _features(token)
+        return got
+
+
+def _maximise(steps: list[tuple], features: int, rounds: int):
     """Gradient ascent (Adam) on the noisy-or likelihood, with a soft threshold that keeps rare chance words at 0."""
-    sentences, n = len(document), len(toxic)
-    w, base = np.zeros(features + 1), -5.0  # the last is the base
-    w[-1] = base
+    n = sum(len(s[3]) for s in steps)
+    w = np.zeros(features + 1)  # the last is the base
+    w[-1] = -5.0
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        z = w[-1] + np.bincount(row, w[column], sentences)
-        soft = np.logaddexp(0, z)
-        some = np.maximum(np.bincount(document, soft, n), 1e-12)
-        pull = np.where(toxic > 0, -1 / np.expm1(np.minimum(some, 50)), 1.0)
-        slope = pull[document] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(column, slope[row], features), slope.sum()) / n
+        grad = np.zeros_like(w)
+        for column, row, document, toxic in steps:
+            z = w[-1] + np.bincount(row, w[column], len(document))
+            some = np.maximum(np.bincount(document, np.logaddexp(0, z), len(toxic)), 1e-12)
+            pull = np.where(toxic > 0, -1 / np.expm1(np.minimum(some, 50)), 1.0)
+            slope = pull[document] / (1 + np.exp(-z))
+            grad[:-1] += np.bincount(column, slope[row], features)
+            grad[-1] += slope.sum()
+        grad /= n
         grad[:-1] += 2e-5 * w[:-1]
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad * grad
-        rate = 0.15 * min(1.0, 2 * (1 - t / (rounds + 1)))
+        rate = 0.3 * min(1.0, 2 * (1 - t / (rounds + 1)))
         w -= rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-6)
-        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - 0.06 * rate, 0)
+        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - 0.04 * rate, 0)
     return w[:-1], w[-1]
 
 
