@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from itinera.llm.common import components, map_rows, stored, text_rows
@@ -105,7 +106,7 @@ def _pack(minima: np.ndarray) -> np.ndarray:
 def _profile(batches):
     known = _WordHash()
     for batch in batches:
-        ids, texts, at = batch["doc_id"], batch["text"], 0
+        ids, texts, marks, at = batch["doc_id"], batch["text"], batch["text_key"], 0
         while at < len(ids):
             upto, chars = at, 0
             while upto < len(ids) and (upto == at or chars < _CHARS):
@@ -128,13 +129,14 @@ def _profile(batches):
                 for k, i in enumerate(full):
                     bands[i], packed[i] = key[k], packs[k].tobytes()
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield ids[at:upto], [len(s) for s in sets], digests, bands, packed
+            yield ids[at:upto], marks[at:upto], [len(s) for s in sets], digests, bands, packed
             at = upto
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands, packed) of every document; bands and packed are null for empty sets."""
-    return map_rows(text_rows(docs), _profile, "doc_id long, n_shingles long, set_key binary, bands array<long>, packed binary")
+    """(doc_id, text_key, n_shingles, set_key, bands, packed) of every document; bands and packed are null for empty sets."""
+    rows = text_rows(docs).withColumn("text_key", F.xxhash64("text"))
+    return map_rows(rows, _profile, "doc_id long, text_key long, n_shingles long, set_key binary, bands array<long>, packed binary")
 
 
 def estimate(a: bytes, b: bytes) -> float:
@@ -266,7 +268,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+    """(doc_id, n_shingles, component_id, kept, text_key) of every document; text_key is xxhash64 of its text."""
     known = stored(profiles(docs), "minhash")
     named = known.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("first"))
@@ -300,11 +302,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = classes.join(tree.select(F.col("node").alias("first"), "component"), "first", "left").select(
         "set_key", F.coalesce("component", "first").alias("component")
     )
-    every = known.select("doc_id", "n_shingles", "set_key").join(heads, "set_key", "left")
+    every = known.select("doc_id", "text_key", "n_shingles", "set_key").join(heads, "set_key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")))
-    out = every.select("doc_id", "n_shingles", own.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return every.select("doc_id", "n_shingles", own.alias("component_id"), "text_key").select("doc_id", "n_shingles", "component_id", kept, "text_key")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows, all columns, of one document of each group; of rows that repeat id and text one stays, null ids all."""
+    lost = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
+    rows = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("text").cast("string")).alias("__text"))
+    left = rows.join(lost, ["__id", "__text"], "left_anti")
+    copy = F.row_number().over(W.partitionBy("__id", "__text").orderBy(F.lit(1)))
+    # rows without an id share no key: they stay as they are
+    one = left.where("__id is not null").withColumn("__copy", copy).where("__copy = 1").select("__row")
+    return one.unionByName(left.where("__id is null").select("__row")).select("__row.*")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_key")

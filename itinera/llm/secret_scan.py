@@ -101,7 +101,10 @@ def read_ledger(spark, ledger: str) -> DataFrame:
 
 
 def update_ledger(versions: DataFrame, ledger: str, first: bool = False) -> None:
-    """Scan the texts whose (blob, rule version) the ledger lacks and append them; a repeated run appends nothing."""
+    """Scan the texts whose (blob, rule version) the ledger lacks and append them; a repeated run appends nothing.
+
+    ``first``: the ledger does not exist yet. One run at a time may append to a ledger.
+    """
     blobs = map_rows(text_rows(versions).select("text"), _blobs_of_task, "blob string, text string")
     if not first:
         known = read_ledger(versions.sparkSession, ledger).where(F.col("rules") == RULES).select("blob").distinct()
@@ -111,24 +114,31 @@ def update_ledger(versions: DataFrame, ledger: str, first: bool = False) -> None
     map_rows(ordered, _scan, f"blob string, rules string, spans {SPAN}").write.mode("append").parquet(ledger)
 
 
+def _blob_of(column: str):
+    return F.sha2(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"), 256).alias("blob")
+
+
+def _hits(versions: DataFrame, ledger: str | None) -> DataFrame:
+    """(blob, spans) of the blobs with findings, once the ledger knows all versions. The ledger holds a pair only once, so
+    the join that follows needs no aggregate and a hot blob's paths can be split by adaptive execution."""
+    spark = versions.sparkSession
+    path = ledger or scratch_path(spark, "ledger")
+    update_ledger(versions, path, ledger is None)
+    return read_ledger(spark, path).where((F.col("rules") == RULES) & (F.size("spans") > 0)).select("blob", "spans")
+
+
 def scan_secrets(versions: DataFrame, ledger: str | None = None) -> DataFrame:
     """(doc_id, blob, spans) for every row of (doc_id, text), through the ledger at the given path (default: a new one)."""
-    spark = versions.sparkSession
-    first = ledger is None
-    ledger = ledger or scratch_path(spark, "ledger")
-    update_ledger(versions, ledger, first)
-    paths = text_rows(versions).select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("blob"))
-    found = read_ledger(spark, ledger).where(F.col("rules") == RULES).dropDuplicates(["blob"]).select("blob", "spans")
-    hits = found.where(F.size("spans") > 0)
+    hits = _hits(versions, ledger)
+    paths = text_rows(versions).select("doc_id", _blob_of("text"))
     return paths.join(hits, "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
-def mask_secrets(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
+def mask_secrets(docs: DataFrame, mark: str = "[REDACTED]", ledger: str | None = None) -> DataFrame:
     """The same rows and columns with every span of the text replaced by ``mark``; rows without spans stay as they are."""
-    spans = scan_secrets(docs).where(F.size("spans") > 0).dropDuplicates(["blob"]).select("blob", "spans")
-    keyed = docs.select(F.struct("*").alias("row"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256).alias("blob"))
+    keyed = docs.select(F.struct("*").alias("row"), _blob_of("text"))
     masked = F.udf(lambda text, found: _masked(text, found, mark), "string")
-    joined = keyed.join(spans, "blob", "left")
+    joined = keyed.join(_hits(docs, ledger), "blob", "left")
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(masked("row.text", "spans"))
     return joined.select(*[(text if n == "text" else F.col(f"row.`{n}`")).alias(n) for n in docs.columns])
 
