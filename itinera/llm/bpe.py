@@ -36,7 +36,7 @@ from itinera.llm.vocab import public_path, tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Characters of text in a block; it bounds what a task holds.
-BLOCK = 6_000_000
+BLOCK = 12_000_000
 #: Most shares of the word table; a share's words are all that a task remembers.
 SHARES = 4096
 
@@ -105,6 +105,18 @@ def _blocks(batches):
         yield close()
 
 
+def _join(words: list[str]) -> bytes:
+    lengths = _pack(np.fromiter(map(len, words), np.uint32, len(words)))
+    return len(lengths).to_bytes(4, "little") + lengths + zlib.compress("".join(words).encode("utf-8", "surrogatepass"), 1)
+
+
+def _cut(joined: bytes) -> list[str]:
+    at = 4 + int.from_bytes(joined[:4], "little")
+    ends = np.cumsum(_unpack(joined[4:at])).tolist()
+    text = zlib.decompress(joined[at:]).decode("utf-8", "surrogatepass")
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def _seal(words: list[str]) -> int:
     return zlib.crc32("\n".join(words).encode("utf-8", "surrogatepass"))
 
@@ -121,7 +133,7 @@ def _word_rows(shares: int):
                 [block] * len(keys),
                 [seal] * len(keys),
                 keys,
-                [[words[n] for n in by[k]] for k in keys],
+                [_join([words[n] for n in by[k]]) for k in keys],
                 [_pack(np.diff(by[k], prepend=0)) for k in keys],
             )
 
@@ -153,10 +165,11 @@ def _encode_words(path: str):
                 upto = at
                 while upto < n and batch["share"][upto] == share:
                     upto += 1
-                new = list({w for words in batch["words"][at:upto] for w in words if w not in table})
+                lists = [_cut(x) for x in batch["words"][at:upto]]
+                new = list({w for words in lists for w in words if w not in table})
                 for word, e in zip(new, coder.encode_batch_fast(new, add_special_tokens=False), strict=True):
                     table[word] = e.ids
-                for words in batch["words"][at:upto]:
+                for words in lists:
                     got = [table[w] for w in words]
                     ids.append((_pack(np.fromiter(map(len, got), np.uint32)), _pack(np.fromiter((i for g in got for i in g), np.uint32))))
                 at = upto
@@ -187,7 +200,7 @@ def _coded(docs: DataFrame, path: str):
     rows = text_rows(docs)
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = min(SHARES, 4 * parts)
-    words = map_rows(rows, _word_rows(shares), "block long, seal long, share int, words array<string>, numbers binary")
+    words = map_rows(rows, _word_rows(shares), "block long, seal long, share int, words binary, numbers binary")
     words = words.repartition(parts, "share").sortWithinPartitions("share")
     coded = map_rows(words, _encode_words(path), "block long, seal long, numbers binary, lens binary, ids binary")
     numbers = map_rows(rows, _number_rows, "block long, seal long, row int, doc_id long, codes binary")
