@@ -43,6 +43,8 @@ GRAM = 64
 BLOCK, PART = 6_000_000, 1_000_000
 #: Contexts of a share on average, and the most occurrences of a gram in one share.
 SHARE, LIMIT = 20_000, 20_000
+#: Negative share numbers over which blocks spread the intervals that they know already.
+SURE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(2**64 - 1)
 
@@ -336,7 +338,7 @@ def _contexts(length: int, shares: int):
             share = (gram * 0x9E3779B97F4A7C15 % 2**64 + block % parts * 0x632BE59BD9B4E019) % 2**64 * shares >> 64
             packed[share].append((gram, left, parts, n, *places[0], ctx))
         if sure:
-            out["share"].append(-1)
+            out["share"].append(-1 - zlib.crc32(block.to_bytes(8, "little")) % SURE)
             out["keys"].append([k for k, _, _ in sure])
             out["froms"].append([a for _, a, _ in sure])
             out["tos"].append([b for _, _, b in sure])
@@ -348,7 +350,7 @@ def _contexts(length: int, shares: int):
             out["tos"].append([])
             numbers = np.array([(x[0], x[1], x[2], x[3], len(x[6])) for x in items], np.uint64)
             out["packed"].append(zlib.compress(numbers.T.tobytes() + b"".join(x[6] for x in items), 1))
-        return pd.DataFrame(out)
+        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in out.items()})  # also without rows
 
     return run
 
@@ -505,7 +507,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     made = rows.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(
         _contexts(length, shares), "share int, keys array<binary>, froms array<long>, tos array<long>, packed binary"
     )
-    # shares are numbered from 0; -1 are intervals that a block knows already
+    # shares are numbered from 0; below 0 are intervals that a block knows already
     made = made.repartition(parts, "share").sortWithinPartitions("share")
     span = "text_key binary, start long, end long, window binary"
 
