@@ -232,12 +232,12 @@ def b6(d: Data) -> DataFrame:
         "v_status",
         f"""WITH {_DELAY}, c AS (SELECT *, max(CASE WHEN pos = miss THEN layover END) OVER (PARTITION BY connection_id) AS ml, max(CASE WHEN pos = n THEN late END) OVER (PARTITION BY connection_id) AS ll FROM b)
 SELECT id, CAST(CASE WHEN ok AND (miss IS NOT NULL OR ll >= 9900) THEN 1 ELSE 0 END AS BIGINT) AS "IsDelayEligible", CASE WHEN ok AND miss IS NOT NULL THEN ml WHEN ok AND ll >= 9900 THEN ll END AS "DelayTime",
-  CASE WHEN ok AND miss = 1 THEN ml END AS "LayOverTime1", CASE WHEN ok AND miss = 2 THEN ml END AS "LayOverTime2" FROM c""",
+  CASE WHEN ok AND miss IS NOT NULL THEN ml END AS "LayOverTime", CASE WHEN ok THEN miss END AS "LayOverLeg" FROM c""",
     ),
 )
 def b6_connection(d: Data) -> DataFrame:
     out = delay.delay_eligibility(d.view("v_status"), STATUS, mark="connection", layover_as_delay=True)
-    return plain(delay.widen_layovers(out, 2).select("id", "IsDelayEligible", "DelayTime", "LayOverTime1", "LayOverTime2"))
+    return plain(out.select("id", "IsDelayEligible", "DelayTime", "LayOverTime", "LayOverLeg"))
 
 
 @query("b6_incomplete_log", oracle("v_status", f"SELECT id FROM v_status WHERE sched_arr IS NULL OR ({_LATER}) IS NULL"))
@@ -376,14 +376,26 @@ def b9_role(d: Data) -> DataFrame:
     return normalise.normalise_by_role(rows, normalise.MIXED_ROLES, day_first=False, space_in_number=True)
 
 
+#: A row has six sectors, so it names at most twelve airports.
+WIDEST_CHAIN = 12
+
+
 @query(
     "b9_normalise_token_lists",
     oracle(
         "v_lists",
         r"""WITH t AS (SELECT row_id, CASE WHEN first_date <> 'NULL' THEN first_date END AS fd, CASE WHEN flights = '' THEN [] ELSE regexp_split_to_array(flights, '\s+') END AS f,
   CASE WHEN short_dates = '' THEN [] ELSE regexp_split_to_array(short_dates, '\s+') END AS s FROM v_lists),
-d AS (SELECT *, list_filter(list_transform(s, lambda x: CAST(CAST(try_strptime(x || substr(fd, 1, 4), '%d%b%Y') AS DATE) AS VARCHAR)), lambda x: x IS NOT NULL) AS days FROM t)
-SELECT row_id, fd AS "FirstSectordate", days[1] AS "FTDA1", days[2] AS "FTDA2", regexp_replace(f[1], '([A-Z0-9]{2})-([0-9]+)', '\1\2') AS "FlightNo1", regexp_replace(f[2], '([A-Z0-9]{2})-([0-9]+)', '\1\2') AS "FlightNo2" FROM d""",
+d AS (SELECT *, list_filter(list_transform(s, lambda x: CAST(CAST(try_strptime(x || substr(fd, 1, 4), '%d%b%Y') AS DATE) AS VARCHAR)), lambda x: x IS NOT NULL) AS days FROM t),
+u AS (SELECT row_id, unnest(regexp_split_to_array(sectors, '[\s/]+')) AS code, generate_subscripts(regexp_split_to_array(sectors, '[\s/]+'), 1) AS i FROM v_lists WHERE sectors <> ''),
+g AS (SELECT row_id, code, min(i) AS i FROM u WHERE code <> '' GROUP BY row_id, code), j AS (SELECT row_id, list(code ORDER BY i) AS a FROM g GROUP BY row_id)
+SELECT d.row_id, fd AS "FirstSectordate", """
+        + ", ".join(
+            [f'days[{k}] AS "FTDA{k}"' for k in range(1, 7)]
+            + ["regexp_replace(f[%d], '([A-Z0-9]{2})-([0-9]+)', '\\1\\2') AS \"FlightNo%d\"" % (k, k) for k in range(1, 7)]
+            + [f'a[{k}] AS "Airport{k}"' for k in range(1, WIDEST_CHAIN + 1)]
+        )
+        + " FROM d LEFT JOIN j ON d.row_id = j.row_id",
     ),
 )
 def b9_lists(d: Data) -> DataFrame:
@@ -394,8 +406,7 @@ def b9_lists(d: Data) -> DataFrame:
         F.col("sectors").alias("Sector"),
         F.col("short_dates").alias("FTDA"),
     )
-    out = normalise.normalise_token_lists(rows, date_columns=["FirstSectordate"])
-    return out.drop(*[c for c in out.columns if c.startswith("Airport")])
+    return normalise.normalise_token_lists(rows, date_columns=["FirstSectordate"], widths=(6, WIDEST_CHAIN, 6))
 
 
 @query(
@@ -404,9 +415,14 @@ def b9_lists(d: Data) -> DataFrame:
         "v_lists",
         r"""WITH t AS (SELECT row_id, first_date, CASE WHEN flights = '' THEN [] ELSE regexp_split_to_array(flights, '\s+') END AS f,
   CASE WHEN short_dates = '' THEN [] ELSE regexp_split_to_array(short_dates, '\s+') END AS s, CASE WHEN sectors = '' THEN [] ELSE regexp_split_to_array(sectors, '\s+') END AS p FROM v_lists)
-SELECT row_id, first_date AS "DAIS", CAST(CAST(try_strptime(s[1] || CAST(year(TRY_CAST(first_date AS TIMESTAMP)) AS VARCHAR), '%d%b%Y') AS DATE) AS VARCHAR) AS "FlightDate1",
-  CAST(CAST(try_strptime(s[2] || CAST(year(TRY_CAST(first_date AS TIMESTAMP)) AS VARCHAR), '%d%b%Y') AS DATE) AS VARCHAR) AS "FlightDate2", f[1] AS "FlightNumber1", f[2] AS "FlightNumber2",
-  coalesce(split_part(p[1], '/', 1), '') AS "Airport1", coalesce(split_part(p[1], '/', 2), '') AS "Airport2", coalesce(split_part(p[2], '/', 2), '') AS "Airport3", coalesce(split_part(p[3], '/', 2), '') AS "Airport4", '' AS "Airport5" FROM t""",
+SELECT row_id, first_date AS "DAIS", """
+        + ", ".join(
+            [f"""CAST(CAST(try_strptime(s[{k}] || CAST(year(TRY_CAST(first_date AS TIMESTAMP)) AS VARCHAR), '%d%b%Y') AS DATE) AS VARCHAR) AS "FlightDate{k}\"""" for k in range(1, 7)]
+            + [f'f[{k}] AS "FlightNumber{k}"' for k in range(1, 7)]
+            + ["""coalesce(split_part(p[1], '/', 1), '') AS "Airport1\""""]
+            + [f"""coalesce(split_part(p[{k}], '/', 2), '') AS "Airport{k + 1}\"""" for k in range(1, 7)]
+        )
+        + " FROM t",
     ),
 )
 def b9_settlement(d: Data) -> DataFrame:
@@ -418,7 +434,7 @@ def b9_settlement(d: Data) -> DataFrame:
         F.col("sectors").alias("Sector"),
         F.lit("x").alias("WEEK"),
     )
-    return plain(normalise.normalise_settlement(rows, drop=["WEEK"]))
+    return plain(normalise.normalise_settlement(rows, drop=["WEEK"], widths=(6, 6, 6)))
 
 
 @query(

@@ -86,14 +86,13 @@ rejects AS (SELECT row_id, CAST(route_no AS BIGINT) AS route_no, reason, detail
     "b1_rejected",
     oracle(
         "v_booking",
-        f"""WITH {_REJECTS} SELECT r.row_id, route_no, reason AS "RejectionReason", detail AS "RejectionDetail", booking_ref, flight1, date1, airport1
+        f"""WITH {_REJECTS} SELECT r.row_id, route_no, reason AS "RejectionReason", detail AS "RejectionDetail", {', '.join(BOOKING.columns)}
 FROM rejects r JOIN v_booking b ON r.row_id = b.row_id""",
         True,
     ),
 )
 def b1_rejected(d: Data) -> DataFrame:
-    kept = ("row_id", "route_no", "RejectionReason", "RejectionDetail", "booking_ref", "flight1", "date1", "airport1")
-    return plain(_clean(d).rejected.select(*kept))
+    return plain(_clean(d).rejected.drop("RejectedAt"))
 
 
 @query(

@@ -10,6 +10,13 @@ BASE = (
     "conversations"
 ).split()
 
+
+def _listed(item: str) -> str:
+    """A blank-separated list of an item of all legs of a row."""
+    cells = " || ' ' || ".join(f"coalesce(max(CASE WHEN leg = {k} THEN {item} END), '')" for k in range(1, 7))
+    return f"trim({cells})"
+
+
 VIEWS: dict[str, str] = {
     # one row per order line as a leg; every six lines of an order make one booking row
     "v_leg": """
@@ -82,11 +89,10 @@ FROM v_leg WHERE trim(fn_raw) <> '' AND dt_raw IS NOT NULL AND dt_raw <> 'bad-da
     "v_lists": """
 SELECT row_id, booking_ref,
   CASE WHEN row_id % 19 = 0 THEN 'NULL' ELSE substr(max(CASE WHEN leg = 1 AND dt_raw <> 'bad-date' THEN dt_raw END), 1, 10) END AS first_date,
-  trim(coalesce(max(CASE WHEN leg = 1 THEN flight END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN flight END), '')) AS flights,
-  trim(coalesce(max(CASE WHEN leg = 1 THEN sector END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN sector END), '') || ' ' || coalesce(max(CASE WHEN leg = 3 THEN sector END), '')) AS sectors,
-  trim(coalesce(max(CASE WHEN leg = 1 THEN short END), '') || ' ' || coalesce(max(CASE WHEN leg = 2 THEN short END), '')) AS short_dates,
-  max(CASE WHEN leg = 1 THEN sector END) AS sector1, CASE WHEN row_id % 7 = 0 THEN 'VOID' ELSE max(CASE WHEN leg = 2 THEN sector END) END AS sector2,
-  max(CASE WHEN leg = 3 THEN sector END) AS sector3
+  """ + _listed("flight") + """ AS flights,
+  """ + _listed("sector") + """ AS sectors,
+  """ + _listed("short") + """ AS short_dates,
+  """ + ", ".join(f"{'CASE WHEN row_id % 7 = 0 THEN ' + chr(39) + 'VOID' + chr(39) + ' ELSE ' if k == 2 else ''}max(CASE WHEN leg = {k} THEN sector END){' END' if k == 2 else ''} AS sector{k}" for k in range(1, 7)) + """
 FROM (SELECT *, substr(replace(upper(fn_raw), ' ', ''), 1, 2) || '-' || substr(replace(upper(fn_raw), ' ', ''), 3) AS flight, dep || '/' || arr AS sector,
     CASE WHEN dt_raw <> 'bad-date' THEN substr(dt_raw, 9, 2) || substr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', CAST(substr(dt_raw, 6, 2) AS INT) * 3 - 2, 3) END AS short FROM v_leg) q
 GROUP BY row_id, booking_ref""",

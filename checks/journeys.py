@@ -277,21 +277,36 @@ def j5(d: Data) -> DataFrame:
     return plain(out.select("event_id", "trip_id", "leg_no"))
 
 
+def _overflow_sql(n: int) -> str:
+    cells = ", ".join(["CAST(leg_no AS VARCHAR)", *[f"coalesce(CAST({c} AS VARCHAR), '-')" for c in ("fn", "dt", "dep", "arr")]])
+    return f"coalesce(string_agg(concat_ws('|', {cells}), ';' ORDER BY leg_no) FILTER (WHERE leg_no > {n}), '') AS overflow"
+
+
 _PIVOT = ",\n".join(
     [f"max(CASE WHEN leg_no = {k} THEN fn END) AS FlightNumber{k}" for k in range(1, 8)]
     + [f"CAST(max(CASE WHEN leg_no = {k} THEN dt END) AS VARCHAR) AS DepartureDateLocal{k}" for k in range(1, 8)]
     + ["max(CASE WHEN leg_no = 1 THEN dep END) AS Airport1"]
     + [f"max(CASE WHEN leg_no = {k} THEN arr END) AS Airport{k + 1}" for k in range(1, 8)]
+    + ["count(*) AS leg_count"]
+    + [_overflow_sql(7)]
 )
 
 
+def _with_overflow(df: DataFrame) -> DataFrame:
+    """The legs past the seventh as text, so that both engines print them alike."""
+    cell = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    legs = F.transform("overflow_legs", lambda x: F.concat_ws("|", *[cell(x[f]) for f in ("leg", "fn", "dt", "dep", "arr")]))
+    return df.withColumn("overflow", F.array_join(legs, ";")).drop("overflow_legs")
+
+
+
 @query(
     "r2_pivot_route",
     oracle("v_leg", f"WITH seqs AS (SELECT row_id, booking_ref, leg AS leg_no, fn_raw AS fn, dt_raw AS dt, dep, arr FROM v_leg) SELECT row_id, booking_ref, {_PIVOT} FROM seqs GROUP BY row_id, booking_ref"),
 )
 def r2(d: Data) -> DataFrame:
     legs = d.view("v_leg").withColumnsRenamed({"fn_raw": "fn", "dt_raw": "dt"})
-    return plain(pivot_route(legs, ["row_id", "booking_ref"], "leg", 7))
+    return plain(_with_overflow(pivot_route(legs, ["row_id", "booking_ref"], "leg", 7)))
 
 
 @query(
@@ -305,7 +320,7 @@ FROM seqs GROUP BY pax_name, booking_ref, trip_id""",
 )
 def b2(d: Data) -> DataFrame:
     legs = _usable(d).withColumn("tie", F.col("row_id"))
-    return plain(reconstruct_trips(legs, PAIR, ["tie"], 7, ["row_id"], ["e_ticket"]))
+    return plain(_with_overflow(reconstruct_trips(legs, PAIR, ["tie"], 7, ["row_id"], ["e_ticket"])))
 
 
 @query(
@@ -327,6 +342,7 @@ SELECT pax_name, booking_ref, trip_id, """
             + [f"CAST(max(CASE WHEN leg_no = {k} THEN dt END) AS VARCHAR) AS date{k}" for k in SIX]
             + ["max(CASE WHEN leg_no = 1 THEN dep END) AS Airport1"]
             + [f"max(CASE WHEN leg_no = {k} THEN arr END) AS Airport{k + 1}" for k in SIX]
+            + ["count(*) AS leg_count", _overflow_sql(6)]
         )
         + " FROM seqs GROUP BY pax_name, booking_ref, trip_id",
     ),
@@ -337,11 +353,10 @@ def b2_wide(d: Data) -> DataFrame:
     from itinera.functions.flights import normalize_flight_keep_digit
 
     spec = replace(BOOKING, normalize=normalize_flight_keep_digit)
-    return plain(
-        reconstruct_bookings(
-            d.view("v_booking"), spec, "row_id", "booking_ref", "pax_name", by="slot", break_on_backward=True
-        )
+    trips = reconstruct_bookings(
+        d.view("v_booking"), spec, "row_id", "booking_ref", "pax_name", by="slot", break_on_backward=True
     )
+    return plain(_with_overflow(trips))
 
 
 def _std_slots() -> dict[int, tuple[str, str]]:
@@ -428,15 +443,32 @@ _THREE = "airport1 IS NOT NULL AND airport2 IS NOT NULL AND airport3 IS NOT NULL
     "r7_split_connections",
     oracle(
         "v_booking",
-        f"""SELECT row_id, booking_ref, pax_name, {_ALL} FROM v_booking WHERE NOT ({_THREE})
-UNION ALL SELECT row_id, booking_ref, pax_name, {_one_leg(1)} FROM v_booking WHERE {_THREE}
-UNION ALL SELECT row_id, booking_ref, pax_name, {_one_leg(2)} FROM v_booking WHERE {_THREE}""",
+        f"SELECT row_id, booking_ref, pax_name, {_ALL} FROM v_booking WHERE NOT ({_THREE})"
+        + "".join(
+            f" UNION ALL SELECT row_id, booking_ref, pax_name, {_one_leg(k)} FROM v_booking WHERE {_THREE}"
+            + (f" AND coalesce(flight{k}, date{k}, airport{k + 1}) IS NOT NULL" if k > 2 else "")
+            for k in SIX
+        ),
     ),
 )
 def r7(d: Data) -> DataFrame:
     return plain(split_connections(d.view("v_booking"), BOOKING))
 
 
+@query(
+    "r7_split_connections_first_two",
+    oracle(
+        "v_booking",
+        f"""WITH n AS (SELECT *, CAST(CASE WHEN {_THREE} THEN {" + ".join(f"CASE WHEN coalesce(flight{k}, date{k}, airport{k + 1}) IS NOT NULL THEN 1 ELSE 0 END" for k in range(3, 7))} ELSE 0 END AS BIGINT) AS dropped FROM v_booking)
+SELECT row_id, booking_ref, pax_name, dropped, {_ALL} FROM n WHERE NOT ({_THREE})
+UNION ALL SELECT row_id, booking_ref, pax_name, dropped, {_one_leg(1)} FROM n WHERE {_THREE}
+UNION ALL SELECT row_id, booking_ref, pax_name, dropped, {_one_leg(2)} FROM n WHERE {_THREE}""",
+    ),
+)
+def r7_two(d: Data) -> DataFrame:
+    return plain(split_connections(d.view("v_booking"), BOOKING, first_two=True, dropped="dropped"))
+
+
 @query(
     "r8_explode_list",
     "WITH w AS (SELECT unnest(string_split(text, ',')) AS part FROM conversations) "

@@ -92,7 +92,7 @@ _rule("c25_blank_to_null", f"NULLIF({sql_strip('x')}, '')", lambda: text.blank_t
         "v_leg",
         f"""WITH m AS (SELECT row_id, CAST(leg AS BIGINT) AS leg, {sql_c1('fn_raw')} AS fn, {sql_ts('dt_raw')} AS dt FROM v_leg),
 r AS (SELECT *, {sql_reason('fn', 'dt')} AS reason FROM m)
-SELECT row_id, leg, reason, CASE WHEN reason = 'FlightNumber NULL' THEN 'fn=None' WHEN reason = 'FlightDate NULL' THEN 'dt=NaT'
+SELECT row_id, leg, reason, CASE WHEN reason = 'FlightNumber NULL' AND dt IS NULL THEN 'fn=None, dt=NaT' WHEN reason = 'FlightNumber NULL' THEN 'fn=None' WHEN reason = 'FlightDate NULL' THEN 'dt=NaT'
   WHEN reason = 'FlightNumber TOO_LONG' THEN concat('fn=''', fn, ''' len=', length(fn)) WHEN reason IS NOT NULL THEN concat('fn=''', fn, '''') END AS detail FROM r""",
     ),
 )
@@ -101,7 +101,7 @@ def c10(d: Data) -> DataFrame:
         {"fn": flights.normalize_flight("fn_raw"), "dt": dates.try_timestamp("dt_raw")}
     )
     legs = legs.withColumn("reason", flights.flight_reject_reason("fn", "dt"))
-    return plain(legs.select("row_id", "leg", "reason", flights.flight_reject_detail("fn", "reason").alias("detail")))
+    return plain(legs.select("row_id", "leg", "reason", flights.flight_reject_detail("fn", "reason", "dt").alias("detail")))
 
 
 _ALPHA = "(rtrim(fn, '0') = '' OR regexp_full_match(rtrim(fn, '0'), '[A-Za-z]+'))"
@@ -226,12 +226,14 @@ def c19(d: Data) -> DataFrame:
         "v_lists",
         r"""WITH t AS (SELECT row_id, CASE WHEN flights = '' THEN [] ELSE regexp_split_to_array(flights, '\s+') END AS f,
   CASE WHEN sectors = '' THEN [] ELSE regexp_split_to_array(sectors, '\s+') END AS s FROM v_lists)
-SELECT row_id, f[1] AS "FlightNumber1", f[2] AS "FlightNumber2", s[1] AS "Sector1", s[2] AS "Sector2", s[3] AS "Sector3" FROM t""",
+SELECT row_id, """
+        + ", ".join([f'f[{k}] AS "FlightNumber{k}"' for k in range(1, 7)] + [f's[{k}] AS "Sector{k}"' for k in range(1, 7)])
+        + " FROM t",
     ),
 )
 def c20(d: Data) -> DataFrame:
     rows = d.view("v_lists").select("row_id", "flights", "sectors")
-    return chains.split_tokens(chains.split_tokens(rows, "flights", "FlightNumber"), "sectors", "Sector")
+    return chains.split_tokens(chains.split_tokens(rows, "flights", "FlightNumber", 6), "sectors", "Sector", 6)
 
 
 @query(
@@ -251,14 +253,14 @@ def c21(d: Data) -> DataFrame:
 
 def _dest_sql(compact: bool) -> str:
     has = lambda i: f"coalesce(sector{i} LIKE '%/%', FALSE)"
-    origin = "coalesce(" + ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 1) END" for i in (1, 2, 3)) + ", '')"
+    origin = "coalesce(" + ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 1) END" for i in range(1, 7)) + ", '')"
     if compact:
-        items = ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 2) END" for i in (1, 2, 3))
-        chain = f"list_filter([CASE WHEN {has(1)} OR {has(2)} OR {has(3)} THEN {origin} END, {items}], lambda v: v IS NOT NULL)"
+        items = ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 2) END" for i in range(1, 7))
+        chain = f"list_filter([CASE WHEN {' OR '.join(map(has, range(1, 7)))} THEN {origin} END, {items}], lambda v: v IS NOT NULL)"
     else:
-        items = ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 2) ELSE '' END" for i in (1, 2, 3))
+        items = ", ".join(f"CASE WHEN {has(i)} THEN split_part(sector{i}, '/', 2) ELSE '' END" for i in range(1, 7))
         chain = f"[{origin}, {items}]"
-    return f"array_to_string(list_resize({chain}, 5, ''), '>')"
+    return f"array_to_string(list_resize({chain}, greatest(5, len({chain})), ''), '>')"
 
 
 @query(
@@ -266,7 +268,7 @@ def _dest_sql(compact: bool) -> str:
     oracle("v_lists", f"SELECT row_id, {_dest_sql(True)} AS compact, {_dest_sql(False)} AS positional FROM v_lists"),
 )
 def c22(d: Data) -> DataFrame:
-    parts = F.array("sector1", "sector2", "sector3")
+    parts = F.array(*[f"sector{k}" for k in range(1, 7)])
     joined = lambda compact: F.array_join(chains.airport_chain_destinations(parts, 5, compact), ">")
     return d.view("v_lists").select("row_id", joined(True).alias("compact"), joined(False).alias("positional"))
 
@@ -420,6 +422,25 @@ def u1(d: Data) -> DataFrame:
     )
 
 
+@query(
+    "u1_sql_functions_slash_dates",
+    """WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 2 THEN strftime(o_orderdate, ' %Y/%-m/%-d ') ELSE strftime(o_orderdate, '%Y.%m.%d') END AS d, o_orderdate FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 AND year(o_orderdate) BETWEEN 1990 AND 2100 THEN CAST(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS VARCHAR) END AS by_sql,
+  CASE WHEN o_orderkey % 4 < 3 AND year(o_orderdate) BETWEEN 1990 AND 2100 THEN CAST(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS VARCHAR) END AS by_column FROM t""",
+)
+def u1_slash(d: Data) -> DataFrame:
+    register_sql_functions(d.spark)
+    day = lambda pattern: F.date_format("o_orderdate", pattern)
+    text = (
+        F.when(F.col("o_orderkey") % 4 == 0, day("yyyy/MM/dd"))
+        .when(F.col("o_orderkey") % 4 == 1, day("yyyy-MM-dd"))
+        .when(F.col("o_orderkey") % 4 == 2, day(" yyyy/M/d "))
+        .otherwise(day("yyyy.MM.dd"))
+    )
+    rows = d.table("orders").select("o_orderkey", text.alias("d"))
+    return plain(rows.select("o_orderkey", F.expr("normalize_date(d)").alias("by_sql"), dates.normalize_date("d", 1990, 2100).alias("by_column")))
+
+
 @query("k10_align_schema", "SELECT o_custkey, '' AS note, o_orderkey FROM orders")
 def k10(d: Data) -> DataFrame:
     return plain(align_schema(d.table("orders"), ["o_custkey", "note", "o_orderkey"]))

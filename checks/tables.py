@@ -13,7 +13,7 @@ from itinera.operators import layout
 from itinera.session import scratch_path
 from itinera.sinks.files import export_csv_chunks, split_output
 from itinera.sinks.tables import replace_table
-from itinera.sources import delimited, markup, tables
+from itinera.sources import delimited, markup, tables, workbooks
 from itinera.streaming.incremental import incremental_clean
 
 _ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -37,6 +37,55 @@ def s1(d: Data) -> DataFrame:
     return delimited.read_csv_all_string(d.spark, _csv(d, _orders(d), "s1"))
 
 
+def _mixed_files(d: Data) -> str:
+    """The orders as files of three layouts: other column orders, a column more, a column less; the last also has lines
+    with a cell too many."""
+    root = scratch_path(d.spark, "s1-mixed")
+    orders, part = _orders(d), F.pmod("o_orderkey", F.lit(3))
+    write = lambda df, name: df.write.option("header", True).csv(f"{root}/{name}")
+    write(orders.filter(part == 0), "a")
+    write(orders.filter(part == 1).select("o_orderpriority", "o_orderkey", "o_custkey", "o_orderstatus", F.lit("x").alias("more")), "b")
+    short = orders.filter(part == 2).select("o_orderstatus", "o_orderkey")
+    bad = short.filter("o_orderkey % 5 = 0").select(F.concat_ws(",", "o_orderstatus", "o_orderkey", F.lit("too many")).alias("value"))
+    lines = short.select(F.concat_ws(",", "o_orderstatus", "o_orderkey").alias("value")).unionByName(bad)
+    # every file has its own header line
+    lines.mapInPandas(_with_header, "value string").write.text(f"{root}/c")
+    return root
+
+
+def _with_header(frames):
+    import pandas as pd
+
+    first = True
+    for frame in frames:
+        if first and len(frame):
+            yield pd.DataFrame({"value": ["o_orderstatus,o_orderkey"]})
+            first = False
+        yield frame
+
+
+@query(
+    "s1_read_csv_by_name",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_custkey AS VARCHAR) END AS o_custkey, o_orderstatus,
+  CASE WHEN o_orderkey % 3 < 2 THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderkey % 3 = 1 THEN 'x' END AS more FROM orders""",
+)
+def s1_by_name(d: Data) -> DataFrame:
+    root = _mixed_files(d)
+    return delimited.read_csv_all_string(d.spark, [f"{root}/{x}" for x in "abc"])
+
+
+@query(
+    "s17_load_report_by_file",
+    """SELECT CASE o_orderkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS folder, count(*) + count_if(o_orderkey % 15 = 5) AS total_rows,
+  count(*) AS loaded_rows, count_if(o_orderkey % 15 = 5) AS skipped_rows FROM orders GROUP BY 1""",
+)
+def s17_by_file(d: Data) -> DataFrame:
+    root = _mixed_files(d)
+    report = delimited.load_report(d.spark, [f"{root}/{x}" for x in "abc"], name="file_path")
+    folder = F.element_at(F.split("file_name", "/"), -2).alias("folder")
+    return report.groupBy(folder).agg(*[F.sum(c).alias(c) for c in ("total_rows", "loaded_rows", "skipped_rows")])
+
+
 @query("s2_read_csv_infer", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def s2(d: Data) -> DataFrame:
     _, df = delimited.read_csv_infer(d.spark, _csv(d, _orders(d), "s2"))
@@ -73,6 +122,45 @@ def s6(d: Data) -> DataFrame:
     return plain(out.select("row_id", "table_no", "row_no", *markup.cell_columns(2)))
 
 
+def _workbook(key: tuple, rows):
+    """One workbook of the rows' orders: a sheet for each status, dates as day numbers, a blank row in between."""
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    import pandas as pd
+
+    text = lambda v: f'<c t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    sheets = dict(tuple(rows.fillna({"o_orderstatus": "none"}).groupby("o_orderstatus", sort=True)))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for i, part in enumerate(sheets.values(), start=1):
+            lines = ["<row>" + "".join(map(text, ["Order", "Customer ", "Date", "Priority"])) + "</row>", "<row></row>"]
+            for r in part.itertuples():
+                days = (r.o_orderdate - pd.Timestamp("1899-12-30")).days
+                lines.append(f'<row>{text(r.o_orderkey)}<c><v>{r.o_custkey}</v></c><c s="1"><v>{days}</v></c>{text(r.o_orderpriority)}</row>')
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{''.join(lines)}</sheetData></worksheet>")
+        names = "".join(f'<sheet name="{escape(str(n))}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, start=1))
+        targets = "".join(f'<Relationship Id="rId{i}" Type="x" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="{rel}"><sheets>{names}</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{targets}</Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+    return pd.DataFrame({"name": [f"book{key[0]}.xlsx"], "content": [out.getvalue()]})
+
+
+@query(
+    "s5_read_workbooks",
+    """SELECT concat('book', CAST(floor(o_orderkey / 4000) AS BIGINT), '.xlsx') AS source_file, coalesce(o_orderstatus, 'none') AS source_sheet, CAST(o_orderkey AS VARCHAR) AS "Order",
+  CAST(o_custkey AS VARCHAR) AS "Customer", CAST(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS VARCHAR) AS "Date", o_orderpriority AS "Priority" FROM orders""",
+)
+def s5(d: Data) -> DataFrame:
+    orders = d.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderpriority")
+    books = orders.groupBy(F.floor(F.col("o_orderkey") / 4000).alias("book")).applyInPandas(_workbook, "name string, content binary")
+    return plain(workbooks.workbook_table(books, headers=["Order", "Customer", "Date", "Priority"], date_columns=["Date"]))
+
+
 @query("s7_read_parquet", "SELECT l_orderkey, l_quantity FROM lineitem")
 def s7(d: Data) -> DataFrame:
     return tables.read_parquet(d.spark, f"{d.folder}/lineitem.parquet", ["l_orderkey", "l_quantity"])
@@ -83,11 +171,12 @@ def s8(d: Data) -> DataFrame:
     return delimited.load_dimension(d.spark, _csv(d, d.table("nation"), "s8"))
 
 
-@query("s9_union_tables", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus IS NOT NULL")
+@query("s9_union_tables", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def s9(d: Data) -> DataFrame:
     orders = _orders(d)
     for status in ("F", "O", "P"):
         orders.filter(F.col("o_orderstatus") == status).createOrReplaceTempView(f"export_202{status.lower()}")
+    orders.filter(~F.coalesce(F.col("o_orderstatus").isin("F", "O", "P"), F.lit(False))).createOrReplaceTempView("export_202rest")
     return plain(tables.union_tables(d.spark, "export_202%"))
 
 
@@ -103,15 +192,17 @@ def s10(d: Data) -> DataFrame:
 
 @query(
     "s11_describe_schema",
-    "SELECT name AS column_name, n AS filled FROM (SELECT 'o_orderkey' AS name, count(o_orderkey) AS n FROM orders UNION ALL SELECT 'o_custkey', count(o_custkey) FROM orders "
-    "UNION ALL SELECT 'o_orderstatus', count(o_orderstatus) FROM orders UNION ALL SELECT 'o_orderpriority', count(o_orderpriority) FROM orders) q",
+    " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' ELSE lower(typeof(any_value({c}))) END AS column_type, count({c}) AS filled FROM orders"
+        for i, c in enumerate(_ORDERS, start=1)
+    ),
 )
 def s11(d: Data) -> DataFrame:
     from itinera.operators.profile import fill_rate
 
     orders = _orders(d)
     filled = fill_rate(orders, orders.columns).select("column_name", "filled")
-    return plain(layout.describe_schema(orders).join(filled, "column_name").select("column_name", "filled"))
+    return plain(layout.describe_schema(orders).join(filled, "column_name"))
 
 
 @query("s12_add_provenance", "SELECT o_orderkey, 'orders.parquet' AS source_file, 'main' AS source_sheet FROM orders")

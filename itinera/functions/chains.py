@@ -49,7 +49,7 @@ def airport_chain_unique(c: Column | str) -> Column:
 
 
 def airport_chain_destinations(parts: Column, width: int = 5, compact: bool = True) -> Column:
-    """First origin followed by every destination, blank-padded to ``width``.
+    """First origin followed by every destination, blank-padded to at least ``width``; longer chains stay whole.
 
     ``parts`` is an array of ``ORIGIN/DEST`` texts. Elements without a slash are skipped; ``compact`` closes the gap
     they leave, otherwise their destination position stays blank.
@@ -67,7 +67,8 @@ def airport_chain_destinations(parts: Column, width: int = 5, compact: bool = Tr
             upper, lambda p: F.when(F.coalesce(p.contains("/"), F.lit(False)), dest(p)).otherwise(F.lit(""))
         )
         chain = F.concat(F.array(origin), spaced)
-    return F.slice(F.concat(chain, F.array_repeat(F.lit(""), width)), 1, width)
+    missing = F.greatest(F.lit(width) - F.size(chain), F.lit(0))
+    return F.concat(chain, F.array_repeat(F.lit(""), missing))
 
 
 def sector_pair(c: Column | str) -> tuple[Column, Column]:

@@ -32,12 +32,24 @@ def later_of(a: Column | str, b: Column | str) -> Column:
     return F.greatest(as_column(a), as_column(b))
 
 
+# Texts that hold at least a full date: year, month and day with hyphens, or with slashes.
+HYPHENED = r"^[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}([ T]|$)"
+SLASHED = r"^([0-9]{1,4})/([0-9]{1,2})/([0-9]{1,2})(?=[ T]|$)"
+
+
+def timestamp_sql(text: str) -> str:
+    """The rule of :func:`try_timestamp` as SQL over an expression of type string."""
+    return (
+        f"CASE WHEN rlike(trim({text}), '{HYPHENED}') THEN try_cast(trim({text}) AS TIMESTAMP_NTZ) "
+        f"WHEN rlike(trim({text}), '{SLASHED}') THEN try_cast(regexp_replace(trim({text}), '{SLASHED}', '$1-$2-$3') AS TIMESTAMP_NTZ) END"
+    )
+
+
 def try_timestamp(c: Column | str) -> Column:
     """Text to a zone-less timestamp; anything that is not at least a full date becomes null."""
     text = F.trim(as_column(c).cast("string"))
-    slashed = r"^(\d{1,4})/(\d{1,2})/(\d{1,2})(?=[ T]|$)"
-    return F.when(text.rlike(r"^\d{1,4}-\d{1,2}-\d{1,2}([ T]|$)"), text.try_cast("timestamp_ntz")).when(
-        text.rlike(slashed), F.regexp_replace(text, slashed, "$1-$2-$3").try_cast("timestamp_ntz")
+    return F.when(text.rlike(HYPHENED), text.try_cast("timestamp_ntz")).when(
+        text.rlike(SLASHED), F.regexp_replace(text, SLASHED, "$1-$2-$3").try_cast("timestamp_ntz")
     )
 
 

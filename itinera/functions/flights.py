@@ -61,7 +61,7 @@ def normalize_flight_keep_digit(c: Column | str, inner_spaces: bool = False) ->
         compact = F.when(text.rlike(rf"^{LETTERS}\s*[0-9]+$"), F.regexp_replace(text, r"\s+", "")).otherwise(text)
     else:
         compact = text
-    return F.regexp_replace(compact, f"^({LETTERS})0+([0-9]+)$", "$1$2")
+    return F.regexp_replace(compact, ZEROS_AFTER_CARRIER, "$1$2")
 
 
 def normalize_flight_integer(c: Column | str) -> Column:
@@ -88,13 +88,18 @@ def strip_prefix_zeros(c: Column | str) -> Column:
     return F.regexp_replace(F.upper(as_column(c)), f"^({LETTERS})0*", "$1")
 
 
+# Made-up numbers by rule, and the zeros between carrier and number.
+PLACEHOLDERS = {"carrier_zeros": f"^{LETTERS}0+$", "letters_only": "^[A-Z]{1,2}$"}
+ZEROS_AFTER_CARRIER = f"^({LETTERS})0+([0-9]+)$"
+
+
 def is_placeholder_flight(c: Column | str, rule: str = "carrier_zeros") -> Column:
     """True for made-up numbers. Rules: ``carrier_zeros``, ``ends_000``, ``letters_only``; null is false."""
     text = F.trim(F.upper(as_column(c)))
     tests = {
-        "carrier_zeros": lambda: text.rlike(f"^{LETTERS}0+$"),
+        "carrier_zeros": lambda: text.rlike(PLACEHOLDERS["carrier_zeros"]),
         "ends_000": lambda: text.endswith("000"),
-        "letters_only": lambda: text.rlike("^[A-Z]{1,2}$"),
+        "letters_only": lambda: text.rlike(PLACEHOLDERS["letters_only"]),
     }
     return F.coalesce(tests[rule](), F.lit(False))
 
@@ -154,13 +159,14 @@ def _case(check: tuple[Column, str]) -> tuple[Column, Column]:
     return check[0], F.lit(check[1])
 
 
-def flight_reject_detail(fn: Column | str, reason: Column | str) -> Column:
-    """Human-readable detail that goes with a reason."""
+def flight_reject_detail(fn: Column | str, reason: Column | str, dt: Column | str | None = None) -> Column:
+    """Human-readable detail that goes with a reason; with the date given, a slot without either says so."""
     number, why = as_column(fn), as_column(reason)
+    neither = (why == NUMBER_NULL) & as_column(dt).isNull() if dt is not None else F.lit(False)
     shown = F.coalesce(F.concat(F.lit("fn='"), strip_all(number), F.lit("'")), F.lit("fn=None"))
     upper = F.concat(F.lit("fn='"), F.upper(strip_all(number)), F.lit("'"))
     return (
-        F.when(why == BOTH_NULL, F.lit("fn=None, dt=NaT"))
+        F.when((why == BOTH_NULL) | neither, F.lit("fn=None, dt=NaT"))
         .when(why == NUMBER_NULL, F.lit("fn=None"))
         .when(why == DATE_NULL, F.lit("dt=NaT"))
         .when(why == TOO_LONG, F.concat(shown, F.lit(" len="), F.length(strip_all(number)).cast("string")))

@@ -7,19 +7,24 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from itinera.functions import flights as fl
+from itinera.functions.dates import timestamp_sql
+
+
+# The public names of the functions.
+IS_RNK, IS_VO, NORMALIZE_FLIGHT, NORMALIZE_DATE = "is_rnk", "is_vo", "normalize_flight", "normalize_date"
+
 
 def register_sql_functions(spark: SparkSession, year_min: int = 1990, year_max: int = 2100) -> list[str]:
-    """Create ``is_rnk``, ``is_vo``, ``normalize_flight`` and ``normalize_date`` as temporary functions."""
+    """Create the four functions as temporary ones, from the patterns that the column rules use."""
+    upper = "upper(trim(flight))"
+    date = timestamp_sql("dt")
     bodies = {
-        "is_rnk(flight STRING) RETURNS BOOLEAN": "coalesce(rlike(upper(trim(flight)), '^[A-Z]{2,3}0+$'), false)",
-        "is_vo(flight STRING) RETURNS BOOLEAN": "coalesce(rlike(upper(trim(flight)), '^[A-Z]{1,2}$'), false)",
-        "normalize_flight(flight STRING) RETURNS STRING": (
-            "regexp_replace(upper(trim(flight)), '^([A-Z]{2,3})0+([0-9]+)$', '$1$2')"
-        ),
-        "normalize_date(dt STRING) RETURNS TIMESTAMP_NTZ": (
-            "CASE WHEN rlike(trim(dt), '^[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}([ T]|$)') "
-            f"AND year(try_cast(dt AS TIMESTAMP_NTZ)) BETWEEN {int(year_min)} AND {int(year_max)} "
-            "THEN try_cast(dt AS TIMESTAMP_NTZ) END"
+        f"{IS_RNK}(flight STRING) RETURNS BOOLEAN": f"coalesce(rlike({upper}, '{fl.PLACEHOLDERS['carrier_zeros']}'), false)",
+        f"{IS_VO}(flight STRING) RETURNS BOOLEAN": f"coalesce(rlike({upper}, '{fl.PLACEHOLDERS['letters_only']}'), false)",
+        f"{NORMALIZE_FLIGHT}(flight STRING) RETURNS STRING": f"regexp_replace({upper}, '{fl.ZEROS_AFTER_CARRIER}', '$1$2')",
+        f"{NORMALIZE_DATE}(dt STRING) RETURNS TIMESTAMP_NTZ": (
+            f"CASE WHEN year({date}) BETWEEN {int(year_min)} AND {int(year_max)} THEN {date} END"
         ),
     }
     for signature, body in bodies.items():

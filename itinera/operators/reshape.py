@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,10 +126,11 @@ def pivot_route(
     df: DataFrame, keys: Sequence[str], seq: str, n: int, any_value: Sequence[str] = (),
     number: str = "FlightNumber{}", date: str = "DepartureDateLocal{}", airport: str = "Airport{}",
 ) -> DataFrame:
-    """Leg rows (``fn, dt, dep, arr`` and a position) to one wide row per key; legs past ``n`` are dropped.
+    """Leg rows (``fn, dt, dep, arr`` and a position) to one wide row per key, without losing a leg.
 
     Airport 1 is the first departure, airport k+1 the arrival of leg k. ``any_value`` columns take the first
-    non-null value in leg order, from all legs.
+    non-null value in leg order, from all legs. ``leg_count`` counts all legs, and ``overflow_legs`` holds those past
+    ``n`` in order, as an array of ``leg, fn, dt, dep, arr``.
     """
     at = lambda k, c: F.max(F.when(F.col(seq) == k, F.col(c)))
     aggs = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in any_value]
@@ -137,6 +138,9 @@ def pivot_route(
     aggs += [at(k, "dt").alias(date.format(k)) for k in range(1, n + 1)]
     aggs.append(at(1, "dep").alias(airport.format(1)))
     aggs += [at(k, "arr").alias(airport.format(k + 1)) for k in range(1, n + 1)]
+    aggs.append(F.count(F.lit(1)).alias("leg_count"))
+    past = F.when(F.col(seq) > n, F.struct(F.col(seq).alias("leg"), "fn", "dt", "dep", "arr"))  # nulls are not collected
+    aggs.append(F.array_sort(F.collect_list(past)).alias("overflow_legs"))
     return df.groupBy(*keys).agg(*aggs)
 
 
@@ -270,9 +274,22 @@ def split_round_trip(df: DataFrame, spec: SourceSpec, direction: str) -> DataFra
     )
 
 
-def split_connections(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Rows with three airports become one row for leg 1 and one for leg 2 (later legs are discarded)."""
+def split_connections(df: DataFrame, spec: SourceSpec, first_two: bool = False, dropped: str | None = None) -> DataFrame:
+    """Rows with three airports become one row for each leg, moved to slot 1; other rows stay.
+
+    A later slot is a leg if it has a flight number, a date or an airport behind it; the first two always are.
+    ``first_two`` keeps only those two; ``dropped`` names a column with the number of legs that this leaves out.
+    """
     a = [_q(n) for n in spec.airport_names]
-    return _split_rows(
-        df, a[0].isNotNull() & a[1].isNotNull() & a[2].isNotNull(), [_single_leg(spec, 1), _single_leg(spec, 2)]
-    )
+    matches = F.coalesce(a[0].isNotNull() & a[1].isNotNull() & a[2].isNotNull(), F.lit(False))
+    full = lambda change: F.struct(*[change.get(c, _q(c)).cast(df.schema[c].dataType).alias(c) for c in df.columns])
+    present = [
+        reduce(or_, [_q(spec.number_names[i]).isNotNull(), _q(spec.date_names[i]).isNotNull(), a[i + 1].isNotNull()])
+        for i in range(spec.slots)
+    ]
+    legs = F.array(*[full(_single_leg(spec, i + 1)) if i < 2 else F.when(present[i], full(_single_leg(spec, i + 1))) for i in range(spec.slots)])
+    legs = F.filter(legs, lambda leg: leg.isNotNull())
+    split = F.slice(legs, 1, 2) if first_two else legs
+    gone = F.when(matches, F.size(legs) - F.size(split)).otherwise(0)
+    rows = F.inline(F.when(matches, split).otherwise(F.array(full({}))))
+    return df.select(*([gone.alias(dropped)] if dropped else []), rows)

@@ -102,7 +102,10 @@ def normalise_settlement(
     anchor: str = "LastSectordate",
     widths: tuple[int, int, int] | None = None,
 ) -> DataFrame:
-    """Settlement lines: short dates with the year of the issue date, numbered flights, five airports by position."""
+    """Settlement lines: short dates with the year of the issue date, numbered flights, airports by position.
+
+    There are five airport columns, or more where a line has more sectors.
+    """
     df = drop_columns(df.toDF(*[c.strip() for c in df.columns]), drop)
     year = F.year(try_timestamp(_q(year_from)))
     if widths is None:
@@ -113,9 +116,9 @@ def normalise_settlement(
     df = df.withColumns({f"FlightDate{i}": parse_short_date(f"FlightDate{i}", "__year") for i in range(1, widths[0] + 1)})
     df = split_tokens(df, flights, "FlightNumber", widths[1])
     df = split_tokens(df.drop("__year"), sector, "__sector", widths[2])
-    parts = [f"__sector{i}" for i in range(1, min(widths[2], 4) + 1)]
+    parts = [f"__sector{i}" for i in range(1, widths[2] + 1)]
     chain = airport_chain_destinations(F.array(*[_q(p) for p in parts]) if parts else F.array(F.lit(None).cast("string")), 5, compact=False)
-    names = [f"Airport{i}" for i in range(1, 6)]
+    names = [f"Airport{i}" for i in range(1, max(5, widths[2] + 1) + 1)]
     df = df.withColumn("__chain", chain)
     df = df.withColumns({n: F.get("__chain", F.lit(i)) for i, n in enumerate(names)})
     df = df.drop("__chain", *[f"__sector{i}" for i in range(1, widths[2] + 1)])

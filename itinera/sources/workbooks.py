@@ -22,6 +22,8 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 _EPOCH = dt.datetime(1899, 12, 30)
 _ROWS_PER_BATCH = 5000
+#: Distinct headers beyond which a table would be a mistake; the reader then asks for names instead of dropping any.
+MOST_HEADERS = 5000
 SCHEMA = "source_file string, source_sheet string, row_no int, cells map<string,string>"
 
 
@@ -90,13 +92,19 @@ def sheet_rows(content: bytes) -> Iterator[tuple[str, int, dict[str, str | None]
             header: list[str] | None = None
             number = 0
             with z.open(path) as part:
-                for _, row in ET.iterparse(part):
+                above: list[ET.Element] = []  # open elements around the rows; they forget each row once it is read
+                for event, row in ET.iterparse(part, events=("start", "end")):
+                    if event == "start":
+                        above.append(row)
+                        continue
+                    above.pop()
                     if row.tag != f"{_MAIN}row":
                         continue
                     values: dict[int, str | None] = {}
                     for at, c in enumerate(row.iter(f"{_MAIN}c")):
                         values[_column_index(c.get("r")) if c.get("r") else at] = _cell(c, texts, dates)
-                    row.clear()
+                    if above:
+                        above[-1].remove(row)
                     if not any(v not in (None, "") for v in values.values()):
                         continue
                     if header is None:
@@ -108,7 +116,11 @@ def sheet_rows(content: bytes) -> Iterator[tuple[str, int, dict[str, str | None]
 
 def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
     """Every sheet row of every workbook as a map from header to cell text."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("name"), "content")
+    return workbook_cells(spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("name"), "content"))
+
+
+def workbook_cells(files: DataFrame) -> DataFrame:
+    """The same for workbooks that are rows (name, content) of a table."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["source_file", "source_sheet", "row_no", "cells"]
@@ -122,7 +134,7 @@ def read_workbook_cells(spark: SparkSession, path: str) -> DataFrame:
                         out = []
                 yield pd.DataFrame(out, columns=columns)
 
-    return files.mapInPandas(parse, SCHEMA)
+    return files.select("name", "content").mapInPandas(parse, SCHEMA)
 
 
 def read_workbooks(
@@ -134,10 +146,22 @@ def read_workbooks(
     Empty sheets and rows vanish. ``null_columns`` turn null tokens into nulls, ``date_columns`` become timestamps.
     ``headers`` saves the pass that finds the distinct header names (as many as there are columns).
     """
-    cells = read_workbook_cells(spark, path)
+    return _as_table(read_workbook_cells(spark, path), null_columns, date_columns, headers)
+
+
+def workbook_table(
+    files: DataFrame, null_columns: Sequence[str] = (), date_columns: Sequence[str] = (), headers: Sequence[str] | None = None
+) -> DataFrame:
+    """:func:`read_workbooks` for workbooks that are rows (name, content) of a table."""
+    return _as_table(workbook_cells(files), null_columns, date_columns, headers)
+
+
+def _as_table(cells: DataFrame, null_columns: Sequence[str], date_columns: Sequence[str], headers: Sequence[str] | None) -> DataFrame:
     if headers is None:
         found = cells.select(F.explode(F.map_keys("cells")).alias("h")).distinct()
-        headers = sorted(r["h"] for r in found.collect())
+        headers = [r["h"] for r in found.orderBy("h").limit(MOST_HEADERS + 1).collect()]
+        if len(headers) > MOST_HEADERS:
+            raise ValueError(f"over {MOST_HEADERS} distinct headers: name the columns wanted in headers")
     value = lambda h: F.try_element_at("cells", F.lit(h))
     columns = []
     for h in headers:
