@@ -16,7 +16,6 @@ from itinera.operators.joins import (
     literal_map,
     lookup,
     membership,
-    small_side,
     unique_dimension,
     update_from,
 )
@@ -60,7 +59,7 @@ def _limit_dim(d: Data) -> DataFrame:
 
 @query("n1_join_chain", oracle("v_leg v_airports v_limits", _CHAIN))
 def n1(d: Data) -> DataFrame:
-    dim = small_side(_limit_dim(d))
+    dim = _limit_dim(d)
     rows = lookup(d.view("v_leg"), dim, "dep", "code", {"dep_country": "country", "dep_l1": "l1"})
     rows = lookup(rows, dim, "arr", "code", {"arr_country": "country", "arr_l2": "l2"})
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
@@ -87,7 +86,7 @@ def n3(d: Data) -> DataFrame:
     legs = d.view("v_leg").select("row_id", "leg", "booking_ref", "dep")
     new = unique_dimension(d.view("v_airports").filter("is_eu"), "code", ["country"])
     new = new.select(F.col("code").alias("dep"), F.col("country").alias("booking_ref"))
-    return plain(update_from(legs, small_side(new), ["dep"], ["booking_ref"]).select("row_id", "leg", "booking_ref"))
+    return plain(update_from(legs, new, ["dep"], ["booking_ref"]).select("row_id", "leg", "booking_ref"))
 
 
 _PAIRS = """pairs AS (SELECT upper(trim(dep)) AS airport, CAST(TRY_CAST(dt_raw AS TIMESTAMP) AS DATE) AS day FROM v_leg

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from itinera.operators.grouped import attach_group
+
 Key = Callable[[Column], Sequence[Column]]
 
 
@@ -58,24 +60,15 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return df.withColumn("__first", F.row_number().over(w)).filter(F.col("__first") == 1).drop("__first")
 
 
-# Shares a group of copies is cut into: a group of a third of 10^12 rows leaves five million rows per share.
-COPY_SHARES = 65_536
-
-
-def flag_repeats(
-    df: DataFrame, keys: Sequence[str], ids: Sequence[str], out: str = "is_repeat", shares: int = COPY_SHARES
-) -> DataFrame:
+def flag_repeats(df: DataFrame, keys: Sequence[str], ids: Sequence[str], out: str = "is_repeat") -> DataFrame:
     """Mark every row but the first (lowest ``ids``) of each key; null keys are equal. ``ids`` must be unique.
 
-    Two window passes over one read of the input. The first finds the lowest row of each (key, share of its copies);
-    the second compares only those, at most ``shares`` per key, while all other copies stay spread over their shares.
+    The lowest id per key is a partial aggregate before its shuffle; the rows meet it in one join, which adaptive
+    execution can split at a hot key. The input is read twice: store it first if it is costly.
     """
     identity = F.struct(*[F.col(i) for i in ids])
-    spread = df.withColumn("__share", F.pmod(F.xxhash64(*[F.col(i) for i in ids]), F.lit(shares)))
-    local = spread.withColumn("__lead", F.min(identity).over(Window.partitionBy(*keys, "__share")) == identity)
-    local = local.withColumn("__place", F.when(F.col("__lead"), F.lit(-1)).otherwise(F.col("__share")))
-    first = F.min(identity).over(Window.partitionBy(*keys, "__place")) == identity
-    return local.withColumn(out, ~(F.col("__lead") & first)).drop("__share", "__lead", "__place")
+    joined = attach_group(df, keys, [F.min(identity).alias("__lowest")], null_safe=True)
+    return joined.withColumn(out, F.col("__lowest") != identity).drop("__lowest")
 
 
 def _key_match(df: DataFrame, side: DataFrame, keys: Sequence[str], trim_equal: Sequence[str]) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itinera.operators.grouped import join_on, number_within, shift_within
-from itinera.operators.joins import small_side
 
 
 def lag_features(
@@ -68,7 +67,7 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Codes of the sorted categories as new columns; null is -1."""
     for c in columns:
-        codes = small_side(category_codes(df, c).select(F.col("value").alias(c), F.col("code").alias(f"{c}{suffix}")))
+        codes = category_codes(df, c).select(F.col("value").alias(c), F.col("code").alias(f"{c}{suffix}"))
         df = join_on(df, codes, [c], "left").withColumn(f"{c}{suffix}", F.coalesce(F.col(f"{c}{suffix}"), F.lit(-1)))
     return df
 

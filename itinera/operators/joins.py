@@ -1,4 +1,8 @@
-"""Dimension lookups, update joins, differences."""
+"""Dimension lookups, update joins, differences.
+
+No join carries a hint: adaptive execution knows a side's bytes when it runs and broadcasts it, or shuffles both and splits
+skewed keys. No job runs while a plan is built.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +13,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; 200,000 narrow rows are a few tens of megabytes.
-BROADCAST_ROWS = 200_000
-
-
-def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The dimension with a broadcast hint when a count proves it small, unchanged otherwise.
-
-    The count reads at most ``max_rows + 1`` rows. Unhinted, Spark plans a shuffled join whose skew AQE splits.
-    """
-    narrow = dim.select(dim.columns[0]) if dim.columns else dim
-    return F.broadcast(dim) if narrow.limit(max_rows + 1).count() <= max_rows else dim
-
-
 def unique_dimension(dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row per key, so a lookup never multiplies rows; among duplicates the smallest values win."""
     picked = F.min(F.struct(*[F.col(c) for c in columns])).alias("__v")

@@ -16,6 +16,7 @@ from itinera.operators.filters import any_slot_in_range
 from itinera.operators.profile import reconcile, rejection_summary
 from itinera.operators.reshape import legs_of, widen_route, with_slots
 from itinera.operators.segment import by_time, routes_anchored
+from itinera.session import scratch_path
 from itinera.spec import SourceSpec
 
 ROUTE_NO = "route_no"
@@ -24,7 +25,7 @@ _EMPTY_SLOT = (fl.NUMBER_NULL, fl.DATE_NULL, fl.BOTH_NULL, fl.NUMBER_EMPTY)
 
 @dataclass(frozen=True)
 class CleanResult:
-    """Outputs of one cleaning run; all lazy."""
+    """Outputs of one cleaning run, read from its stored rows."""
 
     source: DataFrame
     accepted: DataFrame
@@ -113,16 +114,24 @@ def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     return rows.select(*out, "__raw")
 
 
-def label_routes(
+def turned_down(
     rows: DataFrame, spec: SourceSpec, row_id: str, target: DataFrame | None, trim_equal: Sequence[str]
 ) -> DataFrame:
-    """Add ``__status``: null for an accepted route, otherwise why it is turned down."""
-    flagged = flag_repeats(rows, spec.key_columns, [row_id, ROUTE_NO], "__repeat")
+    """(row id, route number, status) of the routes that are not accepted; only key columns are read and shuffled."""
+    keys = list(dict.fromkeys([*spec.key_columns, *(spec.target_key_columns if target is not None else ())]))
+    narrow = rows.select(row_id, ROUTE_NO, *[F.col(f"`{k}`") for k in keys if k not in (row_id, ROUTE_NO)])
+    flagged = flag_repeats(narrow, spec.key_columns, [row_id, ROUTE_NO], "__repeat")
     status = F.when(F.col("__repeat"), fl.BATCH_DUPLICATE)
     if target is not None:
         flagged = flag_known(flagged, target, spec.target_key_columns, "__known", trim_equal)
         status = status.when(F.col("__known"), fl.TARGET_CONFLICT)
-    return flagged.withColumn("__status", status).drop("__repeat", "__known")
+    return flagged.select(row_id, ROUTE_NO, status.alias("__status")).filter(F.col("__status").isNotNull())
+
+
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def clean_bookings(
@@ -133,18 +142,21 @@ def clean_bookings(
     trim_equal: Sequence[str] = (),
     rejected_at: Column | None = None,
 ) -> CleanResult:
-    """Clean one extract against the rows already in the target.
+    """Clean one extract against the rows already in the target. Eager: the parsed rows and the labels of the routes turned
+    down are written once, below the checkpoint folder, and all outputs read them.
 
     ``row_id`` must be unique. Duplicates inside this run are ``BATCH DUPLICATE`` (the lowest row id and route number
     stays), keys already in the target are ``DB UNIQUE VIOLATION``. Keys compare null-safe; ``trim_equal`` names key
     columns that compare trimmed and never match on null.
     """
-    staged = stage_rows(df, spec)
-    labelled = label_routes(route_rows(staged, spec, row_id), spec, row_id, target, trim_equal)
+    # one pass over the input; routes, failures and labels each read what they need of the stored rows
+    staged = _stored(stage_rows(df, spec), "staged")
+    routes, failed = route_rows(staged, spec, row_id), failed_rows(staged, spec, row_id)
+    labels = _stored(turned_down(routes, spec, row_id, target, trim_equal), "labels")
     detail = F.when(F.col("__status") == fl.BATCH_DUPLICATE, "Duplicate within batch").otherwise(
         "Composite key already in target"
     )
-    turned_down = labelled.filter(F.col("__status").isNotNull()).select(
+    repeated = routes.join(labels, [row_id, ROUTE_NO]).select(
         row_id,
         ROUTE_NO,
         *[F.col("__raw").getField(c).alias(c) for c in spec.columns],
@@ -152,6 +164,6 @@ def clean_bookings(
         detail.alias("RejectionDetail"),
     )
     stamp = rejected_at if rejected_at is not None else F.lit(None).cast("timestamp_ntz")
-    rejected = failed_rows(staged, spec, row_id).unionByName(turned_down).withColumn("RejectedAt", stamp)
-    accepted = labelled.filter(F.col("__status").isNull()).drop("__raw", "__status")
+    rejected = failed.unionByName(repeated).withColumn("RejectedAt", stamp)
+    accepted = routes.drop("__raw").join(labels, [row_id, ROUTE_NO], "left_anti")
     return CleanResult(df, accepted, rejected)

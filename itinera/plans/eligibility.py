@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itinera.operators.grouped import group_summary, join_on
-from itinera.operators.joins import literal_map, lookup, small_side, unique_dimension, update_from
+from itinera.operators.joins import literal_map, lookup, unique_dimension, update_from
 
 # Carriers with rules of their own, and their limits in years (L1, L2).
 SPECIAL_CARRIERS = ("BA", "TK", "PC", "JU", "FH", "VF", "VS")
@@ -48,7 +48,7 @@ def eligibility_by_connection(
     in the EU and some leg departs in the EU or arrives there with an EU carrier. The sets come from
     :func:`member_set`. Needs ``FromAirport``, ``ToAirport``, ``AirlineCode``.
     """
-    airports, carriers = small_side(eu_airports), small_side(eu_carriers)
+    airports, carriers = eu_airports, eu_carriers
     rows = legs.select(connection, leg_no, "FromAirport", "ToAirport", "AirlineCode")
     rows = lookup(rows, airports, "FromAirport", "__m", {"__dep": "__hit"})
     rows = lookup(rows, airports, "ToAirport", "__m", {"__arr": "__hit"})
@@ -93,7 +93,7 @@ def airport_limits(
         .agg(F.max(number(l1)).alias("l1"), F.max(number(l2)).alias("l2"))
     )
     plain = unique_dimension(airports, code, [country])
-    joined = plain.join(small_side(per_country), plain[country] == per_country["__country"], "left")
+    joined = plain.join(per_country, plain[country] == per_country["__country"], "left")
     return joined.select(
         F.col(code).alias("code"),
         F.col(country).alias("country"),
@@ -118,7 +118,7 @@ def time_limits(
     ``strict`` makes a connection without any limit fail even when it departs after ``as_of``.
     """
     rows = legs.filter(F.col(eligible)) if eligible else legs
-    side = small_side(limits_by_airport)
+    side = limits_by_airport
     rows = rows.select(connection, "FromAirport", "ToAirport", "AirlineCode", "DepartureDate")
     rows = lookup(rows, side, "FromAirport", "code", {"__d1": "l1", "__d2": "l2"})
     rows = lookup(rows, side, "ToAirport", "code", {"__a1": "l1", "__a2": "l2"})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itinera.functions.dates import utc_offset_hours, utc_offset_label, valid_zone
-from itinera.operators.joins import distinct_pairs, lookup, small_side
+from itinera.operators.joins import distinct_pairs, lookup
 
 
 def airport_key(c: Column | str) -> Column:
@@ -29,7 +29,7 @@ def enrich_utc_offset(
     The offset is an inlined expression over a zone lookup, so there is no pass for distinct (airport, day) pairs.
     ``kind``: ``label`` (``+5.5``), ``whole`` (``+5``) or ``hours`` (5.5).
     """
-    side = small_side(zones)
+    side = zones
     for airport, out in airports.items():
         df = lookup(df, side, airport_key(airport), "code", {f"__zone_{out}": "zone"})
         zone = F.col(f"__zone_{out}")

@@ -82,10 +82,9 @@ def test_running_sum_matches_pandas(hot):
     pd.testing.assert_series_equal(got["total"], want["total"], check_dtype=False)
 
 
-@pytest.mark.parametrize("shares", [1, 3, 4096])
-def test_flag_repeats_is_the_same_for_any_number_of_shares(hot, shares):
+def test_flag_repeats_keeps_the_first(hot):
     same(
-        dedupe.flag_repeats(hot, ["k"], ["id"], shares=shares).filter("NOT is_repeat"),
+        dedupe.flag_repeats(hot, ["k"], ["id"]).filter("NOT is_repeat"),
         dedupe.keep_first(hot, ["k"], ["id"]),
         "id",
     )
