@@ -26,7 +26,7 @@ from itinera.operators.reshape import (
     with_legs,
 )
 from itinera.operators.segment import by_time, routes_anchored, routes_gap, routes_gap_days, trips_gap
-from itinera.plans.trips import clean_leg_rows, reconstruct_bookings, reconstruct_trips, trips_of_legs
+from itinera.plans.trips import clean_leg_rows, reconstruct_bookings, reconstruct_rowwise, reconstruct_trips, trips_of_legs
 from itinera.spec import SourceSpec, letters
 
 # The booking view as a six-slot source; order dates run 1995-2001, so the range leaves rows out on both sides.
@@ -149,6 +149,45 @@ def d5(d: Data) -> DataFrame:
     return _leg_rows(d, dedupe.collapse_consecutive)
 
 
+def _rowwise_sql(dedupe: str, same: str) -> str:
+    """Legs in slot order, equal ones out, routes by gap, equal ones of a route out, departures only."""
+    wide = ", ".join(
+        [f"max(CASE WHEN k = {k} THEN fn END) AS flight{k}" for k in SIX]
+        + [f"CAST(max(CASE WHEN k = {k} THEN dt END) AS VARCHAR) AS date{k}" for k in SIX]
+        + [f"max(CASE WHEN k = {k} THEN dep END) AS airport{k}" for k in SIX]
+    )
+    return oracle(
+        "v_booking",
+        f"""WITH {LEGS}, {dedupe}, {sql_fold('kept', 'slot', same)},
+again AS (SELECT *, row_number() OVER (PARTITION BY row_id, route_no, fn, dt ORDER BY leg_no) AS copy FROM routed),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY row_id, route_no ORDER BY leg_no) AS k FROM again WHERE copy = 1)
+SELECT row_id, CAST(route_no AS BIGINT) AS route_no, count(*) AS leg_count, {wide}, CAST(NULL AS VARCHAR) AS airport7 FROM numbered GROUP BY row_id, route_no""",
+        True,
+    )
+
+
+_KEPT_PAIRS = "r AS (SELECT *, row_number() OVER (PARTITION BY row_id, fn, dt ORDER BY slot) AS rn FROM legs), kept AS (SELECT * FROM r WHERE rn = 1)"
+_KEPT_DATES = "r AS (SELECT *, row_number() OVER (PARTITION BY row_id, dt ORDER BY slot) AS rn FROM legs), kept AS (SELECT * FROM r WHERE rn = 1)"
+_KEPT_CONSECUTIVE = """r AS (SELECT *, lag(fn) OVER w AS pf, lag(dt) OVER w AS pd, row_number() OVER w AS rn FROM legs WINDOW w AS (PARTITION BY row_id ORDER BY slot)),
+kept AS (SELECT * FROM r WHERE rn = 1 OR NOT (pf IS NOT DISTINCT FROM fn AND pd IS NOT DISTINCT FROM dt))"""
+_GAP, _GAP_DAYS = "abs(epoch(o.dt) - epoch(f.dt)) <= 129600", "abs(floor((epoch(o.dt) - epoch(f.dt)) / 86400)) <= 1"
+
+
+@query("b2_reconstruct_rowwise_gap", _rowwise_sql(_KEPT_PAIRS, _GAP))
+def b2_rowwise_gap(d: Data) -> DataFrame:
+    return plain(reconstruct_rowwise(d.view("v_booking"), BOOKING, "row_id"))
+
+
+@query("b2_reconstruct_rowwise_days", _rowwise_sql(_KEPT_DATES, _GAP_DAYS))
+def b2_rowwise_days(d: Data) -> DataFrame:
+    return plain(reconstruct_rowwise(d.view("v_booking"), BOOKING, "row_id", routes=routes_gap_days, dedupe="dates"))
+
+
+@query("d5_route_distinct", _rowwise_sql(_KEPT_CONSECUTIVE, _GAP))
+def d5_route(d: Data) -> DataFrame:
+    return plain(reconstruct_rowwise(d.view("v_booking"), BOOKING, "row_id", dedupe="consecutive"))
+
+
 _WIDE = ",\n".join(
     [f"max(CASE WHEN leg_no = {k} THEN fn END) AS flight{k}" for k in SIX]
     + [f"CAST(max(CASE WHEN leg_no = {k} THEN dt END) AS VARCHAR) AS date{k}" for k in SIX]

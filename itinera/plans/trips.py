@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itinera.functions.dates import normalize_date
 from itinera.functions.flights import is_placeholder_flight, normalize_flight_keep_digit
-from itinera.operators.dedupe import keep_first
+from itinera.operators.dedupe import collapse_consecutive, dedupe_dates, dedupe_pairs, keep_first
 from itinera.operators.filters import non_blank, usable_leg
 from itinera.operators.grouped import TIME_WIDTH
-from itinera.operators.reshape import pivot_route, unpivot_legs
-from itinera.operators.segment import HOUR, trips_gap
+from itinera.operators.reshape import explode_routes, pivot_route, unpivot_legs, widen_route, with_legs
+from itinera.operators.segment import HOUR, routes_gap, trips_gap
 from itinera.spec import SourceSpec
 
 
@@ -97,3 +97,32 @@ def reconstruct_bookings(
     return reconstruct_trips(
         legs, [booking, pax], [row_id], spec.slots, any_value, null_columns, names=names, **options
     )
+
+
+# How equal legs of a row are found before its routes are cut.
+ROW_DEDUPE: dict[str, Callable[[Column], Column]] = {"pairs": dedupe_pairs, "dates": dedupe_dates, "consecutive": collapse_consecutive}
+
+
+def distinct_in_route(route: Column) -> Column:
+    """A route's legs without later ones of the same flight number and date."""
+    return dedupe_pairs(route)
+
+
+def reconstruct_rowwise(
+    df: DataFrame,
+    spec: SourceSpec,
+    row_id: str,
+    carry: Sequence[str] = (),
+    routes: Callable[[Column], Column] = routes_gap,
+    dedupe: str = "pairs",
+    departures_only: bool = True,
+) -> DataFrame:
+    """Trips inside each row: valid legs in slot order, equal ones out, routes by gap, one wide row a route.
+
+    No shuffle. A route has at most as many legs as its row has slots, so nothing overflows. Columns: the row id, the
+    carried columns, ``route_no``, ``leg_count`` and the slot columns of the spec.
+    """
+    legs = with_legs(df, spec, "__legs").withColumn("__legs", ROW_DEDUPE[dedupe]("__legs"))
+    rows = explode_routes(legs, routes(F.col("__legs")), [row_id, *carry]).withColumn("route", distinct_in_route(F.col("route")))
+    wide = widen_route(F.col("route"), spec.slots, spec.number, spec.date, spec.airport_names, departures_only)
+    return rows.select(row_id, *carry, "route_no", F.size("route").alias("leg_count"), *[c.alias(n) for n, c in wide.items()])

@@ -102,6 +102,22 @@ SPECS: dict[str, SourceSpec] = {
             normalize=letters_or_digit,
             rules=fl.STRICT_JOINED,
         ),
+        # the earlier cleaner of the same extract: a narrower key, which is the target's as well
+        SourceSpec(
+            "five_slot_narrow_key",
+            ("BookingId", "PaxName", "JourneyBucket", "BookingRef_PNR", "Airline", "ETicketNo"),
+            5,
+            date="DepartureDateLocal{}",
+            normalize=letters_or_digit,
+            rules=fl.STRICT_JOINED,
+            year_min=2010,
+            year_max=2030,
+            key=("BookingId", "PaxName", "FlightNumber1", "DepartureDateLocal1", "Airport1", "Airport2"),
+        ),
+        # the earlier cleaner of six slots: a slot needs a number that is not made up and a date, nothing else
+        _spec(
+            "six_slot_minimal", "PaxName PNRCRS PNRAirline Airlines AirlineCode TktNo", 6, "PNRCRS AirlineCode TktNo", rules=fl.MINIMAL
+        ),
         _spec(
             "four_slot_billed",
             "BillDate PaxName PNRNo AirlineName TicketNo SupplierName PaxType",
@@ -167,6 +183,16 @@ SPECS: dict[str, SourceSpec] = {
             year_min=1990,
             year_max=2100,
         ),
+        SourceSpec(
+            "seven_slot_rowwise",
+            ("PaxName", "BookingRef", "ETicketNo", "ClientCode", "Airline", "JourneyType"),
+            7,
+            date="DepartureDateLocal{}",
+            normalize=fl.normalize_flight_keep_digit,
+            rules=fl.MINIMAL,
+            year_min=2010,
+            year_max=2030,
+        ),
         SourceSpec(
             "six_slot_trips",
             ("Pax Name", "PNR CRS", "PNR Airline", "Airlines", "Ticket Number"),
@@ -181,6 +207,7 @@ SPECS: dict[str, SourceSpec] = {
     )
 }
 
+# The spellings of slot columns.
 _NUMBER = re.compile(r"^(?:Flit|Flt|Flight)(?:No|Number)?(\d+)$", re.IGNORECASE)
 _DATE = re.compile(r"^(?:Flt|Flight)?(?:Date|Dt)(\d+)$", re.IGNORECASE)
 
