@@ -36,7 +36,9 @@ DENSITY, MOST = 1.0, 16_384
 COPIES, BOUNDARY = 4, 1.05
 TARGET, PROBES = 0.97, 200
 #: Entries of a group of lists, and links of a centroid in the graph.
-GROUP, DEGREE = 40_000, 16
+GROUP, DEGREE = 8_000, 16
+#: Distinct queries that one task answers at most.
+ASKED = 50_000
 _BATCH = 1024
 
 
@@ -189,9 +191,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
 
     # lists are dealt to groups at random but for good; a group holds about GROUP entries
     copies = placed.agg(F.sum(F.size("lists"))).first()[0]
-    groups = max(1, -(-copies // GROUP))
+    groups = max(1, min(len(centroids.points), -(-copies // GROUP)))
+    salts = max(1, -(-asked.count() // ASKED))  # a group's queries are shared out, each share with the group's entries
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salts = max(1, -(-parts // groups))
 
     def probe(batches):
         c = shared.value
