@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import csv
 import posixpath
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,8 @@ def file_headers(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
         cells = next(csv.reader([row["header"].lstrip("\ufeff")], delimiter=sep))
         lower = [c.lower() for c in cells]
         names = tuple((f"{c}{i}" if lower.count(c.lower()) > 1 else c) if c else f"_c{i}" for i, c in enumerate(cells))
-        found.setdefault(names, []).append(row["file"])
+        # the metadata column quotes the path as a URI; a reader takes it plain, with pattern characters escaped
+        found.setdefault(names, []).append(re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file"])))
     return found
 
 
@@ -172,4 +175,4 @@ def merge_frames(frames: Sequence[DataFrame]) -> DataFrame:
 
 def merge_files(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> DataFrame:
     """Several files with different headers as one table."""
-    return read_csv_all_string(spark, list(paths), sep)
+    return merge_frames([read_csv_all_string(spark, p, sep) for p in paths])

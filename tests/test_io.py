@@ -150,3 +150,30 @@ def test_incremental_equals_batch(spark, tmp_path):
     key = lambda d: sorted((r["Ref"], r["FlightNumber1"], str(r["FlightDate1"])) for r in d.collect())
     assert key(spark.read.parquet(out)) == key(batch.accepted)
     assert spark.read.parquet(bad).count() == batch.rejected.count()
+
+
+def test_csv_files_of_several_layouts(spark, tmp_path):
+    (tmp_path / "a [1] 50%.csv").write_text("pax,pnr\nP1,R1\nP2,R2\n")
+    (tmp_path / "b.csv").write_text("pnr,pax\nR3,P3\nbad\n")
+    (tmp_path / "c.csv").write_text("pax,pnr,extra\nP4,R4,x\n")
+    (tmp_path / "d.csv").write_text("")
+    rows = delimited.read_csv_all_string(spark, str(tmp_path), source="file").collect()
+    assert sorted((r["pax"], r["pnr"], r["extra"]) for r in rows) == [("P1", "R1", None), ("P2", "R2", None), ("P3", "R3", None), ("P4", "R4", "x")]
+    report = {r["file_name"]: tuple(r)[1:4] for r in delimited.load_report(spark, str(tmp_path)).collect()}
+    assert sorted(report.values()) == [(1, 1, 0), (2, 1, 1), (2, 2, 0)]
+    typed = delimited.read_csv_typed(spark, str(tmp_path), ["pnr"])
+    assert dict(typed.dtypes) == {"pax": "string", "pnr": "string", "extra": "string"}
+
+
+def test_split_connections_loses_no_leg(spark):
+    from itinera.operators.reshape import split_connections
+    from itinera.spec import SPECS
+
+    spec = SPECS["four_slot_plain"]
+    values = {c: None for c in spec.columns} | {f"FltNo{i}": f"AA{i}" for i in (1, 2, 3)} | {f"Airport{i}": f"P{i}" for i in (1, 2, 3, 4)}
+    schema = ", ".join(f"{c} string" for c in spec.columns)
+    df = spark.createDataFrame([tuple(values[c] for c in spec.columns)], schema)
+    got = sorted((r["FltNo1"], r["Airport1"], r["Airport2"]) for r in split_connections(df, spec).collect())
+    assert got == [("AA1", "P1", "P2"), ("AA2", "P2", "P3"), ("AA3", "P3", "P4")]
+    two = split_connections(df, spec, first_two=True, dropped="gone").collect()
+    assert [r["gone"] for r in two] == [1, 1]
