@@ -8,10 +8,11 @@ For each class: ``BANDS * ROWS`` minima. Their bands give the candidate buckets;
 bits are kept, packed into one signature. The share of equal low bits, corrected for chance collisions, estimates the
 similarity; candidates that fall short by over five standard errors are dropped, all others are confirmed on full sets.
 
-No bucket is expanded into all its pairs. First every member meets only the bucket's smallest member, and the links found
-are closed to connected components; for a group of near copies that is all, however large it is. Buckets whose members
-are still in several components are cut into blocks; a task holds two blocks of signatures, compares members of different
-components there and emits only pairs that the estimate lets through, which are confirmed like the first ones.
+No bucket is expanded into its pairs. First every member meets only the bucket's smallest member, and the links found are
+closed to connected components; for a group of near copies that is all, however large it is. Buckets whose members are
+still in several components are cut into blocks, and a task holds two blocks. From the signatures it names the members
+with a likely partner in another component; of these a second task holds the full sets and gives the links that join
+components. Both return at most their members, never their pairs.
 
 At 75 % similarity a pair misses all 24 bands of 3 rows with probability 2e-6.
 
@@ -180,45 +181,94 @@ def _near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return map_rows(both.select("a", "b", "pa", "pb"), run, "a long, b long")
 
 
-def _across(batches):
-    """Likely pairs of different cells: rows come sorted by (bucket, x, y), the pair of blocks that a group compares."""
-    group, rows = None, []
-    a, b, pa, pb = [], [], [], []
-
-    def emit():
-        keep = np.flatnonzero(_likely(pa, pb))
-        out = [min(a[i], b[i]) for i in keep], [max(a[i], b[i]) for i in keep]
-        for column in (a, b, pa, pb):
-            column.clear()
-        return out
-
-    def close():
-        _, x, y = group
-        ids, cells, sizes = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
-        block = np.array([r[0] for r in rows])
-        left = np.flatnonzero(block == x)
-        for i in left.tolist():
-            other = (cells != cells[i]) & (block == y) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * PERCENT)
-            if x == y:
-                other &= ids > ids[i]
-            for j in np.flatnonzero(other).tolist():
-                a.append(rows[i][1])
-                b.append(rows[j][1])
-                pa.append(rows[i][4])
-                pb.append(rows[j][4])
-            if len(a) > 200_000:
-                yield emit()
+_GROUP = ("bucket", "x", "y")
+_MEMBER = ("block", "doc_id", "cell")
+
 
+def _grouped(batches, columns):
+    """Rows of each (bucket, x, y), which arrive one after another; None after each batch."""
+    group, rows = None, []
     for batch in batches:
-        for bucket, x, y, *row in zip(*(batch[k] for k in ("bucket", "x", "y", "block", "doc_id", "cell", "n_shingles", "packed")), strict=True):
-            if (bucket, x, y) != group:
+        for *key, row in zip(*(batch[k] for k in _GROUP), zip(*(batch[k] for k in columns), strict=True), strict=True):
+            if key != group:
                 if rows:
-                    yield from close()
-                group, rows = (bucket, x, y), []
+                    yield group, rows
+                group, rows = key, []
             rows.append(row)
+        yield None, None
     if rows:
-        yield from close()
-    yield emit()
+        yield group, rows
+    yield None, None
+
+
+def _partners(x: int, y: int, block: np.ndarray, cells: np.ndarray, sizes: np.ndarray):
+    """For each member of block x the members of block y of other cells whose sizes allow the similarity, each pair once."""
+    for i in np.flatnonzero(block == x).tolist():
+        other = (block == y) & (cells != cells[i]) & (np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * PERCENT)
+        if x == y:
+            other[: i + 1] = False
+        js = np.flatnonzero(other)
+        if len(js):
+            yield i, js
+
+
+def _likely_members(batches):
+    """Of each pair of blocks the members that have a likely partner in another cell, from signatures alone."""
+    out = [[] for _ in range(6)]
+    for group, rows in _grouped(batches, (*_MEMBER, "n_shingles", "packed")):
+        if group is None:
+            yield tuple(out)
+            out = [[] for _ in range(6)]
+            continue
+        if len({r[2] for r in rows}) < 2:
+            continue
+        block, _, cells, sizes = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+        packed = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
+        hit = np.zeros(len(rows), bool)
+        for i, js in _partners(group[1], group[2], block, cells, sizes):
+            near = js[_estimates(packed[js], packed[i][None]) >= _least_estimate()]
+            if len(near):
+                hit[i] = True
+                hit[near] = True
+        for i in np.flatnonzero(hit).tolist():
+            for column, value in zip(out, (*group, *rows[i][:3]), strict=True):
+                column.append(value)
+
+
+def _links_of_blocks(batches):
+    """Links between the cells of a pair of blocks, confirmed on full sets. Cells that are joined already need no more, so
+    there are fewer links than cells."""
+    known = _WordHash()
+    out = [[], []]
+    for group, rows in _grouped(batches, (*_MEMBER, "text")):
+        if group is None:
+            yield tuple(out)
+            out = [[], []]
+            if len(known) > REMEMBER:
+                known = _WordHash()
+            continue
+        sets = shingle_sets([r[3] for r in rows], known)
+        block, ids, cells = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        sizes = np.array([len(s) for s in sets], np.int64)
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        mark = np.zeros(codes.max() + 1, np.int64)
+        root = cells.copy()
+        for i, js in _partners(group[1], group[2], block, cells, sizes):
+            js = js[root[js] != root[i]]
+            if not len(js):
+                continue
+            mine = codes[starts[i] : starts[i] + sizes[i]]
+            mark[mine] = 1
+            ends = np.cumsum(sizes[js])
+            flat = np.arange(ends[-1]) + np.repeat(starts[js] - (ends - sizes[js]), sizes[js])
+            both = np.add.reduceat(mark[codes[flat]], ends - sizes[js])
+            mark[mine] = 0
+            for j in js[100 * both >= PERCENT * (sizes[i] + sizes[js] - both)].tolist():
+                if root[i] != root[j]:
+                    out[0].append(int(min(ids[i], ids[j])))
+                    out[1].append(int(max(ids[i], ids[j])))
+                    root[root == root[j]] = root[i]
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -292,11 +342,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = cells.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc_id", "cell").join(marks, "doc_id")
+    met = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc_id", "cell")
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    met = met.repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
-    across = map_rows(met, _across, "a long, b long").distinct()
-    links = stored(links.unionByName(_confirm(across, texts)), "links")
+
+    def side_by_side(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP)
+
+    kinds = "bucket long, x int, y int, block int, doc_id long, cell long"
+    likely = stored(map_rows(side_by_side(met.join(marks, "doc_id")), _likely_members, kinds), "likely")
+    across = map_rows(side_by_side(likely.join(texts, "doc_id")), _links_of_blocks, "a long, b long").distinct()
+    links = stored(links.unionByName(across), "links")
     tree = components(links)
 
     heads = classes.join(tree.select(F.col("node").alias("first"), "component"), "first", "left").select(
