@@ -35,7 +35,7 @@ CHAIN, SPAN = 64, (4, 24)
 #: Most chain cells of a forward-backward pass.
 CELLS = 400_000
 #: Tokens a worker remembers before it starts anew; results do not depend on it.
-REMEMBER = 500_000
+REMEMBER = 800_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[\W\d_]+")
@@ -46,19 +46,47 @@ def word_of(token: str) -> str:
     return _LETTERS.sub("", token.lower())
 
 
-def features(word: str) -> list[int]:
-    """Hash slots of a word's affixes, letter n-grams and the word as a lexicon entry."""
-    framed = f"<{word}>"
-    names = [f"w{word}"] if len(word) <= 24 else []
-    names += [f"p{word[:n]}" for n in (1, 2, 3, 4) if n <= len(word)]
-    names += [f"s{word[-n:]}" for n in (1, 2, 3, 4) if n <= len(word)]
-    names += [f"g{g}" for n in (2, 3) for g in {framed[i : i + n] for i in range(len(framed) - n + 1)}]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SLOTS for x in names]
-
-
-def _emission(slots: list[int], weights: np.ndarray) -> np.ndarray:
-    # a mean, so that a long word is no surer than the evidence of its kinds of features
-    return weights[slots].sum(axis=0) / np.sqrt(len(slots))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, positions of their words): hash slots of affixes, letter n-grams and the word itself as a lexicon entry."""
+    framed = "".join(f"<{w}>" for w in words)
+    code = np.frombuffer(framed.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    end = np.cumsum(size + 2)
+    start = end - size - 2
+    owner = np.repeat(np.arange(len(words)), size + 2)
+    room = end[owner] - np.arange(len(code))  # characters from here to the end of the frame
+    slots, owners = [], []
+
+    def add(hashes: np.ndarray, kind: int, who: np.ndarray) -> None:
+        slots.append((_mixed(hashes + np.uint64(kind) * np.uint64(0x632BE59BD9B4E019)) % np.uint64(SLOTS)).astype(np.int64))
+        owners.append(who)
+
+    with np.errstate(over="ignore"):
+        run = np.zeros(len(code), np.uint64)  # hash of the n characters from each position on
+        for n in (1, 2, 3, 4):
+            run = run * np.uint64(0x9E3779B97F4A7C15) + np.r_[code[n - 1 :], np.zeros(n - 1, np.uint64)]
+            long = np.flatnonzero(size >= n)
+            add(run[start[long] + 1], 10 + n, long)
+            add(run[end[long] - 1 - n], 20 + n, long)
+            if n in (2, 3):
+                inside = np.flatnonzero(room >= n)
+                add(run[inside], 30 + n, owner[inside])
+        whole = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+        add(whole, 40, np.arange(len(words)))
+    return np.concatenate(slots), np.concatenate(owners)
+
+
+def _emissions(words: list[str], weights: np.ndarray) -> np.ndarray:
+    """Scores (words, labels): sums damped by the root of the number of features, so that length alone is no evidence."""
+    slots, owner = features(words)
+    n = np.bincount(owner, minlength=len(words))
+    total = np.stack([np.bincount(owner, weights[slots, k], len(words)) for k in range(weights.shape[1])], 1)
+    return (total / np.sqrt(n)[:, None]).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -133,20 +161,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: i
     if not names or not letters:
         return LanguageModel((), np.zeros((SLOTS, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
     chain, gold = _chains(texts, [names.index(x) for x in langs], words)
-    slots = [features(w) for w in words]
-    n = np.array([len(s) for s in slots])
-    flat, word = np.array([i for s in slots for i in s]), np.repeat(np.arange(len(slots)), n)
-    share = 1 / np.sqrt(n)
+    flat, word = features(list(words))
+    share = 1 / np.sqrt(np.bincount(word, minlength=len(words)))
     labels = len(names)
     w, change, start = np.zeros((SLOTS, labels)), np.eye(labels), np.zeros(labels)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (w, change, start)]
     mask = np.ones((CHAIN, len(chain)), bool)
     onehot = np.eye(labels)
     for t in range(1, rounds + 1):
-        score = np.stack([np.bincount(word, w[flat, k], len(slots)) for k in range(labels)], 1) * share[:, None]
+        score = np.stack([np.bincount(word, w[flat, k], len(words)) for k in range(labels)], 1) * share[:, None]
         gamma, pairs, _ = _pass(score[chain.T], mask, change, start)
         miss = gamma - onehot[gold.T]
-        by_word = np.stack([np.bincount(chain.T.ravel(), miss[:, :, k].ravel(), len(slots)) for k in range(labels)], 1) * share[:, None]
+        by_word = np.stack([np.bincount(chain.T.ravel(), miss[:, :, k].ravel(), len(words)) for k in range(labels)], 1) * share[:, None]
         grad_w = np.stack([np.bincount(flat, by_word[word, k], SLOTS) for k in range(labels)], 1) / chain.size
         seen = np.zeros((labels, labels))
         np.add.at(seen, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), 1)
@@ -158,23 +184,51 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: i
     return LanguageModel(names, w.astype(np.float32), change, start)
 
 
-class _Emissions(dict):
-    """Row of each token in a growing table of emissions; 0 for tokens without letters."""
+class _Emissions:
+    """A growing table of the emissions of words; row 0 is for tokens without letters."""
 
     def __init__(self, model: LanguageModel):
-        super().__init__()
         self.model = model
-        self.rows = [np.zeros(len(model.labels), np.float32)]
+        self.tokens: dict[str, int] = {}
         self.words: dict[str, int] = {"": 0}
-
-    def __missing__(self, token: str) -> int:
-        word = word_of(token)
-        row = self.words.get(word)
-        if row is None:
-            row = self.words[word] = len(self.rows)
-            self.rows.append(_emission(features(word), self.model.weights))
-        self[token] = row
-        return row
+        self.table = np.zeros((1024, len(model.labels)), np.float32)
+
+    def chains(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Table rows of the words of each text."""
+        split = [(t or "").split() for t in texts]
+        here: set[str] = set()
+        here.update(*split)
+        fresh = []
+        for token in here.difference(self.tokens):
+            word = word_of(token)
+            row = self.words.get(word)
+            if row is None:
+                row = self.words[word] = len(self.words)
+                fresh.append(word)
+            self.tokens[token] = row
+        if fresh:
+            first = len(self.words) - len(fresh)
+            while len(self.table) < len(self.words):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            for at in range(0, len(fresh), 100_000):
+                part = fresh[at : at + 100_000]
+                self.table[first + at : first + at + len(part)] = _emissions(part, self.model.weights)
+        out = []
+        for tokens in split:
+            rows = np.fromiter(map(self.tokens.__getitem__, tokens), np.int64, len(tokens))
+            out.append(rows[rows > 0])
+        return out
+
+
+# The worker's table, kept from task to task; by the model's checksum.
+_KNOWN: dict[int, _Emissions] = {}
+
+
+def _known(model: LanguageModel, seal: int) -> _Emissions:
+    if seal not in _KNOWN or len(_KNOWN[seal].tokens) > REMEMBER:
+        _KNOWN.clear()
+        _KNOWN[seal] = _Emissions(model)
+    return _KNOWN[seal]
 
 
 def _groups(lengths: list[int]) -> list[list[int]]:
@@ -203,10 +257,10 @@ def word_posteriors(model: LanguageModel, chains: list[np.ndarray], table: np.nd
 def predict(docs: DataFrame, model: LanguageModel, with_words: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score[, words array<string>: the label of each word that has letters])."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed number of slots
+    seal = zlib.crc32(model.weights.tobytes(), zlib.crc32(model.change.tobytes()))
 
     def run(batches):
         model = shared.value
-        known = _Emissions(model)
         for batch in batches:
             texts = batch["text"]
             at = 0
@@ -215,17 +269,12 @@ def predict(docs: DataFrame, model: LanguageModel, with_words: bool = False) ->
                 while upto < len(texts) and (upto == at or chars < 8_000_000):
                     chars += len(texts[upto] or "")
                     upto += 1
-                if len(known) > REMEMBER:
-                    known = _Emissions(model)
                 langs, scores = [UNKNOWN] * (upto - at), [0.0] * (upto - at)
                 said = [[] for _ in range(upto - at)]
                 if model.labels:
-                    chains = []
-                    for text in texts[at:upto]:
-                        tokens = (text or "").split()
-                        rows = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-                        chains.append(rows[rows > 0])
-                    table = np.array(known.rows, np.float32)
+                    known = _known(model, seal)
+                    chains = known.chains(texts[at:upto])
+                    table = known.table
                     for group, gamma, mask in word_posteriors(model, chains, table):
                         mean = (gamma * mask[:, :, None]).sum(axis=0) / mask.sum(axis=0)[:, None]
                         best = mean.argmax(axis=1)
