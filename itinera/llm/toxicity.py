@@ -82,7 +82,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int =
     slots = _Slots()
     columns, rows, sentences = [], [], []  # of each document: slots, the sentence of each, the number of sentences
     held = np.zeros(SLOTS, np.int32)
-    for text in texts:
+    for d, text in enumerate(texts):
+        texts[d] = None  # no text is needed twice
         column, row = array("i"), array("i")
         bag = _SENTENCE.findall(text) or [""]
         for i, sentence in enumerate(bag):
@@ -95,12 +96,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int =
         held[np.unique(columns[-1])] += 1
         if len(slots) > REMEMBER:
             slots = _Slots()
+    del slots
     used = np.flatnonzero(held >= LEAST)
     number = np.full(SLOTS, -1, np.int32)
     number[used] = np.arange(len(used))
     steps = []
-    for at in range(0, len(texts), STEP):
-        upto = min(at + STEP, len(texts))
+    for at in range(0, len(toxic), STEP):
+        upto = min(at + STEP, len(toxic))
         base = np.cumsum([0, *sentences[at:upto]])
         column = number[np.concatenate(columns[at:upto])]
         row = np.concatenate([r + b for r, b in zip(rows[at:upto], base[:-1], strict=True)]).astype(np.int32)
