@@ -35,8 +35,8 @@ SAMPLE = 20_000
 DENSITY, MOST = 1.0, 16_384
 COPIES, BOUNDARY = 4, 1.05
 TARGET, PROBES = 0.97, 200
-#: Entries of a group of lists, and links of a centroid in the graph.
-GROUP, DEGREE = 8_000, 16
+#: Entries of a group of lists at most and, where there are enough tasks, about; links of a centroid in the graph.
+GROUP, LEAST_GROUP, DEGREE = 100_000, 8_000, 16
 #: Distinct queries that one task answers at most.
 ASKED = 50_000
 _BATCH = 1024
@@ -191,9 +191,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
 
     # lists are dealt to groups at random but for good; a group holds about GROUP entries
     copies = placed.agg(F.sum(F.size("lists"))).first()[0]
-    groups = max(1, min(len(centroids.points), -(-copies // GROUP)))
-    salts = max(1, -(-asked.count() // ASKED))  # a group's queries are shared out, each share with the group's entries
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # few groups, as each gives a row a query: as many as there are tasks, more only where a group would get large
+    groups = max(1, min(len(centroids.points), max(-(-copies // GROUP), min(parts, -(-copies // LEAST_GROUP)))))
+    salts = max(1, -(-asked.count() // ASKED))  # a group's queries are shared out, each share with the group's entries
 
     def probe(batches):
         c = shared.value
@@ -222,10 +223,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     both = lists.withColumn("kind", F.lit(0)).select(columns).unionByName(probes.withColumn("kind", F.lit(1)).select(columns))
     ordered = both.repartition(parts, "group", "salt").sortWithinPartitions("group", "salt", "kind")
     near = map_rows(ordered, _answers(k), "key binary, ids array<long>, scores array<double>")
-    hits = near.select("key", F.explode(F.arrays_zip("ids", "scores")).alias("hit")).select("key", F.col("hit.ids").alias("vec_id"), F.col("hit.scores").alias("score"))
-    hits = hits.distinct()  # an entry of several lists may come from several groups
-    ranked = hits.withColumn("r", F.row_number().over(W.partitionBy("key").orderBy(F.desc("score"), "vec_id"))).where(F.col("r") <= k + 1)
-    whole = stored(ranked.groupBy("key").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("hits")), "hits")
+    # a query's answers from its groups meet sorted by query; no row for each of them is made
+    met = near.repartition(parts, "key").sortWithinPartitions("key")
+    whole = stored(map_rows(met, _merged(k), "key binary, hits array<struct<s:double,vec_id:long>>"), "hits")
     joined = queries.select(F.col("vec_id").alias("query_id"), "key").distinct().join(whole, "key")
     mine = F.slice(F.filter("hits", lambda h: h["vec_id"] != F.col("query_id")), 1, k)
     out = joined.select("query_id", F.posexplode(mine).alias("p", "h"))
@@ -271,6 +271,31 @@ def _answers(k: int):
     return run
 
 
+def _merged(k: int):
+    """Rows come sorted by query: its k + 1 best of all groups, an entry of several lists once."""
+
+    def run(batches):
+        key, hits = None, set()
+
+        def close():
+            return [key], [[{"s": s, "vec_id": d} for s, d in sorted(hits)[: k + 1]]]
+
+        for batch in batches:
+            out = [[], []]
+            for now, ids, scores in zip(batch["key"], batch["ids"], batch["scores"], strict=True):
+                if now != key:
+                    if key is not None:
+                        for column, value in zip(out, close(), strict=True):
+                            column.extend(value)
+                    key, hits = now, set()
+                hits.update((-s, d) for s, d in zip(scores, ids, strict=True))
+            yield tuple(out)
+        if key is not None:
+            yield close()
+
+    return run
+
+
 def _ask(asked, state, k, out) -> None:
     if not asked:
         return
