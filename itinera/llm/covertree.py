@@ -2,7 +2,7 @@
 
 Unit vectors with a cosine of at least ``cosine`` lie within r = sqrt(2 - 2 * cosine) of each other. Equal vectors of a
 label are one class first. A label's classes fall into cells around a bounded number of pivots; a cell pair whose
-covering radii keep it further apart than r is dropped, and so are, for each cell pair, nothing else. Cells are cut into
+covering radii keep it further apart than r is dropped. Cells are cut into
 blocks of at most ``BLOCK`` classes. Each block gets a cover tree: nested levels, where a level's centres cover
 their points within half the radius of the level above and every centre is the first of its own children.
 
