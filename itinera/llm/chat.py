@@ -76,8 +76,7 @@ def format_conversations(rows: DataFrame, path: str | None = None, part: int = P
     roles = frozenset(trained)
 
     def run(batches):
-        coder = tokenizer(path)
-        coder.encode_special_tokens = True  # their strings in a text are ordinary text
+        coder = tokenizer(path, plain_specials=True)
         conv, serial, pieces, spans, chars = None, 0, [], [], 0
 
         def close():

@@ -60,6 +60,21 @@ def test_bpe_is_the_library(spark, byte_coder):
     assert sum(r.doc_id is None for r in found) == 1
 
 
+def test_bpe_after_chat_in_the_same_workers(spark, byte_coder):
+    said = spark.createDataFrame([(c, 0, "assistant", "a <|endoftext|>") for c in range(200)], "conv_id long, turn long, role string, text string")
+    docs = spark.createDataFrame([(i, f"w{i}<|endoftext|> x{i}") for i in range(200)], "doc_id long, text string")
+    expected = {r.doc_id: byte_coder.encode(r.text, add_special_tokens=False).ids for r in docs.collect()}
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")  # tasks for every worker
+    try:
+        for _ in range(2):
+            assert all(50256 not in r.ids for r in chat.format_conversations(said).collect())
+            found = {r.doc_id: r.ids for r in bpe.encode(docs).collect()}
+            assert found == expected and all(50256 in ids for ids in found.values())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+
+
 def test_bpe_round_trip_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK", 300)
     docs = frame(spark, ODD[:12]).repartition(3)
