@@ -358,8 +358,11 @@ def _contexts(length: int, shares: int):
 # ---- equal windows of a share ----------------------------------------------------------------------------------------
 
 
-def _right_order(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Occurrences in the order of (gram, bytes from the gram on), from the suffix array of their records' symbols."""
+def _right_order(gram: np.ndarray, right: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Occurrences in the order of (gram, bytes from the gram on), from the suffix array of their records' symbols.
+
+    Bytes past the end of a context (``behind`` of them are its own) are 0 in ``right``, so the last symbol puts the
+    shorter of equal rows first: an end is less than any byte."""
     rest = right.shape[1] - GRAM
     half = (rest + 1) // 2
     _, g = np.unique(gram, return_inverse=True)
@@ -369,6 +372,7 @@ def _right_order(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
         if run.shape[1]:
             _, rank = np.unique(run.view(f"S{run.shape[1]}").ravel(), return_inverse=True)
             symbols.append(rank + symbols[0].max() + 1)
+    symbols.append(behind + 1)
     width = len(symbols)
     text = [*np.stack(symbols, 1).ravel().tolist(), 0]
     order = np.array(suffix_array(text))
@@ -386,7 +390,7 @@ def equal_windows(gram: np.ndarray, left: np.ndarray, contexts: list[bytes], len
     begin = np.cumsum(sizes) - sizes
     right = flat[(begin + left)[:, None] + np.arange(length)]
     right = np.where(np.arange(length) < behind[:, None], right, 0).astype(np.uint8)
-    order = _right_order(gram, right)
+    order = _right_order(gram, right, behind)
     sorted_right = right[order]
     differ = sorted_right[1:] != sorted_right[:-1]
     same = np.where(differ.any(axis=1), differ.argmax(axis=1), length)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -151,6 +152,25 @@ def test_repeated_bytes_are_the_brute_ones(spark, tmp_path, monkeypatch, block,
     assert {r.doc_id: tuple(r)[1:] for r in found} == dict(enumerate(expected))
 
 
+def test_windows_behind_contexts_that_end_early():
+    head, after = b"g" * suffix.GRAM, b"t" * 86
+    ends = [after + bytes(50), after + bytes(20), after + bytes(50)]
+    for order in itertools.permutations(range(3)):
+        repeated, own = suffix.equal_windows(np.ones(3, np.uint64), np.zeros(3, np.int64), [head + ends[i] for i in order], 200)
+        assert repeated[:, 0].tolist() == own[:, 0].tolist() == [i != 1 for i in order]
+
+
+def test_repeats_of_texts_with_nul_bytes(spark):
+    rng, texts = random.Random(12), []
+    for order in [*itertools.permutations(range(3))] * 4:
+        t = "".join(rng.choice("abcdefgh") for _ in range(150))
+        three = [t + "\x00" * 200 + "a", "b" * 100 + t + "\x00" * 20, t + "\x00" * 200 + "c"]
+        texts += [three[i] for i in order]
+    rows = spark.sparkContext.parallelize(list(enumerate(texts)), len(texts) // 2)  # so blocks do not hold equal contexts
+    found = suffix.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in found} == {i: e[3] for i, e in enumerate(_repeats_brute(texts))}
+
+
 def test_drop_repeats_keeps_rows(spark):
     texts = [*_documents(6), None]
     df = _frame(spark, texts).unionByName(spark.createDataFrame([(None, "y" * 10, "k", 1, b"x"), (0, "z", "k", 1, b"x")], _frame(spark, ["a"]).schema))
