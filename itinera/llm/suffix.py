@@ -8,8 +8,8 @@ one place would find these strings; here it is cut into pieces that workers can
    within a block and sends each distinct gram of a block once; grams of one occurrence in all are done with.
 2. The blocks meet their repeated grams again and send, for each occurrence, the bytes around it that its windows cover
    (not the texts). Copies of such a context within a block are told there.
-3. A share of the grams makes a string of symbols, one record an occurrence: the gram, then the ranks of the byte runs
-   behind it. Its suffix array is built by grouping suffixes by their Lyndon prefixes and emitting each group's order
+3. The contexts of a share make strings, some grams each, one record an occurrence: the gram, the bytes behind it and an
+   end. Their suffix arrays are built by grouping suffixes by their Lyndon prefixes and emitting each group's order
    (``suffix_array``). Neighbours in it share the longest run of bytes behind the gram; together with the bytes before
    the gram this tells which windows are equal.
 4. A gram with more than ``LIMIT`` occurrences is split over several shares. Windows that stay single in a share are
@@ -43,6 +43,8 @@ GRAM = 64
 BLOCK, PART = 6_000_000, 1_000_000
 #: Contexts of a share on average, and the most occurrences of a gram in one share.
 SHARE, LIMIT = 20_000, 20_000
+#: Symbols of a suffix array, about; more only where one gram's contexts are.
+SYMBOLS = 300_000
 #: Negative share numbers over which blocks spread the intervals that they know already.
 SURE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -359,25 +361,39 @@ def _contexts(length: int, shares: int):
 
 
 def _right_order(gram: np.ndarray, right: np.ndarray, behind: np.ndarray) -> np.ndarray:
-    """Occurrences in the order of (gram, bytes from the gram on), from the suffix array of their records' symbols.
-
-    Bytes past the end of a context (``behind`` of them are its own) are 0 in ``right``, so the last symbol puts the
-    shorter of equal rows first: an end is less than any byte."""
-    rest = right.shape[1] - GRAM
-    half = (rest + 1) // 2
-    _, g = np.unique(gram, return_inverse=True)
-    runs = [np.ascontiguousarray(right[:, GRAM : GRAM + half]), np.ascontiguousarray(right[:, GRAM + half :])]
-    symbols = [g + 1]
-    for run in runs:
-        if run.shape[1]:
-            _, rank = np.unique(run.view(f"S{run.shape[1]}").ravel(), return_inverse=True)
-            symbols.append(rank + symbols[0].max() + 1)
-    symbols.append(behind + 1)
-    width = len(symbols)
-    text = [*np.stack(symbols, 1).ravel().tolist(), 0]
-    order = np.array(suffix_array(text))
-    order = order[(order % width == 0) & (order < len(text) - 1)]
-    return order // width
+    """Occurrences in the order of (gram, bytes from the gram on), from suffix arrays of their records.
+
+    A record is the gram's symbol, the bytes behind the gram, as many as the context has (``behind`` counts from the gram
+    on), and an end below all bytes. Whole grams go together, about SYMBOLS symbols at a time; one alone is in order.
+    """
+    by = np.argsort(gram, kind="stable")
+    first = np.flatnonzero(np.r_[True, gram[by][1:] != gram[by][:-1]])
+    sizes = behind[by] - GRAM + 2
+    upto = np.cumsum(sizes)
+    out, at = [], 0
+    edges = [*first[1:].tolist(), len(by)]
+    for k, edge in enumerate(edges):
+        if k + 1 < len(edges) and upto[edges[k + 1] - 1] - (upto[at - 1] if at else 0) <= SYMBOLS:
+            continue
+        mine = by[at:edge]
+        at = edge
+        _, g, n = np.unique(gram[mine], return_inverse=True, return_counts=True)
+        out.append(mine[n[g] == 1])
+        mine, g = mine[n[g] > 1], g[n[g] > 1]
+        if not len(mine):
+            continue
+        end = behind[mine, None] - GRAM + 1
+        column = np.arange(right.shape[1] - GRAM + 2)
+        symbols = np.zeros((len(mine), len(column)), np.int64)
+        symbols[:, 0] = g + 258
+        symbols[:, 1:-1] = right[mine, GRAM:].astype(np.int64) + 2
+        symbols[column == end] = 1
+        flat = symbols[column <= end]
+        record = np.full(len(flat) + 1, -1)
+        record[np.r_[0, np.cumsum(end.ravel() + 1)[:-1]]] = np.arange(len(mine))
+        order = record[suffix_array([*flat.tolist(), 0])]
+        out.append(mine[order[order >= 0]])
+    return np.concatenate(out) if out else by
 
 
 def equal_windows(gram: np.ndarray, left: np.ndarray, contexts: list[bytes], length: int):

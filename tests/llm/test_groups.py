@@ -152,6 +152,27 @@ def test_repeated_bytes_are_the_brute_ones(spark, tmp_path, monkeypatch, block,
     assert {r.doc_id: tuple(r)[1:] for r in found} == dict(enumerate(expected))
 
 
+def test_contexts_are_ordered_by_suffix_arrays_of_their_bytes(monkeypatch):
+    rng, made, build = random.Random(13), [], suffix.suffix_array
+    monkeypatch.setattr(suffix, "suffix_array", lambda text: made.append(text) or build(text))
+    monkeypatch.setattr(suffix, "SYMBOLS", 400)
+    n = 300
+    gram = np.array([rng.choice([3, 5, 2**63, rng.randrange(2**64)]) for _ in range(n)], np.uint64)
+    rest = [bytes(rng.choice([0, 1, 255]) for _ in range(rng.choice([0, 1, 4, 136]))) for _ in range(n)]
+    right = np.frombuffer(b"".join((b"g" * suffix.GRAM + r).ljust(200, b"\0") for r in rest), np.uint8).reshape(n, 200)
+    order = suffix._right_order(gram, right, np.array([suffix.GRAM + len(r) for r in rest]))
+    assert sorted(order.tolist()) == list(range(n))
+    by = defaultdict(list)
+    for i in order.tolist():
+        by[int(gram[i])].append(i)
+    assert sum(int(gram[a]) != int(gram[b]) for a, b in zip(order, order[1:], strict=False)) == len(by) - 1
+    for mine in by.values():
+        assert [rest[i] for i in mine] == sorted(rest[i] for i in mine)
+    counts = Counter(gram.tolist())
+    expected = sum(len(r) + 2 for r, g in zip(rest, gram.tolist(), strict=True) if counts[g] > 1)
+    assert sum(len(text) - 1 for text in made) == expected  # every byte behind a gram is a symbol
+
+
 def test_windows_behind_contexts_that_end_early():
     head, after = b"g" * suffix.GRAM, b"t" * 86
     ends = [after + bytes(50), after + bytes(20), after + bytes(50)]
