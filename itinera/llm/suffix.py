@@ -333,14 +333,14 @@ def _contexts(length: int, shares: int):
                 item = seen.setdefault((int(value[i]), p - lo, ctx), [int(split[place[i]]), 0])
                 item[1] += 1
                 item.append((keys[a + o], start))
-        packed = defaultdict(list)
+        packed, mixed = defaultdict(list), zlib.crc32(block.to_bytes(8, "little"))  # neither tasks nor serials count evenly
         for (gram, left, ctx), (parts, n, *places) in seen.items():
             if n > 1:  # all of these windows are repeated within the block
                 sure.extend((k, s, s + len(ctx)) for k, s in places)
-            share = (gram * 0x9E3779B97F4A7C15 % 2**64 + block % parts * 0x632BE59BD9B4E019) % 2**64 * shares >> 64
+            share = (gram * 0x9E3779B97F4A7C15 % 2**64 + mixed % parts * 0x632BE59BD9B4E019) % 2**64 * shares >> 64
             packed[share].append((gram, left, parts, n, *places[0], ctx))
         if sure:
-            out["share"].append(-1 - zlib.crc32(block.to_bytes(8, "little")) % SURE)
+            out["share"].append(-1 - mixed % SURE)
             out["keys"].append([k for k, _, _ in sure])
             out["froms"].append([a for _, a, _ in sure])
             out["tos"].append([b for _, _, b in sure])

@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +194,19 @@ def test_repeats_of_texts_with_nul_bytes(spark):
     assert {r.doc_id: hashlib.sha256(r.text.encode()).hexdigest() for r in found} == {i: e[3] for i, e in enumerate(_repeats_brute(texts))}
 
 
+@pytest.mark.parametrize("parts", [2, 4, 6, 8])
+def test_hot_gram_is_split_over_blocks_of_many_tasks(parts):
+    text = "".join(random.Random(14).choice("abcdefgh") for _ in range(200)).encode()
+    found = suffix._Grams([text], 200)
+    gram = int(found.hash[found.occurrences()[0][0]].view(np.int64))
+    shares = Counter()
+    for task in range(64):  # each with one small block
+        rows = pd.DataFrame({"block": [task << 32], "seal": [1], "row": [0], "n": [1], "text": [zlib.compress(text)]})
+        grams = pd.DataFrame({"gram": [gram], "block": [task << 32], "seal": [1], "total": [suffix.LIMIT * parts]})
+        shares.update(suffix._contexts(200, 1000)(rows, grams)["share"].tolist())
+    assert len(shares) == parts and max(shares.values()) <= 2 * 64 / parts
+
+
 def test_drop_repeats_keeps_rows(spark):
     texts = [*_documents(6), None]
     df = _frame(spark, texts).unionByName(spark.createDataFrame([(None, "y" * 10, "k", 1, b"x"), (0, "z", "k", 1, b"x")], _frame(spark, ["a"]).schema))
