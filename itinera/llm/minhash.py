@@ -4,6 +4,9 @@ A document's set is its distinct shingles of ``SIZE`` lower-cased words (A-Z onl
 set as a whole is addressed by a 128-bit digest. Documents with equal sets form a class, and only one row of a class,
 its smallest id, goes on, so groups of copies cost nothing however large they are.
 
+Classes are numbered, and the numbers are the nodes of buckets, links and components, as an id may stand on rows of several
+classes; a component is named by its smallest document id at the end.
+
 For each class: ``BANDS * ROWS`` minima. Their bands give the candidate buckets; of every minimum only the low ``BITS``
 bits are kept, packed into one signature. The share of equal low bits, corrected for chance collisions, estimates the
 similarity; candidates that fall short by over five standard errors are dropped, all others are confirmed on full sets.
@@ -17,8 +20,8 @@ components. Both return at most their members, never their pairs.
 At 75 % similarity a pair misses all 24 bands of 3 rows with probability 2e-6.
 
 Edge cases: documents without words (null, empty, white space) have an empty set, link with nothing and keep
-themselves; fewer than ``SIZE`` words are one shingle; repeated rows with one id are copies of each other; rows with a
-null id take no part and keep component_id null and kept true; other columns are not read.
+themselves; fewer than ``SIZE`` words are one shingle; repeated rows with one id and one set are copies of each other, and
+rows with one id and different sets link each for itself; rows with a null id take no part and keep component_id null and kept true; other columns are not read.
 """
 
 from __future__ import annotations
@@ -169,8 +172,8 @@ def _likely(pa: list[bytes], pb: list[bytes]) -> np.ndarray:
 
 def _near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes allow the similarity and whose signatures do not speak against it."""
-    one = marks.select(F.col("doc_id").alias("a"), F.col("packed").alias("pa"), F.col("n_shingles").alias("na"))
-    two = marks.select(F.col("doc_id").alias("b"), F.col("packed").alias("pb"), F.col("n_shingles").alias("nb"))
+    one = marks.select(F.col("node").alias("a"), F.col("packed").alias("pa"), F.col("n_shingles").alias("na"))
+    two = marks.select(F.col("node").alias("b"), F.col("packed").alias("pb"), F.col("n_shingles").alias("nb"))
     both = pairs.join(one, "a").join(two, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
 
     def run(batches):
@@ -182,7 +185,7 @@ def _near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 _GROUP = ("bucket", "x", "y")
-_MEMBER = ("block", "doc_id", "cell")
+_MEMBER = ("block", "node", "cell")
 
 
 def _grouped(batches, columns):
@@ -273,8 +276,8 @@ def _links_of_blocks(batches):
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs with 100 * intersection >= PERCENT * union on full sets. A pair meets its first text, then its second."""
-    one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-    two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches):
         known = _WordHash()
@@ -301,20 +304,20 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, text) of the wanted (doc_id, set_key). Where an id stands on several rows, the row with that set counts."""
+    """(node, text) of the wanted (node, doc_id, set_key). Where an id stands on several rows, a row with that set counts."""
     rows = text_rows(docs).join(wanted, "doc_id")
 
     def run(batches):
         known, last = _WordHash(), None
         for batch in batches:
             keep = []
-            for i, (doc, text, key) in enumerate(zip(batch["doc_id"], batch["text"], batch["set_key"], strict=True)):
-                if doc != last and hashlib.blake2b(shingle_sets([text], known)[0].tobytes(), digest_size=16).digest() == key:
+            for i, (node, text, key) in enumerate(zip(batch["node"], batch["text"], batch["set_key"], strict=True)):
+                if node != last and hashlib.blake2b(shingle_sets([text], known)[0].tobytes(), digest_size=16).digest() == key:
                     keep.append(i)
-                    last = doc
-            yield [batch["doc_id"][i] for i in keep], [batch["text"][i] for i in keep]
+                    last = node
+            yield [batch["node"][i] for i in keep], [batch["text"][i] for i in keep]
 
-    return map_rows(rows.sortWithinPartitions("doc_id"), run, "doc_id long, text string")
+    return map_rows(rows.select("node", "text", "set_key").sortWithinPartitions("node"), run, "node long, text string")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -323,40 +326,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = known.where("doc_id is not null and n_shingles > 0")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("first"))
     leaders = named.join(classes, "set_key").where("doc_id = first").dropDuplicates(["set_key"])
-    leaders = stored(leaders.select("doc_id", "n_shingles", "set_key", "bands", "packed"), "leaders")
-    marks = leaders.select("doc_id", "n_shingles", "packed")
+    # the number of a class is fixed as it is written, and no result depends on it
+    leaders = leaders.select(F.monotonically_increasing_id().alias("node"), "doc_id", "n_shingles", "set_key", "bands", "packed")
+    leaders = stored(leaders, "leaders")
+    marks = leaders.select("node", "n_shingles", "packed")
 
-    members = leaders.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
+    members = leaders.select("node", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
     members = stored(members.join(shared, "bucket"), "buckets")
-    # the texts of all that may become candidates, read once; an id may stand on several rows, but one row leads its set
-    wanted = members.select("doc_id").distinct().join(leaders.select("doc_id", "set_key"), "doc_id")
+    # the texts of all that may become candidates, read once
+    wanted = members.select("node").distinct().join(leaders.select("node", "doc_id", "set_key"), "node")
     texts = stored(_texts(docs, wanted), "texts")
-    pairs = members.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
+    pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(_confirm(_near(pairs, marks), texts), "links")
     tree = components(links)
-    cells = members.join(tree.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select(
-        "bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("cell")
-    )
+    cells = members.join(tree, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("cell"))
     several = cells.groupBy("bucket").agg(F.min("cell").alias("low"), F.max("cell").alias("high")).where("low <> high").select("bucket")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    cut = cells.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+    cut = cells.join(several, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "doc_id", "cell")
+    met = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "cell")
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def side_by_side(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP)
 
-    kinds = "bucket long, x int, y int, block int, doc_id long, cell long"
-    likely = stored(map_rows(side_by_side(met.join(marks, "doc_id")), _likely_members, kinds), "likely")
-    across = map_rows(side_by_side(likely.join(texts, "doc_id")), _links_of_blocks, "a long, b long").distinct()
+    kinds = "bucket long, x int, y int, block int, node long, cell long"
+    likely = stored(map_rows(side_by_side(met.join(marks, "node")), _likely_members, kinds), "likely")
+    across = map_rows(side_by_side(likely.join(texts, "node")), _links_of_blocks, "a long, b long").distinct()
     links = stored(links.unionByName(across), "links")
     tree = components(links)
 
-    heads = classes.join(tree.select(F.col("node").alias("first"), "component"), "first", "left").select(
-        "set_key", F.coalesce("component", "first").alias("component")
-    )
+    joined = tree.join(leaders.select("node", "doc_id", "set_key"), "node")
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named_by = joined.join(least, "component").select("set_key", "least")
+    heads = classes.join(named_by, "set_key", "left").select("set_key", F.coalesce("least", "first").alias("component"))
     every = known.select("doc_id", "text_key", "n_shingles", "set_key").join(heads, "set_key", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")

@@ -92,6 +92,18 @@ def test_near_duplicates_edges(spark):
     assert minhash.near_duplicates(df.limit(0)).collect() == [] and minhash.keep_one(df.limit(0)).collect() == []
 
 
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    def text(k, last):
+        return " ".join([f"{k}{i}" for i in range(60)] + [last])
+
+    rows = [(3, text("a", "x")), (5, text("a", "y")), (3, text("b", "x")), (7, text("b", "y"))]
+    rows += [(20, text("c", "x")), (10, text("c", "y")), (20, text("d", "x")), (30, text("d", "y")), (40, text("e", "x"))]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found) == [
+        (3, 3, True), (3, 3, True), (5, 3, False), (7, 3, False), (10, 10, True), (20, 10, False), (20, 20, True), (30, 20, False), (40, 40, True)
+    ]
+
+
 def test_estimate_is_near_the_similarity():
     known = minhash._WordHash()
     a, b = minhash.shingle_sets([" ".join(map(str, range(1000))), " ".join(map(str, range(150, 1150)))], known)
