@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itinera.llm import bpe, chat, covertree, language, minhash, packing, postings, secret_scan, suffix, toxicity
+from itinera.llm import bpe, chat, covertree, language, minhash, packing, postings, ptolemy, runs, secret_scan, suffix, toxicity, webarchive
 
 QUERIES = {
     "op1_cover_tree": covertree.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_chat": chat.op8,
     "op9_postings": postings.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_ptolemaic": ptolemy.op11,
+    "op12_runs": runs.op12,
+    "op13_warc": webarchive.op13,
 }
 
 # A graph's components by recursion: the smallest number reachable.
@@ -59,5 +62,6 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(15 + length(role) + length(regexp_replace(role, '[^\\<>\n]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<]', '', 'g'))) + count(*) - 1 AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-# Of the others, op9 is approximate, and SQL has neither the tokenizers, nor the trained models, nor spans of patterns.
-ORACLES: dict[str, str] = {"op1_cover_tree": _OP1, "op4_minhash": _OP4, "op6_suffix": _OP6, "op8_chat": _OP8}
+# Of the others, op9 is approximate, and SQL has neither the tokenizers, nor the trained models, nor spans of patterns; runs of
+# words (op12) would take it a comparison for each word and period.
+ORACLES: dict[str, str] = {"op1_cover_tree": _OP1, "op4_minhash": _OP4, "op6_suffix": _OP6, "op8_chat": _OP8, "op11_ptolemaic": ptolemy.sql(), "op13_warc": webarchive.SQL}
