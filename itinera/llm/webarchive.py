@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from itinera.llm.common import map_rows
 from itinera.session import scratch_path
 
-#: Bytes after which a member is closed; bytes of neighbouring records that one seek reads.
-MEMBER, RANGE = 8 << 20, 4 << 20
+#: Bytes after which a member is closed; bytes of neighbouring records that one seek reads; bytes of packages a task reads.
+MEMBER, RANGE, SHARE = 8 << 20, 4 << 20, 32 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 # Signatures and layouts of the ZIP format.
@@ -349,8 +349,8 @@ SCHEMA = "page_id long, url string, payload binary, payload_bytes long, payload_
 def read_packages(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row a record of all packages below ``folder``; with ``payloads=False`` payloads are checked but not sent on."""
     files = spark.read.format("binaryFile").load(folder)
-    where = files.select("path").head(1)
-    direct = not where or Ranges.opens(where[0].path)
+    where, size = files.agg(F.min("path"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    direct = where is None or Ranges.opens(where)
     columns = SCHEMA if payloads else SCHEMA.replace("payload binary, ", "")
 
     def rows_of(ranges, lists):
@@ -382,7 +382,8 @@ def read_packages(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     if not direct:
         return map_rows(files.select("path", "content"), whole, columns)
     located = map_rows(files.select("path"), locate, "path string, entries array<struct<o:long,n:long>>")
-    return map_rows(located.repartition("path", F.col("entries")[0]["o"]), fetch, columns)
+    # the ranges are few bytes, so their number of tasks follows the bytes that they stand for
+    return map_rows(located.repartition(max(2, -(-size // SHARE)), "path", F.col("entries")[0]["o"]), fetch, columns)
 
 
 def op13(spark, sf_dir: str) -> DataFrame:
