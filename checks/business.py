@@ -285,7 +285,7 @@ def k8(d: Data) -> DataFrame:
         F.split_part("Id", F.lit("-"), F.lit(1)).cast("bigint").alias("connection_id"),
         F.split_part("Id", F.lit("-"), F.lit(2)).cast("int").alias("leg_no"),
     )
-    return plain(bulk_update_statements(rows, "flights", "id", ["connection_id", "leg_no"], width=10_000))
+    return plain(bulk_update_statements(rows, "flights", "id", ["connection_id", "leg_no"]))
 
 
 @query(

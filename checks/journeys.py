@@ -303,7 +303,7 @@ def j2_slot(d: Data) -> DataFrame:
     f"WITH {_trip_sql('events', 'user_id', 'ts', 'ts, event_id', 21600, False)} SELECT event_id, user_id, trip_id FROM seqs",
 )
 def j2_events(d: Data) -> DataFrame:
-    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"], 6 * 3600, width=3 * 86400)
+    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"], 6 * 3600)
     return plain(out.select("event_id", "user_id", "trip_id"))
 
 
@@ -312,7 +312,7 @@ def j2_events(d: Data) -> DataFrame:
     f"WITH {_trip_sql('events', 'user_id', 'ts', 'ts, event_id', 129600, False)} SELECT event_id, trip_id, leg_no FROM seqs",
 )
 def j5(d: Data) -> DataFrame:
-    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"], width=5 * 86400)
+    out = trips_gap(d.table("events").select("event_id", "user_id", "ts"), ["user_id"], "ts", ["ts", "event_id"])
     return plain(out.select("event_id", "trip_id", "leg_no"))
 
 
@@ -533,8 +533,8 @@ def r9(d: Data) -> DataFrame:
     "SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n, row_number() OVER (ORDER BY ts, event_id) AS overall FROM events",
 )
 def w1(d: Data) -> DataFrame:
-    rows = number_within(d.table("events"), ["event_type"], ["ts", "event_id"], "n", width=86400)
-    rows = number_within(rows, [], ["ts", "event_id"], "overall", width=86400)
+    rows = number_within(d.table("events"), ["event_type"], ["ts", "event_id"], "n")
+    rows = number_within(rows, [], ["ts", "event_id"], "overall")
     return plain(rows.select("event_id", "n", "overall"))
 
 
@@ -550,7 +550,6 @@ def w2(d: Data) -> DataFrame:
         ["ts", "event_id"],
         {"prev1": ("value", -1), "prev3": ("value", -3), "next2": ("value", 2)},
         rank="n",
-        width=7200,
     )
     return plain(rows.select("event_id", "prev1", "prev3", "next2", "n"))
 

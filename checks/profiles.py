@@ -162,7 +162,7 @@ def a17(d: Data) -> DataFrame:
 @query("w3_running_sum", "SELECT event_id, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS errors FROM events")
 def w3(d: Data) -> DataFrame:
     rows = d.table("events").withColumn("e", F.when(F.col("event_type") == "error", 1).otherwise(0))
-    return plain(running_sum(rows, ["user_id"], ["ts", "event_id"], {"errors": "e"}, width=86400).select("event_id", "errors"))
+    return plain(running_sum(rows, ["user_id"], ["ts", "event_id"], {"errors": "e"}).select("event_id", "errors"))
 
 
 @query(
@@ -171,7 +171,7 @@ def w3(d: Data) -> DataFrame:
 SELECT event_id, value, coalesce(a, 0) AS value_lag1, coalesce(b, 0) AS value_lag2, round(coalesce(c, 0), 6) AS value_diff1 FROM l""",
 )
 def w6(d: Data) -> DataFrame:
-    out = features.lag_features(d.table("events"), ["event_type", "user_id"], ["ts", "event_id"], ["value"], 2, width=5 * 86400)
+    out = features.lag_features(d.table("events"), ["event_type", "user_id"], ["ts", "event_id"], ["value"], 2)
     return out.select("event_id", "value", "value_lag1", "value_lag2", F.round("value_diff1", 6).alias("value_diff1"))
 
 
@@ -182,7 +182,7 @@ SELECT event_id, last_value(kind IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS
 )
 def w7(d: Data) -> DataFrame:
     rows = d.table("events").select("event_id", "ts", F.when(F.col("event_id") % 4 == 0, F.col("event_type")).alias("kind"))
-    return fill_forward(rows, [], ["ts", "event_id"], ["kind"], width=3600).select("event_id", "kind")
+    return fill_forward(rows, [], ["ts", "event_id"], ["kind"]).select("event_id", "kind")
 
 
 @query("w8_sort", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey")
@@ -201,7 +201,7 @@ def w9(d: Data) -> DataFrame:
 SELECT event_id, ts < start AS is_train FROM events, s""",
 )
 def w10(d: Data) -> DataFrame:
-    return features.time_split(d.table("events"), "ts", width=86400).select("event_id", "is_train")
+    return features.time_split(d.table("events"), "ts").select("event_id", "is_train")
 
 
 _HASH = "CAST(concat('0x', substr(md5(concat('', '|', CAST({k} AS VARCHAR))), 1, 8)) AS BIGINT)"
@@ -262,7 +262,7 @@ def b12(d: Data) -> DataFrame:
     events = features.lag_features(
         d.table("events").select("event_id", "ts", "user_id", "value"), ["user_id"], ["ts", "event_id"], ["value"], 2
     )
-    events = features.time_split(events, "ts", width=86400).withColumn("w", F.lit(1.0))
+    events = features.time_split(events, "ts").withColumn("w", F.lit(1.0))
     events = events.withColumn("is_validation", ~F.col("is_train"))
     names = ["value_lag1", "value_lag2", "user_id"]
     model = models.boosted_forecast(events, names, "value", "w", "is_validation", iterations=5, depth=3)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itinera.operators.grouped import join_on, number_within, shift_within
@@ -14,14 +14,14 @@ from itinera.operators.grouped import join_on, number_within, shift_within
 
 def lag_features(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], lags: int = 2,
-    width: float | None = None,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """``<c>_lag1..n`` and ``<c>_diff1`` per group, missing history as 0.
 
     Like the values themselves, nulls in ``columns`` become 0 in the output.
     """
     shifts = {f"{c}_lag{k}": (c, -k) for c in columns for k in range(1, lags + 1)}
-    out = shift_within(df, keys, order, shifts, width=width)
+    out = shift_within(df, keys, order, shifts, rows_per_chunk=rows_per_chunk)
     out = out.withColumns({f"{c}_diff1": F.col(c) - F.col(f"{c}_lag1") for c in columns})
     zero = [*columns, *shifts, *[f"{c}_diff1" for c in columns]]
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in zero})
@@ -46,22 +46,14 @@ def scale_by_max(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, F.col(column) / df.agg(F.max(column).alias("m")).select("m").scalar())
 
 
-def category_codes(df: DataFrame, column: str) -> DataFrame:
+def category_codes(df: DataFrame, column: str, rows_per_chunk: int | None = None) -> DataFrame:
     """Distinct values with 0-based codes in sort order.
 
-    Values are numbered by two-character prefix (prefix order is value order), so no task sorts all of them.
+    The values are split where a sample of them says, and positions are carried over the parts, so no task sorts all
+    of them, whatever prefix they share. Eager.
     """
     values = df.select(F.col(column).cast("string").alias("value")).filter("value IS NOT NULL").distinct()
-    values = values.withColumn("__prefix", F.substring("value", 1, 2))
-    sizes = values.groupBy("__prefix").agg(F.count(F.lit(1)).alias("__n"))
-    over = Window.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("__prefix", F.coalesce(F.sum("__n").over(over), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__prefix").orderBy("value"))
-    return (
-        values.withColumn("__rn", inside)
-        .join(before, "__prefix")
-        .select("value", (F.col("__before") + F.col("__rn") - 1).alias("code"))
-    )
+    return number_within(values, [], ["value"], "__no", rows_per_chunk).select("value", (F.col("__no") - 1).alias("code"))
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
@@ -72,10 +64,10 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code") -
     return df
 
 
-def time_split(df: DataFrame, time: str, share: float = 0.8, width: float | None = None, out: str = "is_train") -> DataFrame:
+def time_split(df: DataFrame, time: str, share: float = 0.8, rows_per_chunk: int | None = None, out: str = "is_train") -> DataFrame:
     """True before the time at position ``floor(share * n)`` of the n distinct times, false from there on."""
     times = df.select(time).filter(F.col(time).isNotNull()).distinct()
-    numbered = number_within(times, [], [time], "__pos", width)
+    numbered = number_within(times, [], [time], "__pos", rows_per_chunk)
     n = times.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     at = F.floor(F.lit(share) * n) + 1
     start = numbered.agg(F.min(F.when(F.col("__pos") >= at, F.col(time))).alias("t")).select("t").scalar()
@@ -94,11 +86,11 @@ def stratified_split(
 ) -> DataFrame:
     """Exactly ``round(share * n)`` rows of every stratum, chosen by id hash.
 
-    A stratum may hold a large part of the table, so ranks are taken per hash chunk and carried.
+    A stratum may hold a large part of the table, so ranks of hot ones are taken per chunk and carried. Eager.
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(i).cast("string") for i in ids]))
     hashed = df.withColumn("__h", F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"))
-    ranked = number_within(hashed, [stratum], ["__h", *ids], "__pos", width=2**32 / 4096)
+    ranked = number_within(hashed, [stratum], ["__h", *ids], "__pos")
     sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__size"))
     sized = join_on(ranked, sizes, [stratum], "left", null_safe=True)
     return sized.withColumn(out, F.col("__pos") <= F.round(F.col("__size") * share)).drop("__h", "__pos", "__size")

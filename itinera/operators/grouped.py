@@ -1,29 +1,28 @@
-"""Group results brought back to the rows, without ever holding one group in one task.
+"""Group results brought back to the rows, without ever holding a hot group in one task.
 
 Window functions over a key put all its rows in one task. These helpers use two other shapes:
 
 * unordered results: partial aggregation, then a join back. The summary goes through its own exchange so that the
   adaptive skew-join rule can split a hot key on the row side.
-* ordered results: every group is cut into chunks along its leading order column. Rows are windowed per chunk, one
-  summary row per chunk is windowed per group, and the summary is joined back per chunk.
+* ordered results: a sample of keys and order columns tells which groups are larger than a chunk (:func:`hot_splits`). If
+  none is, plain windows do. Otherwise each hot group is cut where its sample says, whatever its key is, so its chunks
+  hold about equally many rows: rows are exchanged once by group and chunk and windowed there, one summary row per
+  chunk of the hot groups is windowed per group, and the carried values are joined back.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itinera.functions.dates import epoch_seconds
-
 GROUP, CHUNK, RN = "__group", "__chunk", "__rn"
 
-# Default chunk widths: 30 days for times, a million for numbers. A group chunk is then bounded by the number of
-# distinct seconds in 30 days (after removal of equal timestamps) or by a million unique sequence numbers.
-TIME_WIDTH = 30 * 86400
-NUMBER_WIDTH = 1_000_000
+# A chunk is an eighth of a task's share of the rows, but not less than so many rows; sampled rows per chunk.
+CHUNKS_PER_TASK, LEAST_ROWS, SAMPLED = 8, 50_000, 16
 
 
 def group_summary(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -53,59 +52,72 @@ def attach_group(
     return join_on(df, group_summary(df, keys, aggs), keys, "left", null_safe)
 
 
-def chunk_of(df: DataFrame, column: str, width: float | None = None) -> Column:
-    """A number that never decreases along the column: which chunk a row belongs to."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
-        return F.floor(epoch_seconds(F.col(column).cast("timestamp_ntz")) / F.lit(width or TIME_WIDTH))
-    if isinstance(kind, T.TimestampType):
-        return F.floor(F.unix_seconds(F.col(column)) / F.lit(width or TIME_WIDTH))
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(column) / F.lit(width or NUMBER_WIDTH))
-    raise TypeError(f"cannot chunk {column} of type {kind.simpleString()}; pass a number or a time column")
+def group_of(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("all"))
 
 
-Width = float | Sequence[float | None] | None
+def hot_splits(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_chunk: int | None = None) -> DataFrame | None:
+    """(group, blocks) of the groups that fill more than a chunk, or None. Eager: a count and a sample of keys and order.
 
+    The sample has about ``SAMPLED`` rows a chunk, so the driver sees at most a fixed number of rows a task. Every
+    ``SAMPLED``-th of a group's sorted sample is a split; splits are nested in blocks of about the square root of their
+    number, so that a row compares itself to few of them. Groups compare null-safe and order columns as structs do.
+    """
+    spark = df.sparkSession
+    narrow = df.select(group_of(keys).alias(GROUP), F.struct(*[F.col(o) for o in order]).alias("__at"))
+    total = narrow.count()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chunk = rows_per_chunk or max(LEAST_ROWS, total // (CHUNKS_PER_TASK * tasks))
+    if total <= chunk:
+        return None
+    sampled = narrow.where(F.rand(11) < min(1.0, SAMPLED / chunk))
+    splits = F.transform(F.sequence(F.lit(SAMPLED - 1), F.size("__s") - 1, F.lit(SAMPLED)), lambda i: F.get("__s", i))
+    hot = (
+        sampled.groupBy(GROUP)
+        .agg(F.array_sort(F.collect_list("__at")).alias("__s"))
+        .where(F.size("__s") >= SAMPLED * 3 // 2)
+        .select(GROUP, splits.alias("__splits"))
+    )
+    rows = []
+    for group, found in hot.collect():  # a split a chunk at most
+        side = max(1, math.isqrt(len(found)))
+        rows.append((group, [(found[i], found[i + 1 : i + side]) for i in range(0, len(found), side)]))
+    if not rows:
+        return None
+    at = narrow.schema["__at"].dataType
+    block = T.StructType([T.StructField("first", at), T.StructField("more", T.ArrayType(at))])
+    return spark.createDataFrame(rows, T.StructType([narrow.schema[GROUP], T.StructField("__blocks", T.ArrayType(block))]))
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], width: Width) -> DataFrame:
-    """Rows with their group and chunk; rows without an order value form a chunk of their own, first.
 
-    A sequence of widths chunks along several leading order columns. Chunks must follow the row order, so all but the
-    last of them have to be whole-number columns of width 1 (a slot number, then a date).
-    """
-    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(1).alias("all"))
-    widths = list(width) if isinstance(width, (list, tuple)) else [width]
-    parts = [F.coalesce(chunk_of(df, o, w), F.lit(-(2**62))) for o, w in zip(order, widths)]
-    chunk = parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
-    return df.withColumns({GROUP: group, CHUNK: chunk})
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], splits: DataFrame) -> DataFrame:
+    """Rows with their group and chunk, a number that never decreases along the order; null for groups without splits."""
+    at = F.struct(*[F.col(o) for o in order])
+    below = F.size(F.filter("__blocks", lambda b: b["first"] <= at))
+    inside = F.size(F.filter(F.get(F.col("__blocks"), below - 1)["more"], lambda s: s <= at))
+    number = F.when(below > 0, below.cast("long") * 2**32 + inside).otherwise(F.lit(0))
+    rows = df.withColumn(GROUP, group_of(keys)).join(F.broadcast(splits), GROUP, "left")  # a split a chunk at most
+    return rows.withColumn(CHUNK, F.when(F.col("__blocks").isNotNull(), number)).drop("__blocks")
+
+
+def plain_window(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
 
 
 def local_window(order: Sequence[str]):
     return Window.partitionBy(GROUP, CHUNK).orderBy(*[F.col(o).asc_nulls_first() for o in order])
 
 
+def up_to_here(window):
+    return window.rowsBetween(Window.unboundedPreceding, 0)
+
+
 def across_chunks():
     return Window.partitionBy(GROUP).orderBy(CHUNK)
 
 
-def chunk_summary(rows: DataFrame, aggs: Sequence[Column], share: bool = False) -> DataFrame:
-    """One row per group chunk.
-
-    The rows are read twice, here and by the join that follows. With ``share`` every column stays in reach (a hash
-    nobody else looks at), so both sides ask for the same exchange and Spark runs it, and all work below it, once.
-    That pays off when the input is costly and later steps use all its columns.
-    """
-    summary = rows.groupBy(GROUP, CHUNK)
-    if not share:
-        return summary.agg(*aggs)
-    hashable = [
-        f.name
-        for f in rows.schema.fields
-        if f.name not in (GROUP, CHUNK) and "map<" not in f.dataType.simpleString()
-    ]
-    pin = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in hashable])).alias("__pin")
-    return summary.agg(*aggs, pin).filter(F.col("__pin").isNotNull()).drop("__pin")
+def chunk_summary(rows: DataFrame, aggs: Sequence[Column]) -> DataFrame:
+    """One row per chunk of the hot groups; other groups have nothing to carry."""
+    return rows.where(F.col(CHUNK).isNotNull()).groupBy(GROUP, CHUNK).agg(*aggs)
 
 
 def attach_chunks(rows: DataFrame, summary: DataFrame) -> DataFrame:
@@ -118,15 +130,21 @@ def shift_within(
     order: Sequence[str],
     shifts: dict[str, tuple[str, int]],
     rank: str | None = None,
-    width: Width = None,
+    rows_per_chunk: int | None = None,
 ) -> DataFrame:
     """``lag`` / ``lead`` per group. ``shifts`` maps a new column to (column, offset): -1 is the previous row, 1 the
-    next one. ``rank`` names a 1-based row number. ``order`` must be unique within a group for repeatable results.
+    next one. ``rank`` names a 1-based row number. ``order`` must be unique within a group for repeatable results. Eager.
     """
+    moved = lambda w: {o: (F.lag(c, -n) if n < 0 else F.lead(c, n)).over(w) for o, (c, n) in shifts.items()}
+    splits = hot_splits(df, keys, order, rows_per_chunk)
+    if splits is None:
+        w = plain_window(keys, order)
+        return df.withColumns(moved(w) | ({rank: F.row_number().over(w).cast("long")} if rank else {}))
+
     span = max((abs(n) for _, n in shifts.values()), default=1)
     needed = sorted({c for c, _ in shifts.values()})
     w = local_window(order)
-    rows = chunked(df, keys, order, width)
+    rows = chunked(df, keys, order, splits)
     whole = Window.partitionBy(GROUP, CHUNK)
     marked = rows.withColumns({RN: F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole)})
 
@@ -148,9 +166,7 @@ def shift_within(
         F.flatten(F.collect_list("__head").over(over.rowsBetween(1, span))).alias("__next"),
     )
 
-    local = {
-        f"__local_{out}": (F.lag(c, -n) if n < 0 else F.lead(c, n)).over(w) for out, (c, n) in shifts.items()
-    }
+    local = {f"__local_{out}": c for out, c in moved(w).items()}
     joined = attach_chunks(marked.withColumns(local), summary)
     final: dict[str, Column] = {}
     for out, (c, n) in shifts.items():
@@ -162,37 +178,40 @@ def shift_within(
             outside, inside = F.get(F.col("__next"), at.cast("int")), F.col(RN) <= F.col("__n") - n
         final[out] = F.when(inside, F.col(f"__local_{out}")).otherwise(outside.getField(c))
     if rank:
-        final[rank] = F.col("__before") + F.col(RN)
+        final[rank] = F.coalesce("__before", F.lit(0)) + F.col(RN)
     helpers = [RN, "__n", "__before", "__prev", "__next", *local]
     return joined.withColumns(final).drop(*helpers)
 
 
 def number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_no", width: Width = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "row_no", rows_per_chunk: int | None = None
 ) -> DataFrame:
-    """1-based row number per group (per table when ``keys`` is empty), chunk by chunk."""
-    rows = chunked(df, keys, order, width)
-    counts = rows.groupBy(GROUP, CHUNK).agg(F.count(F.lit(1)).alias("__rows"))
+    """1-based row number per group (per table when ``keys`` is empty). Eager."""
+    splits = hot_splits(df, keys, order, rows_per_chunk)
+    if splits is None:
+        return df.withColumn(out, F.row_number().over(plain_window(keys, order)).cast("long"))
+    rows = chunked(df, keys, order, splits)
+    counts = chunk_summary(rows, [F.count(F.lit(1)).alias("__rows")])
     before = counts.select(
-        GROUP,
-        CHUNK,
-        F.coalesce(F.sum("__rows").over(across_chunks().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(
-            "__before"
-        ),
+        GROUP, CHUNK, F.sum("__rows").over(across_chunks().rowsBetween(Window.unboundedPreceding, -1)).alias("__before")
     )
     numbered = rows.withColumn(RN, F.row_number().over(local_window(order)))
-    return attach_chunks(numbered, before).withColumn(out, F.col("__before") + F.col(RN)).drop("__before", RN)
+    return attach_chunks(numbered, before).withColumn(out, F.coalesce("__before", F.lit(0)) + F.col(RN)).drop("__before", RN)
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], width: Width = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], rows_per_chunk: int | None = None
 ) -> DataFrame:
-    """Running totals per group in row order: ``{new column: summed column}``; nulls add nothing."""
-    rows = chunked(df, keys, order, width)
-    totals = rows.groupBy(GROUP, CHUNK).agg(*[F.sum(c).alias(f"__sum_{out}") for out, c in columns.items()])
+    """Running totals per group in row order: ``{new column: summed column}``; nulls add nothing. Eager."""
+    splits = hot_splits(df, keys, order, rows_per_chunk)
+    if splits is None:
+        w = up_to_here(plain_window(keys, order))
+        return df.withColumns({out: F.sum(c).over(w) for out, c in columns.items()})
+    rows = chunked(df, keys, order, splits)
+    totals = chunk_summary(rows, [F.sum(c).alias(f"__sum_{out}") for out, c in columns.items()])
     earlier = across_chunks().rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(GROUP, CHUNK, *[F.sum(f"__sum_{out}").over(earlier).alias(f"__carry_{out}") for out in columns])
-    running = local_window(order).rowsBetween(Window.unboundedPreceding, 0)
+    running = up_to_here(local_window(order))
     summed = rows.withColumns({f"__run_{out}": F.sum(c).over(running) for out, c in columns.items()})
     both = lambda out: F.when(
         F.col(f"__run_{out}").isNotNull() | F.col(f"__carry_{out}").isNotNull(),
@@ -203,10 +222,14 @@ def running_sum(
 
 
 def fill_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], width: Width = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], rows_per_chunk: int | None = None
 ) -> DataFrame:
-    """Replace nulls by the last earlier value of the same group (of the table when ``keys`` is empty)."""
-    rows = chunked(df, keys, order, width).withColumn(RN, F.row_number().over(local_window(order)))
+    """Replace nulls by the last earlier value of the same group (of the table when ``keys`` is empty). Eager."""
+    splits = hot_splits(df, keys, order, rows_per_chunk)
+    if splits is None:
+        w = up_to_here(plain_window(keys, order))
+        return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    rows = chunked(df, keys, order, splits).withColumn(RN, F.row_number().over(local_window(order)))
     last = chunk_summary(
         rows, [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(RN))).alias(f"__last_{c}") for c in columns]
     )
@@ -214,7 +237,7 @@ def fill_forward(
     carry = last.select(
         GROUP, CHUNK, *[F.last(f"__last_{c}", ignorenulls=True).over(earlier).alias(f"__carry_{c}") for c in columns]
     )
-    running = local_window(order).rowsBetween(Window.unboundedPreceding, 0)
+    running = up_to_here(local_window(order))
     filled = rows.withColumns({f"__fill_{c}": F.last(c, ignorenulls=True).over(running) for c in columns})
     joined = attach_chunks(filled, carry)
     return joined.withColumns({c: F.coalesce(f"__fill_{c}", f"__carry_{c}") for c in columns}).drop(

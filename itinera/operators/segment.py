@@ -12,12 +12,13 @@ from itinera.operators.grouped import (
     CHUNK,
     GROUP,
     RN,
-    Width,
     across_chunks,
     attach_chunks,
     chunk_summary,
     chunked,
+    hot_splits,
     local_window,
+    up_to_here,
 )
 
 Same = Callable[[Column, Column, Column], Column]
@@ -97,23 +98,26 @@ def trips_gap(
     break_on_backward: bool = False,
     trip: str = "trip_id",
     leg: str | None = "leg_no",
-    width: Width = None,
+    rows_per_chunk: int | None = None,
     bounded_keys: bool = False,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Number the trips of every key group, across all its rows.
 
     A new trip starts where the time since the row before exceeds the gap. ``order`` must be unique within a group.
-    Groups are cut into chunks along ``order[0]`` (see :mod:`itinera.operators.grouped`), so a blank booking
-    reference that holds a third of the rows still runs in parallel. ``bounded_keys=True`` is for data whose groups
-    are known to be small: one shuffle and plain windows. Select the columns you need first: they travel with the
-    rows.
+    Hot groups are cut into chunks (see :mod:`itinera.operators.grouped`; eager), so a blank booking reference that
+    holds a third of the rows still runs in parallel; without hot groups it is one shuffle and plain windows.
+    ``bounded_keys=True`` is for data whose groups are known to be small and measures nothing. ``sizes_from`` may name rows
+    that are cheaper to measure, with the same columns and no smaller groups. Select the columns you need first: they
+    travel with the rows.
     """
-    if bounded_keys:
+    splits = None if bounded_keys else hot_splits(df if sizes_from is None else sizes_from, keys, order, rows_per_chunk)
+    if splits is None:
         return _trips_plain(df, keys, when, order, gap_seconds, break_on_backward, trip, leg)
 
     w = local_window(order)
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = chunked(df, keys, order, width).withColumn(RN, F.row_number().over(w))
+    running = up_to_here(w)
+    rows = chunked(df, keys, order, splits).withColumn(RN, F.row_number().over(w))
     rows = rows.withColumn("__prev", F.lag(when).over(w)).withColumn(
         "__brk", F.when(F.col(RN) > 1, _breaks(F.col("__prev"), F.col(when), gap_seconds, break_on_backward)).otherwise(0)
     )
@@ -128,7 +132,6 @@ def trips_gap(
             F.count(F.lit(1)).alias("__rows"),
             F.max(at_break).alias("__last_break"),
         ],
-        share=True,
     )
     over = across_chunks()
     earlier = over.rowsBetween(Window.unboundedPreceding, -1)
@@ -161,11 +164,12 @@ def trips_gap(
     rows = rows.withColumns(
         {"__runs": F.sum("__brk").over(running), "__since": F.max(at_break).over(running)}
     )
-    out = attach_chunks(rows, carry).withColumn(trip, F.col("__base") + F.col("__runs"))
+    # groups without chunks have no carry: their first row starts trip 1
+    out = attach_chunks(rows, carry).withColumn(trip, F.coalesce("__base", F.lit(1)) + F.col("__runs"))
     if leg:
         out = out.withColumn(
             leg,
-            F.when(F.col("__runs") == 0, F.col("__carry") + F.col(RN)).otherwise(
+            F.when(F.col("__runs") == 0, F.coalesce("__carry", F.lit(0)) + F.col(RN)).otherwise(
                 F.col(RN) - F.col("__since") + F.lit(1)
             ),
         )

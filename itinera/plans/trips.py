@@ -11,7 +11,6 @@ from itinera.functions.dates import normalize_date
 from itinera.functions.flights import is_placeholder_flight, normalize_flight_keep_digit
 from itinera.operators.dedupe import collapse_consecutive, dedupe_dates, dedupe_pairs, keep_first
 from itinera.operators.filters import non_blank, usable_leg
-from itinera.operators.grouped import TIME_WIDTH
 from itinera.operators.reshape import explode_routes, pivot_route, unpivot_legs, widen_route, with_legs
 from itinera.operators.segment import HOUR, routes_gap, trips_gap
 from itinera.spec import SourceSpec
@@ -61,10 +60,9 @@ def trips_of_legs(
     columns make the order total.
     """
     kept = keep_first(legs, [*keys, "dt"], ["slot", *tie])
-    order, width = (("dt", "slot", *tie), None) if by == "date" else (("slot", "dt", *tie), (1, TIME_WIDTH))
-    return trips_gap(
-        kept, keys, "dt", order, gap_seconds, break_on_backward, width=width, bounded_keys=bounded_keys
-    )
+    order = ("dt", "slot", *tie) if by == "date" else ("slot", "dt", *tie)
+    # before duplicates go, groups are no smaller, and measuring them takes no shuffle of rows
+    return trips_gap(kept, keys, "dt", order, gap_seconds, break_on_backward, bounded_keys=bounded_keys, sizes_from=legs)
 
 
 def reconstruct_trips(

@@ -185,7 +185,7 @@ def test_delay_cases(spark):
     got = {r["Id"]: (r["IsDelayEligible"], r["DelayTime"], r["LayOverTime"], r["LayOverLeg"]) for r in delay.delay_eligibility(df).collect()}
     marked = {k: v for k, v in got.items() if v[0]}
     assert marked == {"one165-1": (1, 9900, None, None), "lay45-1": (1, None, 2700, 1), "two-1": (1, None, -6000, 1)}
-    per_leg_chunks = delay.delay_eligibility(df, width=1)
+    per_leg_chunks = delay.delay_eligibility(df, rows_per_chunk=1)
     assert {r["Id"]: (r["IsDelayEligible"], r["DelayTime"], r["LayOverTime"], r["LayOverLeg"]) for r in per_leg_chunks.collect()} == got
     whole = delay.delay_eligibility(df, mark="connection", layover_as_delay=True)
     assert {r["Id"]: r["DelayTime"] for r in whole.collect() if r["IsDelayEligible"]} == {

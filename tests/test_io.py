@@ -118,7 +118,7 @@ def test_exports(spark, tmp_path):
     files.export_csv_chunks(df, str(tmp_path / "csv"), rows=400)
     sizes = [sum(1 for _ in open(tmp_path / "csv" / f)) - 1 for f in os.listdir(tmp_path / "csv") if f.endswith(".csv")]
     assert sum(sizes) == 2500 and max(sizes) <= 400
-    statements = files.bulk_update_statements(df, "dbo.t", "id", ["id"], batch=1000, width=300).orderBy("statement_no").collect()
+    statements = files.bulk_update_statements(df, "dbo.t", "id", ["id"], batch=1000).orderBy("statement_no").collect()
     assert [r["sql"].count("\n    (") for r in statements] == [1000, 1000, 500]
     assert "('7','it''s 7')" in statements[0]["sql"] and statements[0]["sql"].endswith("ON t.id = u.id;")
     files.write_statements(spark.createDataFrame([(1, "x;")], "statement_no int, sql string"), str(tmp_path / "sql"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from itinera.operators import dedupe, features, grouped
 from itinera.operators.quantiles import exact_quantiles
 from itinera.operators.segment import trips_gap
+from itinera.plans import delay
 
 
 @pytest.fixture(scope="module")
@@ -35,16 +36,42 @@ def same(a, b, *columns):
 @pytest.mark.parametrize("backward", [False, True])
 def test_trips_match_plain_windows(hot, backward):
     args = (["k"], "t", ["t", "id"])
-    for width in (86400.0, 10 * 86400.0):
-        spread = trips_gap(hot, *args, gap_seconds=3600, break_on_backward=backward, width=width)
+    for rows in (150, 700):
+        spread = trips_gap(hot, *args, gap_seconds=3600, break_on_backward=backward, rows_per_chunk=rows)
         plain = trips_gap(hot, *args, gap_seconds=3600, break_on_backward=backward, bounded_keys=True)
         same(spread, plain, "id", "trip_id", "leg_no")
 
 
+@pytest.mark.parametrize("keys,order", [(["k"], ["t", "id"]), (["k"], ["few", "text", "id"]), ([], ["text"])])
+def test_hot_groups_are_cut_evenly(spark, hot, keys, order):
+    """Blank and null keys, order columns of few values and text order: no chunk over twice its size, in row order."""
+    df = hot.withColumns({"few": (F.col("id") % 2).cast("int"), "text": F.concat(F.lit("same prefix "), F.lpad(F.col("id").cast("string"), 6, "0"))})
+    splits = grouped.hot_splits(df, keys, order, 200)
+    assert {r["__group"][0] for r in splits.collect()} == ({None, ""} if keys else {1})
+    rows = grouped.chunked(df, keys, order, splits)
+    sizes = rows.groupBy("__group", "__chunk").count().where("__chunk is not null").collect()
+    assert len(sizes) > 12 and max(r["count"] for r in sizes) <= 2.5 * 200
+    at = F.struct(*order)
+    ranges = rows.where("__chunk is not null").groupBy("__group", "__chunk").agg(F.min(at).alias("a"), F.max(at).alias("z")).collect()
+    ranges.sort(key=lambda r: (str(r["__group"]), r["__chunk"]))
+    assert all(x["z"] < y["a"] for x, y in zip(ranges, ranges[1:]) if x["__group"] == y["__group"])
+    assert grouped.hot_splits(df, ["id"], order, 200) is None
+
+
+def test_one_exchange_of_whole_rows(spark, hot):
+    """Without hot groups one exchange; with them one that carries whole rows and narrow ones for the summary."""
+    wide = hot.withColumns({f"w{i}": F.col("id") + i for i in range(5)})
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(grouped.number_within(wide, ["k"], ["t", "id"])).count("Exchange hashpartitioning") == 1
+    cut = plan(grouped.number_within(wide, ["k"], ["t", "id"], rows_per_chunk=200))
+    carrying = [line for line in cut.split("\n") if "Window" in line and "w4" in line]
+    assert len(carrying) <= 1 and "SinglePartition" not in cut
+
+
 def test_trips_over_two_level_chunks(hot):
     df = hot.withColumn("slot", (F.col("id") % 4).cast("int"))
     args = (["k"], "t", ["slot", "t", "id"], 7200, True)
-    same(trips_gap(df, *args, width=(1, 5 * 86400)), trips_gap(df, *args, bounded_keys=True), "id", "trip_id", "leg_no")
+    same(trips_gap(df, *args, rows_per_chunk=200), trips_gap(df, *args, bounded_keys=True), "id", "trip_id", "leg_no")
 
 
 def test_exact_gap_joins_and_backward_breaks(spark):
@@ -63,20 +90,20 @@ def test_shift_number_fill_match_pandas(hot):
     pdf = pdf.sort_values(["t", "id"]).reset_index(drop=True)
     g = pdf.groupby("k")
     want = pdf.assign(p2=g["v"].shift(2), n1=g["v"].shift(-1), pos=g.cumcount() + 1).set_index("id").sort_index()
-    got = grouped.shift_within(hot, ["k"], ["t", "id"], {"p2": ("v", -2), "n1": ("v", 1)}, rank="pos", width=86400)
+    got = grouped.shift_within(hot, ["k"], ["t", "id"], {"p2": ("v", -2), "n1": ("v", 1)}, rank="pos", rows_per_chunk=200)
     got = got.toPandas().set_index("id").sort_index()
     for c in ("p2", "n1", "pos"):
         pd.testing.assert_series_equal(got[c], want[c], check_dtype=False)
 
     sparse = hot.withColumn("v", F.when(F.col("id") % 11 == 0, F.col("v")))
-    filled = grouped.fill_forward(sparse, [], ["t", "id"], ["v"], width=86400).toPandas().set_index("id").sort_index()
+    filled = grouped.fill_forward(sparse, [], ["t", "id"], ["v"], rows_per_chunk=200).toPandas().set_index("id").sort_index()
     ref = sparse.toPandas().sort_values(["t", "id"])
     ref["v"] = ref["v"].ffill()
     pd.testing.assert_series_equal(filled["v"], ref.set_index("id").sort_index()["v"], check_dtype=False)
 
 
 def test_running_sum_matches_pandas(hot):
-    got = grouped.running_sum(hot, ["k"], ["t", "id"], {"total": "v"}, width=86400).toPandas().set_index("id").sort_index()
+    got = grouped.running_sum(hot, ["k"], ["t", "id"], {"total": "v"}, rows_per_chunk=200).toPandas().set_index("id").sort_index()
     pdf = hot.toPandas().sort_values(["t", "id"])
     want = pdf.assign(total=pdf.groupby(pdf["k"].fillna("<null>"))["v"].cumsum()).set_index("id").sort_index()
     pd.testing.assert_series_equal(got["total"], want["total"], check_dtype=False)
@@ -146,3 +173,28 @@ def test_split_and_codes(spark, hot):
     pairs = {(r["k"], r["k_code"]) for r in coded.select("k", "k_code").distinct().collect()}
     values = sorted(k for k, _ in pairs if k is not None)
     assert pairs == {(None, -1)} | {(v, i) for i, v in enumerate(values)}
+
+
+def test_codes_of_one_prefix_are_ranked_in_parts(spark):
+    values = spark.range(20_000).select(F.concat(F.lit("one and the same prefix "), (F.col("id") * 7919) % 19_997).alias("c"))
+    codes = features.category_codes(values, "c", 1_000)
+    got = {r["value"]: r["code"] for r in codes.collect()}
+    assert got == {v: i for i, v in enumerate(sorted({r["c"] for r in values.collect()}))}
+
+
+@pytest.mark.parametrize("mark", ["row", "connection"])
+def test_delay_of_shared_connections(spark, mark):
+    """A blank id and a wrongly shared one hold most legs, with few leg numbers: cut or whole, the outcome is the same."""
+    minute = lambda e: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=e)
+    i = F.col("id")
+    names = {"DepartureScheduledTimeLocal": i * 7, "ArrivalScheduledTimeLocal": i * 7 + 90, "ArrivalRevisedTimeLocal": i * 7 + 90 + i % 300}
+    legs = spark.range(3_000).select(
+        i.alias("Id"),
+        F.when(i % 3 == 0, F.lit("")).when(i % 3 == 1, F.lit("shared")).when(i % 30 == 2, None).otherwise(F.concat(F.lit("c"), F.floor(i / 12))).alias("ConnectionID"),
+        (i % 4).cast("int").alias("LegNo"),
+        *[minute(e.cast("int")).alias(n) for n, e in names.items()],
+        *[F.lit(None).cast("timestamp_ntz").alias(n) for n in ("ArrivalRunwayTimeLocal", "DepartureRevisedTimeLocal", "DepartureRunwayTimeLocal")],
+    )
+    cut = delay.delay_eligibility(legs, mark=mark, layover_as_delay=True, rows_per_chunk=100)
+    assert cut.where("IsDelayEligible = 1").count() > 0 and cut.where("ConnectionID is null and IsDelayEligible = 1").count() == 0
+    same(cut, delay.delay_eligibility(legs, mark=mark, layover_as_delay=True), *cut.columns)
