@@ -1,80 +1,123 @@
-"""Exact quantiles without one task holding all values."""
+"""Exact quantiles of any number of ranks in three passes; no task sorts the column, and only answers leave.
+
+1. A mergeable sketch brackets every rank: its error is known, so a bracket a little wider than it holds the rank.
+2. Brackets and the gaps between them cut the values into segments. Their exact counts place each rank in its bracket, and a
+   sketch per bracket cuts that into cells.
+3. Of the cells that hold ranks the distinct values are counted, and running counts over them meet the ranks.
+
+Exact counts check each bracket and cell; should a sketch have missed, the bracket is widened and counted again.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Values of one band that may be sorted in a single task at the end.
-BAND_ROWS = 1_000_000
-
-
-def _rank_values(df: DataFrame, column: str, total: int, ranks: Sequence[int], band_rows: int) -> dict[int, float]:
-    """Values at 0-based ranks of the sorted non-null column.
-
-    A sketch brackets every rank by two values; one exact pass counts rows below and inside the bracket. The bracket
-    is narrowed until its rows fit one task. Only counts and bracket ends reach the driver.
-    """
-    value = F.col(column).cast("double")
-    out: dict[int, float] = {}
-    for rank in ranks:
-        low, high, below, inside = None, None, 0, total
-        while inside > band_rows and (low is None or low < high):
-            band = df if low is None else df.filter(value.between(low, high))
-            share = (rank - below) / max(inside - 1, 1)
-            ends = [max(share - 0.0005, 0.0), min(share + 0.0005, 1.0)]
-            lo, hi = band.agg(F.percentile_approx(value, ends, 10_000).alias("e")).first()["e"]
-            while True:
-                got = df.agg(
-                    F.count_if(value < lo).alias("below"), F.count_if(value.between(lo, hi)).alias("inside")
-                ).first()
-                if got["below"] <= rank < got["below"] + got["inside"]:
-                    break
-                # the sketch missed: fall back to the bracket that surely holds the rank on that side
-                edge = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-                lo, hi = (edge["lo"], hi) if rank < got["below"] else (lo, edge["hi"])
-            if got["inside"] == inside:
-                # no progress (heavily repeated values): halve the bracket by value instead
-                lo, hi, got = _bisect(df, value, lo, hi, rank)
-            low, high, below, inside = lo, hi, got["below"], got["inside"]
-        if low is not None and low == high:
-            out[rank] = low
-            continue
-        band = df.filter(value.isNotNull()) if low is None else df.filter(value.between(low, high))
-        row = band.select(value.alias("v")).orderBy("v").offset(rank - below).limit(1).first()
-        out[rank] = row["v"]
+# The sketches err by at most one in so many ranks; values that a sketch gives for each bracket.
+ACCURACY, CELLS = 10_000, 2_000
+
+Bracket = tuple[float, float]
+
+
+def _sketch(value: str, accuracy: int, cells: int) -> Column:
+    points = ",".join(f"{i / cells}D" for i in range(cells + 1))
+    return F.expr(f"percentile_approx({value}, array({points}), {accuracy})")
+
+
+def _around(ends: Sequence[float], rank: int, n: int, lo: float, hi: float, accuracy: int) -> Bracket:
+    """Values between which the rank of n values lies, two errors of the sketch wide; everything if there are few."""
+    if n <= accuracy or lo == hi:
+        return lo, hi
+    cells = len(ends) - 1
+    at, slack = rank / n * cells, 2 * cells / accuracy + 1
+    low, high = math.floor(at - slack), math.ceil(at + slack)
+    return (lo if low <= 0 else ends[low]), (hi if high >= cells else ends[high])
+
+
+def _disjoint(brackets: Sequence[Bracket]) -> list[Bracket]:
+    out: list[Bracket] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
     return out
 
 
-def _bisect(df: DataFrame, value, lo: float, hi: float, rank: int):
-    mid = lo + (hi - lo) / 2
-    got = df.agg(
-        F.count_if(value < lo).alias("b0"),
-        F.count_if(value.between(lo, mid)).alias("i0"),
-        F.min(F.when(value > mid, value)).alias("next"),
-        F.max(F.when(value <= mid, value)).alias("prev"),
-        F.count_if((value > mid) & (value <= hi)).alias("i1"),
-    ).first()
-    if rank < got["b0"] + got["i0"]:
-        return lo, got["prev"], {"below": got["b0"], "inside": got["i0"]}
-    return got["next"], hi, {"below": got["b0"] + got["i0"], "inside": got["i1"]}
+def _segment(brackets: Sequence[Bracket]) -> Column:
+    """Number of a value's segment in value order: odd ones are brackets, even ones the gaps before and after."""
+    begun = F.size(F.filter(F.lit([lo for lo, _ in brackets]), lambda e: e <= F.col("v")))
+    ended = F.size(F.filter(F.lit([hi for _, hi in brackets]), lambda e: e < F.col("v")))
+    return begun + ended
+
+
+def exact_ranks(df: DataFrame, column: str, ranks_of: Callable[[int], Sequence[int]], accuracy: int = ACCURACY, cells: int = CELLS) -> dict[int, float]:
+    """{rank: value} of the sorted non-null column; ``ranks_of`` names the 0-based ranks wanted of so many values. Eager."""
+    values = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
+    n, least, most, ends = values.agg(F.count(F.lit(1)), F.min("v"), F.max("v"), _sketch("v", accuracy, cells)).first()
+    if not n:
+        return {}
+    ranks = sorted(set(ranks_of(n)))
+    brackets = _disjoint([_around(ends, r, n, least, most, accuracy) for r in ranks])
+
+    while True:
+        inner = F.when(F.col("s") % 2 == 1, F.col("v")).alias("inner")
+        counted = values.withColumn("s", _segment(brackets)).select("s", inner).groupBy("s")
+        found = {r["s"]: r for r in counted.agg(F.count(F.lit(1)).alias("n"), _sketch("inner", accuracy, cells).alias("ends")).collect()}
+        before = [0]  # rows before each segment
+        for s in range(2 * len(brackets) + 1):
+            before.append(before[-1] + (found[s]["n"] if s in found else 0))
+        place = {r: bisect_right(before, r) - 1 for r in ranks}
+        missed = [s for s in place.values() if s % 2 == 0]
+        if not missed:
+            break
+        ends_of = [least, *[x for pair in brackets for x in pair], most]
+        brackets = _disjoint([*brackets, *[(ends_of[s], ends_of[s + 1]) for s in missed]])
+
+    inside = []
+    for r, s in place.items():
+        lo, hi = brackets[s // 2]
+        inside.append(_around(found[s]["ends"], r - before[s], found[s]["n"], lo, hi, accuracy))
+    picked = _picked(values, brackets, _disjoint(inside), before, ranks)
+    if len(picked) < len(ranks):  # a cell missed: count all values of the brackets
+        picked = _picked(values, brackets, brackets, before, ranks)
+    return picked
+
+
+def _picked(values: DataFrame, brackets: list[Bracket], cells: list[Bracket], before: list[int], ranks: list[int]) -> dict[int, float]:
+    """Running counts over the distinct values of the cells; what lies between cells of a bracket counts as one value."""
+    rows = values.withColumn("s", _segment(brackets)).where("s % 2 = 1").withColumn("t", _segment(cells))
+    rows = rows.select("s", "t", F.when(F.col("t") % 2 == 1, F.col("v")).alias("v"))
+    counts = rows.groupBy("s", "t", "v").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("s").orderBy("t", "v").rowsBetween(Window.unboundedPreceding, 0))
+    counts = counts.withColumn("to", upto + F.get(F.lit(before), F.col("s")))
+    hits = F.filter(F.lit(ranks), lambda r: (r >= F.col("to") - F.col("n")) & (r < F.col("to")))
+    answers = counts.select("v", F.explode(hits).alias("rank")).where("v is not null")
+    return {r["rank"]: r["v"] for r in answers.collect()}  # a row a rank
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: Sequence[float], band_rows: int = BAND_ROWS
+    df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = ACCURACY, cells: int = CELLS
 ) -> list[float | None]:
-    """Linearly interpolated quantiles of the non-null values. Eager: runs a few aggregate jobs."""
-    total = df.agg(F.count(column).alias("n")).first()["n"]
-    if not total:
+    """Linearly interpolated quantiles of the non-null values. Eager: three passes, however many there are."""
+    total = 0
+
+    def ranks_of(n: int) -> list[int]:
+        nonlocal total
+        total = n
+        low = [math.floor(p * (n - 1)) for p in probabilities]
+        return low + [min(x + 1, n - 1) for x in low]
+
+    values = exact_ranks(df, column, ranks_of, accuracy, cells)
+    if not values:
         return [None for _ in probabilities]
-    at = [p * (total - 1) for p in probabilities]
-    ranks = sorted({math.floor(x) for x in at} | {min(math.floor(x) + 1, total - 1) for x in at})
-    values = _rank_values(df, column, total, ranks, band_rows)
     out = []
-    for x in at:
+    for p in probabilities:
+        x = p * (total - 1)
         low = values[math.floor(x)]
         high = values[min(math.floor(x) + 1, total - 1)]
         out.append(low + (high - low) * (x - math.floor(x)))
@@ -83,10 +126,10 @@ def exact_quantiles(
 
 def quantile_clip(
     df: DataFrame, column: str, reference: DataFrame, reference_column: str, low: float = 0.001, high: float = 0.999,
-    out: str | None = None, band_rows: int = BAND_ROWS,
+    out: str | None = None,
 ) -> DataFrame:
     """Clip a column to two exact quantiles of another column; nulls stay null."""
-    lo, hi = exact_quantiles(reference, reference_column, [low, high], band_rows)
+    lo, hi = exact_quantiles(reference, reference_column, [low, high])
     if lo is None:
         return df.withColumn(out or column, F.col(column))
     clipped = F.when(F.col(column) < lo, F.lit(lo)).when(F.col(column) > hi, F.lit(hi)).otherwise(F.col(column).cast("double"))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from itinera.operators import dedupe, features, grouped
-from itinera.operators.quantiles import exact_quantiles
+from itinera.operators.quantiles import exact_quantiles, exact_ranks
 from itinera.operators.segment import trips_gap
 from itinera.plans import delay
 
@@ -157,12 +157,34 @@ def test_keep_first_limits_before_the_shuffle(hot):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.integers(-20, 20), min_size=1, max_size=60), band=st.integers(1, 5))
-def test_exact_quantiles_match_pandas(spark, values, band):
+@given(values=st.lists(st.integers(-20, 20), min_size=1, max_size=60))
+def test_exact_quantiles_match_pandas(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     want = pd.Series(values, dtype=float).quantile([0.001, 0.25, 0.5, 0.999]).tolist()
-    got = exact_quantiles(df, "v", [0.001, 0.25, 0.5, 0.999], band_rows=band)
-    assert got == pytest.approx(want)
+    assert exact_quantiles(df, "v", [0.001, 0.25, 0.5, 0.999]) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("shape", ["even", "heavy", "one"])
+def test_ranks_by_coarse_sketches(spark, shape):
+    """Brackets and cells far smaller than the column, values that fill whole brackets, many ranks at once."""
+    v = {"even": "(id * 7919) % 50021", "heavy": "case when id % 3 = 0 then 7 else pow(id % 1000, 2) end", "one": "5"}[shape]
+    df = spark.range(50_000).selectExpr(f"cast({v} as double) as v").unionByName(spark.sql("select cast(null as double) as v"))
+    ordered = sorted(r["v"] for r in df.collect() if r["v"] is not None)
+    ranks = [0, 1, 17, 24_999, 25_000, 25_001, 33_333, 49_998, 49_999]
+    assert exact_ranks(df, "v", lambda n: ranks, accuracy=200, cells=50) == {r: ordered[r] for r in ranks}
+    assert exact_quantiles(df.where("v < -1"), "v", [0.5]) == [None]
+
+
+def test_ranks_take_three_passes(spark, monkeypatch):
+    from itinera.operators import quantiles
+
+    jobs = []
+    monkeypatch.setattr(quantiles, "_picked", lambda *a, real=quantiles._picked: jobs.append("third") or real(*a))
+    real = quantiles._sketch
+    monkeypatch.setattr(quantiles, "_sketch", lambda *a: jobs.append("sketch") or real(*a))
+    df = spark.range(30_000).selectExpr("cast(id % 9973 as double) as v")
+    assert len(exact_quantiles(df, "v", [i / 40 for i in range(41)], 1_000, 100)) == 41
+    assert jobs == ["sketch", "sketch", "third"]
 
 
 def test_split_and_codes(spark, hot):
