@@ -131,10 +131,13 @@ e AS (SELECT connection_id, arg_min(de, leg_no) OR bool_or(carrier IN ('TK', 'BA
 _EU_VIEWS = "v_std v_airports v_airlines"
 
 
-def _eligible(d: Data) -> DataFrame:
+def _eu_sets(d: Data) -> tuple[DataFrame, DataFrame]:
     airports = eligibility.member_set(d.view("v_airports"), "code", F.col("is_eu"))
-    carriers = eligibility.member_set(d.view("v_airlines"), "code", F.col("is_in_union") == 1)
-    return eligibility.eu_eligible(_standard(d), airports, carriers, SPECIAL)
+    return airports, eligibility.member_set(d.view("v_airlines"), "code", F.col("is_in_union") == 1)
+
+
+def _eligible(d: Data) -> DataFrame:
+    return eligibility.eu_eligible(_standard(d), *_eu_sets(d), SPECIAL)
 
 
 @query(
@@ -159,13 +162,15 @@ t AS (SELECT connection_id, {guard}(CASE WHEN c1 = 0 AND c2 = 0 THEN coalesce(s1
 _LIMIT_VIEWS = "v_std v_airports v_airlines v_limits"
 
 
-def _flags(d: Data, strict: bool = False) -> DataFrame:
-    return eligibility.time_limits(_eligible(d), _limit_dim(d), AS_OF, LIMITS, strict)
+def _flags(d: Data) -> DataFrame:
+    """Eligibility and limits of every connection, from one aggregate over the legs."""
+    airports, airlines = _eu_sets(d)
+    return eligibility.connection_flags(eligibility.connection_facts(_standard(d), airports, airlines, _limit_dim(d), SPECIAL, LIMITS), AS_OF)
 
 
 @query("b4_time_limits", oracle(_LIMIT_VIEWS, f'WITH {_limit_sql(False)} SELECT connection_id AS "ConnectionID", l1 AS "IsTimeLimitL1", l2 AS "IsTimeLimitL2" FROM t'))
 def b4(d: Data) -> DataFrame:
-    return _flags(d)
+    return _flags(d).where("EUEligible").select("ConnectionID", "IsTimeLimitL1", "IsTimeLimitL2")
 
 
 @query(
@@ -173,13 +178,23 @@ def b4(d: Data) -> DataFrame:
     oracle(_LIMIT_VIEWS, f'WITH {_limit_sql(False)} SELECT s.connection_id AS "ConnectionID", CAST(leg_no AS BIGINT) AS "LegNo", l1 AS "IsTimeLimitL1", l2 AS "IsTimeLimitL2" FROM v_std s LEFT JOIN t ON s.connection_id = t.connection_id'),
 )
 def b4_applied(d: Data) -> DataFrame:
-    legs = eligibility.apply_time_limits(_eligible(d), _flags(d))
+    legs = eligibility.apply_time_limits(_standard(d), _flags(d).where("EUEligible"))
     return plain(legs.select("ConnectionID", "LegNo", "IsTimeLimitL1", "IsTimeLimitL2"))
 
 
 @query("b5_time_limits_strict", oracle(_LIMIT_VIEWS, f'WITH {_limit_sql(True)} SELECT connection_id AS "ConnectionID", l1 AS "IsTimeLimitL1", l2 AS "IsTimeLimitL2" FROM t'))
 def b5(d: Data) -> DataFrame:
-    return _flags(d, strict=True)
+    found = _flags(d).where("EUEligible")
+    return found.select("ConnectionID", F.col("IsTimeLimitL1Strict").alias("IsTimeLimitL1"), F.col("IsTimeLimitL2Strict").alias("IsTimeLimitL2"))
+
+
+@query(
+    "b4_time_limits_of_flagged_legs",
+    oracle(_LIMIT_VIEWS, f'WITH {_limit_sql(True)} SELECT connection_id AS "ConnectionID", l1 AS "IsTimeLimitL1", l2 AS "IsTimeLimitL2" FROM t'),
+)
+def b4_flagged(d: Data) -> DataFrame:
+    """The same over legs that carry their eligibility already, as a stored standard table does."""
+    return eligibility.time_limits(_eligible(d), _limit_dim(d), AS_OF, LIMITS, strict=True)
 
 
 @query(

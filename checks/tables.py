@@ -13,6 +13,7 @@ from itinera.operators import layout
 from itinera.session import scratch_path
 from itinera.sinks.files import export_csv_chunks, split_output
 from itinera.sinks.tables import replace_table
+from itinera.sinks.versioned import VersionedTable
 from itinera.sources import delimited, markup, tables, workbooks
 from itinera.streaming.incremental import incremental_clean
 
@@ -252,6 +253,46 @@ def k1(d: Data) -> DataFrame:
     return plain(d.spark.table(name))
 
 
+def _versioned(d: Data, label: str, rows: DataFrame) -> VersionedTable:
+    table = VersionedTable(d.spark, scratch_path(d.spark, label))
+    table.replace(rows)
+    return table
+
+
+@query("k3_update_committed", ORACLES["k3_update_from"])
+def k3_committed(d: Data) -> DataFrame:
+    """The update as one commit of a versioned table."""
+    top = d.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderpriority").alias("c_mktsegment"))
+    table = _versioned(d, "k3", d.table("customer").select("c_custkey", "c_mktsegment", "c_nationkey"))
+    table.update_from(top, ["c_custkey"], ["c_mktsegment"], F.col("c_nationkey") > 5)
+    return plain(table.read())
+
+
+@query("k5_replace_committed", ORACLES["k5_replace_subset"])
+def k5_committed(d: Data) -> DataFrame:
+    """Delete and insert as one commit; the version before stays readable."""
+    table = _versioned(d, "k5", d.view("v_booking").select("row_id", "booking_ref", "pax_name", "airport1", "airport3"))
+    table.replace_subset(F.col("airport1") == F.col("airport3"), lambda x: x.withColumn("pax_name", F.lit("RETURN")))
+    return table.read().select("row_id", "booking_ref", "pax_name")
+
+
+@query(
+    "k2_append_committed",
+    oracle(
+        "v_booking",
+        f"""WITH t AS (SELECT * FROM v_booking WHERE {LOADED}), r AS (SELECT *, row_number() OVER (PARTITION BY booking_ref, flight1, airport1 ORDER BY row_id) AS rn FROM v_booking)
+SELECT row_id, booking_ref FROM t UNION ALL SELECT row_id, booking_ref FROM r WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM t WHERE t.booking_ref IS NOT DISTINCT FROM r.booking_ref
+  AND t.flight1 IS NOT DISTINCT FROM r.flight1 AND t.airport1 IS NOT DISTINCT FROM r.airport1)""",
+    ),
+)
+def k2_committed(d: Data) -> DataFrame:
+    """The loaded table after rows with new keys were committed to it."""
+    rows = d.view("v_booking").select("row_id", "booking_ref", "flight1", "airport1", "date1")
+    table = _versioned(d, "k2", d.view("v_booking").filter(LOADED).select(*rows.columns))
+    table.append_if_absent(rows, ["booking_ref", "flight1", "airport1"], ["row_id"], nulls_equal=True)
+    return table.read().select("row_id", "booking_ref")
+
+
 @query("k6_export_csv_chunks", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus FROM orders")
 def k6(d: Data) -> DataFrame:
     path = scratch_path(d.spark, "k6")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,14 +90,78 @@ def variance_ranking(df: DataFrame, columns: Sequence[str], k: int, digits: int
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Pearson correlation of every pair, long form, one pass."""
-    rounded = lambda c: c if digits is None else F.round(c, digits)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[rounded(F.corr(a, b)).alias(f"{a}|{b}") for a, b in pairs])
-    cell = lambda a, b: F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{a}|{b}`").alias("r"))
-    swapped = lambda a, b: F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"`{a}|{b}`").alias("r"))
-    items = [cell(a, b) for a, b in pairs] + [swapped(a, b) for a, b in pairs if a != b]
-    return one.select(F.inline(F.array(*items)))
+    """Pearson correlation of every pair over the rows that have both values, long form, one pass for any number of columns.
+
+    Tasks add up one matrix of co-moments each, in blocks of rows. The matrices are merged row by row by Chan's formula, in
+    two steps, so what a merging task holds depends on the numbers of columns and tasks alone.
+    """
+    k = len(columns)
+    read = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def add_up(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(k)])
+                for at in range(0, len(x), 4096):
+                    total = _merged(total, _moments(x[at : at + 4096]))
+        if total is not None:
+            rows = [np.ascontiguousarray(total[:, i]).tobytes() for i in range(k)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(rows, pa.binary())], names=["i", "m"])
+
+    def merge(rows):
+        total = None
+        for m in rows["m"]:
+            total = _merged(total, np.frombuffer(m).reshape(6, k))
+        return pd.DataFrame({"i": rows["i"].iloc[:1], "m": [total.tobytes()]})
+
+    parts = read.mapInArrow(add_up, "i int, m binary").withColumn("g", F.spark_partition_id() % _MERGERS)
+    one = parts.groupBy("i", "g").applyInPandas(merge, "i int, m binary").groupBy("i").applyInPandas(merge, "i int, m binary")
+
+    def cells(batches):
+        names = pa.array(list(columns))
+        for batch in batches:
+            for i, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                n, _, _, xx, yy, xy = np.frombuffer(m).reshape(6, k)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    r = np.where(n > 1, xy / np.sqrt(xx * yy), np.nan)
+                # a correlation that is not defined is null, as built-in functions give it
+                values = pa.array(r, pa.float64(), mask=~np.isfinite(r))
+                yield pa.RecordBatch.from_arrays([pa.array([columns[i]] * k), names, values], names=["a", "b", "r"])
+
+    out = one.mapInArrow(cells, "a string, b string, r double")
+    return out if digits is None else out.withColumn("r", F.round("r", digits))
+
+
+# Groups of tasks whose rows are merged before the last step.
+_MERGERS = 64
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    """(count, mean of x, mean of y, co-moments xx, yy, xy) for each pair of columns, over rows where both are present."""
+    present = ~np.isnan(x)
+    here = present.astype(float)
+    n = here.T @ here
+    shift = np.where(present.any(axis=0), np.nansum(x, axis=0) / np.maximum(present.sum(axis=0), 1), 0.0)
+    z = np.where(present, x - shift, 0.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sx, sy = z.T @ here, here.T @ z
+        mx, my = np.where(n > 0, sx / n, 0.0), np.where(n > 0, sy / n, 0.0)
+    square = (z * z).T
+    xx, yy = square @ here - n * mx * mx, here.T @ square.T - n * my * my
+    xy = z.T @ z - n * mx * my
+    return np.stack([n, mx + shift[:, None], my + shift[None, :], np.maximum(xx, 0.0), np.maximum(yy, 0.0), xy])
+
+
+def _merged(a: np.ndarray | None, b: np.ndarray) -> np.ndarray:
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = np.where(a[0] > 0, b[1] - a[1], 0.0), np.where(a[0] > 0, b[2] - a[2], 0.0)
+    w = a[0] * share
+    means = [np.where(a[0] > 0, a[1] + dx * share, b[1]), np.where(a[0] > 0, a[2] + dy * share, b[2])]
+    return np.stack([n, *means, a[3] + b[3] + dx * dx * w, a[4] + b[4] + dy * dy * w, a[5] + b[5] + dx * dy * w])
 
 
 def describe(df: DataFrame, column: str, digits: int | None = None) -> DataFrame:

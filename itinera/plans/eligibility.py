@@ -144,6 +144,61 @@ def time_limits(
     )
 
 
+def connection_facts(
+    legs: DataFrame,
+    eu_airports: DataFrame,
+    eu_carriers: DataFrame,
+    limits_by_airport: DataFrame,
+    special: Sequence[str] = SPECIAL_CARRIERS,
+    special_limits: Mapping[str, tuple[float, float]] = SPECIAL_LIMITS,
+    connection: str = "ConnectionID",
+    leg_no: str = "LegNo",
+) -> DataFrame:
+    """One mergeable aggregate per connection that eligibility and both limits are read from.
+
+    The airports' membership and limits are one dimension, met once by departure and once by arrival. Every state is of
+    fixed width (flags, maxima, the first date), so legs are read once and only partial states are shuffled.
+    """
+    sides = [eu_airports.select(F.col("__m").alias("code"), F.lit(True).alias("eu"), F.lit(None).cast("double").alias("l1"), F.lit(None).cast("double").alias("l2"))]
+    sides.append(limits_by_airport.select("code", F.lit(False).alias("eu"), "l1", "l2"))
+    airports = sides[0].unionByName(sides[1]).groupBy("code").agg(F.bool_or("eu").alias("eu"), F.max("l1").alias("l1"), F.max("l2").alias("l2"))
+    rows = legs.where(F.col(connection).isNotNull()).select(connection, leg_no, "FromAirport", "ToAirport", "AirlineCode", "DepartureDate")
+    rows = lookup(rows, airports, "FromAirport", "code", {"__dep": "eu", "__d1": "l1", "__d2": "l2"})
+    rows = lookup(rows, airports, "ToAirport", "code", {"__arr": "eu", "__a1": "l1", "__a2": "l2"})
+    rows = lookup(rows, eu_carriers, "AirlineCode", "__m", {"__eu_carrier": "__hit"})
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("__dep", "__arr", "__eu_carrier")})
+    own = lambda i: literal_map("AirlineCode", {k: v[i] for k, v in special_limits.items()})
+    return rows.groupBy(connection).agg(
+        F.min_by("__dep", leg_no).alias("first_departs_eu"),
+        F.max_by("__arr", leg_no).alias("last_arrives_eu"),
+        F.bool_or(F.coalesce(F.col("AirlineCode").isin(list(special)), F.lit(False))).alias("special_carrier"),
+        F.bool_or(F.col("__dep") | (F.col("__arr") & F.col("__eu_carrier"))).alias("touches_eu"),
+        F.max(F.greatest("__d1", "__a1")).alias("country_l1"),
+        F.max(F.greatest("__d2", "__a2")).alias("country_l2"),
+        F.max(own(0)).alias("carrier_l1"),
+        F.max(own(1)).alias("carrier_l2"),
+        F.min(F.col("DepartureDate").cast("date")).alias("first_date"),
+    )
+
+
+def connection_flags(facts: DataFrame, as_of: dt.date = dt.date(2026, 4, 1), connection: str = "ConnectionID") -> DataFrame:
+    """``EUEligible``, ``IsTimeLimitL1``, ``IsTimeLimitL2`` and the strict forms of both, as :func:`eligibility_by_connection` and
+    :func:`time_limits` define them; the limits are null for connections that are not eligible."""
+    eligible = F.col("first_departs_eu") | F.col("special_carrier") | (F.col("last_arrives_eu") & F.col("touches_eu"))
+    c1, c2 = F.coalesce("country_l1", F.lit(0.0)), F.coalesce("country_l2", F.lit(0.0))
+    use_carrier = (c1 == 0) & (c2 == 0)
+    years = F.datediff(F.lit(as_of), F.col("first_date")) / F.lit(DAYS_PER_YEAR)
+    unlimited = use_carrier & F.col("carrier_l1").isNull() & F.col("carrier_l2").isNull()
+
+    def met(country: Column, carrier: str) -> Column:
+        limit = F.when(use_carrier, F.coalesce(F.col(carrier), F.lit(0.0))).otherwise(country)
+        return F.when(eligible, F.coalesce(limit >= years, F.lit(False)))
+
+    loose = {"IsTimeLimitL1": met(c1, "carrier_l1"), "IsTimeLimitL2": met(c2, "carrier_l2")}
+    strict = {f"{n}Strict": c & ~unlimited for n, c in loose.items()}
+    return facts.select(connection, eligible.alias("EUEligible"), *[c.alias(n) for n, c in (loose | strict).items()])
+
+
 def apply_time_limits(legs: DataFrame, flags: DataFrame, connection: str = "ConnectionID") -> DataFrame:
     """Write the flags of :func:`time_limits` to the leg rows; other connections keep what they have."""
     missing = {c: F.lit(None).cast("boolean") for c in ("IsTimeLimitL1", "IsTimeLimitL2") if c not in legs.columns}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from itinera.operators import dedupe, features, grouped
+from itinera.operators import dedupe, features, grouped, profile
 from itinera.operators.quantiles import exact_quantiles, exact_ranks
 from itinera.operators.segment import trips_gap
 from itinera.plans import delay
@@ -220,3 +221,18 @@ def test_delay_of_shared_connections(spark, mark):
     cut = delay.delay_eligibility(legs, mark=mark, layover_as_delay=True, rows_per_chunk=100)
     assert cut.where("IsDelayEligible = 1").count() > 0 and cut.where("ConnectionID is null and IsDelayEligible = 1").count() == 0
     same(cut, delay.delay_eligibility(legs, mark=mark, layover_as_delay=True), *cut.columns)
+
+
+def test_correlations_of_300_columns_in_one_pass(spark):
+    """Gaps, a constant column, large offsets; against pandas, pair by pair."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(700, 300)) + rng.normal(size=(700, 1)) + np.arange(300) * 1e5
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 3.0
+    names = [f"n{i}" for i in range(300)]
+    frame = pd.DataFrame(x, columns=names)
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None), ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = profile.correlation_matrix(df, names).toPandas().pivot(index="a", columns="b", values="r").loc[names, names]
+    want = frame.corr(min_periods=2)
+    np.testing.assert_allclose(got.to_numpy(float), want.to_numpy(), rtol=0, atol=1e-6)
+    assert profile.correlation_matrix(df.limit(0), names[:2]).collect() == []
