@@ -10,9 +10,10 @@ from checks.inputs import oracle
 from checks.journeys import BOOKING
 from checks.registry import ORACLES, Data, plain, query
 from itinera.operators import layout
+from itinera.operators.dedupe import match_target
 from itinera.session import scratch_path
 from itinera.sinks.files import export_csv_chunks, split_output
-from itinera.sinks.tables import replace_table
+from itinera.sinks.tables import replace_table, rows_to_append
 from itinera.sinks.versioned import VersionedTable
 from itinera.sources import delimited, markup, tables, workbooks
 from itinera.streaming.incremental import incremental_clean
@@ -322,7 +323,22 @@ def x1(d: Data) -> DataFrame:
     rows = d.view("v_booking")
     source, target, rejected, ckpt = (scratch_path(d.spark, f"x1-{p}") for p in ("in", "out", "rejected", "state"))
     for part in (rows.filter(LOADED), rows.filter(f"NOT ({LOADED})")):
-        part.write.mode("append").parquet(source)
-        stream = incremental_clean(d.spark, source, rows.schema, BOOKING, "row_id", target, rejected, ckpt)
-        stream.awaitTermination()
-    return plain(d.spark.read.parquet(target).drop("batch_id"))
+        part.repartition(3).write.mode("append").parquet(source)
+        incremental_clean(d.spark, source, rows.schema, BOOKING, "row_id", target, rejected, ckpt, max_files=1)
+    return plain(d.spark.read.parquet(target).drop("run_id"))
+
+
+@query(
+    "k2_append_pruned",
+    ORACLES["k2_append_if_absent"],
+)
+def k2_pruned(d: Data) -> DataFrame:
+    """A target far larger than the run: its rows meet a filter of the run's keys before they are shuffled."""
+    rows = d.view("v_booking")
+    return rows_to_append(rows, rows.filter(LOADED), ["booking_ref", "flight1", "airport1"], ["row_id"], prune=True).select("row_id")
+
+
+@query("d7_conflicts_pruned", ORACLES["d7_conflicts"])
+def d7_pruned(d: Data) -> DataFrame:
+    rows = d.view("v_booking")
+    return match_target(rows, rows.filter(LOADED), ["booking_ref", "flight1", "airport1"], prune=True).select("row_id")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itinera.operators.grouped import attach_group
+from itinera.operators.prune import key_filter, key_hash, may_contain
 
 Key = Callable[[Column], Sequence[Column]]
 
@@ -87,22 +88,34 @@ def _key_side(target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str])
     return target.select(*[value(k).alias(f"__t_{k}") for k in keys])
 
 
+def pruned_target(df: DataFrame, target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str] = ()) -> DataFrame:
+    """The target's rows that may hold a key of ``df``, by a Bloom filter of the run's keys (:mod:`itinera.operators.prune`).
+
+    For a small run against a large target: the target is scanned, but only rows that pass are shuffled.
+    """
+    value = lambda k: F.trim(F.col(f"`{k}`").cast("string")) if k in trim_equal else F.col(f"`{k}`")
+    h = key_hash([value(k) for k in keys])
+    return may_contain(target, h, key_filter(df.select(h.alias("h")), "h"))
+
+
 def match_target(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str] = (), how: str = "left_semi"
+    df: DataFrame, target: DataFrame, keys: Sequence[str], trim_equal: Sequence[str] = (), how: str = "left_semi", prune: bool = False
 ) -> DataFrame:
     """Rows whose key is (``left_semi``) or is not (``left_anti``) in the target.
 
     Null matches null, except for the ``trim_equal`` columns, which compare trimmed text and never match on null.
+    ``prune`` is for a target much larger than ``df`` (:func:`pruned_target`).
     """
-    side = _key_side(target, keys, trim_equal)
+    side = _key_side(pruned_target(df, target, keys, trim_equal) if prune else target, keys, trim_equal)
     return df.join(side, _key_match(df, side, keys, trim_equal), how)
 
 
 def flag_known(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], out: str, trim_equal: Sequence[str] = ()
+    df: DataFrame, target: DataFrame, keys: Sequence[str], out: str, trim_equal: Sequence[str] = (), prune: bool = False
 ) -> DataFrame:
     """All rows with a flag that tells whether their key is in the target; key comparison as in :func:`match_target`."""
-    side = _key_side(target, keys, trim_equal).distinct().withColumn("__known_key", F.lit(True))
+    near = pruned_target(df, target, keys, trim_equal) if prune else target
+    side = _key_side(near, keys, trim_equal).distinct().withColumn("__known_key", F.lit(True))
     flagged = df.join(side, _key_match(df, side, keys, trim_equal), "left")
     kept = flagged.withColumn(out, F.col("__known_key").isNotNull())
     return kept.drop("__known_key", *[f"__t_{k}" for k in keys])

@@ -115,7 +115,7 @@ def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
 
 
 def turned_down(
-    rows: DataFrame, spec: SourceSpec, row_id: str, target: DataFrame | None, trim_equal: Sequence[str]
+    rows: DataFrame, spec: SourceSpec, row_id: str, target: DataFrame | None, trim_equal: Sequence[str], prune: bool = False
 ) -> DataFrame:
     """(row id, route number, status) of the routes that are not accepted; only key columns are read and shuffled."""
     keys = list(dict.fromkeys([*spec.key_columns, *(spec.target_key_columns if target is not None else ())]))
@@ -123,7 +123,7 @@ def turned_down(
     flagged = flag_repeats(narrow, spec.key_columns, [row_id, ROUTE_NO], "__repeat")
     status = F.when(F.col("__repeat"), fl.BATCH_DUPLICATE)
     if target is not None:
-        flagged = flag_known(flagged, target, spec.target_key_columns, "__known", trim_equal)
+        flagged = flag_known(flagged, target, spec.target_key_columns, "__known", trim_equal, prune)
         status = status.when(F.col("__known"), fl.TARGET_CONFLICT)
     return flagged.select(row_id, ROUTE_NO, status.alias("__status")).filter(F.col("__status").isNotNull())
 
@@ -150,9 +150,23 @@ def clean_bookings(
     columns that compare trimmed and never match on null.
     """
     # one pass over the input; routes, failures and labels each read what they need of the stored rows
-    staged = _stored(stage_rows(df, spec), "staged")
+    return clean_staged(df, _stored(stage_rows(df, spec), "staged"), spec, row_id, target, trim_equal, rejected_at)
+
+
+def clean_staged(
+    source: DataFrame,
+    staged: DataFrame,
+    spec: SourceSpec,
+    row_id: str,
+    target: DataFrame | None = None,
+    trim_equal: Sequence[str] = (),
+    rejected_at: Column | None = None,
+    prune: bool = False,
+) -> CleanResult:
+    """The same for rows that :func:`stage_rows` has parsed and that are stored. ``prune`` is for a target much larger than the
+    extract: only its rows that may hold a key of the extract are shuffled."""
     routes, failed = route_rows(staged, spec, row_id), failed_rows(staged, spec, row_id)
-    labels = _stored(turned_down(routes, spec, row_id, target, trim_equal), "labels")
+    labels = _stored(turned_down(routes, spec, row_id, target, trim_equal, prune), "labels")
     detail = F.when(F.col("__status") == fl.BATCH_DUPLICATE, "Duplicate within batch").otherwise(
         "Composite key already in target"
     )
@@ -166,4 +180,4 @@ def clean_bookings(
     stamp = rejected_at if rejected_at is not None else F.lit(None).cast("timestamp_ntz")
     rejected = failed.unionByName(repeated).withColumn("RejectedAt", stamp)
     accepted = routes.drop("__raw").join(labels, [row_id, ROUTE_NO], "left_anti")
-    return CleanResult(df, accepted, rejected)
+    return CleanResult(source, accepted, rejected)

@@ -12,7 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from itinera.operators.dedupe import keep_first
+from itinera.operators.dedupe import keep_first, pruned_target
 from itinera.operators.filters import delete_where
 
 
@@ -22,12 +22,14 @@ def replace_table(df: DataFrame, name: str) -> None:
 
 
 def rows_to_append(
-    df: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str], nulls_equal: bool = False
+    df: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str], nulls_equal: bool = False, prune: bool = False
 ) -> DataFrame:
     """INSERT OR IGNORE: the rows whose key is new, the first in order per key.
 
-    By default keys compare as in a SQL UNIQUE constraint: a key with a null is never a duplicate.
+    By default keys compare as in a SQL UNIQUE constraint: a key with a null is never a duplicate. ``prune`` is for a
+    target much larger than ``df``: only its rows that may hold a new key are shuffled.
     """
+    target = pruned_target(df, target, keys) if prune else target
     side = target.select(*[F.col(f"`{k}`").alias(f"__t{i}") for i, k in enumerate(keys)])
     if nulls_equal:
         fresh = keep_first(df, keys, order)

@@ -40,7 +40,7 @@ class Manifest:
         return json.dumps({"schema": self.schema.jsonValue(), "folders": self.folders})
 
 
-class _Files:
+class StoreFiles:
     """The few file operations of a commit, through Hadoop, as the table may lie in any store."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -93,7 +93,7 @@ class VersionedTable:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self.files = _Files(spark, self.path)
+        self.files = StoreFiles(spark, self.path)
 
     def versions(self) -> list[int]:
         return sorted(int(n[:-5]) for n in self.files.names(f"{self.path}/versions") if re.fullmatch(r"\d+\.json", n))

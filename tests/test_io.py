@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
+from itinera.operators import dedupe
 from itinera.plans.clean import clean_bookings
 from itinera.sinks import files, tables as sink_tables
 from itinera.sources import delimited, markup, tables, workbooks
@@ -137,19 +138,70 @@ def test_append_if_absent_twice_changes_nothing(spark):
     assert sorted(r["id"] for r in strict.collect()) == [4, 6, 7]
 
 
-def test_incremental_equals_batch(spark, tmp_path):
+@pytest.fixture
+def deliveries(spark):
+    """Two deliveries of several files each; keys repeat within and across them."""
     spec = SourceSpec("t", ("Ref",), 1, key=("Ref", "FlightNumber1", "FlightDate1"))
-    data = [(i, f"r{i % 7}", f"TK{i % 5 + 1}" if i % 9 else "bad", "2024-01-0%d" % (i % 3 + 1), "A", "B") for i in range(90)]
+    data = [((i * 37) % 180, f"r{i % 7}", f"TK{i % 5 + 1}" if i % 9 else "bad", "2024-01-0%d" % (i % 3 + 1), "A", "B") for i in range(180)]
     df = spark.createDataFrame(data, "id int, Ref string, FlightNumber1 string, FlightDate1 string, Airport1 string, Airport2 string")
+    return spec, [df.where("id % 180 < 60 or id = 177"), df.where("id >= 60 and id <> 177")]
+
+
+def _outcome(spark, path):
+    rows = spark.read.parquet(path)
+    return sorted((r["run_id"], r["id"], r["Ref"], r["FlightNumber1"], str(r["FlightDate1"]), r["RejectionReason"] if "RejectionReason" in rows.columns else None) for r in rows.collect())
+
+
+def test_incremental_runs_do_not_depend_on_micro_batches(spark, tmp_path, deliveries):
+    spec, parts = deliveries
+    outcomes = []
+    for max_files in (1, 1000):
+        source, out, bad, state = (str(tmp_path / f"{p}{max_files}") for p in ("in", "out", "bad", "state"))
+        for n, part in enumerate(parts):
+            part.repartition(4).write.mode("append").parquet(source)
+            assert incremental_clean(spark, source, part.schema, spec, "id", out, bad, state, max_files=max_files) == n + 1
+        assert incremental_clean(spark, source, part.schema, spec, "id", out, bad, state) == 0
+        outcomes.append((_outcome(spark, out), _outcome(spark, bad)))
+    assert outcomes[0] == outcomes[1]
+    first = clean_bookings(parts[0], spec, "id")
+    second = clean_bookings(parts[1], spec, "id", first.accepted)
+    for found, name in zip(outcomes[0], ("accepted", "rejected")):
+        for run, result in ((1, first), (2, second)):
+            assert [r[1] for r in found if r[0] == run] == sorted(r["id"] for r in getattr(result, name).collect())
+    reasons = {r[5] for r in outcomes[0][1]}
+    assert {"BATCH DUPLICATE", "DB UNIQUE VIOLATION"} <= reasons
+
+
+def test_a_run_that_died_is_taken_up(spark, tmp_path, deliveries, monkeypatch):
+    from itinera.streaming import incremental
+
+    spec, parts = deliveries
     source, out, bad, state = (str(tmp_path / p) for p in ("in", "out", "bad", "state"))
-    for lo, hi in ((0, 40), (40, 90)):
-        df.filter((F.col("id") >= lo) & (F.col("id") < hi)).coalesce(1).write.mode("append").parquet(source)
-        incremental_clean(spark, source, df.schema, spec, "id", out, bad, state).awaitTermination()
-    incremental_clean(spark, source, df.schema, spec, "id", out, bad, state).awaitTermination()
-    batch = clean_bookings(df, spec, "id")
-    key = lambda d: sorted((r["Ref"], r["FlightNumber1"], str(r["FlightDate1"])) for r in d.collect())
-    assert key(spark.read.parquet(out)) == key(batch.accepted)
-    assert spark.read.parquet(bad).count() == batch.rejected.count()
+    parts[0].repartition(3).write.parquet(source)
+    args = (spark, source, parts[0].schema, spec, "id", out, bad, state)
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "finish_run", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental_clean(*args, max_files=1)
+    parts[1].repartition(2).write.mode("append").parquet(source)
+    assert incremental_clean(*args) == 1  # both deliveries, under the old number
+    whole = clean_bookings(parts[0].unionByName(parts[1]), spec, "id")
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == sorted(r["id"] for r in whole.accepted.collect())
+    assert spark.read.parquet(bad).count() == whole.rejected.count()
+
+
+def test_a_filter_of_the_run_keeps_the_target_out_of_the_shuffle(spark, tmp_path):
+    target = spark.range(200_000).selectExpr("cast(id as string) as k", "id % 11 as n", "if(id % 100 = 0, null, id % 5) as m")
+    target.write.parquet(str(tmp_path / "target"))
+    target = spark.read.parquet(str(tmp_path / "target"))
+    run = spark.createDataFrame([("17", 6, 2), (" 18 ", 7, 3), ("100", 1, None), ("x", 1, 1), (None, 1, 1)], "k string, n long, m long")
+    near = dedupe.pruned_target(run, target, ["k", "n", "m"], ["k"])
+    assert 3 <= near.count() < 60  # of 200,000
+    for how in ("left_semi", "left_anti"):
+        plain = dedupe.match_target(run, target, ["k", "n", "m"], ["k"], how)
+        assert sorted(map(str, dedupe.match_target(run, target, ["k", "n", "m"], ["k"], how, prune=True).collect())) == sorted(map(str, plain.collect()))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2  # the target itself is not exchanged
 
 
 def test_csv_files_of_several_layouts(spark, tmp_path):
