@@ -5,11 +5,11 @@ document is toxic if at least one sentence is, so its probability is the noisy-o
 gradient of the document's likelihood decides by itself which sentences carry the label, and the same sentence scores
 later locate them.
 
-The model is fitted on a bounded sample of labelled rows (``sample``, texts of up to ``longest`` characters, in the
-order of a hash of the id). Scoring reads every sentence of every text, in one pass without a shuffle.
+The model is fitted on a bounded sample of labelled ids (``sample``, texts of up to ``longest`` characters, in the order of
+a hash of the id), whose features are made in tasks. Scoring reads every sentence of every text, in one pass without a shuffle.
 
 Edge cases: a null or empty text is one empty sentence and gets the model's base rate; a null or missing label is not
-learned from; of repeated labels for an id the larger holds; null ids are scored and never learned from; without any
+learned from; of repeated labels for an id the larger holds, of repeated texts the smallest is learned from; null ids are scored and never learned from; without any
 labelled row every score is 0; other columns are not read.
 """
 
@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itinera.llm.common import crc32_of, map_rows, text_rows
+from itinera.llm.common import crc32_of, map_rows, stored, text_rows
 
 SAMPLE = 10_000
 LONGEST = 30_000
@@ -60,55 +60,85 @@ class ToxicityModel:
     base: float
 
 
-def _sample(docs: DataFrame, labels: DataFrame, sample: int, longest: int):
+def _bags(docs: DataFrame, labels: DataFrame, sample: int, longest: int) -> DataFrame:
+    """(doc_id, toxic, sentences, slots, rows) of the sample, stored: of each document the slots of its sentences, which of the
+    sentences each is in, and their number. Texts stay in the tasks."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many rows at most, hence the broadcast
-    texts = text_rows(docs).where(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
-    table = rows.toArrow()
-    return table.column("text").to_pylist(), np.array(table.column("toxic").to_pylist(), dtype=float)
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many ids at most, hence the broadcast
+    texts = text_rows(docs).where(F.length("text") <= longest).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+    def run(batches):
+        slots = _Slots()
+        for batch in batches:
+            columns, rows, sentences = [], [], []
+            for text in batch["text"]:
+                column, row = array("i"), array("i")
+                bag = _SENTENCE.findall(text) or [""]
+                for i, sentence in enumerate(bag):
+                    mine = sorted({f for t in set(sentence.split()) for f in slots[t]})  # a feature counts once a sentence
+                    column.extend(mine)
+                    row.extend([i] * len(mine))
+                columns.append(column.tobytes())
+                rows.append(row.tobytes())
+                sentences.append(len(bag))
+                if len(slots) > REMEMBER:
+                    slots = _Slots()
+            yield batch["doc_id"], batch["toxic"], sentences, columns, rows
+
+    return stored(map_rows(one, run, "doc_id long, toxic int, sentences int, slots binary, rows binary"), "bags")
+
+
+def _common_slots(bags: DataFrame) -> np.ndarray:
+    """Slots that enough documents hold, in order; there are ``SLOTS`` at most."""
+
+    def run(batches):
+        held = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for slots in batch["slots"]:
+                held[np.unique(np.frombuffer(slots, np.int32))] += 1
+        some = np.flatnonzero(held)
+        yield some.tolist(), held[some].tolist()
+
+    counts = map_rows(bags.select("slots"), run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    return np.sort(counts.where(F.col("n") >= LEAST).select("slot").toArrow().column("slot").to_numpy())
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: int = 240) -> ToxicityModel:
-    """Fit on at most ``sample`` labelled rows of the documents given."""
-    texts, toxic = _sample(docs, labels, sample, longest)
-    if not texts:
-        return ToxicityModel({}, -1000.0)
-    slots = _Slots()
-    columns, rows, sentences = [], [], []  # of each document: slots, the sentence of each, the number of sentences
-    held = np.zeros(SLOTS, np.int32)
-    for d, text in enumerate(texts):
-        texts[d] = None  # no text is needed twice
-        column, row = array("i"), array("i")
-        bag = _SENTENCE.findall(text) or [""]
-        for i, sentence in enumerate(bag):
-            mine = {f for t in set(sentence.split()) for f in slots[t]}  # a feature counts once a sentence
-            column.extend(mine)
-            row.extend([i] * len(mine))
-        columns.append(np.array(column, np.int32))
-        rows.append(np.array(row, np.int32))
-        sentences.append(len(bag))
-        held[np.unique(columns[-1])] += 1
-        if len(slots) > REMEMBER:
-            slots = _Slots()
-    del slots
-    used = np.flatnonzero(held >= LEAST)
+    """Fit on at most ``sample`` labelled rows of the documents given, one an id. The driver sees numbers of common slots only."""
+    bags = _bags(docs, labels, sample, longest)
+    used = _common_slots(bags)
     number = np.full(SLOTS, -1, np.int32)
     number[used] = np.arange(len(used))
+
+    def run(batches):
+        for batch in batches:
+            columns, rows = [], []
+            for slots, row in zip(batch["slots"], batch["rows"], strict=True):
+                column = number[np.frombuffer(slots, np.int32)]
+                columns.append(column[column >= 0].tobytes())
+                rows.append(np.frombuffer(row, np.int32)[column >= 0].tobytes())
+            yield batch["doc_id"], batch["toxic"], batch["sentences"], columns, rows
+
+    table = map_rows(bags, run, "doc_id long, toxic int, sentences int, slots binary, rows binary").toArrow()  # ``sample`` rows
+    if not table.num_rows:
+        return ToxicityModel({}, -1000.0)
+    table = table.sort_by("doc_id")
+    toxic, sentences = table.column("toxic").to_numpy().astype(float), table.column("sentences").to_numpy()
     steps = []
     for at in range(0, len(toxic), STEP):
-        upto = min(at + STEP, len(toxic))
-        base = np.cumsum([0, *sentences[at:upto]])
-        column = number[np.concatenate(columns[at:upto])]
-        row = np.concatenate([r + b for r, b in zip(rows[at:upto], base[:-1], strict=True)]).astype(np.int32)
-        live = column >= 0
-        steps.append((column[live], row[live], np.repeat(np.arange(upto - at), sentences[at:upto]), toxic[at:upto]))
-        columns[at:upto] = rows[at:upto] = [None] * (upto - at)
+        part = table.slice(at, STEP)
+        mine = sentences[at : at + STEP]
+        base = np.cumsum([0, *mine])
+        column = np.frombuffer(b"".join(part.column("slots").to_pylist()), np.int32)
+        row = np.concatenate([np.frombuffer(r, np.int32) + b for r, b in zip(part.column("rows").to_pylist(), base[:-1], strict=True)])
+        steps.append((column, row.astype(np.int32), np.repeat(np.arange(len(mine)), mine), toxic[at : at + STEP]))
+    del table
     weights, base = _maximise(steps, len(used), rounds)
     return ToxicityModel({int(f): float(w) for f, w in zip(used, weights, strict=True) if abs(w) > 1e-3}, float(base))
 
@@ -119,6 +149,19 @@ class _Slots(dict):
         return got
 
 
+def _gradient(w: np.ndarray, steps: list[tuple]) -> np.ndarray:
+    """Of the negative log-likelihood: a document's is -log(1 - prod(1 - p)) if it is toxic, else -sum(log(1 - p))."""
+    grad = np.zeros_like(w)
+    for column, row, document, toxic in steps:
+        z = w[-1] + np.bincount(row, w[column], len(document))
+        some = np.maximum(np.bincount(document, np.logaddexp(0, z), len(toxic)), 1e-12)
+        pull = np.where(toxic > 0, -1 / np.expm1(np.minimum(some, 50)), 1.0)
+        slope = pull[document] / (1 + np.exp(-z))
+        grad[:-1] += np.bincount(column, slope[row], len(w) - 1)
+        grad[-1] += slope.sum()
+    return grad
+
+
 def _maximise(steps: list[tuple], features: int, rounds: int):
     """Gradient ascent (Adam) on the noisy-or likelihood, with a soft threshold that keeps rare chance words at 0."""
     n = sum(len(s[3]) for s in steps)
@@ -126,15 +169,7 @@ def _maximise(steps: list[tuple], features: int, rounds: int):
     w[-1] = -5.0
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        grad = np.zeros_like(w)
-        for column, row, document, toxic in steps:
-            z = w[-1] + np.bincount(row, w[column], len(document))
-            some = np.maximum(np.bincount(document, np.logaddexp(0, z), len(toxic)), 1e-12)
-            pull = np.where(toxic > 0, -1 / np.expm1(np.minimum(some, 50)), 1.0)
-            slope = pull[document] / (1 + np.exp(-z))
-            grad[:-1] += np.bincount(column, slope[row], features)
-            grad[-1] += slope.sum()
-        grad /= n
+        grad = _gradient(w, steps) / n
         grad[:-1] += 2e-5 * w[:-1]
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad * grad
         rate = 0.3 * min(1.0, 2 * (1 - t / (rounds + 1)))

@@ -294,3 +294,44 @@ def test_masks(spark):
     rows = {r.doc_id: r.text for r in masked.collect()}
     assert rows[7] == "clean text" and rows[8] is None and masked.count() == docs.count()
     assert rows[0] == 'x [REDACTED]" [REDACTED]' and not any(_base_spans(t or "") for t in rows.values())
+
+
+def test_noisy_or_and_its_gradient_by_enumeration(spark):
+    """The document score over all outcomes of its sentences; the gradient against differences of the likelihood."""
+    import itertools
+
+    model = toxicity.ToxicityModel({f: w for t, w in (("bad", 1.5), ("worse", 3.0), ("fine", -0.7)) for f in toxicity._features(t)[:1]}, -2.0)
+    texts = ["bad. fine! worse bad", "fine", "", None, "bad bad. bad\nworse?", "nothing here"]
+    found = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        p = []
+        for sentence in re.findall(r"[^.!?\n]+", text or "") or [""]:
+            z = model.base + sum(model.weights.get(f, 0.0) for t in set(sentence.split()) for f in toxicity._features(t))
+            p.append(1 / (1 + np.exp(-z)))
+        some = sum(np.prod([x if o else 1 - x for o, x in zip(out, p)]) for out in itertools.product((0, 1), repeat=len(p)) if any(out))
+        assert found[i] == pytest.approx(some, abs=1e-12)
+
+    rng = np.random.default_rng(3)
+    documents = np.array([0, 0, 1, 2, 2, 2])
+    column, row = rng.integers(0, 4, 12).astype(np.int32), np.sort(rng.integers(0, 6, 12)).astype(np.int32)
+    toxic, w = np.array([1.0, 0.0, 1.0]), rng.normal(size=5)
+
+    def loss(w):
+        z = w[-1] + np.bincount(row, w[column], 6)
+        clean = np.array([np.prod([1 / (1 + np.exp(z[s])) for s in np.flatnonzero(documents == d)]) for d in range(3)])
+        return -(toxic * np.log(1 - clean) + (1 - toxic) * np.log(clean)).sum()
+
+    numeric = [(loss(w + e) - loss(w - e)) / 2e-6 for e in 1e-6 * np.eye(5)]
+    np.testing.assert_allclose(toxicity._gradient(w, [(column, row, documents, toxic)]), numeric, rtol=1e-5, atol=1e-7)
+
+
+def test_pipeline_stages_reject_and_pack_as_their_operators_do(spark):
+    """Toxicity rejects what the score says, with nulls and repeated rows; packing holds every id of every row once."""
+    rows = [(i, "calm words here. " * 3 + ("vile slur. " if i % 4 == 0 else ""), i % 4 == 0) for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t, _ in rows] + [(None, None, None), (1, rows[1][1], "en"), (4, rows[4][1], "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(t)) for i, _, t in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    kept = sorted(toxicity.keep_clean(docs, model).collect(), key=str)
+    high = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, model).collect()}
+    assert kept == sorted((r for r in docs.collect() if not high[r.doc_id]), key=str)
+    assert {i for i, h in high.items() if h} == {i for i, _, t in rows if t}
