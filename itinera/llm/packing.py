@@ -18,6 +18,9 @@ import re
 import struct
 import zlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -120,7 +123,7 @@ class WordCoder:
     @staticmethod
     def _stem(word: str) -> tuple[str, str]:
         """A spelling with the same ids, cut before closing punctuation; only where the tokenizer surely cuts as well."""
-        if "<|" in word:  # may be the string of a special token
+        if not word or "<|" in word:  # white space at an end, or perhaps the string of a special token
             return word, ""
         stem = word.rstrip(MARKS)
         if stem and stem[-1].isalnum() and stem[-1] < "\u0500":
@@ -129,22 +132,21 @@ class WordCoder:
             stem, tail = word, ""
         return (stem.lower() if max(stem) <= "\xff" else stem), tail
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self.split.findall(t) if self.odd.search(t) else t.split() for t in texts]
+    def _codes(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         if len(self.words) > REMEMBER:
             self.older, self.words = self.words, {}
         if len(self.stems) > REMEMBER:
             self.stems = {}
         known, older = self.words, self.older
-        here: set[str] = set()
-        here.update(*words)
         new = []
-        for w in here.difference(known):
-            ids = older.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                known[w] = ids
+        for w in words:
+            if w not in known:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
         cut = list(map(self._stem, new))
         stems = {s for c in cut for s in c}.difference(self.stems)
         stems = [s for s in stems if s]
@@ -153,7 +155,23 @@ class WordCoder:
         got = self.stems
         for w, (stem, tail) in zip(new, cut, strict=True):
             known[w] = got[stem] + got[tail] if tail else got[stem]
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        return list(map(known.__getitem__, words))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Words are split and numbered as arrays; only distinct words are looked up, and ids are gathered by number."""
+        plain = [" ".join(self.split.findall(t)) if self.odd.search(t) else t for t in texts]
+        lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+        numbered = lists.flatten().dictionary_encode()
+        codes = self._codes(numbered.dictionary.to_pylist())
+        at = numbered.indices.to_numpy()
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        mine = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(mine)])
+        data = ids[np.repeat(starts[at] - ends[:-1], mine) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[lists.offsets.to_numpy()]).tolist()
+        return [data[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
 _CODERS: dict[str, WordCoder] = {}
