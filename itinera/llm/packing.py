@@ -159,8 +159,8 @@ class WordCoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Words are split and numbered as arrays; only distinct words are looked up, and ids are gathered by number."""
-        plain = [" ".join(self.split.findall(t)) if self.odd.search(t) else t for t in texts]
-        lists = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+        odd = {i: self.split.findall(t) for i, t in enumerate(texts) if self.odd.search(t)}
+        lists = pc.utf8_split_whitespace(pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string()))
         numbered = lists.flatten().dictionary_encode()
         codes = self._codes(numbered.dictionary.to_pylist())
         at = numbered.indices.to_numpy()
@@ -171,7 +171,10 @@ class WordCoder:
         ends = np.concatenate([[0], np.cumsum(mine)])
         data = ids[np.repeat(starts[at] - ends[:-1], mine) + np.arange(ends[-1])].tobytes()
         cuts = (4 * ends[lists.offsets.to_numpy()]).tolist()
-        return [data[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+        out = [data[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+        for i, words in odd.items():
+            out[i] = b"".join(self._codes(words))
+        return out
 
 
 _CODERS: dict[str, WordCoder] = {}
