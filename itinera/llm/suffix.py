@@ -12,6 +12,7 @@ one place would find these strings; here it is cut into pieces that workers can
    end. Their suffix arrays are built by grouping suffixes by their Lyndon prefixes and emitting each group's order
    (``suffix_array``). Neighbours in it share the longest run of bytes behind the gram; together with the bytes before
    the gram this tells which windows are equal.
+   Contexts that are equal in several blocks enter once.
 4. A gram with more than ``LIMIT`` occurrences is split over several shares. Windows that stay single in a share are
    then compared by a digest of their bytes across its shares, so that nothing is lost by the split.
 5. The intervals of a text, which is addressed by its SHA-256, are merged and joined to all rows with this text.
@@ -455,9 +456,16 @@ def _resolve(length: int):
             starts += row_starts
             numbers.append(part)
         numbers = np.concatenate(numbers, axis=1)
-        gram, left, parts, copies = numbers[0], numbers[1].astype(np.int64), numbers[2], numbers[3]
-        repeated, own = equal_windows(gram, left, contexts, length)
+        gram, left, parts = numbers[0], numbers[1].astype(np.int64), numbers[2]
         start = np.array(starts, np.int64)
+        # equal contexts of several blocks go into the array once; all windows of theirs are repeated
+        distinct: dict[tuple, int] = {}
+        member = np.array([distinct.setdefault(x, len(distinct)) for x in zip(gram.tolist(), left.tolist(), contexts, strict=True)])
+        first = np.unique(member, return_index=True)[1]
+        some, own = equal_windows(gram[first], left[first], [contexts[i] for i in first.tolist()], length)
+        several = np.bincount(member) > 1
+        some[several] = own[several]
+        repeated, own = some[member], own[member]
         out = [[], [], [], []]
         some = np.flatnonzero(repeated.any(axis=1))
         nearest = repeated[some].argmax(axis=1)
@@ -469,7 +477,7 @@ def _resolve(length: int):
             out[1].append(at - far)
             out[2].append(at - near + length)
             out[3].append(None)
-        for i in np.flatnonzero(parts > 1).tolist():
+        for i in first[parts[first] > 1].tolist():
             for d in np.flatnonzero(own[i]).tolist():
                 a = int(left[i]) - d
                 digest = hashlib.blake2b(contexts[i][a : a + length], digest_size=16).digest()
