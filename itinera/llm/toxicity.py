@@ -36,8 +36,9 @@ BEGINNINGS = (3, 4, 5)
 SLOTS = 1 << 20
 #: Documents of a step of the gradient's sum, which bounds the memory of fitting.
 STEP = 500
-#: Tokens a worker remembers before it starts anew; results do not depend on it.
-REMEMBER = 500_000
+#: Tokens a worker remembers before it starts anew, with their weights or with the slots of their features; results do not
+#: depend on it.
+REMEMBER, REMEMBER_SLOTS = 500_000, 50_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _LETTERS = re.compile(r"[\W\d_]+")
@@ -87,7 +88,7 @@ def _bags(docs: DataFrame, labels: DataFrame, sample: int, longest: int) -> Data
                 columns.append(column.tobytes())
                 rows.append(row.tobytes())
                 sentences.append(len(bag))
-                if len(slots) > REMEMBER:
+                if len(slots) > REMEMBER_SLOTS:
                     slots = _Slots()
             yield batch["doc_id"], batch["toxic"], sentences, columns, rows
 
