@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itinera.operators.features import hash_split
@@ -58,7 +58,7 @@ def forecast(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
     return model.transform(assemble(df, features)).drop("features")
 
 
-def top_importances(df: DataFrame, model, features: Sequence[str], k: int = 15) -> DataFrame:
+def top_importances(spark: SparkSession, model, features: Sequence[str], k: int = 15) -> DataFrame:
     """The k most important features of a fitted tree model."""
     ranked = sorted(zip(features, model.featureImportances.toArray()), key=lambda x: (-x[1], x[0]))
-    return local_rows(df.sparkSession, [(f, float(v)) for f, v in ranked[:k]], "feature string, importance double")
+    return local_rows(spark, [(f, float(v)) for f, v in ranked[:k]], "feature string, importance double")
