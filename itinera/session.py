@@ -55,6 +55,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/itinera/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, never reused path below the checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/itinera/{label}-{uuid.uuid4().hex}"
+    """A new, never reused path below the checkpoint folder, in the application's own part of it."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> bool:
+    """Remove all that this application stored below the checkpoint folder; call it when no frame of its is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

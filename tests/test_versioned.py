@@ -104,3 +104,14 @@ def test_empty_tables(spark):
     t.append(spark.createDataFrame([], "id long, v string"))
     t.delete_where(F.col("id") == 1)
     assert t.read().collect() == [] and t.read().columns == ["id", "v"]
+
+
+def test_cleanup_removes_what_the_application_stored(spark, tmp_path, monkeypatch):
+    from itinera import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda _: str(tmp_path))
+    spark.range(3).write.parquet(session.scratch_path(spark, "mine"))
+    (tmp_path / "itinera" / "another-application").mkdir()
+    assert session.cleanup(spark)
+    assert [x.name for x in (tmp_path / "itinera").iterdir()] == ["another-application"]
+    assert not session.cleanup(spark)
