@@ -42,8 +42,9 @@ _LETTERS = re.compile(r"[\W\d_]+")
 
 
 def word_of(token: str) -> str:
-    """The lower-case letters of a token."""
-    return _LETTERS.sub("", token.lower())
+    """The lower-case letters of a token; fractions, superscripts and circled numbers are none."""
+    word = _LETTERS.sub("", token.lower())
+    return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

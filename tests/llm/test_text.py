@@ -335,3 +335,11 @@ def test_pipeline_stages_reject_and_pack_as_their_operators_do(spark):
     high = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, model).collect()}
     assert kept == sorted((r for r in docs.collect() if not high[r.doc_id]), key=str)
     assert {i for i, h in high.items() if h} == {i for i, _, t in rows if t}
+
+
+def test_numbers_that_look_like_words_have_no_language(spark):
+    texts = ["the cat and the dog", "der hund und die katze"] * 10 + ["\u00bd \u00b2 \u2460", "\u2460\u2461 12_3", "\u00bdthe cat"]
+    docs = spark.createDataFrame([(i, t, ("en", "de")[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    assert [language.word_of(t) for t in ("\u00bd", "\u00b2x", "\u2460", "A\u0130b")] == ["", "x", "", "aib"]
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, language.fit(docs.where("doc_id < 20"))).collect()}
+    assert found[20][0] == found[21][0] == "und" and found[22][0] in ("en", "de")
