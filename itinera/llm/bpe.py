@@ -9,7 +9,7 @@ holds one share of the word table, in which each distinct word is encoded once.
 joined to the texts by position. Texts themselves are not shuffled, only word numbers (few bytes a word) are.
 
 decode: ids meet their pieces in a join with the id-to-piece table (as long as the vocabulary, so a broadcast), once for
-each distinct id of a block, and the pieces are put back by position.
+each distinct id of a block (of what one batch holds of it), and the pieces are put back by position.
 
 A block's word numbering is made twice, for the words and for the numbers; both carry its checksum, and the join fails
 loudly if an input gave its rows in another order the second time.
@@ -152,7 +152,9 @@ def _number_rows(batches):
         )
 
 
-def _encode_words(path: str):
+def _encode_words(path: str, distinct: bool):
+    """Rows of words with their ids; with ``distinct`` also a row (block, id) for each id that a block's words have."""
+
     def run(batches):
         coder = tokenizer(path)
         share, table = None, {}
@@ -173,7 +175,15 @@ def _encode_words(path: str):
                     got = [table[w] for w in words]
                     ids.append((_pack(np.fromiter(map(len, got), np.uint32)), _pack(np.fromiter((i for g in got for i in g), np.uint32))))
                 at = upto
-            yield batch["block"], batch["seal"], batch["numbers"], [x[0] for x in ids], [x[1] for x in ids]
+            yield batch["block"], batch["seal"], batch["numbers"], [x[0] for x in ids], [x[1] for x in ids], [None] * n
+            if distinct:
+                by = defaultdict(list)
+                for block, (_, packed) in zip(batch["block"], ids, strict=True):
+                    by[block].append(_unpack(packed))
+                for block, lists in by.items():
+                    each = np.unique(np.concatenate(lists)).astype(np.int32)
+                    none = [None] * len(each)
+                    yield np.full(len(each), block, np.int64), none, none, none, none, each
 
     return run
 
@@ -195,14 +205,15 @@ def _by_position(rows: pd.DataFrame, words: pd.DataFrame, value) -> tuple[np.nda
     return lengths, values
 
 
-def _coded(docs: DataFrame, path: str):
-    """The two sides of the join by block: rows with word numbers, and words with their ids."""
+def _coded(docs: DataFrame, path: str, distinct: bool):
+    """The two sides of the join by block: rows with word numbers, and words with their ids; the latter with ``distinct``
+    also hold a row for each id of a block's words (its other columns are null)."""
     rows = text_rows(docs)
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = min(SHARES, 4 * parts)
     words = map_rows(rows, _word_rows(shares), "block long, seal long, share int, words binary, numbers binary")
     words = words.repartition(parts, "share").sortWithinPartitions("share")
-    coded = map_rows(words, _encode_words(path), "block long, seal long, numbers binary, lens binary, ids binary")
+    coded = map_rows(words, _encode_words(path, distinct), "block long, seal long, numbers binary, lens binary, ids binary, id int")
     numbers = map_rows(rows, _number_rows, "block long, seal long, row int, doc_id long, codes binary")
     return numbers, coded
 
@@ -218,7 +229,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             out.append([i for ids in values[_unpack(codes)] for i in ids])
         return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "ids": out})
 
-    numbers, coded = _coded(docs, path)
+    numbers, coded = _coded(docs, path, distinct=False)
     return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(join, "doc_id long, ids array<int>")
 
 
@@ -245,14 +256,16 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): ids and pieces of each distinct word of a block are joined back by position."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): the ids of each distinct word of a block, and the pieces that these ids
+    meet in the id-to-piece table, are joined back by position."""
     path = path or public_path(VOCABULARY)
 
     def join(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        pieces = _pieces(path)
-        decimals = [str(i).encode() for i in range(len(pieces))]
+        met = words[words["id"].notna()]
+        pieces = dict(zip(met["id"].astype("int64").tolist(), map(bytes, met["piece"]), strict=True))
+        decimals = {i: str(i).encode() for i in pieces}
         lengths, values = _by_position(
-            rows, words, lambda ids: (b",".join([decimals[i] for i in ids]), b"".join([pieces[i] for i in ids]))
+            rows, words[words["id"].isna()], lambda ids: (b",".join([decimals[i] for i in ids]), b"".join([pieces[i] for i in ids]))
         )
         ids = np.empty(len(values), object)
         texts = np.empty(len(values), object)
@@ -271,7 +284,8 @@ def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame
             out["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
         return pd.DataFrame(out)
 
-    numbers, coded = _coded(docs, path)
+    numbers, coded = _coded(docs, path, distinct=True)
+    coded = coded.join(F.broadcast(piece_table(docs.sparkSession, path)), "id", "left")  # as many rows as the vocabulary
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(join, schema)
 

@@ -60,6 +60,19 @@ def test_bpe_is_the_library(spark, byte_coder):
     assert sum(r.doc_id is None for r in found) == 1
 
 
+def test_digests_join_pieces_in_every_block(spark, byte_coder, monkeypatch):
+    texts = [*ODD[:12], *(f"w{i} say {i * 7919} \U0001f600" * 3 for i in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    coded = {i: byte_coder.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}
+    found = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in bpe.encode_decode_digests(docs).collect()}
+    digest = lambda ids: hashlib.sha256(byte_coder.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert found == {i: (len(ids), digest(ids)) for i, ids in coded.items()}
+    # the pieces come from the table of the join, not from a list in the task
+    monkeypatch.setattr(bpe, "piece_table", lambda spark, path: spark.createDataFrame([(i, b"?") for i in range(50257)], "id int, piece binary"))
+    other = {r.doc_id: r.decoded_sha256 for r in bpe.encode_decode_digests(docs).collect()}
+    assert other == {i: hashlib.sha256(b"?" * len(ids)).hexdigest() for i, ids in coded.items()}
+
+
 def test_bpe_after_chat_in_the_same_workers(spark, byte_coder):
     said = spark.createDataFrame([(c, 0, "assistant", "a <|endoftext|>") for c in range(200)], "conv_id long, turn long, role string, text string")
     docs = spark.createDataFrame([(i, f"w{i}<|endoftext|> x{i}") for i in range(200)], "doc_id long, text string")
@@ -209,6 +222,47 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(gamma[:, 0], marginal / total) and np.allclose(pairs, moves / total) and np.isclose(norm, np.log(total))
 
 
+def test_predicted_language_has_the_highest_mean_posterior_by_enumeration(spark, monkeypatch):
+    from itertools import product
+
+    rng = np.random.default_rng(9)
+    model = language.LanguageModel(("aa", "bb", "cc"), rng.normal(size=(language.SLOTS, 3)).astype(np.float32), rng.normal(size=(3, 3)), rng.normal(size=3))
+    words = ["uno", "due", "tre", "vier", "half"]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 6))) + " 12 ?" for _ in range(30)] + ["", None, "12 ! \xbd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+    def brute(text):
+        said = [w for w in map(language.word_of, (text or "").split()) if w]
+        if not said:
+            return "und", 0.0
+        emit, total, mean = language._emissions(said, model.weights).astype(float), 0.0, np.zeros(3)
+        for path in product(range(3), repeat=len(said)):
+            moves = sum(model.change[a, b] for a, b in zip(path, path[1:], strict=False))
+            weight = np.exp(model.start[path[0]] + moves + sum(emit[t, y] for t, y in enumerate(path)))
+            total += weight
+            mean += weight * np.bincount(path, minlength=3)
+        mean /= total * len(said)
+        return model.labels[mean.argmax()], mean.max()
+
+    for r in language.predict(docs, model).collect():
+        label, score = brute(texts[r.doc_id])
+        assert r.lang_pred == label and abs(r.score - score) < 1e-4
+    table, chains = rng.normal(size=(20, 3)).astype(np.float32), [rng.integers(0, 20, n) for n in (3, 0, 9, 5, 1)]
+
+    def posteriors():
+        return {i: gamma[mask[:, k], k] for group, gamma, mask in language.word_posteriors(model, chains, table) for k, i in enumerate(group)}
+
+    together = posteriors()
+    monkeypatch.setattr(language, "CELLS", 3)  # a group for each chain
+    for i, gamma in posteriors().items():
+        np.testing.assert_allclose(gamma, together[i], atol=1e-5)
+    even = language.LanguageModel(("aa", "bb"), np.zeros((language.SLOTS, 2), np.float32), np.zeros((2, 2)), np.zeros(2))
+    tied = {(r.lang_pred, r.score) for r in language.predict(docs.where("doc_id < 30"), even).collect()}
+    assert tied == {("aa", 0.5)}
+    long = language.predict(spark.createDataFrame([(1, "uno due " * 300_000)], "doc_id long, text string"), model).first()
+    assert long.lang_pred in model.labels and 0 < long.score <= 1
+
+
 def test_toxicity_learns_and_locates(spark):
     rng = random.Random(6)
     clean = [f"word{i}" for i in range(60)]
