@@ -51,6 +51,27 @@ def crc32_of(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def lowest(rows: DataFrame, bits: Column, order: list[Column | str], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, which begins with a hash whose unsigned 64-bit value is ``bits``.
+
+    A count by leading zeros of the hash finds the threshold below which about n to 2n rows lie; only these are ordered, so
+    that no task gets the first n rows of every partition.
+    """
+    zeros = F.lit(64) - F.length(F.bin(bits))
+    counts = {r["zeros"]: r["count"] for r in rows.groupBy(zeros.alias("zeros")).count().collect()}  # 64 rows at most
+    bar, have = 0, 0
+    for bar in sorted(counts, reverse=True):
+        have += counts[bar]
+        if have >= n:
+            break
+    return rows.where(zeros >= bar).orderBy(*order).limit(n)
+
+
+def unsigned(hash_: Column) -> Column:
+    """The bits by which a signed 64-bit hash is ordered, as :func:`lowest` takes them."""
+    return hash_.bitwiseXOR(F.lit(-(2**63)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the undirected edges (a, b); component is the smallest node reachable.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itinera.llm.common import components, map_rows, stored
@@ -153,6 +153,11 @@ def _unit(vecs: list[bytes]) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _identity() -> Column:
+    """128 bits of a row's label and vector."""
+    return F.unhex(F.md5(F.concat(F.encode("label", "UTF-8"), F.unhex(F.lit("FF")), F.col("vec"))))
+
+
 def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row (vec_id, embedding, label)."""
     spark = vectors.sparkSession
@@ -160,13 +165,16 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     live = rows.where("vec is not null and label is not null")
     # ids may be null: a class without any id still counts its rows
     classes = live.groupBy("label", "vec").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
-    classes = stored(classes.withColumn("class", F.xxhash64("label", "vec")), "classes")
+    # classes are numbered once, in the stored table; rows find theirs by 128 bits
+    classes = classes.withColumn("class", F.monotonically_increasing_id()).withColumn("key", _identity())
+    classes = stored(classes, "classes")
     sizes = classes.groupBy("label").agg(F.count("*").alias("m"))
     # pivots of the labels that need several cells, the largest labels first: at most ALL_PIVOTS rows
     large = sizes.where(F.col("m") > BLOCK).orderBy(F.desc("m"), "label").limit(ALL_PIVOTS // 4)
     wanted = large.withColumn("p", F.least(F.lit(PIVOTS), F.ceil(F.col("m") / BLOCK)).cast("int"))
-    share = F.pmod("class", F.lit(1024)).cast("int")  # the window sorts shares of a label, not whole labels
-    drawn = classes.join(F.broadcast(wanted), "label").withColumn("s", share).groupBy("label", "p", "s").agg(F.min_by("vec", "class").alias("vec"))
+    hashed = F.xxhash64("label", "vec")
+    share = F.pmod(hashed, F.lit(1024)).cast("int")  # the window sorts shares of a label, not whole labels
+    drawn = classes.join(F.broadcast(wanted), "label").withColumn("s", share).groupBy("label", "p", "s").agg(F.min_by("vec", hashed).alias("vec"))
     drawn = drawn.where("s < p * 16").orderBy("s", "label").limit(ALL_PIVOTS * 16)
     pivots: dict[str, list[bytes]] = {}
     for label, p, _, vec in drawn.select("label", "p", "s", "vec").toLocalIterator():
@@ -264,13 +272,13 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     counts = linked.groupBy("class").agg(F.sum("links").alias("links"))
     graph = components(linked.select(F.col("class").alias("a"), F.col("peer").alias("b")))
     # a component is named by its smallest vec_id
-    named = classes.select("class", "n", "first").join(graph.select(F.col("node").alias("class"), "component"), "class", "left")
+    named = classes.select("class", "key", "n", "first").join(graph.select(F.col("node").alias("class"), "component"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     whole = named.join(least, "component").join(counts, "class", "left")
-    whole = stored(whole.select("class", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "classes")
-    mine = rows.select("vec_id", F.when(F.col("vec").isNotNull() & F.col("label").isNotNull(), F.xxhash64("label", "vec")).alias("class"))
-    out = mine.join(whole, "class", "left").select(
+    whole = stored(whole.select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "classes")
+    mine = rows.select("vec_id", F.when(F.col("vec").isNotNull() & F.col("label").isNotNull(), _identity()).alias("key"))
+    out = mine.join(whole, "key", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"),

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itinera.llm.common import crc32_of, map_rows, text_rows
+from itinera.llm.common import crc32_of, lowest, map_rows, text_rows, unsigned
 
 SAMPLE = 2_000
 LONGEST = 20_000
@@ -154,7 +154,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, rounds: i
     """Fit on at most ``sample`` rows (doc_id, text, lang) of the documents given."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id is not null and text is not null and lang is not null").where(F.length("text") <= longest)
-    table = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "lang").limit(sample).select("text", "lang").toArrow()
+    hashed = F.xxhash64("doc_id")
+    table = lowest(rows, unsigned(hashed), [hashed, "doc_id", "text", "lang"], sample).select("text", "lang").toArrow()
     texts, langs = table.column("text").to_pylist(), table.column("lang").to_pylist()
     names = tuple(sorted(set(langs)))
     words: dict[str, int] = {}

@@ -2,7 +2,7 @@
 
 Largest inner product becomes least distance: every vector gets one more component that lifts it to the greatest norm
 M, and queries are scaled to M. Centroids are fitted by balanced k-means on a bounded sample of distinct vectors
-(``sample``); clusters that hold far more than their share are split. A graph links every centroid to its nearest
+(``sample``, or four for each centroid where that is more); clusters that hold far more than their share are split. A graph links every centroid to its nearest
 others; it is held in memory by each task and searched best-first from fixed entries.
 
 Every distinct vector goes to the lists of its nearest centroids: the nearest one, and as a boundary vector up to
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from itinera.llm.common import map_rows, stored
+from itinera.llm.common import lowest, map_rows, stored, unsigned
 from itinera.llm.vectors import matrix, usable
 
 K = 20
@@ -39,7 +39,8 @@ TARGET, PROBES = 0.97, 200
 GROUP, LEAST_GROUP, DEGREE = 100_000, 8_000, 16
 #: Distinct queries that one task answers at most.
 ASKED = 50_000
-_BATCH = 1024
+#: Vectors that are held against all centroids at once: at most _BATCH, and so many that their distances are at most _CELLS.
+_BATCH, _CELLS = 1024, 1 << 22
 
 
 class Centroids:
@@ -65,6 +66,7 @@ class Centroids:
         ring[order, 0], ring[order, 1] = np.roll(order, 1), np.roll(order, -1)
         self.links = np.concatenate([near, ring], axis=1)
         self.entries = order[: min(n, 8)]
+        self.batch = max(1, min(_BATCH, _CELLS // max(1, n)))
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         """Vectors with the component that lifts them to the common norm."""
@@ -102,8 +104,8 @@ class Centroids:
     def lists(self, x: np.ndarray) -> list[list[int]]:
         """The lists of lifted vectors: the nearest, and others nearly as near."""
         out: list[list[int]] = []
-        for at in range(0, len(x), _BATCH):
-            found = self.search(x[at : at + _BATCH], 1.0, 8)
+        for at in range(0, len(x), self.batch):
+            found = self.search(x[at : at + self.batch], 1.0, 8)
             order = np.argsort(found, axis=1)[:, :COPIES]
             away = np.take_along_axis(found, order, axis=1)
             keep = away <= BOUNDARY * away[:, :1]
@@ -111,6 +113,12 @@ class Centroids:
         return out
 
 
+def _assigned(x: np.ndarray, points: np.ndarray, charge: np.ndarray | float = 0.0) -> np.ndarray:
+    """The point of least squared distance plus charge, of each row; blocks of rows bound the memory."""
+    bias, block = (points * points).sum(axis=1) + charge, max(1, _CELLS // len(points))
+    return np.concatenate([(bias - 2 * x[at : at + block] @ points.T).argmin(axis=1) for at in range(0, len(x), block)])
+
+
 def balanced_centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """k-means whose assignment charges for crowded centroids; clusters over three shares are cut in two afterwards."""
     rng = np.random.default_rng(5)
@@ -118,15 +126,14 @@ def balanced_centroids(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     points = x[rng.choice(len(x), k, replace=False)].copy()
     share, charge = len(x) / k, np.zeros(k)
     for _ in range(rounds):
-        away = (points * points).sum(axis=1) - 2 * x @ points.T + charge
-        mine = away.argmin(axis=1)
+        mine = _assigned(x, points, charge)
         size = np.bincount(mine, minlength=k)
         spread = max(1e-12, float(np.var(x, axis=0).sum()))
         charge += 0.05 * spread * (size / share - 1)
         total = np.zeros_like(points)
         np.add.at(total, mine, x)
         points = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], points)
-    mine = ((points * points).sum(axis=1) - 2 * x @ points.T).argmin(axis=1)
+    mine = _assigned(x, points)
     more = []
     for c in np.flatnonzero(np.bincount(mine, minlength=k) > 3 * share):
         rows = x[mine == c]
@@ -170,12 +177,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return spark.createDataFrame([], schema)
-    drawn = entries.select("key", "vec").orderBy("key").limit(sample).select("vec").toArrow().column("vec").to_pylist()
+    wanted = int(min(MOST, max(1, DENSITY * total**0.5)))
+    drawn = _first(entries.select("key", "vec"), max(sample, 4 * wanted))
     x = matrix([bytes(v) for v in drawn])
     lifted = np.c_[x, np.sqrt(np.maximum(top**2 - (x * x).sum(axis=1), 0.0))]
-    count = int(min(MOST, max(1, DENSITY * total**0.5), max(1, len(x) / 4)))
+    count = int(min(wanted, max(1, len(x) / 4)))
     centroids = Centroids(balanced_centroids(lifted, count), float(top))
-    shared = spark.sparkContext.broadcast(centroids)  # at most 1.4 * MOST points, and no more than the sample has
+    shared = spark.sparkContext.broadcast(centroids)  # at most 1.4 * MOST points
 
     def place(batches):
         c = shared.value
@@ -200,8 +208,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
         c = shared.value
         for batch in batches:
             out = [[], [], [], []]
-            for at in range(0, len(batch["key"]), _BATCH):
-                vecs = batch["vec"][at : at + _BATCH]
+            for at in range(0, len(batch["key"]), c.batch):
+                vecs = batch["vec"][at : at + c.batch]
                 found = c.search(c.scale(matrix(vecs)), ratio, 8)
                 read = found <= ratio * found.min(axis=1, keepdims=True)
                 for i, row in enumerate(read):
@@ -232,6 +240,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     return out.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("h.vec_id").alias("vec_id"), (-F.col("h.s")).alias("score"))
 
 
+def _first(keyed: DataFrame, n: int) -> list[bytes]:
+    """The vectors of the ``n`` smallest keys."""
+    bits = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
+    return lowest(keyed, bits, ["key"], n).select("vec").toArrow().column("vec").to_pylist()
+
+
 def _answers(k: int):
     """Rows come sorted by (group, salt, kind): a group's entries, then the queries that probe its lists."""
 
@@ -324,7 +338,7 @@ def _ask(asked, state, k, out) -> None:
 
 def _measured_ratio(placed: DataFrame, asked: DataFrame, shared, k: int, target: float) -> float:
     """The distance ratio at which ``target`` of the true neighbours of PROBES queries are in lists that are read."""
-    drawn = asked.orderBy("key").limit(PROBES).select("vec").toArrow().column("vec").to_pylist()
+    drawn = _first(asked, PROBES)
     if not drawn:
         return 1.0
     probes = matrix([bytes(v) for v in drawn])
@@ -357,7 +371,8 @@ def _measured_ratio(placed: DataFrame, asked: DataFrame, shared, k: int, target:
 def recall(found: DataFrame, vectors: DataFrame, is_query: Column, k: int = K, probes: int = PROBES) -> float:
     """Share of the true nearest ids of a bounded set of queries that ``found`` holds, by brute force over all rows."""
     rows = usable(vectors).where("vec is not null and vec_id is not null").select("vec_id", "vec")
-    drawn = rows.where(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(probes).collect()
+    hashed = F.xxhash64("vec_id")
+    drawn = lowest(rows.where(is_query), unsigned(hashed), [hashed, "vec_id"], probes).collect()
     if not drawn:
         return 1.0
     ids, q = [r["vec_id"] for r in drawn], matrix([bytes(r["vec"]) for r in drawn])

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from itinera.llm.common import crc32_of, map_rows, stored, text_rows
+from itinera.llm.common import crc32_of, lowest, map_rows, stored, text_rows, unsigned
 
 SAMPLE = 10_000
 LONGEST = 30_000
@@ -70,7 +70,8 @@ def _bags(docs: DataFrame, labels: DataFrame, sample: int, longest: int) -> Data
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many ids at most, hence the broadcast
+    hashed = F.xxhash64("doc_id")
+    chosen = lowest(known, unsigned(hashed), [hashed, "doc_id"], sample)  # so many ids at most, hence the broadcast
     texts = text_rows(docs).where(F.length("text") <= longest).join(F.broadcast(chosen), "doc_id")
     one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 

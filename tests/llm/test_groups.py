@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itinera.llm import covertree, minhash, postings, suffix
-from itinera.llm.common import components
+from itinera.llm.common import components, lowest, unsigned
 
 
 def _vocabulary(rng, n=400):
@@ -316,6 +316,35 @@ def test_nearest_finds_the_brute_ones(spark):
     assert hits / (20 * len(by)) >= 0.9
 
 
+def test_sample_is_the_first_by_hash_whatever_its_size(spark):
+    rows = spark.range(3_000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))  # a third of one key
+    hashed = F.xxhash64("k")
+    for n in (1, 10, 900, 5_000):
+        found = [r.id for r in lowest(rows, unsigned(hashed), [hashed, "id"], n).collect()]
+        assert found == [r.id for r in rows.orderBy(hashed, "id").limit(n).collect()]
+    assert lowest(rows.limit(0), unsigned(hashed), [hashed, "id"], 5).collect() == []
+    keyed = rows.select("id", F.unhex(F.md5(F.col("id").cast("string"))).alias("key"), F.col("id").cast("string").cast("binary").alias("vec"))
+    assert postings._first(keyed, 50) == [bytes(r.vec) for r in keyed.orderBy("key").limit(50).collect()]
+
+
+def test_centroids_assigned_in_blocks_are_the_nearest(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, points, charge = rng.normal(size=(500, 6)), rng.normal(size=(40, 6)), rng.random(40)
+    expected = (((x[:, None] - points) ** 2).sum(axis=2) + charge).argmin(axis=1)
+    for cells in (1, 1000, 1 << 22):
+        monkeypatch.setattr(postings, "_CELLS", cells)
+        assert (postings._assigned(x, points, charge) == expected).all()
+
+
+def test_nearest_in_small_batches(spark, monkeypatch):
+    rows, schema = _vectors(3, n=300)
+    df = spark.createDataFrame(rows, schema)
+    ask = F.col("vec_id") % 20 == 0
+    whole = sorted(map(tuple, postings.nearest(df, ask).collect()))
+    monkeypatch.setattr(postings, "_CELLS", 64)
+    assert sorted(map(tuple, postings.nearest(df, ask).collect())) == whole
+
+
 def test_nearest_edges(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 0.0]), (5, [0.5, 0.1]), (None, [9.0, 9.0])], schema)
