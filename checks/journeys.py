@@ -17,6 +17,7 @@ from itinera.operators.reshape import (
     explode_routes,
     legs_to_standard,
     parse_counters,
+    legs_past,
     pivot_route,
     route_legs,
     split_connections,
@@ -26,7 +27,7 @@ from itinera.operators.reshape import (
     with_legs,
 )
 from itinera.operators.segment import by_time, routes_anchored, routes_gap, routes_gap_days, trips_gap
-from itinera.plans.trips import clean_leg_rows, reconstruct_bookings, reconstruct_rowwise, reconstruct_trips, trips_of_legs
+from itinera.plans.trips import clean_leg_rows, reconstruct_bookings, reconstruct_rowwise, reconstruct_trips, reconstruct_trips_and_legs, trips_of_legs
 from itinera.spec import SourceSpec, letters
 
 # The booking view as a six-slot source; order dates run 1995-2001, so the range leaves rows out on both sides.
@@ -348,6 +349,28 @@ def r2(d: Data) -> DataFrame:
     return plain(_with_overflow(pivot_route(legs, ["row_id", "booking_ref"], "leg", 7)))
 
 
+@query(
+    "r2_legs_past",
+    oracle("v_leg", "SELECT row_id, booking_ref, leg, fn_raw AS fn, dt_raw AS dt, dep, arr FROM v_leg WHERE leg > 2"),
+)
+def r2_past(d: Data) -> DataFrame:
+    legs = d.view("v_leg").withColumnsRenamed({"fn_raw": "fn", "dt_raw": "dt"})
+    return plain(legs_past(legs, ["row_id", "booking_ref"], "leg", 2))
+
+
+@query(
+    "b2_trips_with_leg_rows",
+    oracle(
+        "v_leg",
+        f"""WITH {_CLEAN}, {_trip_sql('kept', 'booking_ref, pax_name', 'dt', 'dt, slot, row_id', 129600, False)}
+SELECT pax_name, booking_ref, trip_id, leg_no AS leg, fn, CAST(dt AS VARCHAR) AS dt, dep, arr FROM seqs WHERE leg_no > 1""",
+    ),
+)
+def b2_leg_rows(d: Data) -> DataFrame:
+    legs = _usable(d).withColumn("tie", F.col("row_id"))
+    return plain(reconstruct_trips_and_legs(legs, PAIR, ["tie"], 1)[1])
+
+
 @query(
     "b2_reconstruct_trips",
     oracle(

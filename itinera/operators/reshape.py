@@ -124,13 +124,14 @@ def widen_route(
 
 def pivot_route(
     df: DataFrame, keys: Sequence[str], seq: str, n: int, any_value: Sequence[str] = (),
-    number: str = "FlightNumber{}", date: str = "DepartureDateLocal{}", airport: str = "Airport{}",
+    number: str = "FlightNumber{}", date: str = "DepartureDateLocal{}", airport: str = "Airport{}", overflow: bool = True,
 ) -> DataFrame:
     """Leg rows (``fn, dt, dep, arr`` and a position) to one wide row per key, without losing a leg.
 
     Airport 1 is the first departure, airport k+1 the arrival of leg k. ``any_value`` columns take the first
     non-null value in leg order, from all legs. ``leg_count`` counts all legs, and ``overflow_legs`` holds those past
-    ``n`` in order, as an array of ``leg, fn, dt, dep, arr``.
+    ``n`` in order, as an array of ``leg, fn, dt, dep, arr``. Without ``overflow`` there is no array, every state has a
+    fixed width, and ``legs_past`` gives those legs as rows: the form for keys of any number of legs.
     """
     at = lambda k, c: F.max(F.when(F.col(seq) == k, F.col(c)))
     aggs = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in any_value]
@@ -139,11 +140,17 @@ def pivot_route(
     aggs.append(at(1, "dep").alias(airport.format(1)))
     aggs += [at(k, "arr").alias(airport.format(k + 1)) for k in range(1, n + 1)]
     aggs.append(F.count(F.lit(1)).alias("leg_count"))
-    past = F.when(F.col(seq) > n, F.struct(F.col(seq).alias("leg"), "fn", "dt", "dep", "arr"))  # nulls are not collected
-    aggs.append(F.array_sort(F.collect_list(past)).alias("overflow_legs"))
+    if overflow:
+        past = F.when(F.col(seq) > n, F.struct(F.col(seq).alias("leg"), "fn", "dt", "dep", "arr"))  # nulls are not collected
+        aggs.append(F.array_sort(F.collect_list(past)).alias("overflow_legs"))
     return df.groupBy(*keys).agg(*aggs)
 
 
+def legs_past(df: DataFrame, keys: Sequence[str], seq: str, n: int) -> DataFrame:
+    """The leg rows past position ``n``: the keys and ``leg, fn, dt, dep, arr``. No shuffle; a null position is no leg."""
+    return df.filter(F.col(seq) > n).select(*[_q(c) for c in keys], F.col(seq).alias("leg"), "fn", "dt", "dep", "arr")
+
+
 def legs_to_standard(
     df: DataFrame,
     slots: dict[int, tuple[str, str | None]],

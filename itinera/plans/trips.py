@@ -11,8 +11,9 @@ from itinera.functions.dates import normalize_date
 from itinera.functions.flights import is_placeholder_flight, normalize_flight_keep_digit
 from itinera.operators.dedupe import collapse_consecutive, dedupe_dates, dedupe_pairs, keep_first
 from itinera.operators.filters import non_blank, usable_leg
-from itinera.operators.reshape import explode_routes, pivot_route, unpivot_legs, widen_route, with_legs
+from itinera.operators.reshape import explode_routes, legs_past, pivot_route, unpivot_legs, widen_route, with_legs
 from itinera.operators.segment import HOUR, routes_gap, trips_gap
+from itinera.session import scratch_path
 from itinera.spec import SourceSpec
 
 
@@ -85,6 +86,27 @@ def reconstruct_trips(
     return wide.withColumns(empty) if empty else wide
 
 
+def reconstruct_trips_and_legs(
+    legs: DataFrame,
+    keys: Sequence[str],
+    tie: Sequence[str],
+    slots: int,
+    any_value: Sequence[str] = (),
+    names: dict[str, str] | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Wide trips as ``reconstruct_trips`` without arrays, and the legs past the last slot as rows of their own.
+
+    For keys that may hold any number of legs: no row and no group's state grows with a trip. The second frame has the
+    keys, ``trip_id`` and ``leg, fn, dt, dep, arr``. Eager: numbered legs are stored once, as both frames read them.
+    """
+    path = scratch_path(legs.sparkSession, "trips")
+    numbered, by = trips_of_legs(legs, keys, tie, **options), [*keys, "trip_id"]
+    numbered.write.parquet(path)
+    trips = legs.sparkSession.read.schema(numbered.schema).parquet(path)
+    return pivot_route(trips, by, "leg_no", slots, any_value, overflow=False, **(names or {})), legs_past(trips, by, "leg_no", slots)
+
+
 def reconstruct_bookings(
     df: DataFrame, spec: SourceSpec, row_id: str, booking: str, pax: str, any_value: Sequence[str] = (),
     null_columns: Sequence[str] = (), placeholder: str = "carrier_zeros", **options,

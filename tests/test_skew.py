@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from itinera.operators import dedupe, features, grouped, profile
 from itinera.operators.quantiles import exact_quantiles, exact_ranks
 from itinera.operators.segment import trips_gap
-from itinera.plans import delay
+from itinera.plans import delay, trips
 
 
 @pytest.fixture(scope="module")
@@ -236,3 +236,29 @@ def test_correlations_of_300_columns_in_one_pass(spark):
     want = frame.corr(min_periods=2)
     np.testing.assert_allclose(got.to_numpy(float), want.to_numpy(), rtol=0, atol=1e-6)
     assert profile.correlation_matrix(df.limit(0), names[:2]).collect() == []
+
+
+def test_trip_of_any_length_in_fixed_width_rows(spark):
+    """A blank reference holds one trip of 5,000 legs: no array holds them, and no leg is lost."""
+    i = F.col("id")
+    legs = spark.range(6_000).select(
+        F.when(i < 5_000, F.lit("")).when(i % 2 == 0, None).otherwise(F.concat(F.lit("b"), F.floor(i / 4))).alias("ref"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_interval(mins=i.cast("int"))).alias("dt"),
+        F.lit(1).alias("slot"),
+        i.alias("tie"),
+        F.concat(F.lit("XX"), i).alias("fn"),
+        F.lit("AAA").alias("dep"),
+        F.when(i % 7 > 0, "BBB").alias("arr"),
+    )
+    wide, rest = trips.reconstruct_trips_and_legs(legs, ["ref"], ["tie"], 3, ["tie"])
+    assert "overflow_legs" not in wide.columns and "collect" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    hot = wide.where("ref = ''").collect()
+    assert [(r.trip_id, r.leg_count, r.FlightNumber3, r.tie) for r in hot] == [(1, 5_000, "XX2", 0)]
+    rows = rest.where("ref = ''").orderBy("leg").collect()
+    assert [(r.leg, r.fn, r.arr) for r in rows] == [(k + 1, f"XX{k}", "BBB" if k % 7 else None) for k in range(3, 5_000)]
+    shown = sum(F.col(f"FlightNumber{k}").isNotNull().cast("long") for k in (1, 2, 3))
+    assert wide.select(F.sum(shown)).first()[0] + rest.count() == legs.count()
+    of = trips.reconstruct_trips(legs, ["ref"], ["tie"], 3, ["tie"]).select("ref", "trip_id", F.inline("overflow_legs"))
+    assert of.exceptAll(rest).count() == 0 and rest.exceptAll(of).count() == 0
+    none, no_legs = trips.reconstruct_trips_and_legs(legs.limit(0), ["ref"], ["tie"], 3)
+    assert none.count() == 0 and no_legs.count() == 0
