@@ -7,8 +7,11 @@ others; it is held in memory by each task and searched best-first from fixed ent
 
 Every distinct vector goes to the lists of its nearest centroids: the nearest one, and as a boundary vector up to
 ``COPIES`` in all whose distance is within ``BOUNDARY`` of it. A query reads the lists whose centroids lie within a
-ratio of its nearest centroid's distance. The ratio is measured: for a bounded set of queries the true neighbours are
-found by brute force over all vectors, and the ratio that reaches ``TARGET`` of them is taken.
+ratio of its nearest centroid's distance, or of the distance that is usual among queries where its own is less: a query
+that stands apart has a centroid to itself, whose distance says nothing about its neighbours. The ratio is measured: for a
+bounded set of query rows the true neighbours are found by brute force over all vectors, and the ratio that reaches
+``TARGET`` of them is taken. The search of the graph is measured with it, and takes more nodes until it reaches them too.
+Where the lists within the ratio hold fewer than k + 1 ids, a query reads the next nearest lists until they do.
 
 Lists are dealt to groups of bounded size. A task holds one group and streams the queries that probe any of its lists,
 so each query gives one row a group and not one a list. Equal vectors are one entry with its k + 1 smallest ids, which
@@ -16,11 +19,14 @@ is all that any answer can need.
 
 Edge cases: vectors without part (null, zero, holding null or non-finite components) are neither queries nor
 candidates; null ids neither; of a repeated id each row can be found, the id comes once; with fewer candidates than k all
-are returned; an empty table gives an empty result; vectors must be equally long; other columns are not read.
+are returned; an empty table gives an empty result; vectors must be equally long; other columns are not read. Vectors of
+any finite length are placed, as lengths are taken in a unit near the greatest.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,7 +40,7 @@ SAMPLE = 20_000
 #: Centroids: about the square root of the vectors times this, at most ...
 DENSITY, MOST = 1.0, 16_384
 COPIES, BOUNDARY = 4, 1.05
-TARGET, PROBES = 0.97, 200
+TARGET, PROBES = 0.98, 400
 #: Entries of a group of lists at most and, where there are enough tasks, about; links of a centroid in the graph.
 GROUP, LEAST_GROUP, DEGREE = 100_000, 8_000, 16
 #: Distinct queries that one task answers at most.
@@ -44,10 +50,10 @@ _BATCH, _CELLS = 1024, 1 << 22
 
 
 class Centroids:
-    """Centroids with a graph over them."""
+    """Centroids with a graph over them; all of them and the common norm are in units of ``unit``."""
 
-    def __init__(self, points: np.ndarray, norm: float):
-        self.points, self.norm = points, norm
+    def __init__(self, points: np.ndarray, norm: float, unit: float = 1.0):
+        self.points, self.norm, self.unit = points, norm, unit
         n = len(points)
         square = (points * points).sum(axis=1)
         degree = min(DEGREE, n - 1)
@@ -70,16 +76,21 @@ class Centroids:
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         """Vectors with the component that lifts them to the common norm."""
-        rest = self.norm**2 - (x * x).sum(axis=1)
-        return np.c_[x, np.sqrt(np.maximum(rest, 0.0))]
+        return _lift(x / self.unit, self.norm)
 
     def scale(self, q: np.ndarray) -> np.ndarray:
         """Queries, scaled to the common norm."""
+        q = q / np.abs(q).max(axis=1, keepdims=True)
         return np.c_[q * (self.norm / np.linalg.norm(q, axis=1, keepdims=True)), np.zeros(len(q))]
 
-    def search(self, x: np.ndarray, ratio: float, least: int) -> np.ndarray:
+    def away(self, x: np.ndarray) -> np.ndarray:
+        """(rows, centroids) distances, all of them."""
+        return np.stack([np.sqrt(np.square(self.points - row).sum(axis=1)) for row in x])
+
+    def search(self, x: np.ndarray, ratio: float, least: int, usual: float = 0.0) -> np.ndarray:
         """(rows, centroids) distances, infinite where the search did not come: best-first along the graph, until the next
-        node is further than ``ratio`` times the nearest and at least ``least`` nodes were taken."""
+        node is further than ``ratio`` times the nearest (or ``usual``, if that is more) and at least ``least`` nodes were
+        taken."""
         found = np.full((len(x), len(self.points)), np.inf)
         taken = np.zeros(found.shape, bool)
         live = np.arange(len(x))
@@ -93,7 +104,7 @@ class Centroids:
             open_ = np.where(taken[live], np.inf, found[live])
             pick = open_.argmin(axis=1)
             away = open_[np.arange(len(live)), pick]
-            go = np.isfinite(away) & ((away <= ratio * found[live].min(axis=1)) | (step < least))
+            go = np.isfinite(away) & ((away <= ratio * np.maximum(found[live].min(axis=1), usual)) | (step < least))
             live, pick = live[go], pick[go]
             if not len(live):
                 break
@@ -101,6 +112,16 @@ class Centroids:
             look(live, self.links[pick])
         return found
 
+    def read(self, q: np.ndarray, ratio: float, least: int, usual: float, held: np.ndarray, enough: int) -> np.ndarray:
+        """(rows, centroids): whether a scaled query reads the list. A query whose lists do not hold ``enough`` ids goes on to
+        the next nearest; ``held`` counts each id in one list only."""
+        found = self.search(q, ratio, least, usual)
+        read = found <= ratio * np.maximum(found.min(axis=1, keepdims=True), usual)
+        for i in np.flatnonzero(read @ held < enough).tolist():
+            order = np.argsort(self.away(q[i : i + 1])[0], kind="stable")
+            read[i, order[: np.searchsorted(np.cumsum(held[order]), enough) + 1]] = True
+        return read
+
     def lists(self, x: np.ndarray) -> list[list[int]]:
         """The lists of lifted vectors: the nearest, and others nearly as near."""
         out: list[list[int]] = []
@@ -113,6 +134,10 @@ class Centroids:
         return out
 
 
+def _lift(x: np.ndarray, norm: float) -> np.ndarray:
+    return np.c_[x, np.sqrt(np.maximum(norm**2 - (x * x).sum(axis=1), 0.0))]
+
+
 def _assigned(x: np.ndarray, points: np.ndarray, charge: np.ndarray | float = 0.0) -> np.ndarray:
     """The point of least squared distance plus charge, of each row; blocks of rows bound the memory."""
     bias, block = (points * points).sum(axis=1) + charge, max(1, _CELLS // len(points))
@@ -171,7 +196,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     def norms(batches):
         for batch in batches:
             x = matrix(batch["vec"])
-            yield [len(x)], [float(np.linalg.norm(x, axis=1).max()) if len(x) else 0.0]
+            if len(x):
+                most = np.abs(x).max(axis=1, keepdims=True)
+                yield [len(x)], [float((np.log2(most[:, 0]) + np.log2(np.linalg.norm(x / most, axis=1))).max())]
 
     total, top = map_rows(entries.select("vec"), norms, "n long, norm double").agg(F.sum("n"), F.max("norm")).first()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -180,9 +207,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     wanted = int(min(MOST, max(1, DENSITY * total**0.5)))
     drawn = _first(entries.select("key", "vec"), max(sample, 4 * wanted))
     x = matrix([bytes(v) for v in drawn])
-    lifted = np.c_[x, np.sqrt(np.maximum(top**2 - (x * x).sum(axis=1), 0.0))]
+    whole = float(np.clip(np.floor(top), -1000, 1000))
+    unit, norm = 2.0**whole, 2.0 ** (top - whole) * (1 + 1e-9)  # no vector is longer, whatever rounding did to the logarithm
     count = int(min(wanted, max(1, len(x) / 4)))
-    centroids = Centroids(balanced_centroids(lifted, count), float(top))
+    centroids = Centroids(balanced_centroids(_lift(x / unit, norm), count), norm, unit)
     shared = spark.sparkContext.broadcast(centroids)  # at most 1.4 * MOST points
 
     def place(batches):
@@ -195,7 +223,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
     placed = stored(map_rows(entries, place, "key binary, vec binary, ids array<long>, lists array<int>"), "placed")
     queries = rows.where(is_query)
     asked = stored(queries.groupBy("key").agg(F.first("vec").alias("vec")), "queries")
-    ratio = _measured_ratio(placed, asked, shared, k, target)
+    # the ids whose nearest centroid it is, of each list: as many rows as centroids
+    held = np.zeros(len(centroids.points), np.int64)
+    for list_, n in placed.groupBy(F.col("lists")[0]).agg(F.sum(F.size("ids"))).collect():
+        held[list_] = n
+    reach = _measured_reach(placed, queries, shared, held, k, target)
 
     # lists are dealt to groups at random but for good; a group holds about GROUP entries
     copies = placed.agg(F.sum(F.size("lists"))).first()[0]
@@ -210,9 +242,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMP
             out = [[], [], [], []]
             for at in range(0, len(batch["key"]), c.batch):
                 vecs = batch["vec"][at : at + c.batch]
-                found = c.search(c.scale(matrix(vecs)), ratio, 8)
-                read = found <= ratio * found.min(axis=1, keepdims=True)
-                for i, row in enumerate(read):
+                for i, row in enumerate(c.read(c.scale(matrix(vecs)), *reach)):
                     by: dict[int, list[int]] = {}
                     for list_ in np.flatnonzero(row).tolist():
                         by.setdefault(list_ % groups, []).append(list_)
@@ -317,6 +347,7 @@ def _ask(asked, state, k, out) -> None:
     if not len(x):
         return
     q = matrix([a[1] for a in asked])
+    room = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max()
     scores = np.full((len(asked), len(x)), -np.inf)
     readers: dict[int, list[int]] = {}
     for i, (_, _, lists) in enumerate(asked):
@@ -329,43 +360,62 @@ def _ask(asked, state, k, out) -> None:
         some = np.flatnonzero(np.isfinite(scores[i]))
         if len(some) > k + 1:  # rounding may tell equal products apart: leave a little room
             bar = np.partition(scores[i][some], len(some) - k - 1)[len(some) - k - 1]
-            some = some[scores[i][some] >= bar - 1e-9 * max(1.0, abs(bar))]
+            some = some[scores[i][some] >= bar - room[i]]
         best = _best(_exact(q[i], x[some]), [ids[j] for j in some.tolist()], k + 1)
         out[0].append(key)
         out[1].append([d for _, d in best])
         out[2].append([s for s, _ in best])
 
 
-def _measured_ratio(placed: DataFrame, asked: DataFrame, shared, k: int, target: float) -> float:
-    """The distance ratio at which ``target`` of the true neighbours of PROBES queries are in lists that are read."""
-    drawn = _first(asked, PROBES)
+def _measured_reach(placed: DataFrame, queries: DataFrame, shared, held: np.ndarray, k: int, target: float) -> tuple:
+    """Ratio, least number of nodes, usual distance (with held and k + 1, as ``Centroids.read`` takes them) at which the
+    lists that PROBES query rows read hold ``target`` of their true neighbours."""
+    hashed = F.xxhash64("vec_id", F.lit("probe"))
+    drawn = lowest(queries.select("vec_id", "vec"), unsigned(hashed), [hashed, "vec_id"], PROBES).select("vec").collect()
     if not drawn:
-        return 1.0
-    probes = matrix([bytes(v) for v in drawn])
+        return 1.0, 8, 0.0, held, k + 1
+    probes = matrix([bytes(r["vec"]) for r in drawn])
     sent = placed.sparkSession.sparkContext.broadcast(probes)
 
     def run(batches):
-        c, q = shared.value, sent.value
-        scaled = c.scale(q)
-        away = np.sqrt(np.maximum(0.0, (scaled * scaled).sum(axis=1)[:, None] - 2 * scaled @ c.points.T + (c.points * c.points).sum(axis=1)))
-        need = away / np.maximum(away.min(axis=1, keepdims=True), 1e-300)
-        best: list[list[tuple[float, float]]] = [[] for _ in q]
+        q = sent.value
+        best: list[list[tuple]] = [[] for _ in q]
         for batch in batches:
             if not batch["vec"]:
                 continue
             x = matrix(batch["vec"])
             scores = q @ x.T
             for i in range(len(q)):
-                top = np.argpartition(-scores[i], min(k, len(x) - 1))[: k + 1]
-                best[i] += [(float(scores[i, j]), float(min(need[i, c_] for c_ in batch["lists"][j]))) for j in top.tolist()]
-                best[i] = sorted(best[i], reverse=True)[: k + 1]
-        flat = [(i, s, n) for i, b in enumerate(best) for s, n in b]
-        yield [f[0] for f in flat], [f[1] for f in flat], [f[2] for f in flat]
-
-    true = map_rows(placed.select("vec", "lists"), run, "probe int, score double, need double")
-    true = true.withColumn("r", F.row_number().over(W.partitionBy("probe").orderBy(F.desc("score")))).where(F.col("r") <= k + 1)
-    needs = np.sort([r["need"] for r in true.select("need").collect()])  # PROBES * (k + 1) numbers at most
-    return float(max(1.0, needs[min(len(needs) - 1, int(np.ceil(target * len(needs))) - 1)]) * (1 + 1e-9))
+                bar = np.partition(scores[i], max(0, len(x) - k - 1))[max(0, len(x) - k - 1)]
+                top = np.flatnonzero(scores[i] >= bar).tolist()
+                best[i] += [(-float(scores[i, j]), batch["ids"][j][0], len(batch["ids"][j]), batch["lists"][j]) for j in top]
+                best[i] = sorted(best[i])[: k + 1]
+        flat = [(i, *b) for i, rows in enumerate(best) for b in rows]
+        yield tuple([f[c] for f in flat] for c in range(5))
+
+    true = map_rows(placed.select("vec", "ids", "lists"), run, "probe int, score double, first long, copies int, lists array<int>")
+    true = true.withColumn("r", F.row_number().over(W.partitionBy("probe").orderBy("score", "first"))).where(F.col("r") <= k + 1)
+    # the lists of each neighbour; copies of a vector count as often as they can be answers: PROBES * (k + 1) rows at most
+    wanted: list[tuple[int, list[int]]] = []
+    have: dict[int, int] = defaultdict(int)
+    for row in sorted(true.select("probe", "r", "copies", "lists").collect()):
+        more = min(row["copies"], k + 1 - have[row["probe"]])
+        have[row["probe"]] += more
+        wanted += [(row["probe"], row["lists"])] * more
+    c = shared.value
+    scaled = c.scale(probes)
+    away = c.away(scaled)
+    usual = float(np.median(away.min(axis=1)))
+    near = np.maximum(away.min(axis=1), max(usual, 1e-300))
+    needs = np.sort([away[i, lists].min() / near[i] for i, lists in wanted])
+    ratio = float(max(1.0, needs[min(len(needs) - 1, int(np.ceil(target * len(needs))) - 1)]) * (1 + 1e-9))
+    least = 8
+    while least < len(c.points):
+        read = np.concatenate([c.read(scaled[at : at + c.batch], ratio, least, usual, held, k + 1) for at in range(0, len(scaled), c.batch)])
+        if sum(read[i, lists].any() for i, lists in wanted) >= target * len(wanted):
+            break
+        least *= 2  # the graph led past lists: up to all of them are looked at
+    return ratio, least, usual, held, k + 1
 
 
 def recall(found: DataFrame, vectors: DataFrame, is_query: Column, k: int = K, probes: int = PROBES) -> float:

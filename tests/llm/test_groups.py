@@ -345,6 +345,24 @@ def test_nearest_in_small_batches(spark, monkeypatch):
     assert sorted(map(tuple, postings.nearest(df, ask).collect())) == whole
 
 
+def _recall(spark, x):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ask = F.col("vec_id") % 20 == 0
+    return postings.recall(postings.nearest(df, ask), df, ask)
+
+
+def test_nearest_of_queries_that_stand_apart(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 32)) * 0.01 + 5 * rng.normal(size=(30, 32))[rng.integers(0, 30, 3000)]
+    apart = rng.normal(size=(150, 32))
+    x[::20] = 8 * apart / np.linalg.norm(apart, axis=1, keepdims=True)  # many have a centroid to themselves
+    assert _recall(spark, x) >= 0.97
+
+
+def test_nearest_of_vectors_whose_squares_underflow(spark):
+    assert _recall(spark, 1e-170 * np.random.default_rng(7).normal(size=(400, 8))) >= 0.9  # lengths were 0
+
+
 def test_nearest_edges(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 0.0]), (5, [0.5, 0.1]), (None, [9.0, 9.0])], schema)
