@@ -14,6 +14,10 @@ from itinera.session import scratch_path
 WHITE = "\t-\r \x85\xa0  -     　"
 
 
+#: Bytes of an Arrow batch that become Python lists at once.
+SLICE = 8_000_000
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once below the shared checkpoint folder and read back: it cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, label)
@@ -27,7 +31,9 @@ def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def map_rows(df: DataFrame, rows: Callable[[Iterable[dict]], Iterable[tuple]], schema: str) -> DataFrame:
-    """mapInArrow over column lists: ``rows`` gets one dict of Python lists a batch and yields column tuples."""
+    """mapInArrow over column lists: ``rows`` gets one dict of Python lists a batch and yields column tuples.
+
+    Batches of wide rows come in slices of about ``SLICE`` bytes, as lists of texts take several times their bytes."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -36,7 +42,10 @@ def map_rows(df: DataFrame, rows: Callable[[Iterable[dict]], Iterable[tuple]], s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lists() -> Iterator[dict]:
             for batch in batches:
-                yield {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
+                step = max(1, len(batch) // max(1, batch.nbytes // SLICE))
+                for at in range(0, max(1, len(batch)), step):
+                    part = batch.slice(at, step)
+                    yield {n: part.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
 
         for columns in rows(lists()):
             yield pa.RecordBatch.from_arrays(

@@ -42,8 +42,8 @@ BITS = 4
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 1_000
 #: Words whose hash a worker remembers; results do not depend on it.
-REMEMBER = 500_000
-_CHARS = 6_000_000
+REMEMBER = 150_000
+_CHARS = 1_000_000
 
 
 class _WordHash(dict):
@@ -311,6 +311,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         known, last = _WordHash(), None
         for batch in batches:
             keep = []
+            if len(known) > REMEMBER:
+                known = _WordHash()
             for i, (node, text, key) in enumerate(zip(batch["node"], batch["text"], batch["set_key"], strict=True)):
                 if node != last and hashlib.blake2b(shingle_sets([text], known)[0].tobytes(), digest_size=16).digest() == key:
                     keep.append(i)

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itinera.llm import covertree, minhash, postings, suffix
-from itinera.llm.common import components, lowest, unsigned
+from itinera.llm.common import SLICE, components, lowest, map_rows, unsigned
 
 
 def _vocabulary(rng, n=400):
@@ -316,6 +316,29 @@ def test_nearest_finds_the_brute_ones(spark):
     assert hits / (20 * len(by)) >= 0.9
 
 
+def test_wide_batches_come_in_slices_and_words_are_forgotten(spark, monkeypatch):
+    texts = [f"{i} " + "x" * 100_000 for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    sizes = map_rows(df, lambda batches: (([sum(map(len, b["text"]))],) for b in batches), "chars long").collect()
+    assert sum(r.chars for r in sizes) == sum(map(len, texts)) and max(r.chars for r in sizes) <= 2 * SLICE
+    most = []
+
+    class Counted(minhash._WordHash):
+        def __missing__(self, word):
+            got = super().__missing__(word)
+            most.append(len(self))
+            return got
+
+    monkeypatch.setattr(minhash, "REMEMBER", 50)
+    monkeypatch.setattr(minhash, "_WordHash", Counted)
+    monkeypatch.setattr(minhash, "map_rows", lambda df, run, schema: run)
+    wanted = spark.createDataFrame([(1, 1, b"")], "node long, doc_id long, set_key binary")
+    run = minhash._texts(df, wanted)
+    for _ in run({"node": [i], "text": [f"a{i} b{i} c{i}"], "set_key": [b""]} for i in range(100)):
+        pass
+    assert most and max(most) <= 60
+
+
 def test_sample_is_the_first_by_hash_whatever_its_size(spark):
     rows = spark.range(3_000).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))  # a third of one key
     hashed = F.xxhash64("k")
