@@ -9,7 +9,8 @@ holds one share of the word table, in which each distinct word is encoded once.
 joined to the texts by position. Texts themselves are not shuffled, only word numbers (few bytes a word) are.
 
 decode: ids meet their pieces in a join with the id-to-piece table (as long as the vocabulary, so a broadcast), once for
-each distinct id of a block (of what one batch holds of it), and the pieces are put back by position.
+each distinct id of a task that encodes words, whatever the number of blocks; the task then puts each word's pieces together,
+and they come back by position with the ids.
 
 A block's word numbering is made twice, for the words and for the numbers; both carry its checksum, and the join fails
 loudly if an input gave its rows in another order the second time.
@@ -153,10 +154,11 @@ def _number_rows(batches):
 
 
 def _encode_words(path: str, distinct: bool):
-    """Rows of words with their ids; with ``distinct`` also a row (block, id) for each id that a block's words have."""
+    """Rows of words with their ids; with ``distinct`` also a row for each id that the words of the task have, once."""
 
     def run(batches):
         coder = tokenizer(path)
+        seen = np.zeros(coder.get_vocab_size(with_added_tokens=True), bool)
         share, table = None, {}
         for batch in batches:
             at, n = 0, len(batch["share"])
@@ -177,17 +179,33 @@ def _encode_words(path: str, distinct: bool):
                 at = upto
             yield batch["block"], batch["seal"], batch["numbers"], [x[0] for x in ids], [x[1] for x in ids], [None] * n
             if distinct:
-                by = defaultdict(list)
-                for block, (_, packed) in zip(batch["block"], ids, strict=True):
-                    by[block].append(_unpack(packed))
-                for block, lists in by.items():
-                    each = np.unique(np.concatenate(lists)).astype(np.int32)
-                    none = [None] * len(each)
-                    yield np.full(len(each), block, np.int64), none, none, none, none, each
+                each = np.zeros(len(seen), bool)
+                for _, packed in ids:
+                    each[_unpack(packed)] = True
+                fresh = np.flatnonzero(each & ~seen).astype(np.int32)
+                seen |= each
+                none = [None] * len(fresh)
+                yield none, none, none, none, none, fresh
 
     return run
 
 
+def _decode_words(batches):
+    """Rows with an id and its piece come first; then rows of words get the pieces of all ids, joined, and each word's bytes."""
+    pieces: dict[int, bytes] = {}
+    for batch in batches:
+        out = [[] for _ in range(7)]
+        for *row, i, piece in zip(*(batch[c] for c in ("block", "seal", "numbers", "lens", "ids", "id", "piece")), strict=True):
+            if i is not None:
+                pieces[i] = piece
+                continue
+            got = list(map(pieces.__getitem__, _unpack(row[4]).tolist()))
+            upto = np.cumsum([0, *map(len, got)])[np.cumsum(np.concatenate([[0], _unpack(row[3]).astype(np.int64)]))]
+            for column, value in zip(out, (*row, _pack(np.diff(upto)), zlib.compress(b"".join(got), 6)), strict=True):
+                column.append(value)
+        yield tuple(out)
+
+
 def _by_position(rows: pd.DataFrame, words: pd.DataFrame, value) -> tuple[np.ndarray, list]:
     """Of a block: the token count of each word number and ``value`` of its ids."""
     if set(rows["seal"]) != (set(words["seal"]) if len(words) else {_seal([])}):
@@ -207,7 +225,7 @@ def _by_position(rows: pd.DataFrame, words: pd.DataFrame, value) -> tuple[np.nda
 
 def _coded(docs: DataFrame, path: str, distinct: bool):
     """The two sides of the join by block: rows with word numbers, and words with their ids; the latter with ``distinct``
-    also hold a row for each id of a block's words (its other columns are null)."""
+    also hold a row for each id of a partition's words (its other columns are null)."""
     rows = text_rows(docs)
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = min(SHARES, 4 * parts)
@@ -257,20 +275,19 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): the ids of each distinct word of a block, and the pieces that these ids
-    meet in the id-to-piece table, are joined back by position."""
+    met in the id-to-piece table, are joined back by position."""
     path = path or public_path(VOCABULARY)
 
     def join(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        met = words[words["id"].notna()]
-        pieces = dict(zip(met["id"].astype("int64").tolist(), map(bytes, met["piece"]), strict=True))
-        decimals = {i: str(i).encode() for i in pieces}
-        lengths, values = _by_position(
-            rows, words[words["id"].isna()], lambda ids: (b",".join([decimals[i] for i in ids]), b"".join([pieces[i] for i in ids]))
-        )
-        ids = np.empty(len(values), object)
-        texts = np.empty(len(values), object)
-        for i, (a, b) in enumerate(values):
-            ids[i], texts[i] = a, b
+        decimals: dict[int, bytes] = {}
+        for packed in words["ids"]:
+            decimals.update((i, b"%d" % i) for i in np.unique(_unpack(packed)).tolist() if i not in decimals)
+        lengths, ids = _by_position(rows, words, lambda ids: b",".join([decimals[i] for i in ids]))
+        texts = np.empty(len(ids), object)
+        for numbers, sizes, joined in zip(words["numbers"], words["sizes"], words["texts"], strict=True):
+            ends, joined = np.cumsum(_unpack(sizes).astype(np.int64)).tolist(), zlib.decompress(joined)
+            for number, x, y in zip(np.cumsum(_unpack(numbers).astype(np.int64)).tolist(), [0, *ends], ends, strict=False):
+                texts[number] = joined[x:y]
         out = {"doc_id": rows["doc_id"].astype("Int64"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
         for codes in rows["codes"]:
             at = _unpack(codes)
@@ -285,7 +302,9 @@ def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame
         return pd.DataFrame(out)
 
     numbers, coded = _coded(docs, path, distinct=True)
-    coded = coded.join(F.broadcast(piece_table(docs.sparkSession, path)), "id", "left")  # as many rows as the vocabulary
+    met = coded.join(F.broadcast(piece_table(docs.sparkSession, path)), "id", "left")  # as many rows as the vocabulary
+    columns = "block long, seal long, numbers binary, lens binary, ids binary, sizes binary, texts binary"
+    coded = map_rows(met.sortWithinPartitions(F.col("id").isNull()), _decode_words, columns)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(join, schema)
 

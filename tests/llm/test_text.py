@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from itinera.llm import bpe, chat, language, packing, secret_scan, toxicity
 from itinera.llm.vocab import public_path
@@ -73,6 +74,14 @@ def test_digests_join_pieces_in_every_block(spark, byte_coder, monkeypatch):
     assert other == {i: hashlib.sha256(b"?" * len(ids)).hexdigest() for i, ids in coded.items()}
 
 
+def test_ids_meet_their_pieces_once_a_task(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BLOCK", 100)  # as many blocks as texts
+    docs = frame(spark, [f"the same words and {i} of them again and again " * 5 for i in range(60)])
+    _, coded = bpe._coded(docs, bpe.public_path(bpe.VOCABULARY), distinct=True)
+    per = coded.where("id is not null").groupBy(F.spark_partition_id(), "id").count().agg(F.max("count"), F.count("*")).first()
+    assert per[0] == 1 and per[1] < 400
+
+
 def test_bpe_after_chat_in_the_same_workers(spark, byte_coder):
     said = spark.createDataFrame([(c, 0, "assistant", "a <|endoftext|>") for c in range(200)], "conv_id long, turn long, role string, text string")
     docs = spark.createDataFrame([(i, f"w{i}<|endoftext|> x{i}") for i in range(200)], "doc_id long, text string")
