@@ -1,7 +1,8 @@
 """Byte-pair encoding and decoding through a distinct-word table.
 
 The tokenizer's first step never joins text across a change from other characters to white space, so a text can be cut
-there into words (white space stays with the word behind it) and each word encoded by itself.
+there into words (white space stays with the word behind it) and each word encoded by itself. It is cut at white space of one
+byte; wider white space stays inside a word.
 
 encode: a task cuts its rows into blocks of bounded size and numbers each block's distinct words. The words go out by a
 hash, as one row for each block and share of the hash; sorted by share, so that a task streams over all blocks while it
@@ -9,8 +10,8 @@ holds one share of the word table, in which each distinct word is encoded once.
 joined to the texts by position. Texts themselves are not shuffled, only word numbers (few bytes a word) are.
 
 decode: ids meet their pieces in a join with the id-to-piece table (as long as the vocabulary, so a broadcast), once for
-each distinct id of a task that encodes words, whatever the number of blocks; the task then puts each word's pieces together,
-and they come back by position with the ids.
+each distinct id of all texts, whatever the number of tasks and blocks. The words' ids are stored before it, so that no
+word is encoded twice. The pieces that were met, one packed row, go with each block, which puts its texts together by position.
 
 A block's word numbering is made twice, for the words and for the numbers; both carry its checksum, and the join fails
 loudly if an input gave its rows in another order the second time.
@@ -23,20 +24,21 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itinera.llm.common import WHITE, map_rows, text_rows
+from itinera.llm.common import map_rows, stored, text_rows
 from itinera.llm.vocab import public_path, tokenizer
+from itinera.llm.words import SPACE, Memory, cut_words, encode_together, ends_white, flat, offsets_of, places, spans
 
 VOCABULARY = "byte_bpe_50k.json"
-#: Characters of text in a block; it bounds what a task holds.
+#: Bytes of text in a block; it bounds what a task holds.
 BLOCK = 12_000_000
 #: Most shares of the word table; a share's words are all that a task remembers.
 SHARES = 4096
@@ -62,177 +64,184 @@ def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(list(enumerate(_pieces(path))), "id int, piece binary")
 
 
+def _squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
+
+
+def _open(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers by byte planes, deflated: small numbers cost a byte or two."""
-    planes = np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T
-    return zlib.compress(planes.tobytes(), 1)
+    """Unsigned 32-bit numbers by byte planes, compressed: small numbers cost a byte or two."""
+    return _squeeze(np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(_open(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
-def _blocks(batches):
-    """(block, ids of its rows, number of each row's words, words by number, numbers of all words)."""
-    import re
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """Ids as they are, with two bytes each if that is enough: frequent ones and their neighbours are found again."""
+    width = b"2" if not len(ids) or ids.max() < 1 << 16 else b"4"
+    return width + _squeeze(ids.astype("<u" + width.decode()).tobytes())
 
-    cut = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall
+
+def _unpack_ids(packed: bytes) -> np.ndarray:
+    return np.frombuffer(_open(packed[1:]), "<u" + packed[:1].decode()).astype("<u4")
+
+
+def _blocks(batches):
+    """(block, ids of its rows, number of each row's first word and an end, words by number, numbers of all words);
+    frequent words have small numbers."""
     task, serial = TaskContext.get().partitionId(), 0
+    held, size = [], 0
 
     def close():
-        words = list(known)
-        numbers = np.concatenate(codes) if codes else np.zeros(0, np.int32)
-        return (task << 32) + serial, names, counts, words, numbers
+        names, texts = (pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "text"))
+        first, words = cut_words(texts)
+        coded = words.dictionary_encode()
+        numbers = coded.indices.to_numpy()
+        by = np.argsort(-np.bincount(numbers, minlength=len(coded.dictionary)), kind="stable")
+        rank = np.empty(len(by), np.uint32)
+        rank[by] = np.arange(len(by))
+        return (task << 32) + serial, names, first, coded.dictionary.take(pa.array(by)), rank[numbers]
 
-    def fresh():
-        known = defaultdict()
-        known.default_factory = known.__len__
-        return [], [], [], known, 0
-
-    names, counts, codes, known, chars = fresh()
     for batch in batches:
-        for name, text in zip(batch["doc_id"], batch["text"], strict=True):
-            words = cut(text) if text else []
-            names.append(name)
-            counts.append(len(words))
-            codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-            chars += len(text or "") + 16
-            if chars >= BLOCK:
+        while len(batch):
+            sizes = size + np.cumsum(np.diff(flat(batch.column("text").fill_null(""))[0]) + 16)
+            n = int(np.searchsorted(sizes, BLOCK)) + 1
+            held.append(batch.slice(0, n))
+            size = int(sizes[min(n, len(sizes)) - 1])
+            batch = batch.slice(n)
+            if size >= BLOCK:
                 yield close()
                 serial += 1
-                names, counts, codes, known, chars = fresh()
-    if names:
+                held, size = [], 0
+    if held:
         yield close()
 
 
-def _join(words: list[str]) -> bytes:
-    lengths = _pack(np.fromiter(map(len, words), np.uint32, len(words)))
-    return len(lengths).to_bytes(4, "little") + lengths + zlib.compress("".join(words).encode("utf-8", "surrogatepass"), 1)
-
+def _seal(words: pa.Array) -> int:
+    ends, data = flat(words)
+    return zlib.crc32(data, zlib.crc32(ends[1:].tobytes())) if len(words) else 0
 
-def _cut(joined: bytes) -> list[str]:
-    at = 4 + int.from_bytes(joined[:4], "little")
-    ends = np.cumsum(_unpack(joined[4:at])).tolist()
-    text = zlib.decompress(joined[at:]).decode("utf-8", "surrogatepass")
-    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-
-def _seal(words: list[str]) -> int:
-    return zlib.crc32("\n".join(words).encode("utf-8", "surrogatepass"))
+def _share_of(words: pa.Array, shares: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words.to_pylist()), np.int64, len(words)) % shares
 
 
 def _word_rows(shares: int):
+    """A block's words by share; those of a share in the order of their numbers."""
+
     def run(batches):
         for block, _, _, words, _ in _blocks(batches):
-            seal = _seal(words)
-            by = defaultdict(list)
-            for number, word in enumerate(words):
-                by[zlib.crc32(word.encode("utf-8", "surrogatepass")) % shares].append(number)
-            keys = list(by)
+            if not len(words):
+                continue
+            share = _share_of(words, shares)
+            by = np.argsort(share, kind="stable")
+            keys, first = np.unique(share[by], return_index=True)
+            edges = [*zip(first.tolist(), [*first[1:].tolist(), len(by)], strict=True)]
+            ends, data = flat(words.take(pa.array(by)))
             yield (
                 [block] * len(keys),
-                [seal] * len(keys),
-                keys,
-                [_join([words[n] for n in by[k]]) for k in keys],
-                [_pack(np.diff(by[k], prepend=0)) for k in keys],
+                [_seal(words)] * len(keys),
+                keys.tolist(),
+                [_squeeze(data[ends[a] : ends[b]].tobytes()) for a, b in edges],
+                [_pack(np.diff(ends[a : b + 1])) for a, b in edges],
             )
 
     return run
 
 
-def _number_rows(batches):
-    for block, names, counts, words, numbers in _blocks(batches):
-        seal, ends = _seal(words), np.cumsum(counts)
-        yield (
-            [block] * len(names),
-            [seal] * len(names),
-            list(range(len(names))),
-            names,
-            [_pack(numbers[e - n : e]) for n, e in zip(counts, ends, strict=True)],
-        )
+def _number_rows(shares: int):
+    """One row a block: ids of its rows, how many words each has, the numbers of all words, and each number's share."""
+
+    def run(batches):
+        for block, names, first, words, numbers in _blocks(batches):
+            yield [block], [_seal(words)], [names.to_pylist()], [_pack(np.diff(first))], [_pack(numbers)], [_pack(_share_of(words, shares))]
+
+    return run
+
+
+def _encoder(path: str):
+    """Ids of distinct words. Those that begin with white space and end with other characters are encoded many in one text,
+    as the tokenizer cuts it there anyway; the bytes of the ids tell where each ends."""
+    coder = tokenizer(path)
+    length = np.array([len(p) for p in _pieces(path)], np.int64)
+
+    def last(ids, ends):
+        upto = np.cumsum(length[ids])
+        at = np.searchsorted(upto, ends)
+        return at if len(upto) and upto[-1] == ends[-1] and (upto[at] == ends).all() else None
+
+    def encode(words: pa.Array):
+        ends, data = flat(words)
+        fit = SPACE[data[ends[:-1]]] & ~ends_white(data, ends[1:]) & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False)
+        return encode_together(coder, words, fit, b"", last)
+
+    return encode
 
 
 def _encode_words(path: str, distinct: bool):
     """Rows of words with their ids; with ``distinct`` also a row for each id that the words of the task have, once."""
 
     def run(batches):
-        coder = tokenizer(path)
-        seen = np.zeros(coder.get_vocab_size(with_added_tokens=True), bool)
-        share, table = None, {}
+        encode = _encoder(path)
+        seen = np.zeros(len(_pieces(path)), bool)
+        share, memory = None, None
         for batch in batches:
-            at, n = 0, len(batch["share"])
-            ids = []
-            while at < n:
-                if batch["share"][at] != share:
-                    share, table = batch["share"][at], {}
-                upto = at
-                while upto < n and batch["share"][upto] == share:
-                    upto += 1
-                lists = [_cut(x) for x in batch["words"][at:upto]]
-                new = list({w for words in lists for w in words if w not in table})
-                for word, e in zip(new, coder.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    table[word] = e.ids
-                for words in lists:
-                    got = [table[w] for w in words]
-                    ids.append((_pack(np.fromiter(map(len, got), np.uint32)), _pack(np.fromiter((i for g in got for i in g), np.uint32))))
-                at = upto
-            yield batch["block"], batch["seal"], batch["numbers"], [x[0] for x in ids], [x[1] for x in ids], [None] * n
-            if distinct:
-                each = np.zeros(len(seen), bool)
-                for _, packed in ids:
-                    each[_unpack(packed)] = True
-                fresh = np.flatnonzero(each & ~seen).astype(np.int32)
-                seen |= each
-                none = [None] * len(fresh)
-                yield none, none, none, none, none, fresh
+            shares = batch.column("share").to_numpy()
+            edges = np.flatnonzero(np.diff(shares, prepend=-1, append=-1)).tolist()
+            lens, ids = [], []
+            for a, b in zip(edges, edges[1:], strict=False):
+                if shares[a] != share:
+                    share, memory = shares[a], Memory(encode)
+                sizes = [_unpack(x) for x in batch.column("lens").slice(a, b - a).to_pylist()]
+                data = b"".join(map(_open, batch.column("words").slice(a, b - a).to_pylist()))
+                counts, got = memory.of(spans(offsets_of(np.concatenate(sizes)), data))
+                ends = offsets_of([*map(len, sizes)])
+                upto = offsets_of(counts)[ends]
+                lens += [_pack(counts[x:y]) for x, y in zip(ends, ends[1:], strict=False)]
+                ids += [_pack_ids(got[x:y]) for x, y in zip(upto, upto[1:], strict=False)]
+                if distinct:
+                    seen[got] = True
+            n = len(batch)
+            yield batch.column("block"), batch.column("seal"), batch.column("share"), lens, ids, [None] * n
+        if distinct:
+            ids = np.flatnonzero(seen)
+            none = [None] * len(ids)
+            yield none, none, none, none, none, ids
 
     return run
 
 
-def _decode_words(batches):
-    """Rows with an id and its piece come first; then rows of words get the pieces of all ids, joined, and each word's bytes."""
-    pieces: dict[int, bytes] = {}
-    for batch in batches:
-        out = [[] for _ in range(7)]
-        for *row, i, piece in zip(*(batch[c] for c in ("block", "seal", "numbers", "lens", "ids", "id", "piece")), strict=True):
-            if i is not None:
-                pieces[i] = piece
-                continue
-            got = list(map(pieces.__getitem__, _unpack(row[4]).tolist()))
-            upto = np.cumsum([0, *map(len, got)])[np.cumsum(np.concatenate([[0], _unpack(row[3]).astype(np.int64)]))]
-            for column, value in zip(out, (*row, _pack(np.diff(upto)), zlib.compress(b"".join(got), 6)), strict=True):
-                column.append(value)
-        yield tuple(out)
-
-
-def _by_position(rows: pd.DataFrame, words: pd.DataFrame, value) -> tuple[np.ndarray, list]:
-    """Of a block: the token count of each word number and ``value`` of its ids."""
-    if set(rows["seal"]) != (set(words["seal"]) if len(words) else {_seal([])}):
+def _by_position(rows: pa.Table, words: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: its rows' ids, the first word of each row and an end, the place of each word's ids, the first id at each
+    place and an end, and all ids."""
+    if len(rows) != 1 or set(rows["seal"].to_pylist()) != (set(words["seal"].to_pylist()) if len(words) else {_seal(pa.array([], pa.large_binary()))}):
         raise RuntimeError("the input gave its rows in another order when it was read again")
-    total = int(sum(len(_unpack(x)) for x in words["numbers"]))
-    lengths, values = np.zeros(total, np.int64), np.empty(total, object)
-    for numbers, lens, ids in zip(words["numbers"], words["lens"], words["ids"], strict=True):
-        numbers, lens, ids = np.cumsum(_unpack(numbers).astype(np.int64)), _unpack(lens), _unpack(ids).tolist()
-        ends = np.cumsum(lens.astype(np.int64)).tolist()
-        lengths[numbers] = lens
-        start = 0
-        for number, end in zip(numbers.tolist(), ends, strict=True):
-            values[number] = value(ids[start:end])
-            start = end
-    return lengths, values
+    row = rows.to_pylist()[0]
+    words = words.sort_by("share")
+    owner = _unpack(row["owner"])
+    lens, ids = (np.concatenate([np.zeros(0, "<u4"), *map(read, words[c].to_pylist())]) for read, c in ((_unpack, "lens"), (_unpack_ids, "ids")))
+    place = np.empty(len(lens), np.int64)
+    place[np.argsort(owner, kind="stable")] = np.arange(len(lens))
+    first = offsets_of(_unpack(row["counts"]))
+    return pa.array(row["names"], pa.int64()), first, place[_unpack(row["codes"])], offsets_of(lens), ids
 
 
 def _coded(docs: DataFrame, path: str, distinct: bool):
-    """The two sides of the join by block: rows with word numbers, and words with their ids; the latter with ``distinct``
+    """The two sides of the join by block: its rows with word numbers, and words with their ids; the latter with ``distinct``
     also hold a row for each id of a partition's words (its other columns are null)."""
     rows = text_rows(docs)
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = min(SHARES, 4 * parts)
-    words = map_rows(rows, _word_rows(shares), "block long, seal long, share int, words binary, numbers binary")
+    words = map_rows(rows, _word_rows(shares), "block long, seal long, share int, words binary, lens binary", lists=False)
     words = words.repartition(parts, "share").sortWithinPartitions("share")
-    coded = map_rows(words, _encode_words(path, distinct), "block long, seal long, numbers binary, lens binary, ids binary, id int")
-    numbers = map_rows(rows, _number_rows, "block long, seal long, row int, doc_id long, codes binary")
+    coded = map_rows(words, _encode_words(path, distinct), "block long, seal long, share int, lens binary, ids binary, id int", lists=False)
+    numbers = map_rows(rows, _number_rows(shares), "block long, seal long, names array<long>, counts binary, codes binary, owner binary", lists=False)
     return numbers, coded
 
 
@@ -240,15 +249,15 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>) of every whole text."""
     path = path or public_path(VOCABULARY)
 
-    def join(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        _, values = _by_position(rows, words, lambda ids: ids)
-        out = []
-        for codes in rows["codes"]:
-            out.append([i for ids in values[_unpack(codes)] for i in ids])
-        return pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "ids": out})
+    def join(rows: pa.Table, words: pa.Table) -> pa.Table:
+        names, first, place, upto, ids = _by_position(rows, words)
+        sizes = upto[place + 1] - upto[place]
+        ends = offsets_of(sizes)[first]
+        found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids[places(upto[place], sizes)], pa.int32()))
+        return pa.table({"doc_id": names, "ids": found})
 
     numbers, coded = _coded(docs, path, distinct=False)
-    return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(join, "doc_id long, ids array<int>")
+    return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(join, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -273,40 +282,62 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return one.withColumn("n", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc_id", "text")
 
 
+def _packed_pieces(batches):
+    """One row with the ids of the rows, the lengths of their pieces and the pieces: at most the vocabulary."""
+    ids, pieces = [], []
+    for batch in batches:
+        ids += batch["id"]
+        pieces += batch["piece"]
+    yield [_pack(np.array(ids, np.uint32))], [_pack(np.fromiter(map(len, pieces), np.uint32, len(pieces)))], [_squeeze(b"".join(pieces))]
+
+
+@cache
+def _decimals(size: int) -> pa.Array:
+    return pa.array([b"%d," % i for i in range(size)], pa.large_binary())
+
+
 def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): the ids of each distinct word of a block, and the pieces that these ids
-    met in the id-to-piece table, are joined back by position."""
+    met in the id-to-piece table, are joined back by position. Encodes when it is called."""
     path = path or public_path(VOCABULARY)
 
-    def join(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        decimals: dict[int, bytes] = {}
-        for packed in words["ids"]:
-            decimals.update((i, b"%d" % i) for i in np.unique(_unpack(packed)).tolist() if i not in decimals)
-        lengths, ids = _by_position(rows, words, lambda ids: b",".join([decimals[i] for i in ids]))
-        texts = np.empty(len(ids), object)
-        for numbers, sizes, joined in zip(words["numbers"], words["sizes"], words["texts"], strict=True):
-            ends, joined = np.cumsum(_unpack(sizes).astype(np.int64)).tolist(), zlib.decompress(joined)
-            for number, x, y in zip(np.cumsum(_unpack(numbers).astype(np.int64)).tolist(), [0, *ends], ends, strict=False):
-                texts[number] = joined[x:y]
-        out = {"doc_id": rows["doc_id"].astype("Int64"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for codes in rows["codes"]:
-            at = _unpack(codes)
-            out["n_tokens"].append(int(lengths[at].sum()))
-            out["ids_sha256"].append(hashlib.sha256(b",".join(ids[at].tolist())).hexdigest())
-            text = b"".join(texts[at].tolist())
+    def join(rows: pa.Table, words: pa.Table) -> pa.Table:
+        names, first, place, upto, ids = _by_position(rows, words)
+        out = {"doc_id": names, "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        if len(ids):
+            met, lens, joined = (rows[c][0].as_py() for c in ("met", "lens", "pieces"))
+            met = _unpack(met)
+            at = np.full(int(max(met.max(), ids.max())) + 1, -1)
+            at[met] = np.arange(len(met))
+            pieces = spans(offsets_of(_unpack(lens)), _open(joined)).take(pa.array(at[ids]))
+            decimals = _decimals(-(-len(at) // 65536) * 65536).take(pa.array(ids))
+            # from ids to words, and on to all words in their order
+            (ends, digits), (sizes, texts) = (flat(spans(x[upto], y).take(pa.array(place))) for x, y in (flat(decimals), flat(pieces)))
+        else:
+            ends = sizes = np.zeros(1, np.int64)
+            digits = texts = np.zeros(0, np.uint8)
+        out["n_tokens"] = np.diff(offsets_of(upto[place + 1] - upto[place])[first])
+        ends, sizes = ends[first].tolist(), sizes[first].tolist()
+        for a, b in zip(ends, ends[1:], strict=False):
+            out["ids_sha256"].append(hashlib.sha256(digits[a : max(a, b - 1)]).hexdigest())
+        for a, b in zip(sizes, sizes[1:], strict=False):
+            text = texts[a:b].tobytes()
             try:
                 text.decode()
             except UnicodeDecodeError:  # as the library's decoder does
                 text = text.decode("utf-8", "replace").encode()
             out["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
-        return pd.DataFrame(out)
+        return pa.table(out)
 
     numbers, coded = _coded(docs, path, distinct=True)
-    met = coded.join(F.broadcast(piece_table(docs.sparkSession, path)), "id", "left")  # as many rows as the vocabulary
-    columns = "block long, seal long, numbers binary, lens binary, ids binary, sizes binary, texts binary"
-    coded = map_rows(met.sortWithinPartitions(F.col("id").isNull()), _decode_words, columns)
+    coded = stored(coded, "coded")
+    ids = coded.where("id is not null").select("id").distinct()
+    met = ids.join(F.broadcast(piece_table(docs.sparkSession, path)), "id", "left")  # as many rows as the vocabulary, at most
+    pieces = map_rows(met.repartition(1), _packed_pieces, "met binary, lens binary, pieces binary")
+    numbers = numbers.join(F.broadcast(pieces), F.lit(True), "left")  # one row
+    words = coded.where("id is null").drop("id")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return numbers.groupBy("block").cogroup(coded.groupBy("block")).applyInPandas(join, schema)
+    return numbers.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(join, schema)
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -30,8 +30,9 @@ def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterable[dict]], Iterable[tuple]], schema: str) -> DataFrame:
-    """mapInArrow over column lists: ``rows`` gets one dict of Python lists a batch and yields column tuples.
+def map_rows(df: DataFrame, rows: Callable[[Iterable[dict]], Iterable[tuple]], schema: str, lists: bool = True) -> DataFrame:
+    """mapInArrow over column lists: ``rows`` gets one dict of Python lists a batch (or, without ``lists``, the batch itself)
+    and yields column tuples.
 
     Batches of wide rows come in slices of about ``SLICE`` bytes, as lists of texts take several times their bytes."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,14 +41,14 @@ def map_rows(df: DataFrame, rows: Callable[[Iterable[dict]], Iterable[tuple]], s
     types = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lists() -> Iterator[dict]:
+        def parts() -> Iterator[dict | pa.RecordBatch]:
             for batch in batches:
                 step = max(1, len(batch) // max(1, batch.nbytes // SLICE))
                 for at in range(0, max(1, len(batch)), step):
                     part = batch.slice(at, step)
-                    yield {n: part.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
+                    yield {n: part.column(i).to_pylist() for i, n in enumerate(batch.schema.names)} if lists else part
 
-        for columns in rows(lists()):
+        for columns in rows(parts()):
             yield pa.RecordBatch.from_arrays(
                 [x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(columns, types, strict=True)], schema=types
             )
