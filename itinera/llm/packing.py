@@ -14,8 +14,6 @@ for itself; a null id is kept; a text longer than a window makes a window of its
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
 
 import numpy as np
@@ -24,16 +22,24 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from itinera.llm.common import WHITE, map_rows, text_rows
+from itinera.llm.common import map_rows, text_rows
 from itinera.llm.vocab import public_path, tokenizer
+from itinera.llm.words import Memory, encode_together, flat, offsets_of, places, spans
 
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
 END = 2
-#: Words of a generation of a worker's memory; results do not depend on it.
+#: Stems that a worker remembers before it forgets them all; results do not depend on it.
 REMEMBER = 800_000
+#: Bytes of texts that are encoded at a time, or a batch more.
+PART = 16_000_000
 #: Punctuation that is cut off words before they are encoded.
 MARKS = ".,!?;:*&%$#|\"()-"
+#: Words that surely end in a letter or digit (a capital I with a dot becomes a letter and a mark), words of letters whose
+#: lower case is as many letters, and words without marks that join a letter.
+CLOSED = "[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481\u048a-\u04ff]$"
+LETTERS = "^[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f\u03b1-\u03c9\u0400-\u045f\u4e00-\u9fa5]+$"
+LATIN = "^[\\x00-\u00ff]+$"
 
 
 def pack_window(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -97,84 +103,56 @@ def pack_window(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int,
 
 
 class WordCoder:
-    """Token ids of whole texts, as bytes of unsigned 32-bit numbers.
+    """Token ids of whole texts, as arrays of unsigned 32-bit numbers.
 
     The tokenizer never joins across white space, so each word is encoded once and remembered. Nor does it join a letter
-    or digit with punctuation behind it, and it lower-cases: words that differ only there share one encoding. Two
-    generations of memory bound a worker's size without forgetting frequent words.
+    or digit with punctuation behind it, and it lower-cases: words that differ only there share one encoding, that of their
+    stem. Stems of letters alone are encoded many in one text; the ids that end a word tell them apart.
     """
 
     def __init__(self, path: str):
-        self.path = path
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.odd = re.compile("[\x1c-\x1f]")  # white space to Python but not to the tokenizer
-        self.split = re.compile(f"[^{WHITE}]+")
-
-    def _encode(self, new: list[str]) -> list[bytes]:
-        coder, out = tokenizer(self.path), []
-        for i in range(0, len(new), 20_000):
-            for e in coder.encode_batch_fast(new[i : i + 20_000], add_special_tokens=False):
-                ids = e.ids
-                out.append(struct.pack(f"<{len(ids)}I", *ids))
-        return out
+        self.coder = tokenizer(path)
+        self.closing = np.zeros(self.coder.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.coder.get_vocab(with_added_tokens=False).items():
+            self.closing[i] = token.endswith("</w>")
+        self.stems = Memory(self._encode, REMEMBER)
+
+    def _last(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        at = np.flatnonzero(self.closing[ids])
+        return at if len(at) == len(ends) and at[-1] == len(ids) - 1 else None
+
+    def _encode(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        fit = pc.match_substring_regex(stems.cast(pa.large_string()), LETTERS).to_numpy(zero_copy_only=False)
+        return encode_together(self.coder, stems, fit, b" ", self._last)
 
     @staticmethod
-    def _stem(word: str) -> tuple[str, str]:
-        """A spelling with the same ids, cut before closing punctuation; only where the tokenizer surely cuts as well."""
-        if not word or "<|" in word:  # white space at an end, or perhaps the string of a special token
-            return word, ""
-        stem = word.rstrip(MARKS)
-        if stem and stem[-1].isalnum() and stem[-1] < "\u0500":
-            tail = word[len(stem) :]
-        else:
-            stem, tail = word, ""
-        return (stem.lower() if max(stem) <= "\xff" else stem), tail
-
-    def _codes(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        if len(self.words) > REMEMBER:
-            self.older, self.words = self.words, {}
-        if len(self.stems) > REMEMBER:
-            self.stems = {}
-        known, older = self.words, self.older
-        new = []
-        for w in words:
-            if w not in known:
-                ids = older.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    known[w] = ids
-        cut = list(map(self._stem, new))
-        stems = {s for c in cut for s in c}.difference(self.stems)
-        stems = [s for s in stems if s]
-        self.stems.update(zip(stems, self._encode(stems), strict=True))
-        self.stems[""] = b""
-        got = self.stems
-        for w, (stem, tail) in zip(new, cut, strict=True):
-            known[w] = got[stem] + got[tail] if tail else got[stem]
-        return list(map(known.__getitem__, words))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Words are split and numbered as arrays; only distinct words are looked up, and ids are gathered by number."""
-        odd = {i: self.split.findall(t) for i, t in enumerate(texts) if self.odd.search(t)}
-        lists = pc.utf8_split_whitespace(pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string()))
-        numbered = lists.flatten().dictionary_encode()
-        codes = self._codes(numbered.dictionary.to_pylist())
+    def _stems(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Of each word a spelling with the same ids, cut before closing punctuation, and that punctuation; only where the
+        tokenizer surely cuts as well. What holds "<|" may hold the string of a special token."""
+        stems = pc.utf8_rtrim(words, MARKS)
+        sure = pc.and_(pc.match_substring_regex(stems, CLOSED), pc.invert(pc.match_substring(words, "<|")))
+        stems = pc.if_else(sure, stems, words)
+        low = pc.if_else(pc.and_(pc.match_substring_regex(stems, LATIN), pc.invert(pc.match_substring(stems, "<|"))), pc.utf8_lower(stems), stems)
+        ends, data = flat(words)
+        sizes = pc.binary_length(stems).to_numpy()
+        rest = np.diff(ends) - sizes
+        return low.cast(pa.large_binary()), spans(offsets_of(rest), data[places(ends[:-1] + sizes, rest)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets of the texts' ids, ids): words are split at white space of one byte and numbered as arrays; only distinct words
+        are looked at."""
+        split = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+        numbered = split.flatten().dictionary_encode()
+        stems, tails = self._stems(numbered.dictionary)
+        both = pa.concat_arrays([stems, tails]).dictionary_encode()  # looked up together, as the memory may forget
+        at = self.stems.find(both.dictionary)[both.indices.to_numpy()].reshape(2, -1).T.ravel()
+        sizes = self.stems.sizes[at]
+        ids = self.stems.ids[places(self.stems.starts[at], sizes)]
+        ends = offsets_of(sizes)[::2]
         at = numbered.indices.to_numpy()
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-        starts = np.cumsum(sizes) - sizes
-        ids = np.frombuffer(b"".join(codes), "<u4")
-        mine = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(mine)])
-        data = ids[np.repeat(starts[at] - ends[:-1], mine) + np.arange(ends[-1])].tobytes()
-        cuts = (4 * ends[lists.offsets.to_numpy()]).tolist()
-        out = [data[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
-        for i, words in odd.items():
-            out[i] = b"".join(self._codes(words))
-        return out
+        sizes = np.diff(ends)[at]
+        offsets = split.offsets.to_numpy()
+        return offsets_of(sizes)[offsets - offsets[0]], ids[places(ends[at], sizes)]
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -198,33 +176,38 @@ def pack_documents(
             top = sequence + 1
         return tuple(out), base + top
 
+    def parts(batches):
+        names, texts = [], []
+        for batch in batches:
+            names.append(batch.column("doc_id"))
+            texts.append(batch.column("text").cast(pa.large_string()))
+            if sum(x.nbytes for x in texts) >= PART:
+                yield pa.concat_arrays(names), pa.concat_arrays(texts)
+                names, texts = [], []
+        if texts:
+            yield pa.concat_arrays(names), pa.concat_arrays(texts)
+
     def run(batches):
-        coder = _CODERS.setdefault(path, WordCoder(path))
+        coder = _CODERS.get(path) or _CODERS.setdefault(path, WordCoder(path))
         task = TaskContext.get().partitionId()
         names, codes, held, base = [], [], 0, 0
-        for batch in batches:
-            texts = [t or "" for t in batch["text"]]
-            at = 0
-            while at < len(texts):  # a bounded share of the batch at a time
-                upto, chars = at, 0
-                while upto < len(texts) and (upto == at or chars < 4_000_000):
-                    chars += len(texts[upto])
-                    upto += 1
-                for name, code in zip(batch["doc_id"][at:upto], coder.encode(texts[at:upto]), strict=True):
-                    names.append(name)
-                    codes.append(code + close)
-                    held += len(code) // 4 + 1
-                    if held >= window:
-                        out, base = flush(names, codes, task, base)
-                        yield out
-                        names, codes, held = [], [], 0
-                at = upto
+        for ids, texts in parts(batches):
+            ends, found = coder.encode(texts)
+            found = found.tobytes()
+            for name, x, y in zip(ids.to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
+                names.append(name)
+                codes.append(found[4 * x : 4 * y] + close)
+                held += y - x + 1
+                if held >= window:
+                    out, base = flush(names, codes, task, base)
+                    yield out
+                    names, codes, held = [], [], 0
         if names:
             out, base = flush(names, codes, task, base)
             yield out
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return map_rows(text_rows(docs), run, schema + (", ids binary" if with_ids else ""))
+    return map_rows(text_rows(docs), run, schema + (", ids binary" if with_ids else ""), lists=False)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

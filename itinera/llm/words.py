@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Callable
 
 import numpy as np
@@ -128,20 +129,19 @@ class Memory:
 
     def __init__(self, encode: Callable, most: int | None = None):
         self.encode, self.most = encode, most
-        self.known: dict[bytes, int] = {}
+        self.known: defaultdict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
         self.starts = self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def find(self, words: pa.Array) -> np.ndarray:
-        """The number of each word, by which ``starts`` and ``sizes`` tell its span of ``ids``, until the next call."""
+        """The number of each of these distinct words, by which ``starts`` and ``sizes`` tell its span of ``ids``, until the next call."""
         if self.most is not None and len(self.known) > self.most:
             self.__init__(self.encode, self.most)
-        known = self.known
-        at = np.fromiter((known.setdefault(w, len(known)) for w in words.to_pylist()), np.int64, len(words))
-        new, first = np.unique(at, return_index=True)
-        first = first[new >= len(self.starts)]
-        if len(first):
-            sizes, ids = self.encode(words.take(pa.array(first)))
+        at = np.fromiter(map(self.known.__getitem__, words.to_pylist()), np.int64, len(words))
+        new = np.flatnonzero(at >= len(self.starts))
+        if len(new):
+            sizes, ids = self.encode(words.take(pa.array(new)))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.ids = np.concatenate([self.ids, ids])

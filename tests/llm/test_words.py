@@ -1,4 +1,4 @@
-"""Words as Arrow arrays, and what op2_bpe does with them, against the library and plain Python."""
+"""Words as Arrow arrays, and what op2_bpe and op5_packing do with them, against the library and plain Python."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from itinera.llm import bpe, words
+from itinera.llm import bpe, packing, words
 from itinera.llm.common import WHITE
 from itinera.llm.vocab import public_path, tokenizer
 
@@ -74,3 +74,43 @@ def test_distinct_ids_meet_the_piece_table_once_in_all(spark, monkeypatch, parts
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert made == [len(ids)]
+
+
+def _packing_ids(coder, texts):
+    ends, ids = coder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]
+
+
+def test_packing_has_the_ids_of_the_library():
+    rng = random.Random(7)
+    marks = ["W̊", "ẘ", "İ", "İ", "K", "µ", "ſ", "ŉ", "Σ", "ς", "ђ", "Ђ", "ǅ", "ß", "Ⅰ", "²", "一", "\U0001f600", "'s", "'T", "<|endoftext|>", "<|", "|>"]
+    letters = [*"aAbBéÉzZ09.,!?-(|\x1c\x85 　", *marks]
+    texts = TEXTS + [" \t\n  ".join("".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.randint(1, 8))) for _ in range(3000)]
+    path = public_path(packing.VOCABULARY)
+    expected = [e.ids for e in tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert _packing_ids(packing.WordCoder(path), texts) == expected
+
+
+def test_packing_encodes_words_of_letters_in_few_texts(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdeé", k=7)) + rng.choice(["", ".", ",)"]) for _ in range(500)) for _ in range(40)]
+    coder = packing.WordCoder(public_path(packing.VOCABULARY))
+    expected, inner, calls = [e.ids for e in coder.coder.encode_batch(texts, add_special_tokens=False)], coder.coder, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            calls.append(len(texts))
+            return inner.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    coder.coder = Counted()
+    assert _packing_ids(coder, texts) == expected
+    assert sum(calls) < 20  # 20,000 words; before, every stem was a text of its own
+
+
+def test_packing_forgets_without_a_trace(monkeypatch):
+    texts = [f"a{i} word{chr(97 + i % 26)}x{i}." for i in range(300)]
+    path = public_path(packing.VOCABULARY)
+    monkeypatch.setattr(packing, "REMEMBER", 50)
+    coder = packing.WordCoder(path)
+    expected = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
+    assert sum((_packing_ids(coder, texts[i : i + 40]) for i in range(0, 300, 40)), []) == expected
