@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itinera.llm.common import map_rows, stored, text_rows
+from itinera.llm.common import map_rows, squeeze, stored, text_rows, unsqueeze
 from itinera.llm.vocab import public_path, tokenizer
 from itinera.llm.words import SPACE, Memory, cut_words, encode_together, ends_white, flat, offsets_of, places, spans
 
@@ -64,32 +64,24 @@ def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(list(enumerate(_pieces(path))), "id int, piece binary")
 
 
-def _squeeze(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
-
-
-def _open(packed: bytes) -> bytes:
-    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-
-
 def _pack(numbers: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers by byte planes, compressed: small numbers cost a byte or two."""
-    return _squeeze(np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return squeeze(np.ascontiguousarray(numbers, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(_open(packed), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(unsqueeze(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
     """Ids as they are, with two bytes each if that is enough: frequent ones and their neighbours are found again."""
     width = b"2" if not len(ids) or ids.max() < 1 << 16 else b"4"
-    return width + _squeeze(ids.astype("<u" + width.decode()).tobytes())
+    return width + squeeze(ids.astype("<u" + width.decode()).tobytes())
 
 
 def _unpack_ids(packed: bytes) -> np.ndarray:
-    return np.frombuffer(_open(packed[1:]), "<u" + packed[:1].decode()).astype("<u4")
+    return np.frombuffer(unsqueeze(packed[1:]), "<u" + packed[:1].decode()).astype("<u4")
 
 
 def _blocks(batches):
@@ -148,7 +140,7 @@ def _word_rows(shares: int):
                 [block] * len(keys),
                 [_seal(words)] * len(keys),
                 keys.tolist(),
-                [_squeeze(data[ends[a] : ends[b]].tobytes()) for a, b in edges],
+                [squeeze(data[ends[a] : ends[b]].tobytes()) for a, b in edges],
                 [_pack(np.diff(ends[a : b + 1])) for a, b in edges],
             )
 
@@ -199,7 +191,7 @@ def _encode_words(path: str, distinct: bool):
                 if shares[a] != share:
                     share, memory = shares[a], Memory(encode)
                 sizes = [_unpack(x) for x in batch.column("lens").slice(a, b - a).to_pylist()]
-                data = b"".join(map(_open, batch.column("words").slice(a, b - a).to_pylist()))
+                data = b"".join(map(unsqueeze, batch.column("words").slice(a, b - a).to_pylist()))
                 counts, got = memory.of(spans(offsets_of(np.concatenate(sizes)), data))
                 ends = offsets_of([*map(len, sizes)])
                 upto = offsets_of(counts)[ends]
@@ -288,7 +280,7 @@ def _packed_pieces(batches):
     for batch in batches:
         ids += batch["id"]
         pieces += batch["piece"]
-    yield [_pack(np.array(ids, np.uint32))], [_pack(np.fromiter(map(len, pieces), np.uint32, len(pieces)))], [_squeeze(b"".join(pieces))]
+    yield [_pack(np.array(ids, np.uint32))], [_pack(np.fromiter(map(len, pieces), np.uint32, len(pieces)))], [squeeze(b"".join(pieces))]
 
 
 @cache
@@ -309,7 +301,7 @@ def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame
             met = _unpack(met)
             at = np.full(int(max(met.max(), ids.max())) + 1, -1)
             at[met] = np.arange(len(met))
-            pieces = spans(offsets_of(_unpack(lens)), _open(joined)).take(pa.array(at[ids]))
+            pieces = spans(offsets_of(_unpack(lens)), unsqueeze(joined)).take(pa.array(at[ids]))
             decimals = _decimals(-(-len(at) // 65536) * 65536).take(pa.array(ids))
             # from ids to words, and on to all words in their order
             (ends, digits), (sizes, texts) = (flat(spans(x[upto], y).take(pa.array(place))) for x, y in (flat(decimals), flat(pieces)))

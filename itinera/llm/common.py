@@ -25,6 +25,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def squeeze(data: bytes, level: int = 6) -> bytes:
+    """Compressed bytes, with their length before compression in front."""
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
+
+
+def unsqueeze(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def text_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only (doc_id long, text string); whatever other columns there are cannot clash with an operator's own."""
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -12,7 +12,7 @@ one place would find these strings; here it is cut into pieces that workers can
    end. Their suffix arrays are built by grouping suffixes by their Lyndon prefixes and emitting each group's order
    (``suffix_array``). Neighbours in it share the longest run of bytes behind the gram; together with the bytes before
    the gram this tells which windows are equal.
-   Contexts that are equal in several blocks enter once.
+   Contexts that are equal in several blocks enter once, and so do records that are equal behind one gram.
 4. A gram with more than ``LIMIT`` occurrences is split over several shares. Windows that stay single in a share are
    then compared by a digest of their bytes across its shares, so that nothing is lost by the split.
 5. The intervals of a text, which is addressed by its SHA-256, are merged and joined to all rows with this text.
@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from itinera.llm.common import map_rows, stored
+from itinera.llm.common import map_rows, squeeze, stored, unsqueeze
+from itinera.llm.words import places
 
 LENGTH = 200
 GRAM = 64
@@ -63,15 +64,10 @@ def suffix_array(text: list[int]) -> list[int]:
     order is emitted from the least suffix on: whatever points to an emitted suffix is next in its group.
     """
     n = len(text)
-    by: dict[int, list[int]] = {}
-    for i, c in enumerate(text):
-        by.setdefault(c, []).append(i)
-    members: list[list[int]] = []
-    group = [0] * n
-    for c in sorted(by):
-        for i in by[c]:
-            group[i] = len(members)
-        members.append(by[c])
+    _, symbol, many = np.unique(text, return_inverse=True, return_counts=True)
+    positions, ends = np.argsort(symbol, kind="stable").tolist(), np.cumsum(many).tolist()
+    members = [positions[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    group = symbol.tolist()
     count = len(members)
     below = list(range(-1, count - 1))  # the next lower group
     above = [*range(1, count), -1]
@@ -84,19 +80,20 @@ def suffix_array(text: list[int]) -> list[int]:
         members[g] = mine
         done[g] = True
         order.append(g)
-        pointers: dict[int, int] = {}
+        found = []
         for i in mine:
             p = i - 1
             while p >= 0 and done[group[p]]:
                 p = prev[p]
             prev[i] = p
             if p >= 0:
-                pointers[p] = pointers.get(p, 0) + 1
-        if pointers:
-            most = max(pointers.values())
-            if most == 1:
-                levels = [list(pointers)]
+                found.append(p)
+        if found:
+            if len(found) == 1 or len(set(found)) == len(found):
+                levels = [found]
             else:
+                pointers = Counter(found)
+                most = max(pointers.values())
                 levels = [[] for _ in range(most)]
                 for p, k in pointers.items():
                     levels[most - k].append(p)
@@ -191,7 +188,9 @@ class _Grams:
         starts = np.flatnonzero(self.least)
         if not len(starts):
             return (np.zeros(0, np.int64),) * 3
-        index = np.searchsorted(self.named, starts)
+        named = np.zeros(len(self.hash), np.int32)
+        named[self.named] = 1
+        index = (np.cumsum(named, dtype=np.int32) - named)[starts]  # of the first gram in the window
         values, wanted = self.hash[self.named], self.least[starts]
         open_ = np.flatnonzero(values[index] != wanted)
         while len(open_):
@@ -264,35 +263,32 @@ def _gram_rows(length: int):
                 grams = _Grams(texts[a:b], length)
                 found.append(grams.hash[grams.named])
             grams, n = np.unique(np.concatenate(found), return_counts=True)
-            yield [*grams.view(np.int64).tolist(), block], [*n.tolist(), 0], [block] * (len(grams) + 1), [seal] * (len(grams) + 1)
+            yield np.append(grams.view(np.int64), block), np.append(n, 0), np.full(len(grams) + 1, block), np.full(len(grams) + 1, seal)
 
     return run
 
 
 def _repeated(batches):
     """Rows come sorted by gram; those of grams with more than one occurrence go back to their blocks with the total."""
-    gram, rows, total = None, [], 0
 
-    def close():
-        keep = total > 1
-        return [gram] * len(rows) * keep, [r[0] for r in rows] * keep, [r[1] for r in rows] * keep, [total] * len(rows) * keep
+    def solve(gram, n, block, seal):
+        first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        total = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(gram)]))
+        total[n == 0] = 0
+        keep = (n == 0) | (total > 1)
+        return gram[keep], block[keep], seal[keep], total[keep]
 
-    out = [[], [], [], []]
+    rest = [np.zeros(0, np.int64)] * 4
     for batch in batches:
-        for g, n, block, seal in zip(batch["gram"], batch["n"], batch["block"], batch["seal"], strict=True):
-            if not n:
-                for column, value in zip(out, (g, block, seal, 0), strict=True):
-                    column.append(value)
-                continue
-            if g != gram:
-                for column, values in zip(out, close(), strict=True):
-                    column.extend(values)
-                gram, rows, total = g, [], 0
-            rows.append((block, seal))
-            total += n
-        yield tuple(out)
-        out = [[], [], [], []]
-    yield close()
+        rows = [np.concatenate([old, batch.column(c).to_numpy()]) for old, c in zip(rest, ("gram", "n", "block", "seal"), strict=True)]
+        if not len(rows[0]):
+            continue
+        edge = int(np.searchsorted(rows[0], rows[0][-1]))  # the last gram may go on in the next batch
+        rest = [x[edge:] for x in rows]
+        if edge:
+            yield solve(*(x[:edge] for x in rows))
+    if len(rest[0]):
+        yield solve(*rest)
 
 
 def _text_rows(batches):
@@ -352,7 +348,7 @@ def _contexts(length: int, shares: int):
             out["froms"].append([x[5] for x in items])
             out["tos"].append([])
             numbers = np.array([(x[0], x[1], x[2], x[3], len(x[6])) for x in items], np.uint64)
-            out["packed"].append(zlib.compress(numbers.T.tobytes() + b"".join(x[6] for x in items), 1))
+            out["packed"].append(squeeze(numbers.T.tobytes() + b"".join(x[6] for x in items), 1))
         return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in out.items()})  # also without rows
 
     return run
@@ -407,7 +403,15 @@ def equal_windows(gram: np.ndarray, left: np.ndarray, contexts: list[bytes], len
     begin = np.cumsum(sizes) - sizes
     right = flat[(begin + left)[:, None] + np.arange(length)]
     right = np.where(np.arange(length) < behind[:, None], right, 0).astype(np.uint8)
-    order = _right_order(gram, right, behind)
+    # equal records stand side by side, so that one of them is enough
+    distinct: dict[tuple, int] = {}
+    record = np.fromiter((distinct.setdefault((g, n, r.tobytes()), len(distinct)) for g, n, r in zip(gram.tolist(), behind.tolist(), right, strict=True)), np.int64, m)
+    by = np.argsort(record, kind="stable")
+    ends = np.cumsum(np.bincount(record, minlength=len(distinct)))
+    first = np.r_[0, ends[:-1]][: len(ends)]
+    kept = by[first]
+    order = _right_order(gram[kept], right[kept], behind[kept])
+    order = by[places(first[order], (ends - first)[order])]
     sorted_right = right[order]
     differ = sorted_right[1:] != sorted_right[:-1]
     same = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
@@ -446,7 +450,7 @@ def _resolve(length: int):
     def solve(rows):
         keys, starts, numbers, contexts = [], [], [], []
         for row_keys, row_starts, packed in rows:
-            raw = zlib.decompress(packed)
+            raw = unsqueeze(packed)
             part = np.frombuffer(raw[: len(row_keys) * 40], np.uint64).reshape(5, -1)
             at = len(row_keys) * 40
             for n in part[4].tolist():
@@ -529,7 +533,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = docs.select(F.col("text").cast("string").alias("text"))
     grams = map_rows(texts, _gram_rows(length), "gram long, n long, block long, seal long")
     grams = grams.repartition(parts, "gram").sortWithinPartitions("gram")
-    back = stored(map_rows(grams, _repeated, "gram long, block long, seal long, total long"), "grams")
+    back = stored(map_rows(grams, _repeated, "gram long, block long, seal long, total long", lists=False), "grams")
     shares = max(16, -(-back.where("total > 0").count() // SHARE))
     rows = map_rows(texts, _text_rows, "block long, seal long, row int, n long, text binary")
     made = rows.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(
