@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from itinera.llm.common import map_rows, text_rows
 from itinera.llm.vocab import public_path, tokenizer
-from itinera.llm.words import Memory, encode_together, flat, offsets_of, places, spans
+from itinera.llm.words import ArrayMemory, encode_together, flat, offsets_of, places, spans
 
 CAPACITY = 4096
 VOCABULARY = "word_bpe_49k.json"
@@ -32,7 +32,9 @@ END = 2
 #: Stems that a worker remembers before it forgets them all; results do not depend on it.
 REMEMBER = 800_000
 #: Bytes of texts that are encoded at a time, or a batch more.
-PART = 16_000_000
+PART = 4_000_000
+#: Words whose ids are put together at a time.
+GATHER = 200_000
 #: Punctuation that is cut off words before they are encoded.
 MARKS = ".,!?;:*&%$#|\"()-"
 #: Words that surely end in a letter or digit (a capital I with a dot becomes a letter and a mark), words of letters whose
@@ -115,7 +117,7 @@ class WordCoder:
         self.closing = np.zeros(self.coder.get_vocab_size(with_added_tokens=True), bool)
         for token, i in self.coder.get_vocab(with_added_tokens=False).items():
             self.closing[i] = token.endswith("</w>")
-        self.stems = Memory(self._encode, REMEMBER)
+        self.stems = ArrayMemory(self._encode, REMEMBER)
 
     def _last(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
         at = np.flatnonzero(self.closing[ids])
@@ -149,10 +151,15 @@ class WordCoder:
         sizes = self.stems.sizes[at]
         ids = self.stems.ids[places(self.stems.starts[at], sizes)]
         ends = offsets_of(sizes)[::2]
+        sizes = np.diff(ends)
         at = numbered.indices.to_numpy()
-        sizes = np.diff(ends)[at]
+        upto = offsets_of(sizes[at])
+        out = np.empty(upto[-1], np.uint32)
+        for x in range(0, len(at), GATHER):
+            some = at[x : x + GATHER]
+            out[upto[x] : upto[x + len(some)]] = ids[places(ends[some], sizes[some])]
         offsets = split.offsets.to_numpy()
-        return offsets_of(sizes)[offsets - offsets[0]], ids[places(ends[at], sizes)]
+        return upto[offsets - offsets[0]], out
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -194,6 +201,7 @@ def pack_documents(
         for ids, texts in parts(batches):
             ends, found = coder.encode(texts)
             found = found.tobytes()
+            pa.default_memory_pool().release_unused()  # workers stay and share an executor's memory
             for name, x, y in zip(ids.to_pylist(), ends.tolist(), ends[1:].tolist(), strict=False):
                 names.append(name)
                 codes.append(found[4 * x : 4 * y] + close)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from itinera.llm.common import WHITE
 
@@ -138,7 +139,7 @@ class Memory:
         """The number of each of these distinct words, by which ``starts`` and ``sizes`` tell its span of ``ids``, until the next call."""
         if self.most is not None and len(self.known) > self.most:
             self.__init__(self.encode, self.most)
-        at = np.fromiter(map(self.known.__getitem__, words.to_pylist()), np.int64, len(words))
+        at = self._numbers(words)
         new = np.flatnonzero(at >= len(self.starts))
         if len(new):
             sizes, ids = self.encode(words.take(pa.array(new)))
@@ -147,9 +148,29 @@ class Memory:
             self.ids = np.concatenate([self.ids, ids])
         return at
 
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, words.to_pylist()), np.int64, len(words))
+
     def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each word, ids of all): each distinct word is looked up once."""
         coded = words.dictionary_encode()
         at = self.find(coded.dictionary)[coded.indices.to_numpy()]
         sizes = self.sizes[at]
         return sizes, self.ids[places(self.starts[at], sizes)]
+
+
+class ArrayMemory(Memory):
+    """The same with the words in one array, not an object each. Every call hashes them anew, so calls should be few and large."""
+
+    def __init__(self, encode: Callable, most: int | None = None):
+        super().__init__(encode, most)
+        self.known = pa.array([], pa.large_binary())
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        at = pc.index_in(words, value_set=self.known)
+        new = at.is_null()
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        which = np.flatnonzero(new.to_numpy(zero_copy_only=False))
+        at[which] = len(self.known) + np.arange(len(which))
+        self.known = pa.concat_arrays([self.known, words.filter(new)])
+        return at

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -114,3 +116,47 @@ def test_packing_forgets_without_a_trace(monkeypatch):
     coder = packing.WordCoder(path)
     expected = [e.ids for e in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
     assert sum((_packing_ids(coder, texts[i : i + 40]) for i in range(0, 300, 40)), []) == expected
+
+
+def _memory_of(run):
+    """(bytes held after, most bytes of Python and numpy meanwhile)."""
+    gc.collect()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        run()
+        gc.collect()
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    return held + pa.total_allocated_bytes() - before, most
+
+
+def test_packing_takes_little_memory_of_a_worker():
+    rng = random.Random(9)
+    coder = packing.WordCoder(public_path(packing.VOCABULARY))
+    stems = sorted({"".join(rng.choices("abcdefghij", k=8)) for _ in range(60_000)})
+    new = pa.array([" ".join(stems)], pa.large_string())
+    held, _ = _memory_of(lambda: coder.encode(new))
+    assert held < 80 * len(stems)  # of each stem its letters, its ids and where they are
+    common = pa.array([" ".join(rng.choices(stems[:100], k=800_000))], pa.large_string())
+    ends, ids = coder.encode(common)
+    _, most = _memory_of(lambda: coder.encode(common))
+    assert most < 20 * len(ids)  # ids are put together part by part
+    sizes = np.diff(coder.encode(pa.array(stems[:100], pa.large_string()))[0])
+    number = {w: i for i, w in enumerate(stems[:100])}
+    assert ends.tolist() == [0, sum(int(sizes[number[w]]) for w in common[0].as_py().split())]
+
+
+def test_array_memory_has_what_memory_has():
+    def encode(new):
+        found = new.to_pylist()
+        return np.array([len(w) for w in found], np.int64), np.array([c for w in found for c in w], np.uint32)
+
+    rng = random.Random(10)
+    plain, small = words.Memory(encode, most=40), words.ArrayMemory(encode, most=40)
+    for _ in range(60):
+        some = pa.array([bytes(rng.choices(b"ab\0", k=rng.randint(0, 4))) for _ in range(rng.randint(0, 30))], pa.large_binary())
+        for a, b in zip(plain.of(some), small.of(some), strict=True):
+            assert a.tolist() == b.tolist()
+        assert len(plain.known) == len(small.known)
