@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itinera.session import scratch_path
+from itinera.session import scratch_path, short_methods
 
 Run = Callable[["Data"], DataFrame]
 
@@ -62,7 +62,8 @@ class Data:
                 df = self.spark.sql(VIEWS[v])
                 if v in STORED:
                     path = scratch_path(self.spark, v)
-                    df.write.parquet(path)
+                    with short_methods(self.spark):
+                        df.write.parquet(path)
                     df = self.spark.read.parquet(path)
                 _FRAMES[key] = df
             _FRAMES[key].createOrReplaceTempView(v)

@@ -55,14 +55,16 @@ def fold_routes(legs: Column, same: Same) -> Column:
 
 def by_time(legs: Column) -> Column:
     """Legs by date, slot order breaking ties. The structs must start with ``dt`` and ``slot``."""
-    return F.array_sort(legs)
+    return F.sort_array(legs)  # as array_sort where no leg is null, without its comparator
 
 
 def routes_anchored(legs: Column, max_seconds: int = 24 * HOUR) -> Column:
     """A leg joins while it lies within ``max_seconds`` of the route's first leg."""
-    return fold_routes(
-        legs, lambda first, prev, leg: F.abs(micros_between(first["dt"], leg["dt"])) <= max_seconds * 1_000_000
-    )
+    near = lambda first, leg: F.abs(micros_between(first["dt"], leg["dt"])) <= max_seconds * 1_000_000
+    # most rows are one route, which needs no fold
+    one = F.forall(legs, lambda leg: F.coalesce(near(F.get(legs, F.lit(0)), leg), F.lit(False)))
+    folded = fold_routes(legs, lambda first, prev, leg: near(first, leg))
+    return F.when((F.size(legs) > 0) & one, F.array(legs)).otherwise(folded)
 
 
 def routes_gap(legs: Column, max_seconds: int = 36 * HOUR) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from itinera.functions import flights as fl
 from itinera.functions.text import blank_to_null
-from itinera.operators.dedupe import dedupe_segments, flag_known, flag_repeats
+from itinera.operators.dedupe import dedupe_segments, flag_known, flag_repeats, pruned_target
 from itinera.operators.filters import any_slot_in_range
 from itinera.operators.profile import reconcile, rejection_summary
 from itinera.operators.reshape import legs_of, widen_route, with_slots
@@ -39,7 +39,7 @@ class CleanResult:
 
 
 def stage_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Add ``__legs`` (valid legs by date, empty for a rejected row) and ``__failure`` (array of at most one reason
+    """Add ``__routes`` (arrays of valid legs by date, none for a rejected row) and ``__failure`` (array of at most one reason
     and detail). No shuffle.
 
     Both outputs are arrays that are exploded later: a filter on the reason would be pushed below these projections
@@ -80,8 +80,10 @@ def stage_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
     )
     legs = F.when(F.col("__in_range"), F.col("__valid"))
     staged = staged.withColumns({"__failure": failure, "__sorted": legs})
-    return staged.withColumn("__legs", dedupe_segments(F.col("__sorted"))).drop(
-        "__slots", "__failed", "__valid", "__in_range", "__sorted"
+    staged = staged.withColumn("__legs", dedupe_segments(F.col("__sorted")))
+    # cut here and not by the readers: the stored rows are read several times
+    return staged.withColumn("__routes", routes_anchored(F.col("__legs"), spec.route_hours * 3600)).drop(
+        "__slots", "__failed", "__valid", "__in_range", "__sorted", "__legs"
     )
 
 
@@ -101,10 +103,9 @@ def failed_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
 def route_rows(staged: DataFrame, spec: SourceSpec, row_id: str) -> DataFrame:
     """One wide row per route of the rows that passed, keyed by (row id, route number), with the raw row kept."""
     text = {f.name for f in staged.schema.fields if isinstance(f.dataType, T.StringType)}
-    routes = routes_anchored(F.col("__legs"), spec.route_hours * 3600)
     raw = F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in spec.columns]).alias("__raw")
     rows = staged.select(
-        row_id, *[F.col(f"`{c}`") for c in spec.base], raw, F.posexplode(routes).alias("__pos", "__route")
+        row_id, *[F.col(f"`{c}`") for c in spec.base], raw, F.posexplode("__routes").alias("__pos", "__route")
     ).withColumn(ROUTE_NO, F.col("__pos") + 1)
     wide = widen_route(F.col("__route"), spec.slots, spec.number, spec.date, spec.airport_names)
     clean = lambda name, c: blank_to_null(c) if name in text else c
@@ -123,7 +124,9 @@ def turned_down(
     flagged = flag_repeats(narrow, spec.key_columns, [row_id, ROUTE_NO], "__repeat")
     status = F.when(F.col("__repeat"), fl.BATCH_DUPLICATE)
     if target is not None:
-        flagged = flag_known(flagged, target, spec.target_key_columns, "__known", trim_equal, prune)
+        # the run's keys by themselves: the flagged rows have the same ones behind a join
+        near = pruned_target(narrow, target, spec.target_key_columns, trim_equal) if prune else target
+        flagged = flag_known(flagged, near, spec.target_key_columns, "__known", trim_equal)
         status = status.when(F.col("__known"), fl.TARGET_CONFLICT)
     return flagged.select(row_id, ROUTE_NO, status.alias("__status")).filter(F.col("__status").isNotNull())
 

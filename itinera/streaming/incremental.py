@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itinera.plans.clean import clean_staged, stage_rows
+from itinera.session import short_methods
 from itinera.sinks.versioned import StoreFiles
 from itinera.spec import SourceSpec
 
@@ -50,11 +51,14 @@ def incremental_clean(
     run = min(open_runs) if open_runs else max(finished, default=0) + 1
 
     def stage(batch: DataFrame, batch_id: int) -> None:
-        stage_rows(batch, spec).write.mode("overwrite").parquet(f"{staging}/{RUN}={run}/{BATCH}={batch_id}")
+        # a file may be one row group, which one task reads; its rows are parsed by all
+        tasks = max(spark.sparkContext.defaultParallelism, batch.rdd.getNumPartitions())
+        stage_rows(batch.repartition(tasks), spec).write.mode("overwrite").parquet(f"{staging}/{RUN}={run}/{BATCH}={batch_id}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(source)
-    query = stream.writeStream.foreachBatch(stage).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()
-    query.awaitTermination()
+    with short_methods(spark):  # the stream's session is a copy of this one
+        query = stream.writeStream.foreachBatch(stage).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start()
+        query.awaitTermination()
     if run not in _runs(files, staging):
         return 0
     finish_run(spark, run, schema, spec, row_id, target, rejected, checkpoint, trim_equal)
@@ -71,8 +75,9 @@ def finish_run(
     staged = spark.read.schema(parsed).parquet(*folders)
     earlier = [f"{target}/{RUN}={r}" for r in sorted(_runs(files, target)) if r < run]
     known = spark.read.parquet(*earlier) if earlier else None
-    result = clean_staged(staged.select(*schema.names), staged, spec, row_id, known, trim_equal, prune=True)
-    for rows, path in ((result.accepted, target), (result.rejected, rejected)):
-        rows.write.mode("overwrite").parquet(f"{path}/{RUN}={run}")
+    with short_methods(spark):
+        result = clean_staged(staged.select(*schema.names), staged, spec, row_id, known, trim_equal, prune=True)
+        for rows, path in ((result.accepted, target), (result.rejected, rejected)):
+            rows.write.mode("overwrite").parquet(f"{path}/{RUN}={run}")
     files.write(f"{checkpoint}/finished/{RUN}={run}", "")
     files.remove(f"{checkpoint}/staged/{RUN}={run}")

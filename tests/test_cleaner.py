@@ -192,3 +192,18 @@ def test_delay_cases(spark):
         "one165-1": 9900, "lay45-1": 2700, "lay45-2": 2700, "two-1": -6000, "two-2": -6000, "two-3": -6000,
     }
     assert [r["Id"] for r in delay.incomplete_legs(df).collect()] == ["gap-1"]
+
+
+def test_routes_of_one_piece_equal_the_fold(spark):
+    """Routes that need no fold, next to ones that do: gaps, missing dates, a single leg, no leg, no array."""
+    from itinera.functions.dates import micros_between
+    from itinera.operators.segment import fold_routes
+
+    texts = [["01 00", "01 10", "02 00"], ["01 00", "02 01", "02 20"], ["01 00", "01 00"], ["01 00"], [], None, [None, "01 00"], ["01 00", None], [None], ["03 00", "01 00", "03 05"]]
+    legs = [None if t is None else [(f"2024-01-{x}:00:00" if x else None, i) for i, x in enumerate(t)] for t in texts]
+    df = spark.createDataFrame(list(enumerate(legs)), "id int, raw array<struct<dt:string,slot:int>>")
+    df = df.select("id", F.transform("raw", lambda s: F.struct(s["dt"].cast("timestamp_ntz").alias("dt"), s["slot"].alias("slot"))).alias("legs"))
+    fold = fold_routes(F.col("legs"), lambda first, prev, leg: F.abs(micros_between(first["dt"], leg["dt"])) <= 24 * 3_600_000_000)
+    got = df.select("id", routes_anchored(F.col("legs")).alias("a"), fold.alias("b"), by_time(F.col("legs")).alias("c"), F.array_sort("legs").alias("d")).collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in got)
+    assert [None if r["a"] is None else len(r["a"]) for r in sorted(got)] == [1, 2, 1, 1, 0, None, 2, 2, 1, 3]

@@ -229,3 +229,33 @@ def test_split_connections_loses_no_leg(spark):
     assert got == [("AA1", "P1", "P2"), ("AA2", "P2", "P3"), ("AA3", "P3", "P4")]
     two = split_connections(df, spec, first_two=True, dropped="gone").collect()
     assert [r["gone"] for r in two] == [1, 1]
+
+
+def test_one_file_is_parsed_by_several_tasks(spark, tmp_path, deliveries, monkeypatch):
+    from itinera.session import METHOD_BYTES, METHOD_LIMIT
+    from itinera.streaming import incremental
+
+    spec, parts = deliveries
+    source, out, bad, state = (str(tmp_path / p) for p in ("in", "out", "bad", "state"))
+    parts[0].coalesce(1).write.parquet(source)  # one row group, which one task reads
+    before, seen = spark.conf.get(METHOD_LIMIT, None), []
+    parse = incremental.stage_rows
+    monkeypatch.setattr(incremental, "finish_run", lambda *a, **k: None)
+    monkeypatch.setattr(incremental, "stage_rows", lambda df, s: seen.append(df.sparkSession.conf.get(METHOD_LIMIT)) or parse(df, s))
+    assert incremental_clean(spark, source, parts[0].schema, spec, "id", out, bad, state, max_files=1) == 1
+    staged = spark.read.parquet(f"{state}/staged/run_id=1/batch_id=0")
+    tasks = staged.groupBy(F.input_file_name().alias("f")).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == parts[0].count()
+    assert seen == [METHOD_BYTES] and spark.conf.get(METHOD_LIMIT, None) == before
+
+
+def test_labels_of_a_pruned_run_are_those_without_the_filter(spark, tmp_path, deliveries):
+    from itinera.plans.clean import route_rows, stage_rows, turned_down
+
+    spec, parts = deliveries
+    stage_rows(parts[1], spec).write.parquet(str(tmp_path / "staged"))
+    rows = route_rows(spark.read.parquet(str(tmp_path / "staged")), spec, "id")
+    target = clean_bookings(parts[0], spec, "id").accepted
+    pruned, plain = (turned_down(rows, spec, "id", target, (), prune) for prune in (True, False))
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, plain.collect()))
+    assert pruned.where("__status = 'DB UNIQUE VIOLATION'").count() > 0
